@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logscan.session import ship_package
+
 _SIGN = np.int64(-0x8000000000000000)
 _BITS = 16
 _DIGITS = 1 << _BITS
@@ -92,6 +94,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> list:
     """
     by = list(by)
     probs = [float(p) for p in probs]
+    ship_package(df.sparkSession)
     base = (df.where(F.col(col).isNotNull())
             .select(*by, sortable_key(F.col(col).cast("double")).alias("_k"))
             .persist(StorageLevel.MEMORY_AND_DISK))

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from logscan.functions.hashing import EMBED_DIM
 from logscan.schema import LAYER_SCHEMA
+from logscan.session import ship_package
 
 # Upper bound on parameters shipped by broadcast (8 bytes each: 256 MB).
 MAX_BROADCAST_PARAMS = 32_000_000
@@ -135,6 +136,7 @@ def recon_error(spark: SparkSession, model: Model, features, kind: str = "dense"
     kind='dense': features is array<float|double> of width model.input_dim.
     kind='tokens': features is array<int> of hashed token slots (M1).
     """
+    ship_package(spark)
     bc = broadcast_model(spark, model)
     width = dim or model.input_dim
     to_block = dense_batch if kind == "dense" else token_batch
@@ -152,6 +154,7 @@ def recon_error(spark: SparkSession, model: Model, features, kind: str = "dense"
 
 def dense_features(dim: int = EMBED_DIM):
     """pandas UDF: token slots -> dense normalised array<double> (for fitting)."""
+    ship_package(SparkSession.active())
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _dense(s: pd.Series) -> pd.Series:

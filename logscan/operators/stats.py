@@ -50,7 +50,7 @@ def error_summary(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENT
         rows.append((*g, int(r["n"]), r["mn"], r["mx"], r["mean"],
                      *[q.get(float(p)) for p in probs]))
     names = ["n", "min_error", "max_error", "mean_error"] + [f"p{round(p * 100)}" for p in probs]
-    schema = ", ".join([f"{c} {df.schema[c].simpleString()}" for c in by]
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in by]
                        + ["n bigint", "min_error double", "max_error double", "mean_error double"]
                        + [f"{c} double" for c in names[4:]])
     return df.sparkSession.createDataFrame(rows, schema)

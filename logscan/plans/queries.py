@@ -284,6 +284,50 @@ def q_decode_event(spark, sf_dir):
     return dec.select("event_id", "filePath", "fileName", "uploadTime", "is_valid")
 
 
+def q_stream_detect(spark, sf_dir):
+    """T1-T3 + S3: the detect_logs chain as a Structured Streaming query over
+    the events table (file source, availableNow), idempotent foreachBatch
+    output; the threshold comes from the batch scores of the same table."""
+    from logscan.session import fresh_dir
+    from logscan.streaming.detect_stream import start_detect_stream
+
+    events_schema = read_table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir))
+    errs = log_errors(spark, sf_dir).withColumn("recon_error", F.round("recon_error", TIE_DIGITS))
+    thr = threshold(errs)
+    out = fresh_dir(spark, "stream_detect")
+    q = start_detect_stream(spark, events_as_logs(stream), rank_one_model(EMBED_DIM, fixed_weight), thr,
+                            out + "/anomalies", out + "/checkpoint", metrics_path=out + "/metrics",
+                            available_now=True, fmt="parquet", round_digits=TIE_DIGITS)
+    q.awaitTermination()
+    res = spark.read.parquet(out + "/anomalies")
+    return res.select(F.col("RequestID").alias("event_id"), "LogLevel", "Service", "Message", "TimeVal",
+                      _r("recon_error").alias("recon_error"))
+
+
+def q_pca_detect(spark, sf_dir):
+    """M5 with PCA (k=64) on events-as-logs: md5 70/30 split, p95 threshold
+    on train errors, anomalies of the test part."""
+    from logscan.plans.fit import fit
+
+    res = fit(logs_view(spark, sf_dir), method="pca", k=64)
+    return res.test_anomalies.select(F.col("RequestID").alias("event_id"), "LogLevel", "Service",
+                                     "Message", "TimeVal", _r("recon_error").alias("recon_error"))
+
+
+def q_ae_history(spark, sf_dir):
+    """M2 + A6 with the reference settings (768-256-64-256-768, Adam 1e-4,
+    3 epochs, batch 32) on the train part of events-as-logs."""
+    from logscan.plans.fit import fit
+
+    res = fit(logs_view(spark, sf_dir), method="autoencoder")
+    rows = [(e, n, round(m, DIGITS), round(p90, DIGITS), round(p95, DIGITS), round(res.threshold, DIGITS))
+            for e, n, m, p90, p95 in res.history]
+    return spark.createDataFrame(rows, "epoch int, n bigint, mean_loss double, p90 double, p95 double, "
+                                       "threshold double")
+
+
 QUERIES = {
     "mask_message": q_mask_message,
     "mask_documents": q_mask_documents,
@@ -302,6 +346,9 @@ QUERIES = {
     "attach_scores": q_attach_scores,
     "dedupe": q_dedupe,
     "topk": q_topk,
+    "stream_detect": q_stream_detect,
+    "pca_detect": q_pca_detect,
+    "ae_history": q_ae_history,
     "latest_upload": q_latest_upload,
     "object_key": q_object_key,
     "decode_event": q_decode_event,
@@ -350,6 +397,10 @@ ORACLE_SQL = {
                    + LOG_ERRORS_SQL + ")), t as (select quantile_cont(e, 0.95) as thr "
                    "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
                    + " as recon_error from s, t where e > thr",
+    "stream_detect": "with s as (select * exclude (e), round(e, " + str(TIE_DIGITS) + ") as e from ("
+                     + LOG_ERRORS_SQL + ")), t as (select quantile_cont(e, 0.95) as thr "
+                     "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
+                     + " as recon_error from s, t where e > thr",
     "run_metrics": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s), "
                    "c as (select count(*)::double as total_logs, count(*) filter (where e > thr)::double "
                    "as anomalies_count from s, t) "

@@ -71,3 +71,29 @@ def is_local_path(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``logscan`` importable in executor Python workers.
+
+    Arrow batch functions refer to functions of this package, so workers
+    must import it.  The package is zipped once per SparkContext and added
+    with ``addPyFile``, which distributes it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_logscan_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="logscan-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._logscan_shipped = True
