@@ -84,8 +84,31 @@ def float_text(value) -> Column:
     exp = F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", 4).try_cast("int")
     digits = F.concat(lead, frac)
     n = F.length(digits)
+    # Java 17 sometimes prints one digit more than the shortest text that
+    # reads back as the same double; that happens only at |x| >= 1e16 (the
+    # scientific range).  There the mantissa is cut by one or two digits
+    # when the rounded shorter form still reads back as the same value.
+    v = _col(value).cast("double")
+
+    def shorter(d, drop):
+        m = F.concat(d.substr(F.lit(1), F.lit(1)), F.lit("."), d.substr(F.lit(2), F.lit(40)))
+        dec = m.try_cast("decimal(38,20)")
+        rounded = None
+        for n in range(drop + 1, 21):  # round needs a literal scale
+            branch = F.round(dec, n - 1 - drop)
+            rounded = (F.when(F.length(d) == n, branch) if rounded is None
+                       else rounded.when(F.length(d) == n, branch))
+        r = F.regexp_replace(F.regexp_replace(rounded.cast("string"), r"(\.\d*?)0+$", "$1"),
+                             r"\.$", "")
+        ok = (F.length(d) > drop) & ~r.startswith("10") & \
+            (F.concat(r, F.lit("E"), exp.cast("string")).try_cast("double") == F.abs(v))
+        return F.when(ok, F.regexp_replace(r, r"\.", ""))
+
+    sci_digits = F.coalesce(shorter(digits, 2), shorter(digits, 1), digits)
+    sci_frac = sci_digits.substr(F.lit(2), F.lit(40))
     sci = F.concat(
-        sign, lead, F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")),
+        sign, sci_digits.substr(F.lit(1), F.lit(1)),
+        F.when(sci_frac != "", F.concat(F.lit("."), sci_frac)).otherwise(F.lit("")),
         F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
         F.lpad(F.abs(exp).cast("string"), 2, "0"),
     )

@@ -18,13 +18,15 @@ def encode_event(df: DataFrame) -> DataFrame:
 
 
 def decode_event(df: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
-    """JSON value -> filePath, fileName, uploadTime, upload_ts, is_valid.
+    """JSON value -> filePath, fileName, uploadTime, upload_ts, is_valid
+    (plus the input columns named in ``keep``).
 
     Malformed or incomplete events are kept with ``is_valid = false`` so a
     caller can route them to a reject output instead of losing them.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), EVENT_DDL)
-    out = df.select(*keep, parsed.alias("_e"), F.col(value_col).cast("string").alias("_raw"))
+    keep = list(keep)
+    out = df.select(*keep, parsed.alias("_e"))
     return out.select(
         *keep,
         F.col("_e.filePath").alias("filePath"),

@@ -32,7 +32,17 @@ def create_metric_table(spark: SparkSession, table: str = METRIC_TABLE, location
 
 
 def truncate_metric_table(spark: SparkSession, table: str = METRIC_TABLE) -> None:
-    spark.sql(f"TRUNCATE TABLE {table}")
+    """Empty the table; external tables (with LOCATION) refuse TRUNCATE, so
+    they are overwritten with an empty selection instead."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.sql(f"TRUNCATE TABLE {table}")
+    except AnalysisException as e:
+        if "external" not in str(e).lower():
+            raise
+        empty = spark.createDataFrame([], spark.table(table).schema)
+        empty.write.mode("overwrite").insertInto(table)
 
 
 def append_metrics(metrics: DataFrame, table: str = METRIC_TABLE) -> None:

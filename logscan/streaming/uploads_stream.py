@@ -1,11 +1,11 @@
 """S4, S5, U1-U3 on streams: upload events to a catalogue of current files.
 
 Events arrive as JSON values (a Kafka topic in production; any stream with
-a ``value`` column works, e.g. JSON-lines files in tests).  Valid events
-update the current file per name in a streaming aggregation (state store,
-update mode); every changed entry is appended with its batch id, so the
-catalogue is append-only and ``read_catalogue`` picks the latest entry
-per name with a skew-safe grouped max.  Rejected events go to their own
+a ``value`` column works, e.g. JSON-lines files in tests).  Each micro-batch
+reduces its valid events to the latest one per name (grouped max, partial
+aggregation) and appends those entries with the batch id, so the catalogue
+is append-only and replay-safe; ``read_catalogue`` picks the latest entry
+per name over all batches with the same skew-safe grouped max.  Rejected events go to their own
 folder instead of being lost.
 """
 
@@ -44,7 +44,7 @@ def json_line_events(spark: SparkSession, folder: str) -> DataFrame:
 def start_catalogue(spark: SparkSession, events: DataFrame, catalogue_path: str, reject_path: str,
                     checkpoint: str, available_now: bool = True,
                     trigger: str = "1 minute") -> StreamingQuery:
-    decoded = decode_event(events, keep=[F.col("value").cast("string").alias("raw")])
+    decoded = decode_event(events.withColumn("raw", F.col("value").cast("string")), keep=["raw"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
