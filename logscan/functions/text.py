@@ -72,64 +72,42 @@ def float_text(value) -> Column:
     """Text of a float32 value widened to double, as Python's ``str`` gives it.
 
     Spark prints the same shortest digits as Python but switches to Java's
-    scientific notation outside [1e-3, 1e7); Python keeps positional notation
-    in [1e-4, 1e16).  The E-form is rewritten here from its digits and
-    exponent, so no Python worker is involved.
+    E-notation outside [1e-3, 1e7), where Python stays positional within
+    [1e-4, 1e16).  In that band the Java text is read back as a decimal
+    and printed plainly.  Above (and below) it both use scientific form;
+    there Java 17 sometimes prints one or two digits more than needed, so
+    the mantissa is cut (integer half-up) while the shorter text still reads
+    back as the same double.  Kept small so whole-stage codegen applies.
     """
-    s = _col(value).cast("double").cast("string")
-    mant = F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", 0)
-    sign = F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", 1)
-    lead = F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", 2)
-    frac = F.regexp_replace(F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", 3), "0+$", "")
-    exp = F.regexp_extract(s, r"^(-?)(\d)\.(\d+)E(-?\d+)$", 4).try_cast("int")
-    digits = F.concat(lead, frac)
-    n = F.length(digits)
-    # Java 17 sometimes prints one digit more than the shortest text that
-    # reads back as the same double; that happens only at |x| >= 1e16 (the
-    # scientific range).  There the mantissa is cut by one or two digits
-    # when the rounded shorter form still reads back as the same value.
     v = _col(value).cast("double")
-
-    def shorter(d, drop):
-        m = F.concat(d.substr(F.lit(1), F.lit(1)), F.lit("."), d.substr(F.lit(2), F.lit(40)))
-        dec = m.try_cast("decimal(38,20)")
-        rounded = None
-        for n in range(drop + 1, 21):  # round needs a literal scale
-            branch = F.round(dec, n - 1 - drop)
-            rounded = (F.when(F.length(d) == n, branch) if rounded is None
-                       else rounded.when(F.length(d) == n, branch))
-        r = F.regexp_replace(F.regexp_replace(rounded.cast("string"), r"(\.\d*?)0+$", "$1"),
-                             r"\.$", "")
-        ok = (F.length(d) > drop) & ~r.startswith("10") & \
-            (F.concat(r, F.lit("E"), exp.cast("string")).try_cast("double") == F.abs(v))
-        return F.when(ok, F.regexp_replace(r, r"\.", ""))
-
-    sci_digits = F.coalesce(shorter(digits, 2), shorter(digits, 1), digits)
-    sci_frac = sci_digits.substr(F.lit(2), F.lit(40))
+    s = v.cast("string")
+    exp = F.substring_index(s, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(s, "E", 1), r"[-.]", ""), "0+$", "")
+
+    def cut(k):
+        num = digits.try_cast("decimal(20,0)")
+        r = F.floor((num + F.lit(5 * 10 ** (k - 1))) / F.lit(10 ** k)).cast("string")
+        back = F.concat(r.substr(F.lit(1), F.lit(1)), F.lit("."), r.substr(F.lit(2), F.lit(40)),
+                        F.lit("0E"), exp.cast("string")).try_cast("double")
+        ok = (F.length(digits) > k) & (F.length(r) == F.length(digits) - k) & (back == F.abs(v))
+        return F.when(ok, F.regexp_replace(r, "0+$", ""))
+
+    short = F.coalesce(cut(2), cut(1), digits)
     sci = F.concat(
-        sign, sci_digits.substr(F.lit(1), F.lit(1)),
-        F.when(sci_frac != "", F.concat(F.lit("."), sci_frac)).otherwise(F.lit("")),
+        F.when(v < 0, F.lit("-")).otherwise(F.lit("")), short.substr(F.lit(1), F.lit(1)),
+        F.when(F.length(short) > 1, F.concat(F.lit("."), short.substr(F.lit(2), F.lit(40))))
+        .otherwise(F.lit("")),
         F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(exp).cast("string"), 2, "0"),
-    )
-    big = F.concat(  # 1e7 <= |x| < 1e16
-        sign,
-        F.when(n <= exp + 1, F.concat(F.rpad(digits, exp + 1, "0"), F.lit(".0")))
-        .otherwise(F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."),
-                            digits.substr(exp + 2, F.lit(10_000)))),
-    )
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)  # 1e-4 <= |x| < 1e-3
-    rewritten = (
-        F.when((exp >= 16) | (exp < -4), sci)
-        .when(exp >= 0, big)
-        .otherwise(small)
-    )
+        F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    plain = F.regexp_replace(F.regexp_replace(s.try_cast("decimal(38,20)").cast("string"), "0+$", ""),
+                             r"\.$", ".0")
     return (
         F.when(s == "Infinity", F.lit("inf"))
         .when(s == "-Infinity", F.lit("-inf"))
         .when(s == "NaN", F.lit("nan"))
-        .when(mant != "", rewritten)
-        .otherwise(s)
+        .when(~s.contains("E"), s)
+        .when((exp >= 16) | (exp < -4), sci)
+        .otherwise(plain)
     )
 
 
