@@ -18,6 +18,7 @@ from logscan.functions.hashing import EMBED_DIM, token_indices
 from logscan.operators import prepare as P
 from logscan.operators.score import Model, recon_error
 from logscan.operators.stats import DETECT_STAGE, metrics_long
+from logscan.session import spread
 from logscan.sources.logs import read_logs
 from logscan.sources.sinks import append_metrics, write_csv, write_metrics
 
@@ -31,7 +32,7 @@ def score_lines(logs: DataFrame, model: Model, with_time: bool = True) -> DataFr
     """Prepared, complete lines with ``TimeVal``, ``text`` and ``recon_error``."""
     spark = logs.sparkSession
     dim = model.input_dim
-    lines = featurize(P.scorable_lines(logs, with_time=with_time), dim, "_slots")
+    lines = featurize(P.scorable_lines(spread(logs), with_time=with_time), dim, "_slots")
     return (lines.withColumn("recon_error", recon_error(spark, model, "_slots", kind="tokens", dim=dim))
             .drop("_slots"))
 
@@ -66,12 +67,14 @@ def delete_inputs(spark: SparkSession, files, archive_dir: str | None = None) ->
 def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, result_path: str,
               metrics_table: str | None = None, metrics_path: str | None = None,
               run_id: str | None = None, single_file: bool = False, dedupe: bool = False,
-              consume: bool = False, archive_dir: str | None = None) -> dict:
+              consume: bool = False, archive_dir: str | None = None,
+              round_digits: int | None = None) -> dict:
     """One detection run over every file now in ``input_path``.
 
     Appends anomalies to ``result_path`` (CSV with header) and the five run
     metrics to a table or parquet folder.  Returns the metrics; a run with
     no input or no scorable line returns early without metrics.
+    ``round_digits`` quantises scores before the comparison (ties).
     """
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
@@ -80,6 +83,8 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
     if not files:
         return {"run_id": run_id, "status": "no_input"}
     scored = score_lines(logs, model)
+    if round_digits is not None:
+        scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
     obs = Observation(f"run_{run_id.replace('-', '_')}")
     scored = scored.observe(
         obs, F.count(F.lit(1)).alias("total_logs"),

@@ -20,6 +20,7 @@ from logscan.operators.pca import fit_pca
 from logscan.operators.score import Model, dense_features, recon_error
 from logscan.operators.stats import THRESHOLD_PERCENTILE, error_summary, threshold
 from logscan.plans.detect import featurize
+from logscan.session import spread
 
 
 @dataclass
@@ -44,6 +45,7 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
         dims=None, lr: float = 1e-4, batch_size: int = 32, seed: int = 42,
         partitions: int | None = None) -> FitResult:
     spark = logs.sparkSession
+    logs = spread(logs)
     prepared = P.prepare(logs).withColumn("_key", line_key(logs))
     prepared = prepared.withColumn("split", split_label("_key", train_percent))
     lines = featurize(P.with_text(P.drop_incomplete(prepared)), dim, "slots")

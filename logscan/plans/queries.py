@@ -18,6 +18,7 @@ from logscan.operators import prepare as P
 from logscan.operators.score import Model, rank_one_model, recon_error
 from logscan.operators.stats import error_summary, metrics_long, run_counts, threshold
 from logscan.operators.uploads import decode_event, encode_event, latest_uploads, object_key
+from logscan.session import fresh_dir, spread, work_dir
 from logscan.sources.events import events_as_dirty_logs, events_as_logs, read_table
 
 DIGITS = 9  # rounding of computed doubles in query outputs
@@ -118,7 +119,7 @@ LOG_ERRORS_SQL = """
 
 # ------------------------------------------------------------ Spark helpers
 def logs_view(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events"))
     return events_as_dirty_logs(ev) if dirty else events_as_logs(ev)
 
 
@@ -173,7 +174,7 @@ def q_split_bucket(spark, sf_dir):
 
 
 def q_token_index(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     return (docs.select("doc_id", F.explode(token_indices("text")).alias("idx"))
             .groupBy("doc_id", "idx").agg(F.count(F.lit(1)).alias("n")))
 
@@ -196,6 +197,10 @@ def q_error_summary(spark, sf_dir):
 
 
 def _detect(spark, errs, key_cols):
+    # Scores are written once to the shared checkpoint folder: the threshold
+    # passes and the final filter read the same rows instead of scoring twice.
+    work_dir(spark)
+    errs = errs.select(*key_cols, "recon_error").checkpoint(eager=True)
     thr = threshold(errs)
     return P.threshold_filter(errs, thr).select(*key_cols, _r("recon_error").alias("recon_error"))
 
@@ -328,6 +333,55 @@ def q_ae_history(spark, sf_dir):
                                        "threshold double")
 
 
+def q_csv_roundtrip(spark, sf_dir):
+    """S7 + S1 + P1: events written as a log CSV folder (header, blank first
+    header cell, microsecond timestamps), read back with the declared
+    schema, then prepared."""
+    from logscan.sources.logs import read_logs
+    from logscan.sources.sinks import write_csv
+
+    folder = fresh_dir(spark, "csv_roundtrip")
+    write_csv(logs_view(spark, sf_dir), folder, mode="overwrite")
+    back = P.prepare(read_logs(spark, folder))
+    return back.select(F.col("RequestID").alias("event_id"),
+                       F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                       "LogLevel", "Service", "Message", "TimeVal")
+
+
+def q_batch_run(spark, sf_dir):
+    """M6 run_batch + S6 + S8/S9: a detection run over the events written as
+    CSV uploads, anomalies appended to a CSV folder, the run metrics inserted
+    into a metric table; returns the count metrics read back from the table."""
+    from logscan.sources.sinks import create_metric_table, write_csv
+    from logscan.plans.detect import run_batch
+
+    base = fresh_dir(spark, "batch_run")
+    write_csv(logs_view(spark, sf_dir), base + "/uploads", mode="overwrite")
+    errs = log_errors(spark, sf_dir).withColumn("recon_error", F.round("recon_error", TIE_DIGITS))
+    thr = threshold(errs)
+    table = "logscan_runs.metrics_" + base.rsplit("/", 1)[-1]
+    create_metric_table(spark, table, location=base + "/metrics")
+    model = rank_one_model(EMBED_DIM, fixed_weight)
+    run_batch(spark, base + "/uploads", model, thr, base + "/anomalies", metrics_table=table,
+              run_id="batch-run", round_digits=TIE_DIGITS)
+    return (spark.table(table).where(F.col("metric_name").isin("total_logs", "anomalies_count"))
+            .select("metric_name", _r("metric_value").alias("metric_value")))
+
+
+def q_model_roundtrip(spark, sf_dir):
+    """The test model saved as a layer table with its threshold, loaded
+    back (size-checked) and used to score the embeddings."""
+    from logscan.sources.model_store import load_model, save_model
+
+    path = fresh_dir(spark, "model")
+    errs = embedding_errors(spark, sf_dir)
+    save_model(spark, rank_one_model(64, fixed_weight), threshold(errs), path)
+    model, thr = load_model(spark, path)
+    emb = read_table(spark, sf_dir, "embeddings")
+    scored = emb.select("vec_id", "label", recon_error(spark, model, "embedding").alias("recon_error"))
+    return P.threshold_filter(scored, thr).select("vec_id", "label", _r("recon_error").alias("recon_error"))
+
+
 QUERIES = {
     "mask_message": q_mask_message,
     "mask_documents": q_mask_documents,
@@ -349,6 +403,9 @@ QUERIES = {
     "stream_detect": q_stream_detect,
     "pca_detect": q_pca_detect,
     "ae_history": q_ae_history,
+    "csv_roundtrip": q_csv_roundtrip,
+    "batch_run": q_batch_run,
+    "model_roundtrip": q_model_roundtrip,
     "latest_upload": q_latest_upload,
     "object_key": q_object_key,
     "decode_event": q_decode_event,
@@ -401,6 +458,15 @@ ORACLE_SQL = {
                      + LOG_ERRORS_SQL + ")), t as (select quantile_cont(e, 0.95) as thr "
                      "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
                      + " as recon_error from s, t where e > thr",
+    "csv_roundtrip": "select event_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, LogLevel, Service,"
+                     " Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
+    "batch_run": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "
+                 "t as (select quantile_cont(e, 0.95) as thr from s) "
+                 "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
+                 "union all select 'anomalies_count', round((count(*) filter (where e > thr))::double" + _R
+                 + " from s, t",
+    "model_roundtrip": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s) "
+                       "select vec_id, label, round(e" + _R + " as recon_error from s, t where e > thr",
     "run_metrics": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s), "
                    "c as (select count(*)::double as total_logs, count(*) filter (where e > thr)::double "
                    "as anomalies_count from s, t) "

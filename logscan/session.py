@@ -97,3 +97,18 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
     sc._logscan_shipped = True
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition when a batch input has fewer partitions than
+    the cluster can run at once.
+
+    A small file with one row group scans as one task, which would run the
+    CPU-heavy steps (token hashing, model batches, training) on one core.
+    Large inputs already arrive in many splits; there this is a no-op and
+    adds no shuffle.  Streaming inputs are left as they are.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
