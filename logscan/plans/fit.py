@@ -43,11 +43,19 @@ def line_key(df: DataFrame) -> F.Column:
 def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
         train_percent: int = 70, percentile: float = THRESHOLD_PERCENTILE, epochs: int = 3,
         dims=None, lr: float = 1e-4, batch_size: int = 32, seed: int = 42,
-        partitions: int | None = None) -> FitResult:
+        partitions: int | None = None, split: str = "hash") -> FitResult:
+    """``split='hash'`` (default) assigns lines by an md5 bucket of their
+    content: repeatable across runs and layouts.  ``split='random'`` is
+    ``randomSplit`` with ``seed``, as the reference does; it changes when
+    the input is laid out differently."""
     spark = logs.sparkSession
     logs = spread(logs)
     prepared = P.prepare(logs).withColumn("_key", line_key(logs))
-    prepared = prepared.withColumn("split", split_label("_key", train_percent))
+    if split == "random":
+        tr, te = prepared.randomSplit([train_percent / 100.0, 1 - train_percent / 100.0], seed=seed)
+        prepared = tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")))
+    else:
+        prepared = prepared.withColumn("split", split_label("_key", train_percent))
     lines = featurize(P.with_text(P.drop_incomplete(prepared)), dim, "slots")
     train = lines.where(F.col("split") == "train")
     test = lines.where(F.col("split") == "test")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from logscan.functions.hashing import EMBED_DIM, md5_bucket, split_label, token_indices, tokens
 from logscan.functions.text import compose_text, mask_message, parse_time
 from logscan.operators import prepare as P
+from logscan.operators.join import attach_scores
 from logscan.operators.score import Model, rank_one_model, recon_error
 from logscan.operators.stats import error_summary, metrics_long, run_counts, threshold
 from logscan.operators.uploads import decode_event, encode_event, latest_uploads, object_key
@@ -241,7 +242,7 @@ def q_attach_scores(spark, sf_dir):
     logs = P.prepare(logs_view(spark, sf_dir, dirty=True).withColumn("row_id", F.col("_c0")))
     scores = P.drop_incomplete(logs).select(
         "row_id", (F.col("TimeVal").cast("double") / 1000.0).alias("recon_error"))
-    joined = logs.join(scores, "row_id", "inner")
+    joined = attach_scores(logs, scores, "row_id")
     return joined.select("row_id", "LogLevel", "Service", "Message", "TimeVal",
                          _r("recon_error").alias("recon_error"))
 

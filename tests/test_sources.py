@@ -42,7 +42,7 @@ def test_read_declared_schema_and_missing(spark, tmp):
     assert empty.count() == 0 and empty.columns == df.columns
 
 
-@pytest.mark.skipif(not os.path.isdir(REF_DATA), reason="sample logs not present")
+@pytest.mark.skipif(not REF_DATA or not os.path.isdir(REF_DATA), reason="LOGSCAN_SAMPLE_DIR not set")
 def test_reference_samples(spark):
     df = read_logs(spark, os.path.join(REF_DATA, "partlogdata.csv"))
     counts = {r.LogLevel: r["count"] for r in df.groupBy("LogLevel").count().collect()}

@@ -68,3 +68,13 @@ def test_archive_clean_source(spark, tmp):
     archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
     assert "1-a.csv" in archived
     assert spark.read.parquet(out + "/res").count() == 8
+
+
+def test_dedupe_within_watermark(spark, tmp):
+    folder = os.path.join(tmp, "uploads")
+    write_logs(folder, "1-a.csv", LINES + LINES[:2])  # two repeated lines
+    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ckpt")
+    q = start_detect_stream(spark, folder, MODEL, 0.0, out + "/res", ckpt, available_now=True, fmt="parquet",
+                            dedupe_within="1 hour")
+    q.awaitTermination()
+    assert spark.read.parquet(out + "/res").count() == 4
