@@ -16,6 +16,8 @@ output, Adam lr 1e-4, MSE, 3 epochs, batch 32.
 
 from __future__ import annotations
 
+import math
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,9 +36,9 @@ BATCH_SIZE = 32
 LEARNING_RATE = 1e-4
 # Adam defaults.
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
-CHUNK = 1 << 16  # doubles per parameter chunk
+CHUNK = 1 << 13  # doubles per parameter chunk (64 KB)
 
-_OUT_SCHEMA = "kind int, chunk int, n long, err double, vals array<double>"
+_OUT_SCHEMA = "kind int, part int, chunk int, n long, err double, vals array<double>"
 
 
 @dataclass
@@ -129,6 +131,9 @@ def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
     to_block = dense_batch if kind == "dense" else token_batch
 
     def run(batches):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
         shapes, flat0, t0 = bc.value
         state = AdamState.from_flat(shapes, flat0, t0, dtype=np.float32)
         n = 0
@@ -136,6 +141,7 @@ def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
                                 batch_size, lr):
             n += len(errs)
             yield pd.DataFrame({"kind": np.zeros(len(errs), np.int32),
+                                "part": np.full(len(errs), part, np.int32),
                                 "chunk": np.full(len(errs), -1, np.int32),
                                 "n": np.ones(len(errs), np.int64), "err": errs,
                                 "vals": [None] * len(errs)})
@@ -143,6 +149,7 @@ def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
             vals = np.concatenate([[state.t - t0], state.flat()]) * n
             chunks = [vals[i:i + CHUNK] for i in range(0, vals.size, CHUNK)]
             yield pd.DataFrame({"kind": np.ones(len(chunks), np.int32),
+                                "part": np.full(len(chunks), part, np.int32),
                                 "chunk": np.arange(len(chunks), dtype=np.int32),
                                 "n": np.full(len(chunks), n, np.int64),
                                 "err": np.full(len(chunks), np.nan), "vals": chunks})
@@ -150,15 +157,34 @@ def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
     return run
 
 
+_SUM_SCHEMA = "chunk int, n long, vals array<double>"
+
+
 def _sum_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum(np.stack(pdf["vals"].to_numpy()), axis=0)
+    total = np.zeros(len(pdf["vals"].iloc[0]))
+    for v in pdf["vals"]:
+        total += v
     return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "n": [int(pdf["n"].sum())],
                          "vals": [total]})
 
 
+def mix(params: DataFrame, n_parts: int) -> DataFrame:
+    """Sum the weighted parameter chunks of all partitions in two levels.
+
+    Level one sums groups of about sqrt(P) partitions per chunk, level two
+    the group sums, so no group holds more than ~sqrt(P) chunks of 64 KB
+    whatever the partition count.
+    """
+    fan = max(1, math.isqrt(max(n_parts - 1, 0)) + 1)
+    level1 = (params.groupBy("chunk", (F.col("part") % F.lit(fan)).alias("_g"))
+              .applyInPandas(_sum_chunks, _SUM_SCHEMA))
+    return level1.groupBy("chunk").applyInPandas(_sum_chunks, _SUM_SCHEMA)
+
+
 def fit_autoencoder(df: DataFrame, features: str, key: str, kind: str = "dense",
                     dims=LAYER_DIMS, epochs: int = EPOCHS, batch_size: int = BATCH_SIZE,
-                    lr: float = LEARNING_RATE, seed: int = 42, partitions: int | None = None):
+                    lr: float = LEARNING_RATE, seed: int = 42, partitions: int | None = None,
+                    verbose: bool = False):
     """Train on ``features`` (dense arrays or token slots); returns
     (Model, history rows [(epoch, n, mean_loss, p90, p95)]).
 
@@ -180,20 +206,22 @@ def fit_autoencoder(df: DataFrame, features: str, key: str, kind: str = "dense",
 
     data = df.select(F.col(key).alias("_key"), F.col(features).alias("features"))
     n_parts = partitions or max(1, data.rdd.getNumPartitions())
+    t_start = time.perf_counter()
     data = data.repartition(n_parts, "_key").checkpoint(eager=True)  # cut lineage once
+    if verbose:
+        print(f"training data: {n_parts} partitions, {time.perf_counter() - t_start:.2f}s")
 
     history = []
     flat, t = state.flat(), 0.0
     for epoch in range(1, epochs + 1):
+        t_epoch = time.perf_counter()
         bc = spark.sparkContext.broadcast((shapes, flat, t))
         ordered = data.sortWithinPartitions(F.xxhash64("_key", F.lit(seed), F.lit(epoch)))
         out = (ordered.select("features")
                .mapInPandas(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
                .persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            parts = (out.where("kind = 1").groupBy("chunk")
-                     .applyInPandas(_sum_chunks, "chunk int, n long, vals array<double>")
-                     .orderBy("chunk").collect())
+            parts = mix(out.where("kind = 1"), n_parts).orderBy("chunk").collect()
             total_n = parts[0]["n"]
             vals = np.concatenate([np.asarray(r["vals"]) for r in parts]) / total_n
             t = t + float(vals[0])
@@ -201,6 +229,9 @@ def fit_autoencoder(df: DataFrame, features: str, key: str, kind: str = "dense",
             errs = out.where("kind = 0").select(F.lit(epoch).alias("epoch"), F.col("err").alias("recon_error"))
             h = epoch_history(errs).collect()[0]
             history.append((epoch, int(h["n"]), float(h["mean_loss"]), float(h["p90"]), float(h["p95"])))
+            if verbose:
+                print(f"epoch {epoch}/{epochs} loss {history[-1][2]:.6f} "
+                      f"({time.perf_counter() - t_epoch:.2f}s)")
         finally:
             out.unpersist()
             bc.unpersist()

@@ -27,6 +27,7 @@ def get_session(master: str = "local[*]", app: str = "logscan", shuffle_partitio
     conf.update({
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
     })
     conf.update(extra or {})
