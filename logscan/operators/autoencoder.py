@@ -181,15 +181,16 @@ def mix(params: DataFrame, n_parts: int) -> DataFrame:
     return level1.groupBy("chunk").applyInPandas(_sum_chunks, _SUM_SCHEMA)
 
 
-def fit_autoencoder(df: DataFrame, features: str, key: str, kind: str = "dense",
+def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind: str = "dense",
                     dims=LAYER_DIMS, epochs: int = EPOCHS, batch_size: int = BATCH_SIZE,
                     lr: float = LEARNING_RATE, seed: int = 42, partitions: int | None = None,
                     verbose: bool = False):
     """Train on ``features`` (dense arrays or token slots); returns
     (Model, history rows [(epoch, n, mean_loss, p90, p95)]).
 
-    ``key`` must identify rows: it fixes partitioning and the per-epoch
-    order, so a lost partition is recomputed identically.
+    ``key`` is accepted for callers that have one; rows are laid out by an
+    id fixed at the checkpoint, so a lost partition is recomputed with the
+    same rows in the same order.
     """
     from logscan.session import ship_package, work_dir
 
@@ -204,10 +205,14 @@ def fit_autoencoder(df: DataFrame, features: str, key: str, kind: str = "dense",
     state = AdamState.fresh(model)
     shapes = state.shapes
 
-    data = df.select(F.col(key).alias("_key"), F.col(features).alias("features"))
+    # Rows are spread by a per-row id, not by the content key: copies of one
+    # line (possibly a third of all rows) must not share a partition.  The
+    # ids are fixed by the checkpoint, so the layout and the per-epoch order
+    # (a hash of id, seed and epoch) are the same when a partition is redone.
+    data = df.select(F.col(features).alias("features")).withColumn("_uid", F.monotonically_increasing_id())
     n_parts = partitions or max(1, data.rdd.getNumPartitions())
     t_start = time.perf_counter()
-    data = data.repartition(n_parts, "_key").checkpoint(eager=True)  # cut lineage once
+    data = data.repartition(n_parts, "_uid").checkpoint(eager=True)  # cut lineage once
     if verbose:
         print(f"training data: {n_parts} partitions, {time.perf_counter() - t_start:.2f}s")
 
@@ -216,7 +221,7 @@ def fit_autoencoder(df: DataFrame, features: str, key: str, kind: str = "dense",
     for epoch in range(1, epochs + 1):
         t_epoch = time.perf_counter()
         bc = spark.sparkContext.broadcast((shapes, flat, t))
-        ordered = data.sortWithinPartitions(F.xxhash64("_key", F.lit(seed), F.lit(epoch)))
+        ordered = data.sortWithinPartitions(F.xxhash64("_uid", F.lit(seed), F.lit(epoch)), "_uid")
         out = (ordered.select("features")
                .mapInPandas(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
                .persist(StorageLevel.MEMORY_AND_DISK))

@@ -29,6 +29,10 @@ from pyspark.sql import types as T
 
 from logscan.session import ship_package
 
+# Bound on groups of one grouped call: each brings up to 65,536 histogram
+# rows per pass to the driver, and its open prefixes are broadcast.
+MAX_GROUPS = 1024
+
 _SIGN = np.int64(-0x8000000000000000)
 _BITS = 16
 _DIGITS = 1 << _BITS
@@ -114,6 +118,11 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> list:
                 v.sort()
             return out
 
+        if by:
+            n_groups = base.select(*by).distinct().count()
+            if n_groups > MAX_GROUPS:
+                raise ValueError(f"{n_groups} groups: exact_quantiles is meant for at most "
+                                 f"{MAX_GROUPS} groups (e.g. epochs); use a global quantile per group")
         hist = histogram(base, 0, None)
         sizes = {}
         for (g, _), buckets in hist.items():

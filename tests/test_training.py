@@ -17,9 +17,10 @@ def test_one_partition_equals_sequential_numpy(spark):
     # the same run by hand: rows in the per-epoch order of the job
     order = {}
     for e in (1, 2):
-        rows = emb.select(
-            "vec_id", "embedding", F.xxhash64(F.col("vec_id"), F.lit(42), F.lit(e)).alias("h")).collect()
-        order[e] = [np.asarray(r.embedding, dtype=np.float64) for r in sorted(rows, key=lambda r: r.h)]
+        uid = F.monotonically_increasing_id()  # the id the trainer assigns (one input split)
+        rows = (emb.select("embedding", uid.alias("u"))
+                .select("embedding", F.xxhash64(F.col("u"), F.lit(42), F.lit(e)).alias("h"), "u").collect())
+        order[e] = [np.asarray(r.embedding, dtype=np.float64) for r in sorted(rows, key=lambda r: (r.h, r.u))]
     state = AdamState.fresh(Model.init(dims, seed=42))
     state = AdamState.from_flat(state.shapes, state.flat(), 0.0, dtype=np.float32)
     means = []
