@@ -38,3 +38,20 @@ def token_indices(text, dim: int = EMBED_DIM) -> Column:
 def split_label(key, train_percent: int = 70) -> Column:
     """M4: 'train' for about ``train_percent`` % of keys, else 'test'."""
     return F.when(md5_bucket(key, 100) < F.lit(train_percent), F.lit("train")).otherwise(F.lit("test"))
+
+
+def token_vectors(df, slots: str = "slots", dim: int = EMBED_DIM, name: str = "features"):
+    """Sparse, L2-normalised slot-count vectors (MLlib vectors), JVM-side.
+
+    A count vectorizer over the fixed vocabulary "0".."dim-1" maps slot k to
+    index k, and the normaliser divides by the L2 norm: the same vector the
+    scorer forms in its Arrow batch, but sparse (a few non-zeros per line),
+    so PCA's covariance pass stays small at any scale.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
+
+    cv = CountVectorizerModel.from_vocabulary([str(i) for i in range(dim)], inputCol="_terms",
+                                              outputCol="_counts")
+    out = cv.transform(df.withColumn("_terms", F.transform(slots, lambda s: s.cast("string"))))
+    out = Normalizer(p=2.0, inputCol="_counts", outputCol=name).transform(out)
+    return out.drop("_terms", "_counts")

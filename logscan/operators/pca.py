@@ -14,6 +14,7 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +23,16 @@ from logscan.operators.score import Model
 
 
 def fit_pca(df: DataFrame, features: str, k: int = 64) -> Model:
-    """Fit on an array<float|double> column; returns a two-layer linear Model.
+    """Fit on an array<float|double> or MLlib vector column (dense or
+    sparse); returns a two-layer linear Model.
 
     MLlib makes several passes (mean, Gramian); the vectors are persisted
     for the duration of the fit so their features are computed once.
     """
-    vec = df.select(array_to_vector(F.col(features)).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
+    col = F.col(features)
+    if not isinstance(df.schema[features].dataType, VectorUDT):
+        col = array_to_vector(col)
+    vec = df.select(col.alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mu = np.asarray(vec.select(Summarizer.mean(F.col("_v")).alias("m")).first()["m"].toArray())
         d = mu.size

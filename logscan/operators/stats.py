@@ -33,27 +33,45 @@ def threshold(df: DataFrame, col: str = "recon_error", p: float = THRESHOLD_PERC
     return res[0][2][float(p)] if res else None
 
 
-def error_summary(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENTILES,
-                  by=()) -> DataFrame:
-    """A4: min, max, mean and exact percentiles, one row per group.
-
-    Columns: [by...], n, min_error, max_error, mean_error, p90, p95, p99.
-    """
+def summarize(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENTILES, by=()) -> list:
+    """Per group: dict with n, min_error, max_error, mean_error and the exact
+    quantile of every p in ``probs`` (key p).  One aggregate plus the radix
+    passes shared by all probabilities."""
     by = list(by)
     basic = {tuple(r[c] for c in by): r for r in
              df.groupBy(*by).agg(F.count(F.col(col)).alias("n"), F.min(col).alias("mn"),
                                  F.max(col).alias("mx"), F.avg(col).alias("mean")).collect()}
     qs = {g: vals for g, _, vals in exact_quantiles(df, col, probs, by=by)}
-    rows = []
+    out = []
     for g, r in basic.items():
-        q = qs.get(g, {})
-        rows.append((*g, int(r["n"]), r["mn"], r["mx"], r["mean"],
-                     *[q.get(float(p)) for p in probs]))
-    names = ["n", "min_error", "max_error", "mean_error"] + [f"p{round(p * 100)}" for p in probs]
-    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in by]
+        row = {"group": g, "n": int(r["n"]), "min_error": r["mn"], "max_error": r["mx"],
+               "mean_error": r["mean"]}
+        row.update({float(p): qs.get(g, {}).get(float(p)) for p in probs})
+        out.append(row)
+    return out
+
+
+def summary_frame(spark, rows: list, probs=SUMMARY_PERCENTILES, by=(), by_types=()) -> DataFrame:
+    """A4 rows as a DataFrame: [by...], n, min/max/mean_error, p90, p95, p99."""
+    names = [f"p{round(p * 100)}" for p in probs]
+    schema = ", ".join([f"{c} {t}" for c, t in zip(by, by_types)]
                        + ["n bigint", "min_error double", "max_error double", "mean_error double"]
-                       + [f"{c} double" for c in names[4:]])
-    return df.sparkSession.createDataFrame(rows, schema)
+                       + [f"{c} double" for c in names])
+    data = [(*r["group"], r["n"], r["min_error"], r["max_error"], r["mean_error"],
+             *[r[float(p)] for p in probs]) for r in rows]
+    return spark.createDataFrame(data, schema)
+
+
+def error_summary(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENTILES,
+                  by=()) -> DataFrame:
+    """A4: min, max, mean and exact percentiles, one row per group.
+
+    Columns: [by...], n, min_error, max_error, mean_error, p90, p95, p99.
+    """
+    by = list(by)
+    rows = summarize(df, col, probs, by)
+    return summary_frame(df.sparkSession, rows, probs, by,
+                         [df.schema[c].dataType.simpleString() for c in by])
 
 
 def run_counts(scored: DataFrame, thr, col: str = "recon_error") -> DataFrame:

@@ -13,12 +13,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logscan.functions.hashing import EMBED_DIM, split_label
+from logscan.functions.hashing import EMBED_DIM, split_label, token_vectors
 from logscan.operators import prepare as P
 from logscan.operators.autoencoder import LAYER_DIMS, fit_autoencoder
 from logscan.operators.pca import fit_pca
-from logscan.operators.score import Model, dense_features, recon_error
-from logscan.operators.stats import THRESHOLD_PERCENTILE, error_summary, threshold
+from logscan.operators.score import Model, recon_error
+from logscan.operators.stats import SUMMARY_PERCENTILES, THRESHOLD_PERCENTILE, summarize, summary_frame
 from logscan.plans.detect import featurize
 from logscan.session import spread
 
@@ -62,8 +62,7 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
 
     history = []
     if method == "pca":
-        dense = train.select(dense_features(dim)("slots").alias("x"))
-        model = fit_pca(dense, "x", k=k)
+        model = fit_pca(token_vectors(train.select("slots"), "slots", dim), "features", k=k)
     elif method == "autoencoder":
         model, history = fit_autoencoder(train, "slots", "_key", kind="tokens",
                                          dims=dims or (dim, *LAYER_DIMS[1:-1], dim), epochs=epochs,
@@ -76,8 +75,10 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
                               .alias("recon_error"))
                  .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        summary = error_summary(train_err)
-        thr = threshold(train_err, p=percentile)
+        probs = sorted(set(SUMMARY_PERCENTILES) | {float(percentile)})
+        rows = summarize(train_err, "recon_error", probs)
+        summary = summary_frame(spark, rows)
+        thr = rows[0][float(percentile)] if rows else None
     finally:
         train_err.unpersist()
     scored_test = test.withColumn("recon_error", recon_error(spark, model, "slots", kind="tokens", dim=dim))

@@ -16,6 +16,7 @@ from logscan.functions.hashing import EMBED_DIM, md5_bucket, split_label, token_
 from logscan.functions.text import compose_text, mask_message, parse_time
 from logscan.operators import prepare as P
 from logscan.operators.join import attach_scores
+from logscan.operators.quantile import exact_quantiles
 from logscan.operators.score import Model, rank_one_model, recon_error
 from logscan.operators.stats import error_summary, metrics_long, run_counts, threshold
 from logscan.operators.uploads import decode_event, encode_event, latest_uploads, object_key
@@ -186,9 +187,8 @@ def q_recon_error_fixed(spark, sf_dir):
 
 def q_threshold(spark, sf_dir):
     errs = embedding_errors(spark, sf_dir)
-    thr = threshold(errs)
-    n = errs.count()
-    return spark.createDataFrame([(round(thr, DIGITS), n)], "threshold double, n bigint")
+    (_, n, vals), = exact_quantiles(errs, "recon_error", [0.95])
+    return spark.createDataFrame([(round(vals[0.95], DIGITS), n)], "threshold double, n bigint")
 
 
 def q_error_summary(spark, sf_dir):
