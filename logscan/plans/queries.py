@@ -258,6 +258,12 @@ def q_topk(spark, sf_dir):
         "vec_id", "label", _r("recon_error").alias("recon_error"))
 
 
+def epoch_millis_ntz(c: str):
+    """Epoch milliseconds of a TIMESTAMP_NTZ column, whatever the session
+    time zone (truncating, like ``epoch_us(ts) // 1000``)."""
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})")
+
+
 def upload_events(spark, sf_dir) -> DataFrame:
     """events as upload events: user_id names the file, ts is the upload."""
     ev = read_table(spark, sf_dir, "events")
@@ -266,7 +272,7 @@ def upload_events(spark, sf_dir) -> DataFrame:
                   F.concat(F.lit("/data/uploads/"), F.col("event_id").cast("string"), F.lit("/"), name)) \
         .otherwise(F.concat(F.lit("C:\\uploads\\"), F.col("event_id").cast("string"), F.lit("\\"), name))
     return ev.select("event_id", "event_type", path.alias("filePath"), name.alias("fileName"),
-                     F.unix_millis(F.col("ts").cast("timestamp")).alias("uploadTime"))
+                     epoch_millis_ntz("ts").alias("uploadTime"))
 
 
 def q_latest_upload(spark, sf_dir):
@@ -383,6 +389,14 @@ def q_model_roundtrip(spark, sf_dir):
     return P.threshold_filter(scored, thr).select("vec_id", "label", _r("recon_error").alias("recon_error"))
 
 
+def q_row_ids(spark, sf_dir):
+    """P5: the row key is unique over the whole prepared table (ids are not
+    consecutive, so only their count and distinct count are compared)."""
+    ids = P.with_row_id(P.prepare(logs_view(spark, sf_dir)))
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("n_distinct"),
+                   F.count_distinct("RequestID").alias("n_requests"))
+
+
 QUERIES = {
     "mask_message": q_mask_message,
     "mask_documents": q_mask_documents,
@@ -404,6 +418,7 @@ QUERIES = {
     "stream_detect": q_stream_detect,
     "pca_detect": q_pca_detect,
     "ae_history": q_ae_history,
+    "row_ids": q_row_ids,
     "csv_roundtrip": q_csv_roundtrip,
     "batch_run": q_batch_run,
     "model_roundtrip": q_model_roundtrip,
@@ -466,6 +481,7 @@ ORACLE_SQL = {
                  "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
                  "union all select 'anomalies_count', round((count(*) filter (where e > thr))::double" + _R
                  + " from s, t",
+    "row_ids": "select count(*) as n, count(*) as n_distinct, count(distinct event_id) as n_requests from events",
     "model_roundtrip": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s) "
                        "select vec_id, label, round(e" + _R + " as recon_error from s, t where e > thr",
     "run_metrics": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s), "
