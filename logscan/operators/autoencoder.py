@@ -1,6 +1,6 @@
 """M2: autoencoder training by iterative parameter mixing.
 
-One Spark job per epoch.  Every partition starts from the broadcast weights
+One Spark job per epoch (``mapInArrow``).  Every partition starts from the broadcast weights
 and Adam moments, runs minibatch Adam over its rows in an epoch-specific
 order (a local sort, no shuffle), and emits (a) the error of each row as
 seen in its minibatch and (b) its parameters and moments, weighted by its
@@ -22,11 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logscan.operators.score import MAX_BROADCAST_PARAMS, Model, dense_batch, token_batch
+from logscan.operators.score import MAX_BROADCAST_PARAMS, Model, dense_block, token_block
 from logscan.operators.stats import epoch_history
 
 # Fixed training settings of the reference.
@@ -37,6 +38,7 @@ LEARNING_RATE = 1e-4
 # Adam defaults.
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
 CHUNK = 1 << 13  # doubles per parameter chunk (64 KB)
+SINGLE_LEVEL_PARTS = 256  # up to this many partitions one summing level suffices
 
 _OUT_SCHEMA = "kind int, part int, chunk int, n long, err double, vals array<double>"
 
@@ -100,10 +102,22 @@ def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
             delta = delta @ ws[i].T
     state.t += 1
     c1, c2 = 1 - BETA1 ** state.t, 1 - BETA2 ** state.t
-    for j, g in enumerate(grads):
-        state.m[j] = BETA1 * state.m[j] + (1 - BETA1) * g
-        state.v[j] = BETA2 * state.v[j] + (1 - BETA2) * g * g
-        state.params[j] = state.params[j] - lr * (state.m[j] / c1) / (np.sqrt(state.v[j] / c2) + EPS)
+    step, root_c2 = lr / c1, np.sqrt(c2)
+    for j, g in enumerate(grads):  # in place: p -= lr/c1 * m / (sqrt(v)/sqrt(c2) + eps)
+        m, v, p = state.m[j], state.v[j], state.params[j]
+        g = g.astype(p.dtype, copy=False)
+        m *= BETA1
+        m += (1 - BETA1) * g
+        v *= BETA2
+        g *= g
+        g *= 1 - BETA2
+        v += g
+        denom = np.sqrt(v)
+        denom /= root_c2
+        denom += EPS
+        np.divide(m, denom, out=denom)
+        denom *= step
+        p -= denom
     return errs.astype(np.float64)
 
 
@@ -127,8 +141,22 @@ def local_epoch(state: AdamState, acts, blocks, batch_size: int, lr: float, dtyp
         yield adam_step(state, acts, pending, lr)
 
 
+def _batch(kind, part, chunk, n, err, vals) -> pa.RecordBatch:
+    size = len(err)
+    if vals is None:
+        vals_arr = pa.nulls(size, type=pa.list_(pa.float64()))
+    else:
+        offsets = np.concatenate([[0], np.cumsum([len(v) for v in vals])]).astype(np.int32)
+        vals_arr = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(vals)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(size, kind, np.int32)), pa.array(np.full(size, part, np.int32)),
+         pa.array(np.asarray(chunk, np.int32)), pa.array(np.asarray(n, np.int64)),
+         pa.array(np.asarray(err, np.float64)), vals_arr],
+        names=["kind", "part", "chunk", "n", "err", "vals"])
+
+
 def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
-    to_block = dense_batch if kind == "dense" else token_batch
+    to_block = dense_block if kind == "dense" else token_block
 
     def run(batches):
         from pyspark import TaskContext
@@ -137,22 +165,15 @@ def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
         shapes, flat0, t0 = bc.value
         state = AdamState.from_flat(shapes, flat0, t0, dtype=np.float32)
         n = 0
-        for errs in local_epoch(state, acts, (to_block(p["features"], dim) for p in batches),
-                                batch_size, lr):
+        blocks = (to_block(b.column("features"), dim) for b in batches)
+        for errs in local_epoch(state, acts, blocks, batch_size, lr):
             n += len(errs)
-            yield pd.DataFrame({"kind": np.zeros(len(errs), np.int32),
-                                "part": np.full(len(errs), part, np.int32),
-                                "chunk": np.full(len(errs), -1, np.int32),
-                                "n": np.ones(len(errs), np.int64), "err": errs,
-                                "vals": [None] * len(errs)})
+            yield _batch(0, part, np.full(len(errs), -1), np.ones(len(errs)), errs, None)
         if n:
             vals = np.concatenate([[state.t - t0], state.flat()]) * n
             chunks = [vals[i:i + CHUNK] for i in range(0, vals.size, CHUNK)]
-            yield pd.DataFrame({"kind": np.ones(len(chunks), np.int32),
-                                "part": np.full(len(chunks), part, np.int32),
-                                "chunk": np.arange(len(chunks), dtype=np.int32),
-                                "n": np.full(len(chunks), n, np.int64),
-                                "err": np.full(len(chunks), np.nan), "vals": chunks})
+            yield _batch(1, part, np.arange(len(chunks)), np.full(len(chunks), n),
+                         np.full(len(chunks), np.nan), chunks)
 
     return run
 
@@ -175,6 +196,8 @@ def mix(params: DataFrame, n_parts: int) -> DataFrame:
     the group sums, so no group holds more than ~sqrt(P) chunks of 64 KB
     whatever the partition count.
     """
+    if n_parts <= SINGLE_LEVEL_PARTS:
+        return params.groupBy("chunk").applyInPandas(_sum_chunks, _SUM_SCHEMA)
     fan = max(1, math.isqrt(max(n_parts - 1, 0)) + 1)
     level1 = (params.groupBy("chunk", (F.col("part") % F.lit(fan)).alias("_g"))
               .applyInPandas(_sum_chunks, _SUM_SCHEMA))
@@ -216,28 +239,34 @@ def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind:
     if verbose:
         print(f"training data: {n_parts} partitions, {time.perf_counter() - t_start:.2f}s")
 
-    history = []
     flat, t = state.flat(), 0.0
-    for epoch in range(1, epochs + 1):
-        t_epoch = time.perf_counter()
-        bc = spark.sparkContext.broadcast((shapes, flat, t))
-        ordered = data.sortWithinPartitions(F.xxhash64("_uid", F.lit(seed), F.lit(epoch)), "_uid")
-        out = (ordered.select("features")
-               .mapInPandas(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
-               .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
+    outs, errors = [], None
+    try:
+        for epoch in range(1, epochs + 1):
+            t_epoch = time.perf_counter()
+            bc = spark.sparkContext.broadcast((shapes, flat, t))
+            ordered = data.sortWithinPartitions(F.xxhash64("_uid", F.lit(seed), F.lit(epoch)), "_uid")
+            out = (ordered.select("features")
+                   .mapInArrow(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+            outs.append((out, bc))
             parts = mix(out.where("kind = 1"), n_parts).orderBy("chunk").collect()
             total_n = parts[0]["n"]
             vals = np.concatenate([np.asarray(r["vals"]) for r in parts]) / total_n
             t = t + float(vals[0])
             flat = vals[1:]
             errs = out.where("kind = 0").select(F.lit(epoch).alias("epoch"), F.col("err").alias("recon_error"))
-            h = epoch_history(errs).collect()[0]
-            history.append((epoch, int(h["n"]), float(h["mean_loss"]), float(h["p90"]), float(h["p95"])))
+            errors = errs if errors is None else errors.unionByName(errs)
             if verbose:
-                print(f"epoch {epoch}/{epochs} loss {history[-1][2]:.6f} "
-                      f"({time.perf_counter() - t_epoch:.2f}s)")
-        finally:
+                print(f"epoch {epoch}/{epochs} ({time.perf_counter() - t_epoch:.2f}s)")
+        # A6 for all epochs at once: one grouped pass set over the kept errors
+        history = [(int(h["epoch"]), int(h["n"]), float(h["mean_loss"]), float(h["p90"]), float(h["p95"]))
+                   for h in epoch_history(errors).collect()] if errors is not None else []
+        if verbose:
+            for h in history:
+                print(f"epoch {h[0]} loss {h[2]:.6f} p90 {h[3]:.6f} p95 {h[4]:.6f}")
+    finally:
+        for out, bc in outs:
             out.unpersist()
             bc.unpersist()
     final = AdamState.from_flat(shapes, flat, t).model(acts)

@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,12 +38,12 @@ _BITS = 16
 _DIGITS = 1 << _BITS
 
 
-@F.pandas_udf(T.LongType())
-def sortable_key(s: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def sortable_key(arr: pa.Array) -> pa.Array:
     """Order-preserving 64-bit key of a double (compare as unsigned)."""
-    a = s.to_numpy(dtype=np.float64) + 0.0  # -0.0 -> 0.0
+    a = arr.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # -0.0 -> 0.0
     bits = a.view(np.int64)
-    return pd.Series(np.where(bits < 0, ~bits, bits | _SIGN))
+    return pa.array(np.where(bits < 0, ~bits, bits | _SIGN), type=pa.int64())
 
 
 def key_to_double(key: int) -> float:

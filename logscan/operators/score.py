@@ -3,7 +3,7 @@
 A model is a short list of dense layers ``y = act(x @ w + b)``; the last
 layer reconstructs the input.  It is stored as a layer table (one row per
 layer) and shipped to executors as one broadcast after its size is checked.
-The scoring function is a scalar pandas UDF: only the feature column crosses
+The scoring function is a scalar Arrow UDF: only the feature column crosses
 into Python, other columns stay in the JVM row, and the score of a row does
 not depend on which rows share its batch.
 """
@@ -13,7 +13,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,24 +100,43 @@ def broadcast_model(spark: SparkSession, model: Model):
     return spark.sparkContext.broadcast((model.ws, model.bs, model.acts))
 
 
-def dense_batch(series: pd.Series, dim: int) -> np.ndarray:
-    """Stack a Series of equal-length arrays into an (n, dim) float64 block."""
-    if len(series) == 0:
-        return np.zeros((0, dim))
-    return np.stack(series.to_numpy()).astype(np.float64, copy=False)
+def _values(arr: pa.Array) -> pa.Array:
+    """Flat child values of a (possibly sliced) list array, nulls as empty."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    return arr.flatten()
 
 
-def token_batch(series: pd.Series, dim: int) -> np.ndarray:
+def dense_block(arr: pa.Array, dim: int) -> np.ndarray:
+    """An (n, dim) float64 block from a list column of width ``dim``."""
+    n = len(arr)
+    if n == 0:
+        return np.zeros((0, dim))
+    lens = pc.list_value_length(arr).fill_null(0).to_numpy(zero_copy_only=False)
+    flat = _values(arr).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if np.all(lens == dim):
+        return flat.reshape(n, dim)
+    out = np.full((n, dim), np.nan)  # null or ragged rows score as NaN
+    pos = 0
+    for i, ln in enumerate(lens):
+        if ln == dim:
+            out[i] = flat[pos:pos + ln]
+        pos += ln
+    return out
+
+
+def token_block(arr: pa.Array, dim: int) -> np.ndarray:
     """Bag-of-hashed-tokens block: counts per slot, L2-normalised per row.
 
     Mean pooling over tokens followed by L2 normalisation equals normalised
-    counts, so only counts are formed.
+    counts, so only counts are formed; built from the flat slot values and
+    the list lengths in one vectorised step.
     """
-    n = len(series)
-    lens = np.fromiter((0 if a is None else len(a) for a in series), count=n, dtype=np.int64)
-    if lens.sum() == 0:
+    n = len(arr)
+    lens = pc.list_value_length(arr).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if n == 0 or lens.sum() == 0:
         return np.zeros((n, dim))
-    flat = np.concatenate([np.asarray(a, dtype=np.int64) for a in series if a is not None and len(a)])
+    flat = _values(arr).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
     rows = np.repeat(np.arange(n, dtype=np.int64), lens)
     m = np.bincount(rows * dim + flat, minlength=n * dim).astype(np.float64).reshape(n, dim)
     norm = np.sqrt(np.einsum("ij,ij->i", m, m))
@@ -135,30 +155,37 @@ def recon_error(spark: SparkSession, model: Model, features, kind: str = "dense"
 
     kind='dense': features is array<float|double> of width model.input_dim.
     kind='tokens': features is array<int> of hashed token slots (M1).
+    A scalar Arrow UDF: the column arrives as Arrow list arrays and the
+    block is cut from their flat values, with no per-row Python objects.
     """
     ship_package(spark)
     bc = broadcast_model(spark, model)
     width = dim or model.input_dim
-    to_block = dense_batch if kind == "dense" else token_batch
+    to_block = dense_block if kind == "dense" else token_block
 
-    @F.pandas_udf(T.DoubleType())
-    def _score(s: pd.Series) -> pd.Series:
-        x = to_block(s, width)
+    @F.arrow_udf(T.DoubleType())
+    def _score(arr: pa.Array) -> pa.Array:
+        x = to_block(arr, width)
         if x.shape[0] == 0:
-            return pd.Series([], dtype="float64")
-        return pd.Series(_forward_errors(bc.value, x))
+            return pa.array([], type=pa.float64())
+        e = _forward_errors(bc.value, x)
+        mask = pc.is_null(arr).to_numpy(zero_copy_only=False) if arr.null_count else None
+        return pa.array(e, type=pa.float64(), mask=mask)
 
     col = F.col(features) if isinstance(features, str) else features
     return _score(col)
 
 
 def dense_features(dim: int = EMBED_DIM):
-    """pandas UDF: token slots -> dense normalised array<double> (for fitting)."""
+    """Arrow UDF: token slots -> dense normalised array<double> (for callers
+    that want explicit vectors; fitting uses sparse MLlib vectors)."""
     ship_package(SparkSession.active())
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def _dense(s: pd.Series) -> pd.Series:
-        return pd.Series(list(token_batch(s, dim)))
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def _dense(arr: pa.Array) -> pa.Array:
+        block = token_block(arr, dim)
+        offsets = np.arange(0, block.size + 1, dim, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(block.ravel()))
 
     return _dense
 

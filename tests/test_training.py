@@ -54,3 +54,15 @@ def test_pca_outliers_rank_above_threshold(spark):
     thr = threshold(scored.where("id < 600"))
     flagged = {r.id for r in scored.where(F.col("recon_error") > thr).collect()}
     assert set(range(600, 606)) <= flagged
+
+
+def test_two_level_mixing_equals_plain_sum(spark):
+    from logscan.operators.autoencoder import mix
+
+    rows = [(1, p, c, 10 + p, float("nan"), [float(p), float(c), 1.0]) for p in range(300) for c in range(3)]
+    params = spark.createDataFrame(rows, "kind int, part int, chunk int, n long, err double, vals array<double>")
+    got = {r.chunk: (r.n, list(r.vals)) for r in mix(params, 300).collect()}
+    n_total = sum(10 + p for p in range(300))
+    for c in range(3):
+        assert got[c][0] == n_total
+        assert got[c][1] == [float(sum(range(300))), float(c * 300), 300.0]
