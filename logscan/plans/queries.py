@@ -86,7 +86,7 @@ def prepared_sql(src: str) -> str:
 
 def _token_slots_sql(text: str, dim: int) -> str:
     return (rf"list_transform(list_filter(string_split_regex(lower({text}), '[ \t\r\n]+'), "
-            rf"lambda x: x <> ''), lambda t: cast(('0x' || substr(md5(t), 1, 8)) as bigint) % {dim})")
+            rf"lambda x: x <> ''), lambda t: cast(cast(('0x' || substr(md5(t), 1, 8)) as bigint) % {dim} as integer))")
 
 
 # Rank-1 test model on the 64-wide embeddings, in SQL (errors unrounded).
