@@ -367,7 +367,8 @@ def q_batch_run(spark, sf_dir):
     errs = log_errors(spark, sf_dir).withColumn("recon_error", F.round("recon_error", TIE_DIGITS))
     thr = threshold(errs)
     table = "logscan_runs.metrics_" + base.rsplit("/", 1)[-1]
-    create_metric_table(spark, table, location=base + "/metrics")
+    create_metric_table(spark, table, location=base + "/metrics",
+                        database_location=work_dir(spark, "warehouse", "logscan_runs.db"))
     model = rank_one_model(EMBED_DIM, fixed_weight)
     run_batch(spark, base + "/uploads", model, thr, base + "/anomalies", metrics_table=table,
               run_id="batch-run", round_digits=TIE_DIGITS)

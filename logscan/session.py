@@ -31,13 +31,11 @@ def get_session(master: str = "local[*]", app: str = "logscan", shuffle_partitio
         "spark.driver.memory": "8g",
     })
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
-        # Local sessions only: a cluster names its shared folder itself.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="logscan-ckpt-")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    work_dir(spark)  # the configured shared folder, or a private one only when unset
     return spark
 
 

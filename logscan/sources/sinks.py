@@ -20,10 +20,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "append", single_file: bool
      .csv(path))
 
 
-def create_metric_table(spark: SparkSession, table: str = METRIC_TABLE, location: str | None = None) -> None:
-    """Create the metric table (and its database) when absent."""
+def create_metric_table(spark: SparkSession, table: str = METRIC_TABLE, location: str | None = None,
+                        database_location: str | None = None) -> None:
+    """Create the metric table (and its database) when absent.
+
+    ``location`` makes the table external at that folder; a new database
+    is placed at ``database_location`` (default: the session's warehouse).
+    """
     if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+        db_loc = f" LOCATION '{database_location}'" if database_location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}{db_loc}")
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"""CREATE TABLE IF NOT EXISTS {table} (
         event_time TIMESTAMP DEFAULT current_timestamp(),
