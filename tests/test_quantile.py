@@ -59,3 +59,22 @@ def test_key_roundtrip():
     order = np.argsort(keys.view(np.uint64), kind="stable")
     assert list(vals[order]) == sorted(vals)
     assert [key_to_double(int(k)) for k in keys][-1] == 1e300
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e300, max_value=1e300),
+                          st.sampled_from([0.0, -0.0, 1.0, 1e-310, 5e-324])), min_size=1, max_size=300),
+       st.lists(st.floats(min_value=0.0, max_value=1.0), min_size=1, max_size=4))
+def test_property_against_numpy(spark, vals, probs):
+    df = spark.createDataFrame([(float(v),) for v in vals], "e double")
+    (_, n, got), = exact_quantiles(df, "e", probs)
+    assert n == len(vals)
+    arr = np.array(vals, dtype=np.float64)
+    for p in probs:
+        want = float(np.percentile(arr, p * 100))
+        assert got[float(p)] == pytest.approx(want, rel=1e-12, abs=1e-300) or (
+            np.isinf(want) and got[float(p)] == want)
