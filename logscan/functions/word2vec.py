@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from logscan.functions.hashing import tokens
 

@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscan.functions.hashing import EMBED_DIM, md5_bucket, split_label, token_indices, tokens
-from logscan.functions.text import compose_text, mask_message, parse_time
+from logscan.functions.hashing import EMBED_DIM, split_label, token_indices
+from logscan.functions.text import mask_message, parse_time
 from logscan.operators import prepare as P
 from logscan.operators.join import attach_scores
 from logscan.operators.quantile import exact_quantiles
-from logscan.operators.score import Model, rank_one_model, recon_error
+from logscan.operators.score import rank_one_model, recon_error
 from logscan.operators.stats import error_summary, metrics_long, run_counts, threshold
-from logscan.operators.uploads import decode_event, encode_event, latest_uploads, object_key
+from logscan.operators.uploads import decode_event, latest_uploads, object_key
 from logscan.session import fresh_dir, spread, work_dir
 from logscan.sources.events import events_as_dirty_logs, events_as_logs, read_table
 
