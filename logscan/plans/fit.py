@@ -60,27 +60,30 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
     train = lines.where(F.col("split") == "train")
     test = lines.where(F.col("split") == "test")
 
-    history = []
-    if method == "pca":
-        model = fit_pca(token_vectors(train.select("slots"), "slots", dim), "features", k=k)
-    elif method == "autoencoder":
-        model, history = fit_autoencoder(train, "slots", "_key", kind="tokens",
-                                         dims=dims or (dim, *LAYER_DIMS[1:-1], dim), epochs=epochs,
-                                         batch_size=batch_size, lr=lr, seed=seed, partitions=partitions)
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    model.meta = {**(model.meta or {}), "features": "tokens", "dim": dim}
-
-    train_err = (train.select(recon_error(spark, model, "slots", kind="tokens", dim=dim)
-                              .alias("recon_error"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    # The training slots feed the model fit and the training errors: computed
+    # once (line rules and token hashing are the costly part), kept with
+    # their lineage so a lost block is recomputed.
+    train_slots = train.select("slots").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        history = []
+        if method == "pca":
+            model = fit_pca(token_vectors(train_slots, "slots", dim), "features", k=k)
+        elif method == "autoencoder":
+            model, history = fit_autoencoder(train_slots, "slots", kind="tokens",
+                                             dims=dims or (dim, *LAYER_DIMS[1:-1], dim), epochs=epochs,
+                                             batch_size=batch_size, lr=lr, seed=seed, partitions=partitions)
+        else:
+            raise ValueError(f"unknown method {method!r}")
+        model.meta = {**(model.meta or {}), "features": "tokens", "dim": dim}
+
+        train_err = train_slots.select(
+            recon_error(spark, model, "slots", kind="tokens", dim=dim).alias("recon_error"))
         probs = sorted(set(SUMMARY_PERCENTILES) | {float(percentile)})
         rows = summarize(train_err, "recon_error", probs)
         summary = summary_frame(spark, rows)
         thr = rows[0][float(percentile)] if rows else None
     finally:
-        train_err.unpersist()
+        train_slots.unpersist()
     scored_test = test.withColumn("recon_error", recon_error(spark, model, "slots", kind="tokens", dim=dim))
     anomalies = P.result_columns(P.threshold_filter(scored_test, thr))
     return FitResult(model, thr, summary, history, anomalies)
