@@ -149,9 +149,9 @@ def _forward_errors(params, x: np.ndarray) -> np.ndarray:
     return Model(ws, bs, acts).errors(x)
 
 
-def recon_error(spark: SparkSession, model: Model, features, kind: str = "dense",
-                dim: int | None = None) -> Column:
-    """Column with the reconstruction error of ``features``.
+def make_scorer(spark: SparkSession, model: Model, kind: str = "dense", dim: int | None = None):
+    """A function column -> reconstruction error column, with one broadcast
+    of the model shared by every use (e.g. all micro-batches of a stream).
 
     kind='dense': features is array<float|double> of width model.input_dim.
     kind='tokens': features is array<int> of hashed token slots (M1).
@@ -172,8 +172,16 @@ def recon_error(spark: SparkSession, model: Model, features, kind: str = "dense"
         mask = pc.is_null(arr).to_numpy(zero_copy_only=False) if arr.null_count else None
         return pa.array(e, type=pa.float64(), mask=mask)
 
-    col = F.col(features) if isinstance(features, str) else features
-    return _score(col)
+    def scorer(features) -> Column:
+        return _score(F.col(features) if isinstance(features, str) else features)
+
+    return scorer
+
+
+def recon_error(spark: SparkSession, model: Model, features, kind: str = "dense",
+                dim: int | None = None) -> Column:
+    """Column with the reconstruction error of ``features`` (see make_scorer)."""
+    return make_scorer(spark, model, kind, dim)(features)
 
 
 def dense_features(dim: int = EMBED_DIM):

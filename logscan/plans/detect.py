@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from logscan.functions.hashing import EMBED_DIM, token_indices
 from logscan.operators import prepare as P
-from logscan.operators.score import Model, recon_error
+from logscan.operators.score import Model, make_scorer
 from logscan.operators.stats import DETECT_STAGE, metrics_long
 from logscan.session import spread
 from logscan.sources.logs import read_logs
@@ -28,13 +28,15 @@ def featurize(lines: DataFrame, dim: int = EMBED_DIM, name: str = "slots") -> Da
     return lines.withColumn(name, token_indices("text", dim))
 
 
-def score_lines(logs: DataFrame, model: Model, with_time: bool = True) -> DataFrame:
-    """Prepared, complete lines with ``TimeVal``, ``text`` and ``recon_error``."""
-    spark = logs.sparkSession
+def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=None) -> DataFrame:
+    """Prepared, complete lines with ``TimeVal``, ``text`` and ``recon_error``.
+
+    ``scorer`` (from ``make_scorer``) reuses one model broadcast across calls.
+    """
     dim = model.input_dim
+    scorer = scorer or make_scorer(logs.sparkSession, model, kind="tokens", dim=dim)
     lines = featurize(P.scorable_lines(spread(logs), with_time=with_time), dim, "_slots")
-    return (lines.withColumn("recon_error", recon_error(spark, model, "_slots", kind="tokens", dim=dim))
-            .drop("_slots"))
+    return lines.withColumn("recon_error", scorer("_slots")).drop("_slots")
 
 
 def detect(logs: DataFrame, model: Model, threshold, with_row_id: bool = False) -> DataFrame:

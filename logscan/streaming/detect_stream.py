@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logscan.operators import prepare as P
-from logscan.operators.score import Model
+from logscan.operators.score import Model, make_scorer
 from logscan.operators.stats import DETECT_STAGE, metrics_long
 from logscan.plans.detect import score_lines
 from logscan.sources.logs import TIMESTAMP_FORMAT, stream_logs
@@ -31,16 +31,25 @@ def _write_partition(df: DataFrame, path: str, fmt: str) -> None:
         w.format(fmt).save(path)
 
 
-def batch_writer(threshold: float, result_path: str, metrics_path: str | None, fmt: str = "csv",
-                 round_digits: int | None = None):
-    """foreachBatch function: anomalies and metrics of one micro-batch."""
+def batch_writer(model: Model, threshold: float, result_path: str, metrics_path: str | None,
+                 fmt: str = "csv", round_digits: int | None = None):
+    """foreachBatch function: score one micro-batch of log lines and write
+    its anomalies and metrics (T3).
+
+    Scoring happens here, on the micro-batch as a batch DataFrame, so a
+    batch that arrives as one file is still spread over the cluster; the
+    model is broadcast once for the whole query.
+    """
     thr = float(threshold)
+    state = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if "scorer" not in state:
+            state["scorer"] = make_scorer(spark, model, kind="tokens", dim=model.input_dim)
         qid = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
         run_id = f"{qid}-{batch_id}"
-        scored = batch
+        scored = score_lines(batch, model, scorer=state["scorer"])
         if round_digits is not None:
             scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
         obs = Observation(f"batch_{batch_id}")
@@ -80,9 +89,8 @@ def start_detect_stream(spark: SparkSession, source: DataFrame | str, model: Mod
     if dedupe_within:
         logs = (logs.withWatermark("Timestamp", dedupe_within)
                 .dropDuplicatesWithinWatermark([c for c in logs.columns if c != "_c0"]))
-    scored = score_lines(logs, model)
-    w = (scored.writeStream.foreachBatch(batch_writer(threshold, result_path, metrics_path, fmt,
-                                                      round_digits))
+    w = (logs.writeStream.foreachBatch(batch_writer(model, threshold, result_path, metrics_path, fmt,
+                                                    round_digits))
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)

@@ -6,7 +6,6 @@ from logscan.operators.score import rank_one_model
 from logscan.plans.detect import detect
 from logscan.sources.logs import read_logs
 from logscan.streaming.detect_stream import batch_writer, start_detect_stream
-from logscan.plans.detect import score_lines
 from test_sources import LINES, write_logs
 
 MODEL = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
@@ -45,12 +44,12 @@ def test_stream_equals_batch_and_restart(spark, tmp):
 def test_replayed_batch_is_idempotent(spark, tmp):
     folder = os.path.join(tmp, "in")
     write_logs(folder, "a.csv", LINES)
-    scored = score_lines(read_logs(spark, folder), MODEL)
+    logs = read_logs(spark, folder)
     out = os.path.join(tmp, "out")
-    fn = batch_writer(0.0, out + "/res", out + "/met", fmt="parquet")
-    fn(scored, 0)
-    fn(scored, 0)  # replay of batch 0
-    fn(scored, 1)
+    fn = batch_writer(MODEL, 0.0, out + "/res", out + "/met", fmt="parquet")
+    fn(logs, 0)
+    fn(logs, 0)  # replay of batch 0
+    fn(logs, 1)
     res = spark.read.parquet(out + "/res")
     assert res.where("batch_id = 0").count() == 4 and res.count() == 8
     assert spark.read.parquet(out + "/met").count() == 6
