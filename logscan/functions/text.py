@@ -29,9 +29,17 @@ TEXT_WITHOUT_TIME = "LOGLEVEL={level} SERVICE={service} TEXT={message}"
 _UNICODE = "(?U)"
 # A decimal literal as Python's float() accepts it (underscores between
 # digits, optional exponent), but no hex, no type suffix.
-_NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\z"
-_NAN = r"(?i)^[+-]?nan\z"
-_INF = r"(?i)^[+-]?(inf|infinity)\z"
+_NUM = r"[+-]?(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+(?:_\d+)*)?"
+# Removing one trailing "ms" and then reading the rest with float() (which
+# ignores surrounding whitespace) accepts exactly: spaces, a literal, spaces,
+# and at most one "ms" at the very end.  \z, since Java's $ also matches
+# before a final newline.
+# Whitespace float() ignores: ASCII space, \t \n \v \f \r, and the
+# non-ASCII Unicode spaces (but not \x1c-\x1f).
+_WS = r"[\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_TIME = r"^" + _WS + r"*(" + _NUM + r")" + _WS + r"*(?:ms)?\z"
+_NAN = r"(?i)^" + _WS + r"*[+-]?nan" + _WS + r"*(?:ms)?\z"
+_INF = r"(?i)^" + _WS + r"*\+?(-?inf(?:inity)?)" + _WS + r"*(?:ms)?\z"
 
 
 def _col(c) -> Column:
@@ -50,15 +58,17 @@ def mask_message(message) -> Column:
 
 
 def parse_time_double(time_taken) -> Column:
-    """Duration text to double with Python ``float()`` rules; bad input -> 0.0."""
+    """Duration text to double with Python ``float()`` rules; bad input -> 0.0.
+
+    One anchored extraction reads the literal; the NaN / infinity patterns
+    are only tried when it finds none.
+    """
     t = _col(time_taken).cast("string")
-    stripped = F.regexp_replace(F.regexp_replace(t, TIME_SUFFIX + r"\z", ""), r"^\s+|\s+\z", "")
-    unsigned = F.regexp_replace(stripped, r"^\+", "")
+    num = F.regexp_extract(t, _TIME, 1)
     value = (
-        F.when(stripped.rlike(_NUMBER),
-               F.regexp_replace(stripped, "_", "").try_cast("double"))
-        .when(stripped.rlike(_NAN), F.lit(float("nan")))
-        .when(stripped.rlike(_INF), unsigned.try_cast("double"))
+        F.when(num != "", F.regexp_replace(num, "_", "").try_cast("double"))
+        .when(t.rlike(_NAN), F.lit(float("nan")))
+        .when(t.rlike(_INF), F.regexp_extract(t, _INF, 1).try_cast("double"))
     )
     return F.coalesce(value, F.lit(0.0))
 

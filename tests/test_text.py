@@ -24,6 +24,7 @@ TIME_CASES = [
     ("28", 28.0), (" 28 ms", 28.0), ("28\tms", 28.0), ("1_000ms", 1000.0), ("1e3ms", 1000.0),
     (".5ms", 0.5), ("+3ms", 3.0), ("1e40ms", math.inf), ("-infms", -math.inf),
     ("28msms", 0.0), ("12.3ms", float(np.float32(12.3))), ("Infinity", math.inf), ("-1_0.2_5ms", -10.25),
+    ("\x1c28ms", 0.0), ("\u300028\u3000ms", 28.0), ("28\x85", 28.0), ("\xa0inf ms", math.inf),
 ]
 
 
@@ -64,7 +65,7 @@ def test_compose_text(spark):
 
 
 _time_text = st.one_of(
-    st.text(alphabet="0123456789.eE+-_ msMSinfatyx\t", max_size=12),
+    st.text(alphabet="0123456789.eE+-_ msMSinfatyx\t\n\x0b\x1c\x1f\x85\xa0\u2003\u3000", max_size=12),
     st.floats(allow_nan=False, width=32).map(lambda v: f"{v}ms"),
     st.integers(-10**6, 10**6).map(lambda v: f"{v}ms"),
 )
