@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from logscan.operators.score import Model
 
+# Partitions the mean and covariance aggregations run over.
+AGG_PARTITIONS = 1024
+
 
 def fit_pca(df: DataFrame, features: str, k: int = 64) -> Model:
     """Fit on an array<float|double> or MLlib vector column (dense or
@@ -34,10 +37,16 @@ def fit_pca(df: DataFrame, features: str, k: int = 64) -> Model:
         col = array_to_vector(col)
     vec = df.select(col.alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        mu = np.asarray(vec.select(Summarizer.mean(F.col("_v")).alias("m")).first()["m"].toArray())
+        # Materialise at full parallelism, then aggregate over a bounded
+        # number of partitions of the cache: the mean's final merge and the
+        # covariance tree-aggregate then handle at most AGG_PARTITIONS partial
+        # d x d results, not one per input split (no shuffle, no recompute).
+        vec.count()
+        agg = vec.coalesce(AGG_PARTITIONS) if vec.rdd.getNumPartitions() > AGG_PARTITIONS else vec
+        mu = np.asarray(agg.select(Summarizer.mean(F.col("_v")).alias("m")).first()["m"].toArray())
         d = mu.size
         k = min(k, d)
-        pc = PCA(k=k, inputCol="_v", outputCol="_z").fit(vec).pc.toArray()  # (d, k)
+        pc = PCA(k=k, inputCol="_v", outputCol="_z").fit(agg).pc.toArray()  # (d, k)
     finally:
         vec.unpersist()
     return Model([pc, pc.T.copy()], [-(mu @ pc), mu], ["linear", "linear"],
