@@ -8,6 +8,8 @@ compose_text  the model input text of one log line
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -122,9 +124,20 @@ def float_text(value) -> Column:
 
 
 def compose_text(level, service, message, time_value=None) -> Column:
-    """Model input text of a log line; ``time_value`` is the float32 TimeVal."""
-    parts = [F.lit("LOGLEVEL="), _col(level), F.lit(" SERVICE="), _col(service)]
+    """Model input text of a log line; ``time_value`` is the float32 TimeVal.
+
+    Built as one ``concat`` from the fixed layout above (the literal parts
+    and the fields in template order).
+    """
+    fields = {"level": _col(level), "service": _col(service), "message": _col(message)}
+    template = TEXT_WITHOUT_TIME
     if time_value is not None:
-        parts += [F.lit(" TIME="), float_text(time_value)]
-    parts += [F.lit(" TEXT="), _col(message)]
+        fields["time"] = float_text(time_value)
+        template = TEXT_WITH_TIME
+    parts = []
+    for literal, name, _, _ in string.Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if name:
+            parts.append(fields[name])
     return F.concat(*parts)
