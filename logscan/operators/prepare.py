@@ -82,7 +82,7 @@ def preview(df: DataFrame, n: int = 10) -> None:
 
 def schema_report(df: DataFrame) -> str:
     """The schema tree as text (also printed)."""
-    text = df._jdf.schema().treeString()
+    text = df.schema.treeString()
     print(text)
     return text
 

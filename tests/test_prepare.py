@@ -64,4 +64,4 @@ def test_text_and_result_columns(spark):
     assert P.result_columns(scored).columns == [
         "Timestamp", "LogLevel", "Service", "Message", "RequestID", "User", "ClientIP", "TimeTaken",
         "TimeVal", "recon_error"]
-    assert "StructType" not in P.schema_report(df) or True
+    assert P.schema_report(df).startswith("root")
