@@ -285,13 +285,14 @@ def q_object_key(spark, sf_dir):
 
 
 def q_decode_event(spark, sf_dir):
-    """U1 round trip; events of type 'error' carry a cut-off JSON value."""
-    enc = upload_events(spark, sf_dir).select("event_id", "event_type", "filePath", "fileName",
-                                              "uploadTime")
-    msgs = enc.select("event_id", F.when(
-        F.col("event_type") == "error",
-        F.expr("substring(to_json(struct(filePath, fileName, uploadTime)), 1, 20)"))
-        .otherwise(F.to_json(F.struct("filePath", "fileName", "uploadTime"))).alias("value"))
+    """U1 round trip over every event: 'error' events carry malformed JSON
+    (closing brace lost), 'signup' events lack uploadTime; both are kept and
+    marked invalid."""
+    enc = upload_events(spark, sf_dir)
+    full = F.to_json(F.struct("filePath", "fileName", "uploadTime"))
+    msgs = enc.select("event_id", F.when(F.col("event_type") == "error", F.regexp_replace(full, r"\}$", ""))
+                      .when(F.col("event_type") == "signup", F.to_json(F.struct("filePath", "fileName")))
+                      .otherwise(full).alias("value"))
     dec = decode_event(msgs, keep=["event_id"])
     return dec.select("event_id", "filePath", "fileName", "uploadTime", "is_valid")
 
@@ -509,6 +510,6 @@ ORACLE_SQL = {
                   " from (" + _UPLOAD_SQL + ")",
     "decode_event": "select event_id, case when event_type = 'error' then null else filePath end as filePath, "
                     "case when event_type = 'error' then null else fileName end as fileName, "
-                    "case when event_type = 'error' then null else uploadTime end as uploadTime, "
-                    "event_type <> 'error' as is_valid from (" + _UPLOAD_SQL + ")",
+                    "case when event_type in ('error', 'signup') then null else uploadTime end as uploadTime, "
+                    "event_type not in ('error', 'signup') as is_valid from (" + _UPLOAD_SQL + ")",
 }
