@@ -25,3 +25,18 @@ def load_model(spark: SparkSession, path: str):
     row = spark.read.parquet(f"{path}/threshold").first()
     model.meta = {"features": row["features"], "dim": row["dim"]}
     return model, row["threshold"]
+
+
+def write_threshold_text(spark: SparkSession, threshold: float, path: str) -> None:
+    """The threshold as one line of text (Python's repr of the float)."""
+    spark.createDataFrame([(repr(float(threshold)),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+
+
+def read_threshold_text(spark: SparkSession, path: str) -> float:
+    """A threshold kept as a one-line text file (or a folder holding one),
+    e.g. one written by an earlier deployment."""
+    row = spark.read.text(path).where("trim(value) != ''").first()
+    if row is None:
+        raise ValueError(f"no threshold in {path}")
+    return float(row["value"].strip())

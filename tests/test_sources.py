@@ -97,3 +97,14 @@ def test_run_batch_end_to_end(spark, tmp):
     again = run_batch(spark, folder, model, 0.0, os.path.join(tmp, "res"))
     assert again["status"] == "no_input"
     assert run_batch(spark, os.path.join(tmp, "nowhere"), model, 0.0, os.path.join(tmp, "res"))["status"] == "no_input"
+
+
+def test_threshold_text(spark, tmp):
+    from logscan.sources.model_store import read_threshold_text, write_threshold_text
+
+    p = os.path.join(tmp, "thr.txt")
+    with open(p, "w") as f:
+        f.write("0.0005610922235064209")
+    assert read_threshold_text(spark, p) == 0.0005610922235064209
+    write_threshold_text(spark, 0.25, os.path.join(tmp, "thr_out"))
+    assert read_threshold_text(spark, os.path.join(tmp, "thr_out")) == 0.25
