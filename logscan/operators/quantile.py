@@ -88,42 +88,47 @@ def _settle(targets, hist, pass_no):
             raise RuntimeError("rank outside histogram")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> list:
+def exact_quantiles(df: DataFrame, col: str, probs, by=(), stats: bool = False) -> list:
     """Exact quantiles of ``col`` for each group of ``by``.
 
     Returns ``[(group_tuple, n, {p: value})]``; nulls are ignored and NaN
     sorts above every number, as in Spark.  Each group with no rows is
     absent.  The number of groups should be modest (their counts come to
-    the driver); a global quantile has one group.
+    the driver); a global quantile has one group.  With ``stats=True`` each
+    entry carries a fourth element ``{"min", "max", "sum"}`` gathered in the
+    first pass, so a summary needs no separate scan.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     ship_package(df.sparkSession)
+    value = F.col(col).cast("double")
     base = (df.where(F.col(col).isNotNull())
-            .select(*by, sortable_key(F.col(col).cast("double")).alias("_k"))
+            .select(*by, sortable_key(value).alias("_k"), value.alias("_v"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        def histogram(frame, pass_no, prefix_col):
+        def histogram(frame, pass_no, prefix_col, extra=False):
             keys = by + ([prefix_col] if prefix_col else [])
-            rows = (frame.groupBy(*keys, _digit(pass_no).alias("_d"))
-                    .agg(F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"),
-                         F.max("_k").alias("_hi"))
-                    .collect())
-            out = {}
+            aggs = [F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")]
+            if extra:
+                aggs += [F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax"), F.sum("_v").alias("_vsum")]
+            rows = frame.groupBy(*keys, _digit(pass_no).alias("_d")).agg(*aggs).collect()
+            out, more = {}, {}
             for r in rows:
                 g = tuple(r[c] for c in by)
                 pre = r[prefix_col] if prefix_col else 0
                 out.setdefault((g, pre), []).append((r["_d"], r["_n"], r["_lo"], r["_hi"]))
+                if extra:
+                    more.setdefault(g, []).append((r["_vmin"], r["_vmax"], r["_vsum"]))
             for v in out.values():
                 v.sort()
-            return out
+            return out, more
 
         if by:
             n_groups = base.select(*by).distinct().count()
             if n_groups > MAX_GROUPS:
                 raise ValueError(f"{n_groups} groups: exact_quantiles is meant for at most "
                                  f"{MAX_GROUPS} groups (e.g. epochs); use a global quantile per group")
-        hist = histogram(base, 0, None)
+        hist, more = histogram(base, 0, None, extra=stats)
         sizes = {}
         for (g, _), buckets in hist.items():
             sizes[g] = sizes.get(g, 0) + sum(b[1] for b in buckets)
@@ -150,7 +155,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> list:
             wanted = spark.createDataFrame([(*g, pre) for g, pre in open_], schema)
             framed = base.withColumn("_pre", F.shiftrightunsigned("_k", 64 - _BITS * pass_no))
             framed = framed.join(F.broadcast(wanted), by + ["_pre"])
-            _settle(tlist, histogram(framed, pass_no, "_pre"), pass_no)
+            _settle(tlist, histogram(framed, pass_no, "_pre")[0], pass_no)
 
         result = []
         for g, n in sorted(sizes.items(), key=lambda kv: tuple(str(x) for x in kv[0])):
@@ -159,12 +164,25 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> list:
                 lo, hi, frac = plan[(g, p)]
                 a, b = targets[(g, lo)].value, targets[(g, hi)].value
                 vals[p] = _lerp(a, b, frac)
-            result.append((g, n, vals))
+            if stats:
+                parts = more[g]
+                mins = [m for m, _, _ in parts if m is not None]
+                info = {"min": min(mins) if mins else None,
+                        "max": max((x for _, x, _ in parts), key=_nan_last),
+                        "sum": math.fsum(s for _, _, s in parts)}
+                result.append((g, n, vals, info))
+            else:
+                result.append((g, n, vals))
         return result
     finally:
         base.unpersist()
 
 
+def _nan_last(x: float):
+    """Order key putting NaN above every number (Spark's ordering)."""
+    return (1, 0.0) if isinstance(x, float) and math.isnan(x) else (0, x)
+
+
 def exact_quantile(df: DataFrame, col: str, p: float):
     """One global quantile; None when there are no values."""
     res = exact_quantiles(df, col, [p])

@@ -35,19 +35,18 @@ def threshold(df: DataFrame, col: str = "recon_error", p: float = THRESHOLD_PERC
 
 def summarize(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENTILES, by=()) -> list:
     """Per group: dict with n, min_error, max_error, mean_error and the exact
-    quantile of every p in ``probs`` (key p).  One aggregate plus the radix
-    passes shared by all probabilities."""
+    quantile of every p in ``probs`` (key p).  Count, min, max and sum ride
+    on the first radix pass, so the scores are materialised once."""
     by = list(by)
-    basic = {tuple(r[c] for c in by): r for r in
-             df.groupBy(*by).agg(F.count(F.col(col)).alias("n"), F.min(col).alias("mn"),
-                                 F.max(col).alias("mx"), F.avg(col).alias("mean")).collect()}
-    qs = {g: vals for g, _, vals in exact_quantiles(df, col, probs, by=by)}
     out = []
-    for g, r in basic.items():
-        row = {"group": g, "n": int(r["n"]), "min_error": r["mn"], "max_error": r["mx"],
-               "mean_error": r["mean"]}
-        row.update({float(p): qs.get(g, {}).get(float(p)) for p in probs})
+    for g, n, vals, info in exact_quantiles(df, col, probs, by=by, stats=True):
+        row = {"group": g, "n": int(n), "min_error": info["min"], "max_error": info["max"],
+               "mean_error": info["sum"] / n if n else None}
+        row.update({float(p): vals.get(float(p)) for p in probs})
         out.append(row)
+    if not out and not by:  # a global summary of nothing is one row, as in SQL
+        out.append({"group": (), "n": 0, "min_error": None, "max_error": None, "mean_error": None,
+                    **{float(p): None for p in probs}})
     return out
 
 

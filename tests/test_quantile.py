@@ -42,6 +42,11 @@ def test_hot_value_and_groups(spark):
             assert res[key][1][p] == pytest.approx(float(np.percentile(arr, p * 100)), rel=1e-15)
 
 
+def test_summary_of_nothing(spark):
+    r = error_summary(spark.createDataFrame([], "recon_error double")).collect()
+    assert len(r) == 1 and r[0].n == 0 and r[0].p95 is None
+
+
 def test_summary(spark):
     vals = np.linspace(0, 1, 101)
     df = spark.createDataFrame([(float(v),) for v in vals], "recon_error double")
