@@ -230,7 +230,8 @@ def q_log_scores(spark, sf_dir):
 
 
 def q_run_metrics(spark, sf_dir):
-    errs = embedding_errors(spark, sf_dir)
+    work_dir(spark)
+    errs = embedding_errors(spark, sf_dir).checkpoint(eager=True)  # scored once, read twice
     thr = threshold(errs)
     return metrics_long(run_counts(errs, thr), run_id="r", with_time=False).select(
         "metric_name", _r("metric_value").alias("metric_value"))
