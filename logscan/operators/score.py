@@ -172,8 +172,14 @@ def make_scorer(spark: SparkSession, model: Model, kind: str = "dense", dim: int
         mask = pc.is_null(arr).to_numpy(zero_copy_only=False) if arr.null_count else None
         return pa.array(e, type=pa.float64(), mask=mask)
 
+    # Declared non-deterministic only so the optimizer keeps it in one place:
+    # otherwise a filter on the score (threshold, inferred not-null) is pushed
+    # below the projection with the function inlined, and every row is scored
+    # twice.  The score itself depends on the row alone.
+    once = _score.asNondeterministic()
+
     def scorer(features) -> Column:
-        return _score(F.col(features) if isinstance(features, str) else features)
+        return once(F.col(features) if isinstance(features, str) else features)
 
     return scorer
 
