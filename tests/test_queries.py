@@ -42,5 +42,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["vec_id", "label", "recon_error"]
+    assert df.columns == ["event_id", "LogLevel", "Service", "Message", "TimeVal", "recon_error"]
     assert df.count() > 0
