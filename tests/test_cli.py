@@ -28,3 +28,23 @@ def test_fit_then_detect(tmp):
                "--metrics-path", os.path.join(tmp, "met"), "--consume")
     assert out["status"] == "ok" and out["total_logs"] == 4.0
     assert os.listdir(uploads) == []
+
+
+def test_stream_and_catalogue(tmp):
+    train = os.path.join(tmp, "train")
+    for i in range(4):
+        write_logs(train, f"{i}.csv", LINES)
+    model = os.path.join(tmp, "model")
+    _run("fit", "--input", train, "--model", model, "--k", "4")
+    landing = os.path.join(tmp, "landing")
+    write_logs(landing, "1-a.csv", LINES)
+    out = _run("stream", "--input", landing, "--model", model, "--result", os.path.join(tmp, "res"),
+               "--checkpoint", os.path.join(tmp, "ckpt"), "--available-now", "--threshold", "0")
+    assert out["last_progress"] is not None
+    events = os.path.join(tmp, "events")
+    os.makedirs(events)
+    with open(os.path.join(events, "e.json"), "w") as f:
+        f.write(json.dumps({"filePath": "/u/a.csv", "fileName": "a.csv", "uploadTime": 1}) + "\n{bad\n")
+    _run("catalogue", "--input", events, "--catalogue", os.path.join(tmp, "cat"),
+         "--rejects", os.path.join(tmp, "rej"), "--checkpoint", os.path.join(tmp, "ckpt2"), "--available-now")
+    assert os.path.isdir(os.path.join(tmp, "cat")) and os.path.isdir(os.path.join(tmp, "rej"))
