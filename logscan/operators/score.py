@@ -82,7 +82,8 @@ class Model:
 
     @classmethod
     def init(cls, dims, seed: int = 42, acts=None) -> "Model":
-        """He-uniform weights like a default dense layer; ReLU between layers."""
+        """Uniform(-1/sqrt(fan_in), 1/sqrt(fan_in)) weights and biases, the usual
+        default of a dense layer; ReLU between layers, linear output."""
         rng = np.random.default_rng(seed)
         ws, bs = [], []
         for a, b in zip(dims[:-1], dims[1:]):
