@@ -70,13 +70,15 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
               metrics_table: str | None = None, metrics_path: str | None = None,
               run_id: str | None = None, single_file: bool = False, dedupe: bool = False,
               consume: bool = False, archive_dir: str | None = None,
-              round_digits: int | None = None) -> dict:
+              round_digits: int | None = None, with_row_id: bool = False) -> dict:
     """One detection run over every file now in ``input_path``.
 
     Appends anomalies to ``result_path`` (CSV with header) and the five run
     metrics to a table or parquet folder.  Returns the metrics; a run with
     no input or no scorable line returns early without metrics.
-    ``round_digits`` quantises scores before the comparison (ties).
+    ``round_digits`` quantises scores before the comparison (ties);
+    ``with_row_id`` puts a row key first in the output, as the serving job of
+    the reference does (its values are unique per run, not across runs).
     """
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
@@ -91,7 +93,9 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
     scored = scored.observe(
         obs, F.count(F.lit(1)).alias("total_logs"),
         F.count_if(F.col("recon_error") > F.lit(float(threshold))).alias("anomalies_count"))
-    anomalies = P.result_columns(P.threshold_filter(scored, threshold))
+    if with_row_id:
+        scored = P.with_row_id(scored)
+    anomalies = P.result_columns(P.threshold_filter(scored, threshold), with_row_id=with_row_id)
     if dedupe:
         anomalies = P.dedupe(anomalies)
     t0 = time.perf_counter()

@@ -108,3 +108,12 @@ def test_threshold_text(spark, tmp):
     assert read_threshold_text(spark, p) == 0.0005610922235064209
     write_threshold_text(spark, 0.25, os.path.join(tmp, "thr_out"))
     assert read_threshold_text(spark, os.path.join(tmp, "thr_out")) == 0.25
+
+
+def test_run_batch_with_row_id(spark, tmp):
+    folder = os.path.join(tmp, "uploads")
+    write_logs(folder, "a.csv", LINES)
+    model = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
+    res = run_batch(spark, folder, model, -1.0, os.path.join(tmp, "res"), with_row_id=True)
+    out = spark.read.option("header", True).csv(os.path.join(tmp, "res"))
+    assert res["status"] == "ok" and out.columns[0] == "row_id" and out.count() == 4
