@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame
 from logscan.functions.hashing import tokens
 
 
-def fit_word2vec(lines: DataFrame, text: str = "text", size: int = 64, min_count: int = 1, seed: int = 42):
-    w2v = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol="_tokens", outputCol="_vec")
+def fit_word2vec(lines: DataFrame, text: str = "text", size: int = 64, min_count: int = 1, seed: int = 42,
+                 partitions: int = 1, iterations: int = 1):
+    """MLlib Word2Vec over the whole-text tokens.  MLlib trains in one
+    partition by default; ``partitions`` > 1 spreads training (per-partition
+    updates, as MLlib documents) for large corpora."""
+    w2v = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, numPartitions=partitions,
+                   maxIter=iterations, inputCol="_tokens", outputCol="_vec")
     return w2v.fit(lines.select(tokens(text).alias("_tokens")))
 
 
