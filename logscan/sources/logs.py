@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logscan.schema import LOG_SCHEMA
 
-# Text layout of the Timestamp column (microseconds, no zone).
+# Text layout of the Timestamp column on write (microseconds, no zone).
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def _reader(reader, schema):
-    return (reader.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("timestampFormat", TIMESTAMP_FORMAT))
+    # No timestampFormat on read: Spark's default parser takes 'T' or a space,
+    # any fraction up to microseconds and an optional offset.
+    return reader.schema(schema).option("header", True).option("mode", "PERMISSIVE")
 
 
 def read_logs(spark: SparkSession, path, schema=LOG_SCHEMA) -> DataFrame:
