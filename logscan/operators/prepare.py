@@ -59,6 +59,8 @@ def threshold_filter(df: DataFrame, threshold, col: str = "recon_error") -> Data
     """
     if isinstance(threshold, DataFrame):
         t = threshold.select(F.col("threshold").alias("_thr"))
+        if t.limit(2).count() != 1:  # the broadcast side must be exactly one row
+            raise ValueError("threshold table must hold exactly one row")
         return df.crossJoin(F.broadcast(t)).filter(F.col(col) > F.col("_thr")).drop("_thr")
     return df.filter(F.col(col) > F.lit(float(threshold)))
 

@@ -33,6 +33,8 @@ def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=No
 
     ``scorer`` (from ``make_scorer``) reuses one model broadcast across calls.
     """
+    if (model.meta or {}).get("features", "tokens") == "dense":
+        raise ValueError("log lines are scored on token slots; this model expects dense features")
     dim = model.input_dim
     scorer = scorer or make_scorer(logs.sparkSession, model, kind="tokens", dim=dim)
     lines = featurize(P.scorable_lines(spread(logs), with_time=with_time), dim, "_slots")

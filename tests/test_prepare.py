@@ -46,6 +46,9 @@ def test_threshold_strict_and_table(spark):
     assert [r.id for r in P.threshold_filter(df, thr).orderBy("id").collect()] == [1, 3]
     t = spark.createDataFrame([(thr,)], "threshold double")
     assert [r.id for r in P.threshold_filter(df, t).orderBy("id").collect()] == [1, 3]
+    import pytest
+    with pytest.raises(ValueError):
+        P.threshold_filter(df, spark.createDataFrame([(1.0,), (2.0,)], "threshold double"))
 
 
 def test_top_k_plan_and_order(spark):
