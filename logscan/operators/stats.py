@@ -27,8 +27,16 @@ def mse_expr(a, b) -> Column:
     return F.aggregate(sq, F.lit(0.0), lambda s, v: s + v) / F.size(a)
 
 
-def threshold(df: DataFrame, col: str = "recon_error", p: float = THRESHOLD_PERCENTILE):
-    """A5: exact p-th percentile of the scores (None when empty)."""
+def threshold(df: DataFrame, col: str = "recon_error", p: float = THRESHOLD_PERCENTILE,
+              approx_accuracy: int | None = None):
+    """A5: exact p-th percentile of the scores (None when empty).
+
+    ``approx_accuracy`` opts into Spark's one-pass ``percentile_approx``
+    (relative rank error 1/accuracy; it returns an observed value, not the
+    interpolated one).
+    """
+    if approx_accuracy:
+        return df.agg(F.percentile_approx(col, float(p), int(approx_accuracy)).alias("t")).first()["t"]
     res = exact_quantiles(df, col, [p])
     return res[0][2][float(p)] if res else None
 

@@ -42,6 +42,12 @@ def test_hot_value_and_groups(spark):
             assert res[key][1][p] == pytest.approx(float(np.percentile(arr, p * 100)), rel=1e-15)
 
 
+def test_approx_opt_in(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(1, 1001)], "e double")
+    assert threshold(df, "e") == pytest.approx(950.05)
+    assert abs(threshold(df, "e", approx_accuracy=10000) - 950.05) <= 1.0
+
+
 def test_summary_of_nothing(spark):
     r = error_summary(spark.createDataFrame([], "recon_error double")).collect()
     assert len(r) == 1 and r[0].n == 0 and r[0].p95 is None
