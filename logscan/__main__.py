@@ -39,7 +39,8 @@ def cmd_fit(args) -> dict:
 
     spark = _session(args)
     res = fit(read_logs(spark, args.input), method=args.method, k=args.k, epochs=args.epochs,
-              lr=args.lr, batch_size=args.batch_size, seed=args.seed, percentile=args.percentile)
+              lr=args.lr, batch_size=args.batch_size, seed=args.seed, percentile=args.percentile,
+              partitions=args.partitions, rounds=args.rounds)
     save_model(spark, res.model, res.threshold, args.model)
     if args.anomalies:
         write_csv(res.test_anomalies, args.anomalies, mode="overwrite", single_file=args.single_file)
@@ -102,6 +103,8 @@ def main(argv=None) -> int:
     f.add_argument("--batch-size", type=int, default=32)
     f.add_argument("--seed", type=int, default=42)
     f.add_argument("--percentile", type=float, default=0.95)
+    f.add_argument("--partitions", type=int, default=None, help="autoencoder training partitions")
+    f.add_argument("--rounds", type=int, default=1, help="parameter mixing rounds per epoch")
     f.add_argument("--anomalies", default=None, help="CSV folder for the test-part anomalies")
     f.add_argument("--single-file", action="store_true")
     f.set_defaults(fn=cmd_fit)

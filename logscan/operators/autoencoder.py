@@ -207,13 +207,15 @@ def mix(params: DataFrame, n_parts: int) -> DataFrame:
 def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind: str = "dense",
                     dims=LAYER_DIMS, epochs: int = EPOCHS, batch_size: int = BATCH_SIZE,
                     lr: float = LEARNING_RATE, seed: int = 42, partitions: int | None = None,
-                    verbose: bool = False):
+                    rounds: int = 1, verbose: bool = False):
     """Train on ``features`` (dense arrays or token slots); returns
     (Model, history rows [(epoch, n, mean_loss, p90, p95)]).
 
     ``key`` is accepted for callers that have one; rows are laid out by an
     id fixed at the checkpoint, so a lost partition is recomputed with the
-    same rows in the same order.
+    same rows in the same order.  ``rounds`` > 1 splits every epoch into that
+    many disjoint row subsets (by a hash of the row id), each trained and
+    mixed in its own job: more synchronisation when partitions are many.
     """
     from logscan.session import ship_package, work_dir
 
@@ -244,19 +246,25 @@ def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind:
     try:
         for epoch in range(1, epochs + 1):
             t_epoch = time.perf_counter()
-            bc = spark.sparkContext.broadcast((shapes, flat, t))
-            ordered = data.sortWithinPartitions(F.xxhash64("_uid", F.lit(seed), F.lit(epoch)), "_uid")
-            out = (ordered.select("features")
-                   .mapInArrow(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-            outs.append((out, bc))
-            parts = mix(out.where("kind = 1"), n_parts).orderBy("chunk").collect()
-            total_n = parts[0]["n"]
-            vals = np.concatenate([np.asarray(r["vals"]) for r in parts]) / total_n
-            t = t + float(vals[0])
-            flat = vals[1:]
-            errs = out.where("kind = 0").select(F.lit(epoch).alias("epoch"), F.col("err").alias("recon_error"))
-            errors = errs if errors is None else errors.unionByName(errs)
+            for rnd in range(rounds):
+                bc = spark.sparkContext.broadcast((shapes, flat, t))
+                part = data if rounds == 1 else data.where(
+                    F.pmod(F.xxhash64("_uid", F.lit(seed), F.lit(epoch), F.lit(-1)), F.lit(rounds)) == rnd)
+                ordered = part.sortWithinPartitions(F.xxhash64("_uid", F.lit(seed), F.lit(epoch)), "_uid")
+                out = (ordered.select("features")
+                       .mapInArrow(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+                outs.append((out, bc))
+                parts = mix(out.where("kind = 1"), n_parts).orderBy("chunk").collect()
+                if not parts:  # no rows in this round
+                    continue
+                total_n = parts[0]["n"]
+                vals = np.concatenate([np.asarray(r["vals"]) for r in parts]) / total_n
+                t = t + float(vals[0])
+                flat = vals[1:]
+                errs = out.where("kind = 0").select(F.lit(epoch).alias("epoch"),
+                                                   F.col("err").alias("recon_error"))
+                errors = errs if errors is None else errors.unionByName(errs)
             if verbose:
                 print(f"epoch {epoch}/{epochs} ({time.perf_counter() - t_epoch:.2f}s)")
         # A6 for all epochs at once: one grouped pass set over the kept errors

@@ -43,7 +43,7 @@ def line_key(df: DataFrame) -> F.Column:
 def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
         train_percent: int = 70, percentile: float = THRESHOLD_PERCENTILE, epochs: int = 3,
         dims=None, lr: float = 1e-4, batch_size: int = 32, seed: int = 42,
-        partitions: int | None = None, split: str = "hash") -> FitResult:
+        partitions: int | None = None, split: str = "hash", rounds: int = 1) -> FitResult:
     """``split='hash'`` (default) assigns lines by an md5 bucket of their
     content: repeatable across runs and layouts.  ``split='random'`` is
     ``randomSplit`` with ``seed``, as the reference does; it changes when
@@ -71,7 +71,8 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
         elif method == "autoencoder":
             model, history = fit_autoencoder(train_slots, "slots", kind="tokens",
                                              dims=dims or (dim, *LAYER_DIMS[1:-1], dim), epochs=epochs,
-                                             batch_size=batch_size, lr=lr, seed=seed, partitions=partitions)
+                                             batch_size=batch_size, lr=lr, seed=seed, partitions=partitions,
+                                             rounds=rounds)
         else:
             raise ValueError(f"unknown method {method!r}")
         model.meta = {**(model.meta or {}), "features": "tokens", "dim": dim}

@@ -66,3 +66,11 @@ def test_two_level_mixing_equals_plain_sum(spark):
     for c in range(3):
         assert got[c][0] == n_total
         assert got[c][1] == [float(sum(range(300))), float(c * 300), 300.0]
+
+
+def test_rounds_per_epoch(spark):
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    _, hist = fit_autoencoder(emb, "embedding", dims=(64, 16, 64), epochs=3, lr=1e-3, partitions=4, rounds=3)
+    assert [h[1] for h in hist] == [500, 500, 500]
+    losses = [h[2] for h in hist]
+    assert losses[0] > losses[1] > losses[2]
