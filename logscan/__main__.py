@@ -60,7 +60,8 @@ def cmd_detect(args) -> dict:
         create_metric_table(spark, args.metrics_table)
     return run_batch(spark, args.input, model, thr if args.threshold is None else args.threshold,
                      args.result, metrics_table=args.metrics_table, metrics_path=args.metrics_path,
-                     single_file=args.single_file, consume=args.consume, archive_dir=args.archive)
+                     single_file=args.single_file, consume=args.consume, archive_dir=args.archive,
+                     precision=args.precision)
 
 
 def cmd_stream(args) -> dict:
@@ -119,6 +120,7 @@ def main(argv=None) -> int:
     d.add_argument("--single-file", action="store_true")
     d.add_argument("--consume", action="store_true", help="remove the files that were read")
     d.add_argument("--archive", default=None, help="move read files here instead of deleting")
+    d.add_argument("--precision", choices=["float64", "float32"], default="float64")
     d.set_defaults(fn=cmd_detect)
 
     s = sub.add_parser("stream", help="detection over a landing folder")

@@ -28,7 +28,8 @@ def featurize(lines: DataFrame, dim: int = EMBED_DIM, name: str = "slots") -> Da
     return lines.withColumn(name, token_indices("text", dim))
 
 
-def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=None) -> DataFrame:
+def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=None,
+                precision: str = "float64") -> DataFrame:
     """Prepared, complete lines with ``TimeVal``, ``text`` and ``recon_error``.
 
     ``scorer`` (from ``make_scorer``) reuses one model broadcast across calls.
@@ -36,7 +37,7 @@ def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=No
     if (model.meta or {}).get("features", "tokens") == "dense":
         raise ValueError("log lines are scored on token slots; this model expects dense features")
     dim = model.input_dim
-    scorer = scorer or make_scorer(logs.sparkSession, model, kind="tokens", dim=dim)
+    scorer = scorer or make_scorer(logs.sparkSession, model, kind="tokens", dim=dim, precision=precision)
     lines = featurize(P.scorable_lines(spread(logs), with_time=with_time), dim, "_slots")
     return lines.withColumn("recon_error", scorer("_slots")).drop("_slots")
 
@@ -72,7 +73,8 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
               metrics_table: str | None = None, metrics_path: str | None = None,
               run_id: str | None = None, single_file: bool = False, dedupe: bool = False,
               consume: bool = False, archive_dir: str | None = None,
-              round_digits: int | None = None, with_row_id: bool = False) -> dict:
+              round_digits: int | None = None, with_row_id: bool = False,
+              precision: str = "float64") -> dict:
     """One detection run over every file now in ``input_path``.
 
     Appends anomalies to ``result_path`` (CSV with header) and the five run
@@ -88,7 +90,7 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
     files = logs.inputFiles()
     if not files:
         return {"run_id": run_id, "status": "no_input"}
-    scored = score_lines(logs, model)
+    scored = score_lines(logs, model, precision=precision)
     if round_digits is not None:
         scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
     obs = Observation(f"run_{run_id.replace('-', '_')}")

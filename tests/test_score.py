@@ -55,3 +55,14 @@ def test_model_table_roundtrip_and_size_check(spark):
                                 "layer int, rows int, cols int, w array<double>, b array<double>, act string")
     with pytest.raises(ValueError):
         Model.from_df(big)
+
+
+def test_float32_precision_close(spark):
+    from logscan.operators.autoencoder import LAYER_DIMS
+
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    model = Model.init((64, 32, 8, 32, 64), seed=5)
+    rows = emb.select(recon_error(spark, model, "embedding").alias("d"),
+                      recon_error(spark, model, "embedding", precision="float32").alias("s")).collect()
+    assert max(abs(r.d - r.s) / r.d for r in rows) < 1e-5
+    assert LAYER_DIMS[0] == 768
