@@ -204,6 +204,19 @@ def mix(params: DataFrame, n_parts: int) -> DataFrame:
     return level1.groupBy("chunk").applyInPandas(_sum_chunks, _SUM_SCHEMA)
 
 
+def training_layout(df: DataFrame, features: str, partitions: int | None = None):
+    """The training rows, spread and checkpointed once: (frame, partitions).
+
+    Rows are spread by a per-row id, not by a content key: copies of one
+    line (possibly a third of all rows) must not share a partition.  The
+    ids are fixed by the checkpoint, so the layout and the per-epoch order
+    (a hash of id, seed and epoch) are the same when a partition is redone.
+    """
+    data = df.select(F.col(features).alias("features")).withColumn("_uid", F.monotonically_increasing_id())
+    n_parts = partitions or max(1, data.rdd.getNumPartitions())
+    return data.repartition(n_parts, "_uid").checkpoint(eager=True), n_parts
+
+
 def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind: str = "dense",
                     dims=LAYER_DIMS, epochs: int = EPOCHS, batch_size: int = BATCH_SIZE,
                     lr: float = LEARNING_RATE, seed: int = 42, partitions: int | None = None,
@@ -230,14 +243,8 @@ def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind:
     state = AdamState.fresh(model)
     shapes = state.shapes
 
-    # Rows are spread by a per-row id, not by the content key: copies of one
-    # line (possibly a third of all rows) must not share a partition.  The
-    # ids are fixed by the checkpoint, so the layout and the per-epoch order
-    # (a hash of id, seed and epoch) are the same when a partition is redone.
-    data = df.select(F.col(features).alias("features")).withColumn("_uid", F.monotonically_increasing_id())
-    n_parts = partitions or max(1, data.rdd.getNumPartitions())
     t_start = time.perf_counter()
-    data = data.repartition(n_parts, "_uid").checkpoint(eager=True)  # cut lineage once
+    data, n_parts = training_layout(df, features, partitions)
     if verbose:
         print(f"training data: {n_parts} partitions, {time.perf_counter() - t_start:.2f}s")
 

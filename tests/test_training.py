@@ -74,3 +74,14 @@ def test_rounds_per_epoch(spark):
     assert [h[1] for h in hist] == [500, 500, 500]
     losses = [h[2] for h in hist]
     assert losses[0] > losses[1] > losses[2]
+
+
+def test_hot_duplicate_group_is_spread(spark):
+    from logscan.operators.autoencoder import training_layout
+
+    hot = spark.range(3000).select(F.array(*[F.lit(1.0)] * 8).alias("x"))           # one line, 3000 copies
+    rest = spark.range(6000).select(F.array(*[F.col("id").cast("double")] * 8).alias("x"))
+    data, n = training_layout(hot.unionByName(rest), "x", partitions=8)
+    sizes = [r["c"] for r in data.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+    assert n == 8 and len(sizes) == 8 and sum(sizes) == 9000
+    assert max(sizes) < 1.3 * (9000 / 8)  # no partition holds the hot group
