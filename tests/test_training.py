@@ -85,3 +85,28 @@ def test_hot_duplicate_group_is_spread(spark):
     sizes = [r["c"] for r in data.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
     assert n == 8 and len(sizes) == 8 and sum(sizes) == 9000
     assert max(sizes) < 1.3 * (9000 / 8)  # no partition holds the hot group
+
+
+def test_pca_equals_numpy_brute_force(spark):
+    """M2b against a direct numpy PCA of the same token vectors (small fixture)."""
+    from logscan.functions.hashing import token_indices, token_vectors
+    from logscan.operators import prepare as P
+    from logscan.plans.queries import logs_view
+    from conftest import SF_SMALL
+
+    lines = P.scorable_lines(logs_view(spark, SF_SMALL)).withColumn("slots", token_indices("text"))
+    k = 8
+    model = fit_pca(token_vectors(lines.select("slots"), "slots", 768), "features", k=k)
+    got = lines.select("slots", recon_error(spark, model, "slots", kind="tokens", dim=768).alias("e")).collect()
+    x = np.zeros((len(got), 768))
+    for i, r in enumerate(got):
+        np.add.at(x[i], r.slots, 1.0)
+        x[i] /= np.linalg.norm(x[i])
+    mu = x.mean(axis=0)
+    vals, vecs = np.linalg.eigh(np.cov(x - mu, rowvar=False))
+    order = np.argsort(vals)[::-1]
+    assert vals[order[k - 1]] - vals[order[k]] > 1e-6  # a clear eigengap: the subspace is unique
+    p = vecs[:, order[:k]]
+    c = x - mu
+    want = ((c - c @ p @ p.T) ** 2).mean(axis=1)
+    assert np.allclose([r.e for r in got], want, rtol=1e-6, atol=1e-12)
