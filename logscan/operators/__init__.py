@@ -1,0 +1 @@
+"""DataFrame operators: prepare, score, quantiles, stats, join, PCA, autoencoder, uploads."""

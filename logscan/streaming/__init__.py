@@ -1,0 +1 @@
+"""Structured Streaming: detection over a landing folder, upload-event catalogue."""
