@@ -41,6 +41,8 @@ def stream_logs(spark: SparkSession, folder: str, schema=LOG_SCHEMA, archive_dir
     holds unread files.
     """
     r = _reader(spark.readStream, schema)
+    if archive_dir and archive_dir.rstrip("/").startswith(folder.rstrip("/") + "/"):
+        raise ValueError("the archive folder must lie outside the watched folder")
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:

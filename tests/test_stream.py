@@ -77,3 +77,11 @@ def test_dedupe_within_watermark(spark, tmp):
                             dedupe_within="1 hour")
     q.awaitTermination()
     assert spark.read.parquet(out + "/res").count() == 4
+
+
+def test_archive_inside_source_is_refused(spark, tmp):
+    import pytest
+    from logscan.sources.logs import stream_logs
+
+    with pytest.raises(ValueError):
+        stream_logs(spark, os.path.join(tmp, "in"), archive_dir=os.path.join(tmp, "in", "done"))
