@@ -54,9 +54,10 @@ def delete_inputs(spark: SparkSession, files, archive_dir: str | None = None) ->
     """T2 for batch runs: remove (or move to ``archive_dir``) exactly the
     files this run read; files that arrived later stay for the next run.
 
-    One metadata call per file from the driver: right for a folder of
-    uploads; for folders with very many files use the stream, whose
-    ``cleanSource`` archives on the executors' side as batches complete."""
+    One metadata call per file from the driver, in line: right for a folder
+    of uploads; for folders with very many files use the stream, whose
+    ``cleanSource`` archives completed files in the background with a pool of
+    threads (``spark.sql.streaming.fileSource.cleaner.numThreads``)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = 0
