@@ -400,6 +400,21 @@ def q_row_ids(spark, sf_dir):
                    F.count_distinct("RequestID").alias("n_requests"))
 
 
+def q_catalogue_stream(spark, sf_dir):
+    """S4 stand-in + U1-U3 as a stream: every event written as one JSON line
+    (the topic), decoded by the catalogue stream (availableNow), latest file
+    per name with its object key, read back from the appended entries."""
+    from logscan.operators.uploads import encode_event
+    from logscan.streaming.uploads_stream import json_line_events, read_catalogue, start_catalogue
+
+    base = fresh_dir(spark, "catalogue_stream")
+    encode_event(upload_events(spark, sf_dir)).write.mode("overwrite").text(base + "/topic")
+    q = start_catalogue(spark, json_line_events(spark, base + "/topic"), base + "/entries",
+                        base + "/rejects", base + "/checkpoint", available_now=True)
+    q.awaitTermination()
+    return read_catalogue(spark, base + "/entries").select("fileName", "uploadTime", "filePath", "object_key")
+
+
 QUERIES = {
     "mask_message": q_mask_message,
     "mask_documents": q_mask_documents,
@@ -426,6 +441,7 @@ QUERIES = {
     "batch_run": q_batch_run,
     "model_roundtrip": q_model_roundtrip,
     "latest_upload": q_latest_upload,
+    "catalogue_stream": q_catalogue_stream,
     "object_key": q_object_key,
     "decode_event": q_decode_event,
 }
@@ -507,6 +523,10 @@ ORACLE_SQL = {
     "latest_upload": "select fileName, uploadTime, filePath, event_id from (select *, row_number() over "
                      "(partition by fileName order by uploadTime desc, filePath desc) as rn from ("
                      + _UPLOAD_SQL + ")) where rn = 1",
+    "catalogue_stream": "select fileName, uploadTime, filePath, "
+                        "'uploads/' || regexp_extract(filePath, '([^/\\\\]*)$', 1) as object_key "
+                        "from (select *, row_number() over (partition by fileName order by uploadTime desc, "
+                        "filePath desc) as rn from (" + _UPLOAD_SQL + ")) where rn = 1",
     "object_key": "select event_id, 'uploads/' || regexp_extract(filePath, '([^/\\\\]*)$', 1) as object_key"
                   " from (" + _UPLOAD_SQL + ")",
     "decode_event": "select event_id, case when event_type = 'error' then null else filePath end as filePath, "
