@@ -146,6 +146,8 @@ ORACLE_SQL = {
                  "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
                  "union all select 'anomalies_count', round((count(*) filter (where e > thr))::double" + _R
                  + " from s, t",
+    "consume_once": "select 'first' as run, 'ok' as status, count(*)::double as total_logs from events "
+                    "union all select 'second', 'no_input', null::double",
     "row_ids": "select count(*) as n, count(*) as n_distinct, count(distinct event_id) as n_requests from events",
     "model_roundtrip": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s) "
                        "select vec_id, label, round(e" + _R + " as recon_error from s, t where e > thr",

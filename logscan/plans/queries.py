@@ -332,6 +332,24 @@ def q_catalogue_stream(spark, sf_dir):
     return read_catalogue(spark, base + "/entries").select("fileName", "uploadTime", "filePath", "object_key")
 
 
+def q_consume_once(spark, sf_dir):
+    """T2 + S2: a batch run over the events written as an upload folder
+    archives exactly the files it read; the next run finds nothing and ends
+    quietly.  Returns the status and line count of both runs."""
+    from logscan.plans.detect import run_batch
+    from logscan.sources.sinks import write_csv
+
+    base = fresh_dir(spark, "consume_once")
+    write_csv(logs_view(spark, sf_dir), base + "/uploads", mode="overwrite")
+    model = rank_one_model(EMBED_DIM, fixed_weight)
+    runs = []
+    for name, consume in (("first", True), ("second", True)):
+        r = run_batch(spark, base + "/uploads", model, 1.0, base + "/anomalies", run_id=name,
+                      consume=consume, archive_dir=base + "/archive")
+        runs.append((name, r["status"], r.get("total_logs")))
+    return spark.createDataFrame(runs, "run string, status string, total_logs double")
+
+
 QUERIES = {
     "mask_message": q_mask_message,
     "mask_documents": q_mask_documents,
@@ -354,6 +372,7 @@ QUERIES = {
     "pca_detect": q_pca_detect,
     "ae_history": q_ae_history,
     "row_ids": q_row_ids,
+    "consume_once": q_consume_once,
     "csv_roundtrip": q_csv_roundtrip,
     "batch_run": q_batch_run,
     "model_roundtrip": q_model_roundtrip,
