@@ -166,6 +166,7 @@ ORACLE_SQL = {
                      "select row_id, LogLevel, Service, Message, TimeVal, round(recon_error" + _R
                      + " as recon_error from l join s using (row_id)",
     "dedupe": "select distinct lang, text from documents",
+    "dedupe_by_text": "select lang, count(distinct text) as n_texts from documents group by lang",
     "topk": "select vec_id, label, round(e" + _R + " as recon_error from (" + EMB_ERRORS_SQL
             + ") order by e desc, vec_id limit 10",
     "latest_upload": "select fileName, uploadTime, filePath, event_id from (select *, row_number() over "

@@ -170,6 +170,14 @@ def q_dedupe(spark, sf_dir):
     return P.dedupe(docs.select("lang", "text"))
 
 
+def q_dedupe_by_text(spark, sf_dir):
+    """P8 on business columns: one document per (lang, text) among exact
+    copies (dropDuplicates, partial aggregation first), counted per language."""
+    docs = read_table(spark, sf_dir, "documents")
+    kept = P.dedupe(docs, on=["lang", "text"])
+    return kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_texts"))
+
+
 def q_topk(spark, sf_dir):
     errs = embedding_errors(spark, sf_dir)
     return P.top_k(errs, 10, "recon_error", tie_break=["vec_id"]).select(
@@ -367,6 +375,7 @@ QUERIES = {
     "run_metrics": q_run_metrics,
     "attach_scores": q_attach_scores,
     "dedupe": q_dedupe,
+    "dedupe_by_text": q_dedupe_by_text,
     "topk": q_topk,
     "stream_detect": q_stream_detect,
     "pca_detect": q_pca_detect,
