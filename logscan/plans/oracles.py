@@ -128,6 +128,11 @@ ORACLE_SQL = {
                      + " as max_error, round(avg(e)" + _R + " as mean_error, round(quantile_cont(e, 0.90)"
                      + _R + " as p90, round(quantile_cont(e, 0.95)" + _R + " as p95, "
                      "round(quantile_cont(e, 0.99)" + _R + " as p99 from (" + EMB_ERRORS_SQL + ")",
+    "error_summary_by_label": "select label, count(*) as n, round(min(e)" + _R + " as min_error, "
+                              "round(max(e)" + _R + " as max_error, round(avg(e)" + _R + " as mean_error, "
+                              "round(quantile_cont(e, 0.90)" + _R + " as p90, round(quantile_cont(e, 0.95)" + _R
+                              + " as p95, round(quantile_cont(e, 0.99)" + _R + " as p99 from ("
+                              + EMB_ERRORS_SQL + ") group by label",
     "detect": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s) "
               "select vec_id, label, round(e" + _R + " as recon_error from s, t where e > thr",
     "log_scores": "select event_id, round(e" + _R + " as recon_error from (" + LOG_ERRORS_SQL + ")",

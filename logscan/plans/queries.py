@@ -114,6 +114,13 @@ def q_error_summary(spark, sf_dir):
                            ["min_error", "max_error", "mean_error", "p90", "p95", "p99"]])
 
 
+def q_error_summary_by_label(spark, sf_dir):
+    """A4 per group (the grouped radix passes behind the epoch history)."""
+    s = error_summary(embedding_errors(spark, sf_dir), by=["label"])
+    return s.select("label", "n", *[_r(c).alias(c) for c in
+                                    ["min_error", "max_error", "mean_error", "p90", "p95", "p99"]])
+
+
 def _detect(spark, errs, key_cols):
     # Scores are written once to the shared checkpoint folder: the threshold
     # passes and the final filter read the same rows instead of scoring twice.
@@ -369,6 +376,7 @@ QUERIES = {
     "recon_error_fixed": q_recon_error_fixed,
     "threshold": q_threshold,
     "error_summary": q_error_summary,
+    "error_summary_by_label": q_error_summary_by_label,
     "detect": q_detect,
     "log_scores": q_log_scores,
     "detect_logs": q_detect_logs,
