@@ -138,6 +138,8 @@ def token_block(arr: pa.Array, dim: int) -> np.ndarray:
     if n == 0 or lens.sum() == 0:
         return np.zeros((n, dim))
     flat = _values(arr).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    if flat.min() < 0 or flat.max() >= dim:
+        raise ValueError(f"token slot outside 0..{dim - 1}: slots and model width disagree")
     rows = np.repeat(np.arange(n, dtype=np.int64), lens)
     m = np.bincount(rows * dim + flat, minlength=n * dim).astype(np.float64).reshape(n, dim)
     norm = np.sqrt(np.einsum("ij,ij->i", m, m))
