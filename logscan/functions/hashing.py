@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Width of the token vector; the reference's text embedding is 768 wide.
+# Fixed value (as in the reference): embedding width, 768.
 EMBED_DIM = 768
-# Characters that separate tokens.
+# Design value: characters that separate tokens.
 TOKEN_SEPARATORS = r"[ \t\r\n]+"
 
 

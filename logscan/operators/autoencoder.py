@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from logscan.operators.score import MAX_BROADCAST_PARAMS, Model, dense_block, token_block
 from logscan.operators.stats import epoch_history
 
-# Fixed training settings of the reference.
+# Fixed values (as in the reference): layer widths, epochs, batch size, rate.
 LAYER_DIMS = (768, 256, 64, 256, 768)
 EPOCHS = 3
 BATCH_SIZE = 32
 LEARNING_RATE = 1e-4
-# Adam defaults.
+# Adam defaults.
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
 CHUNK = 1 << 13  # doubles per parameter chunk (64 KB)
 SINGLE_LEVEL_PARTS = 256  # up to this many partitions one summing level suffices

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from logscan.operators.quantile import exact_quantiles
 
-# Percentile that sets the anomaly threshold, and those of the summary.
+# Fixed values (as in the reference): the percentile that sets the anomaly
+# threshold, those of the summary, the run metric names and the stage label.
 THRESHOLD_PERCENTILE = 0.95
 SUMMARY_PERCENTILES = (0.90, 0.95, 0.99)
-# Run metric names and the stage label of the detection job.
 METRIC_NAMES = ("total_logs", "anomalies_count", "anomalies_ratio", "duration_sec", "detect_sec")
 DETECT_STAGE = "SparkProcess"
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from logscan.schema import EVENT_DDL
 
-# Folder prefix of landed files in the object store.
+# Fixed value (as in the reference): folder prefix of landed files.
 UPLOAD_PREFIX = "uploads/"
 
 

@@ -18,7 +18,7 @@ from logscan.operators.stats import DETECT_STAGE, metrics_long
 from logscan.plans.detect import score_lines
 from logscan.sources.logs import TIMESTAMP_FORMAT, stream_logs
 
-# Poll interval of the reference's scheduler.
+# Fixed value (as in the reference): poll interval of the scheduled run.
 DEFAULT_TRIGGER = "3 minutes"
 
 

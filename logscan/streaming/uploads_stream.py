@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logscan.operators.uploads import decode_event, encode_event, latest_uploads, object_key
 
-# Topic and consumer group of the reference.
+# Fixed values (as in the reference): topic and consumer group.
 UPLOAD_TOPIC = "logs.upload"
 UPLOAD_GROUP = "upload-group"
 
