@@ -144,6 +144,11 @@ ORACLE_SQL = {
                      + LOG_ERRORS_SQL + ")), t as (select quantile_cont(e, 0.95) as thr "
                      "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
                      + " as recon_error from s, t where e > thr",
+    "stream_metrics": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "
+                      "t as (select quantile_cont(e, 0.95) as thr from s) "
+                      "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
+                      "union all select 'anomalies_count', round((count(*) filter (where e > thr))::double" + _R
+                      + " from s, t",
     "csv_roundtrip": "select event_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, LogLevel, Service,"
                      " Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "batch_run": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "

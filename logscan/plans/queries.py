@@ -230,11 +230,9 @@ def q_decode_event(spark, sf_dir):
     return dec.select("event_id", "filePath", "fileName", "uploadTime", "is_valid")
 
 
-def q_stream_detect(spark, sf_dir):
-    """T1-T3 + S3: the detect_logs chain as a Structured Streaming query over
-    the events table (file source, availableNow), idempotent foreachBatch
-    output; the threshold comes from the batch scores of the same table."""
-    from logscan.session import fresh_dir
+def _run_detect_stream(spark, sf_dir) -> str:
+    """The detect_logs chain as a Structured Streaming query over the events
+    table (file source, availableNow); returns its output folder."""
     from logscan.streaming.detect_stream import start_detect_stream
 
     events_schema = read_table(spark, sf_dir, "events").schema
@@ -247,11 +245,25 @@ def q_stream_detect(spark, sf_dir):
                             out + "/anomalies", out + "/checkpoint", metrics_path=out + "/metrics",
                             available_now=True, fmt="parquet", round_digits=TIE_DIGITS)
     q.awaitTermination()
-    res = spark.read.parquet(out + "/anomalies")
+    return out
+
+
+def q_stream_detect(spark, sf_dir):
+    """T1-T3 + S3: anomalies written by the stream, idempotent per batch; the
+    threshold comes from the batch scores of the same table."""
+    res = spark.read.parquet(_run_detect_stream(spark, sf_dir) + "/anomalies")
     return res.select(F.col("RequestID").alias("event_id"), "LogLevel", "Service", "Message", "TimeVal",
                       _r("recon_error").alias("recon_error"))
 
 
+def q_stream_metrics(spark, sf_dir):
+    """T3 second output + T5: the run metrics the stream wrote per batch,
+    summed over batches (counts only; durations are not comparable)."""
+    met = spark.read.parquet(_run_detect_stream(spark, sf_dir) + "/metrics")
+    return (met.where(F.col("metric_name").isin("total_logs", "anomalies_count"))
+            .groupBy("metric_name").agg(_r(F.sum("metric_value")).alias("metric_value")))
+
+
 def q_pca_detect(spark, sf_dir):
     """M5 with PCA (k=64) on events-as-logs: md5 70/30 split, p95 threshold
     on train errors, anomalies of the test part."""
@@ -386,6 +398,7 @@ QUERIES = {
     "dedupe_by_text": q_dedupe_by_text,
     "topk": q_topk,
     "stream_detect": q_stream_detect,
+    "stream_metrics": q_stream_metrics,
     "pca_detect": q_pca_detect,
     "ae_history": q_ae_history,
     "row_ids": q_row_ids,
