@@ -183,7 +183,8 @@ ORACLE_SQL = {
                      "(partition by fileName order by uploadTime desc, filePath desc) as rn from ("
                      + _UPLOAD_SQL + ")) where rn = 1",
     "catalogue_stream": "select fileName, uploadTime, filePath, "
-                        "'uploads/' || regexp_extract(filePath, '([^/\\\\]*)$', 1) as object_key "
+                        "'uploads/' || regexp_extract(filePath, '([^/\\\\]*)$', 1) as object_key, "
+                        "'uploads/' || uploadTime || '-' || fileName as landing_key "
                         "from (select *, row_number() over (partition by fileName order by uploadTime desc, "
                         "filePath desc) as rn from (" + _UPLOAD_SQL + ")) where rn = 1",
     "object_key": "select event_id, 'uploads/' || regexp_extract(filePath, '([^/\\\\]*)$', 1) as object_key"

@@ -356,7 +356,8 @@ def q_catalogue_stream(spark, sf_dir):
     q = start_catalogue(spark, json_line_events(spark, base + "/topic"), base + "/entries",
                         base + "/rejects", base + "/checkpoint", available_now=True)
     q.awaitTermination()
-    return read_catalogue(spark, base + "/entries").select("fileName", "uploadTime", "filePath", "object_key")
+    return read_catalogue(spark, base + "/entries").select("fileName", "uploadTime", "filePath", "object_key",
+                                                          "landing_key")
 
 
 def q_consume_once(spark, sf_dir):

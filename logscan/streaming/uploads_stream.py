@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logscan.operators.uploads import decode_event, encode_event, latest_uploads, object_key
+from logscan.operators.uploads import decode_event, encode_event, landing_key, latest_uploads, object_key
 
 # Fixed values (as in the reference): topic and consumer group.
 UPLOAD_TOPIC = "logs.upload"
@@ -53,7 +53,8 @@ def start_catalogue(spark: SparkSession, events: DataFrame, catalogue_path: str,
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(reject_path))
             valid = batch.where("is_valid").select("fileName", "uploadTime", "filePath")
-            current = latest_uploads(valid).withColumn("object_key", object_key("filePath"))
+            current = (latest_uploads(valid).withColumn("object_key", object_key("filePath"))
+                       .withColumn("landing_key", landing_key("fileName", "uploadTime")))
             (current.withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(catalogue_path))
