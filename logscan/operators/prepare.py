@@ -54,14 +54,11 @@ def threshold_filter(df: DataFrame, threshold, col: str = "recon_error") -> Data
     """Lines whose error is strictly above the threshold.
 
     ``threshold`` is a number or a one-row DataFrame with a ``threshold``
-    column; the latter is cross-joined (one row, so broadcast) and nothing
-    is collected.
+    column; the latter becomes a scalar subquery (evaluated once, used as a
+    value; more than one row is an error), so nothing is joined or collected.
     """
     if isinstance(threshold, DataFrame):
-        t = threshold.select(F.col("threshold").alias("_thr"))
-        if t.limit(2).count() != 1:  # the broadcast side must be exactly one row
-            raise ValueError("threshold table must hold exactly one row")
-        return df.crossJoin(F.broadcast(t)).filter(F.col(col) > F.col("_thr")).drop("_thr")
+        return df.filter(F.col(col) > threshold.select("threshold").scalar())
     return df.filter(F.col(col) > F.lit(float(threshold)))
 
 

@@ -61,8 +61,10 @@ def test_partial_aggregation_before_shuffle(spark):
     assert dplan.count("HashAggregate") >= 2
 
 
-def test_threshold_table_is_broadcast(spark):
+def test_threshold_table_is_a_scalar_subquery(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("recon_error"))
     t = spark.createDataFrame([(10.0,)], "threshold double")
-    plan = _plan(P.threshold_filter(df, t))
-    assert "Broadcast" in plan and "SortMergeJoin" not in plan
+    out = P.threshold_filter(df, t)
+    plan = _plan(out)
+    assert "Subquery" in plan and "Join" not in plan
+    assert out.count() == 989
