@@ -88,8 +88,8 @@ LOG_ERRORS_SQL = """
   ww as (select sum(w * w) as ww from w),
   z as (select event_id, sum(c * w) / sqrt(sum(c * c)) as z from cnt join w using (slot)
         group by event_id)
-  select txt.*, (1 - 2 * z * z + z * z * ww) / 768 as e
-  from txt join z using (event_id), ww"""
+  select txt.*, (1 - 2 * z * z + z * z * (select ww from ww)) / 768 as e
+  from txt join z using (event_id)"""
 
 
 
@@ -134,36 +134,36 @@ ORACLE_SQL = {
                               + " as p95, round(quantile_cont(e, 0.99)" + _R + " as p99 from ("
                               + EMB_ERRORS_SQL + ") group by label",
     "detect": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s) "
-              "select vec_id, label, round(e" + _R + " as recon_error from s, t where e > thr",
+              "select vec_id, label, round(e" + _R + " as recon_error from s where e > (select thr from t)",
     "log_scores": "select event_id, round(e" + _R + " as recon_error from (" + LOG_ERRORS_SQL + ")",
     "detect_logs": "with s as (select * exclude (e), round(e, " + str(TIE_DIGITS) + ") as e from ("
                    + LOG_ERRORS_SQL + ")), t as (select quantile_cont(e, 0.95) as thr "
                    "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
-                   + " as recon_error from s, t where e > thr",
+                   + " as recon_error from s where e > (select thr from t)",
     "stream_detect": "with s as (select * exclude (e), round(e, " + str(TIE_DIGITS) + ") as e from ("
                      + LOG_ERRORS_SQL + ")), t as (select quantile_cont(e, 0.95) as thr "
                      "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
-                     + " as recon_error from s, t where e > thr",
+                     + " as recon_error from s where e > (select thr from t)",
     "stream_metrics": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "
                       "t as (select quantile_cont(e, 0.95) as thr from s) "
                       "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
-                      "union all select 'anomalies_count', round((count(*) filter (where e > thr))::double" + _R
-                      + " from s, t",
+                      "union all select 'anomalies_count', round((count(*) filter (where e > (select thr from t)))::double" + _R
+                      + " from s",
     "csv_roundtrip": "select event_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, LogLevel, Service,"
                      " Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "batch_run": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "
                  "t as (select quantile_cont(e, 0.95) as thr from s) "
                  "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
-                 "union all select 'anomalies_count', round((count(*) filter (where e > thr))::double" + _R
-                 + " from s, t",
+                 "union all select 'anomalies_count', round((count(*) filter (where e > (select thr from t)))::double" + _R
+                 + " from s",
     "consume_once": "select 'first' as run, 'ok' as status, count(*)::double as total_logs from events "
                     "union all select 'second', 'no_input', null::double",
     "row_ids": "select count(*) as n, count(*) as n_distinct, count(distinct event_id) as n_requests from events",
     "model_roundtrip": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s) "
-                       "select vec_id, label, round(e" + _R + " as recon_error from s, t where e > thr",
+                       "select vec_id, label, round(e" + _R + " as recon_error from s where e > (select thr from t)",
     "run_metrics": "with s as (" + EMB_ERRORS_SQL + "), t as (select quantile_cont(e, 0.95) as thr from s), "
-                   "c as (select count(*)::double as total_logs, count(*) filter (where e > thr)::double "
-                   "as anomalies_count from s, t) "
+                   "c as (select count(*)::double as total_logs, count(*) filter (where e > (select thr from t))::double "
+                   "as anomalies_count from s) "
                    "select 'total_logs' as metric_name, round(total_logs" + _R + " as metric_value from c "
                    "union all select 'anomalies_count', round(anomalies_count" + _R + " from c "
                    "union all select 'anomalies_ratio', round(case when total_logs > 0 then "
