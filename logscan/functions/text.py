@@ -75,6 +75,11 @@ def parse_time_double(time_taken) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
+def time_is_nan(time_taken) -> Column:
+    """True exactly when ``parse_time`` gives NaN (null text is not NaN)."""
+    return F.coalesce(_col(time_taken).cast("string").rlike(_NAN), F.lit(False))
+
+
 def parse_time(time_taken) -> Column:
     """``TimeVal``: the parsed duration stored as float32."""
     return parse_time_double(time_taken).cast("float")

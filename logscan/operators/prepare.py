@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logscan.functions.text import compose_text, mask_message, parse_time
+from logscan.functions.text import compose_text, mask_message, parse_time, time_is_nan
 from logscan.schema import LOG_COLUMNS, SCORED_COLUMNS
 
 
@@ -39,6 +39,19 @@ def drop_incomplete(df: DataFrame, subset=None) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset or SCORED_COLUMNS))
 
 
+def drop_incomplete_raw(df: DataFrame) -> DataFrame:
+    """P4 stated on the raw log columns, for lines that ``prepare`` follows.
+
+    After preparation a Message is never null (it becomes the text None) and
+    TimeVal is never null and is NaN exactly when TimeTaken reads as NaN, so
+    the rule is: LogLevel and Service present and TimeTaken not a NaN.  The
+    null tests reach the scan as pushed filters and no masking or parsing
+    runs for the test itself.
+    """
+    return df.where(F.col("LogLevel").isNotNull() & F.col("Service").isNotNull()
+                    & ~time_is_nan("TimeTaken"))
+
+
 def with_text(df: DataFrame, with_time: bool = True, name: str = "text") -> DataFrame:
     """F4 + F5: the model input text of every line."""
     return df.withColumn(
@@ -47,7 +60,7 @@ def with_text(df: DataFrame, with_time: bool = True, name: str = "text") -> Data
 
 def scorable_lines(df: DataFrame, with_time: bool = True) -> DataFrame:
     """Prepared, complete lines with their text; log columns kept."""
-    return with_text(drop_incomplete(prepare(df)), with_time=with_time)
+    return with_text(prepare(drop_incomplete_raw(df)), with_time=with_time)
 
 
 def threshold_filter(df: DataFrame, threshold, col: str = "recon_error") -> DataFrame:

@@ -68,3 +68,18 @@ def test_text_and_result_columns(spark):
         "Timestamp", "LogLevel", "Service", "Message", "RequestID", "User", "ClientIP", "TimeTaken",
         "TimeVal", "recon_error"]
     assert P.schema_report(df).startswith("root")
+
+
+def test_raw_drop_equals_prepared_drop(spark):
+    from conftest import SF_SMALL
+    from logscan.plans.queries import logs_view
+
+    dirty = logs_view(spark, SF_SMALL, dirty=True)
+    a = P.drop_incomplete(P.prepare(dirty))
+    b = P.prepare(P.drop_incomplete_raw(dirty))
+    cols = ["RequestID", "LogLevel", "Service", "Message", "TimeVal"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+    rows = [ROW, (7, None, "INFO", "S", None, 8, "U", "1.1.1.1", " NaN ms"), (8, None, "INFO", "S", "m", 9, "U", "1", None)]
+    df = _logs(spark, rows)
+    assert sorted(P.drop_incomplete(P.prepare(df)).select("RequestID").collect()) == \
+        sorted(P.prepare(P.drop_incomplete_raw(df)).select("RequestID").collect())
