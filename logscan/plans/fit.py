@@ -50,13 +50,15 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
     the input is laid out differently."""
     spark = logs.sparkSession
     logs = spread(logs)
-    prepared = P.prepare(logs).withColumn("_key", line_key(logs))
+    # P4 on raw columns first (pushed into the reader); the content-hash split
+    # assigns each line the same way before or after it.
+    prepared = P.prepare(P.drop_incomplete_raw(logs)).withColumn("_key", line_key(logs))
     if split == "random":
         tr, te = prepared.randomSplit([train_percent / 100.0, 1 - train_percent / 100.0], seed=seed)
         prepared = tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")))
     else:
         prepared = prepared.withColumn("split", split_label("_key", train_percent))
-    lines = featurize(P.with_text(P.drop_incomplete(prepared)), dim, "slots")
+    lines = featurize(P.with_text(prepared), dim, "slots")
     train = lines.where(F.col("split") == "train")
     test = lines.where(F.col("split") == "test")
 
