@@ -67,6 +67,8 @@ def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
     # their lineage so a lost block is recomputed.
     train_slots = train.select("slots").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if train_slots.isEmpty():
+            raise ValueError("no complete log line to train on")
         history = []
         if method == "pca":
             model = fit_pca(token_vectors(train_slots, "slots", dim), "features", k=k)

@@ -34,3 +34,12 @@ def test_word2vec_variant(spark):
     pca = fit_pca(feats, "features", k=4)
     scored = feats.select(recon_error(spark, pca, "features").alias("e"))
     assert scored.where(F.col("e").isNull()).count() == 0 and scored.count() == lines.count()
+
+
+def test_fit_on_nothing(spark):
+    from logscan.schema import LOG_SCHEMA
+
+    import pytest
+
+    with pytest.raises(ValueError, match="no complete log line"):
+        fit(spark.createDataFrame([], LOG_SCHEMA), method="pca", k=4)
