@@ -83,3 +83,23 @@ def test_raw_drop_equals_prepared_drop(spark):
     df = _logs(spark, rows)
     assert sorted(P.drop_incomplete(P.prepare(df)).select("RequestID").collect()) == \
         sorted(P.prepare(P.drop_incomplete_raw(df)).select("RequestID").collect())
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_maybe = lambda s: st.one_of(st.none(), s)
+_time = st.one_of(st.sampled_from(["nanms", "NaN", " -nan ms", "infms", "28ms", "bad", "", "1e400ms", "nan\\n"]),
+                  st.text(alphabet="0123456789.nNaAiIfms +-", max_size=8))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(_maybe(st.sampled_from(["INFO", "ERROR"])), _maybe(st.sampled_from(["A", "B"])),
+                          _maybe(st.text(alphabet="User0123. ", max_size=12)), _maybe(_time)),
+                min_size=1, max_size=30))
+def test_property_raw_drop(spark, rows):
+    data = [(i, None, lv, sv, m, i, "U", "ip", t) for i, (lv, sv, m, t) in enumerate(rows)]
+    df = _logs(spark, data)
+    a = sorted(r.RequestID for r in P.drop_incomplete(P.prepare(df)).collect())
+    b = sorted(r.RequestID for r in P.prepare(P.drop_incomplete_raw(df)).collect())
+    assert a == b
