@@ -39,13 +39,18 @@ _DIGITS = 1 << _BITS
 
 
 @F.arrow_udf(T.LongType())
-def sortable_key(arr: pa.Array) -> pa.Array:
+def _sortable_key(arr: pa.Array) -> pa.Array:
     """Order-preserving 64-bit key of a double (compare as unsigned)."""
     a = arr.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # -0.0 -> 0.0
     bits = a.view(np.int64)
     return pa.array(np.where(bits < 0, ~bits, bits | _SIGN), type=pa.int64())
 
 
+# Declared non-deterministic only so that filters on the key (inferred by
+# joins) are not pushed below it with the function inlined a second time.
+sortable_key = _sortable_key.asNondeterministic()
+
+
 def key_to_double(key: int) -> float:
     u = key & 0xFFFFFFFFFFFFFFFF
     bits = (u & 0x7FFFFFFFFFFFFFFF) if u >> 63 else (~u & 0xFFFFFFFFFFFFFFFF)

@@ -34,6 +34,18 @@ def main():
             Q.embedding_errors(spark, sf), spark.createDataFrame([(0.01,)], "threshold double")),
         "top_k (P7)": P.top_k(Q.embedding_errors(spark, sf), 10, tie_break=["vec_id"]),
     }
+    # the exact-percentile passes, as exact_quantiles builds them
+    from logscan.operators import quantile as QT
+
+    errs = Q.embedding_errors(spark, sf)
+    base = errs.where(F.col("recon_error").isNotNull()).select(
+        QT.sortable_key(F.col("recon_error")).alias("_k")).persist()
+    shown["exact percentile, pass 0 (histogram of the top 16 key bits)"] = (
+        base.groupBy(QT._digit(0).alias("_d")).agg(F.count(F.lit(1)).alias("_n"), F.min("_k"), F.max("_k")))
+    wanted = spark.createDataFrame([(123,)], "_pre long")
+    framed = base.withColumn("_pre", F.shiftrightunsigned("_k", 48)).join(F.broadcast(wanted), ["_pre"])
+    shown["exact percentile, pass 1 (only the open prefixes, next 16 bits)"] = (
+        framed.groupBy("_pre", QT._digit(1).alias("_d")).agg(F.count(F.lit(1)).alias("_n")))
     for title, df in shown.items():
         print(f"### {title}\n\n```")
         for line in df._jdf.queryExecution().executedPlan().toString().strip().splitlines():
