@@ -164,8 +164,9 @@ def q_run_metrics(spark, sf_dir):
 def q_attach_scores(spark, sf_dir):
     """Prepared log lines joined to a score table (row_id, recon_error)
     that exists only for complete lines; the others disappear."""
-    logs = P.prepare(logs_view(spark, sf_dir, dirty=True).withColumn("row_id", F.col("_c0")))
-    scores = P.drop_incomplete(logs).select(
+    dirty = logs_view(spark, sf_dir, dirty=True).withColumn("row_id", F.col("_c0"))
+    logs = P.prepare(dirty)
+    scores = P.prepare(P.drop_incomplete_raw(dirty)).select(
         "row_id", (F.col("TimeVal").cast("double") / 1000.0).alias("recon_error"))
     joined = attach_scores(logs, scores, "row_id")
     return joined.select("row_id", "LogLevel", "Service", "Message", "TimeVal",
