@@ -48,6 +48,8 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     in the same session agree on it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if base and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)  # named after start-up: register it
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
@@ -63,15 +65,6 @@ def fresh_dir(spark: SparkSession, kind: str) -> str:
     return work_dir(spark, kind, uuid.uuid4().hex)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``logscan`` importable in executor Python workers.
 
