@@ -57,6 +57,15 @@ def stamp_now() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
+def upload_events_for(paths: DataFrame, path_col: str = "filePath") -> DataFrame:
+    """U4 + the event an upload produces: for every stored file path, the
+    file name (last path element, either separator) and the upload time as
+    epoch milliseconds now; ready for ``encode_event`` / publishing."""
+    p = F.col(path_col)
+    return paths.select(p.alias("filePath"), F.regexp_extract(p, r"([^/\\]*)$", 1).alias("fileName"),
+                        stamp_now().alias("uploadTime"))
+
+
 def latest_uploads(events: DataFrame, name: str = "fileName", time: str = "uploadTime",
                    tie: str = "filePath") -> DataFrame:
     """The current file of every name: the latest upload wins, ties go to

@@ -58,3 +58,17 @@ def test_catalogue_stream(spark, tmp):
     assert cur["a.csv"].uploadTime == 1700000005000 and cur["a.csv"].object_key == "uploads/a.csv"
     assert cur["b.csv"].filePath == "/y/b.csv"
     assert spark.read.parquet(base + "/rejects").count() == 1
+
+
+def test_upload_events_for_paths(spark):
+    import time
+
+    from logscan.operators.uploads import upload_events_for
+
+    before = int(time.time() * 1000)
+    paths = spark.createDataFrame([("/data/uploads/a.csv",), ("C:\\up\\b.csv",)], "filePath string")
+    ev = upload_events_for(paths).collect()
+    assert [r.fileName for r in ev] == ["a.csv", "b.csv"]
+    assert all(before - 1000 <= r.uploadTime <= int(time.time() * 1000) + 1000 for r in ev)
+    back = decode_event(encode_event(upload_events_for(paths))).collect()
+    assert all(r.is_valid for r in back)
