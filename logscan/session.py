@@ -65,28 +65,50 @@ def fresh_dir(spark: SparkSession, kind: str) -> str:
     return work_dir(spark, kind, uuid.uuid4().hex)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``logscan`` importable in executor Python workers.
-
-    Arrow batch functions refer to functions of this package, so workers
-    must import it.  The package is zipped once per SparkContext and added
-    with ``addPyFile``, which distributes it to every executor.
-    """
+def _package_zip() -> bytes:
+    import io
     import zipfile
 
-    sc = spark.sparkContext
-    if getattr(sc, "_logscan_shipped", False):
-        return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    fd, path = tempfile.mkstemp(prefix="logscan-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for d, _, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     zf.write(full, os.path.relpath(full, root))
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession, shared: bool | None = None) -> None:
+    """Make ``logscan`` importable in executor Python workers.
+
+    Arrow batch functions refer to functions of this package, so workers
+    must import it.  The package is zipped once per SparkContext and added
+    with ``addPyFile``.  In local mode the zip is a private temporary file;
+    on a cluster it is written to the shared work folder first (no
+    machine-local folder), from where every executor fetches it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_logscan_shipped", False):
+        return
+    data = _package_zip()
+    if shared is None:
+        shared = not sc.master.startswith("local")
+    if shared:
+        path = work_dir(spark, "pyfiles", f"logscan-{uuid.uuid4().hex}.zip")
+        jvm = sc._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    else:
+        fd, path = tempfile.mkstemp(prefix="logscan-", suffix=".zip")
+        with os.fdopen(fd, "wb") as f:
+            f.write(data)
     sc.addPyFile(path)
     sc._logscan_shipped = True
 

@@ -66,3 +66,26 @@ def test_float32_precision_close(spark):
                       recon_error(spark, model, "embedding", precision="float32").alias("s")).collect()
     assert max(abs(r.d - r.s) / r.d for r in rows) < 1e-5
     assert LAYER_DIMS[0] == 768
+
+
+def test_package_shipped_through_shared_folder(tmp):
+    """The cluster path of ship_package (zip in the shared work folder)."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", {tmp!r}).getOrCreate()
+from logscan.session import ship_package
+ship_package(spark, shared=True)
+from logscan.operators.score import rank_one_model, recon_error
+df = spark.range(3).selectExpr("array(cast(id as double), 1d) as x")
+print(sorted(r.e for r in df.select(recon_error(spark, rank_one_model(2, lambda d: 0.5), "x").alias("e")).collect()))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd="/")
+    assert out.returncode == 0, out.stderr[-2000:]
+    import os
+    assert any(f.endswith(".zip") for _, _, fs in os.walk(os.path.join(tmp, "pyfiles")) for f in fs)
