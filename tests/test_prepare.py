@@ -103,3 +103,9 @@ def test_property_raw_drop(spark, rows):
     a = sorted(r.RequestID for r in P.drop_incomplete(P.prepare(df)).collect())
     b = sorted(r.RequestID for r in P.prepare(P.drop_incomplete_raw(df)).collect())
     assert a == b
+
+
+def test_keep_raw_message(spark):
+    row = (0, None, "INFO", "S", "User5 at 10.1.2.3", 1, "U", "ip", "5ms")
+    r = P.prepare(_logs(spark, [row]), keep_raw=True).first()
+    assert r.Message == "[USER] at [IP]" and r.RawMessage == "User5 at 10.1.2.3"
