@@ -73,7 +73,7 @@ def cmd_stream(args) -> dict:
     q = start_detect_stream(spark, args.input, model, thr if args.threshold is None else args.threshold,
                             args.result, args.checkpoint, metrics_path=args.metrics_path,
                             trigger=args.trigger, available_now=args.available_now,
-                            archive_dir=args.archive)
+                            archive_dir=args.archive, max_files_per_trigger=args.max_files_per_trigger)
     q.awaitTermination()
     return {"query_id": str(q.id), "last_progress": q.lastProgress}
 
@@ -133,6 +133,7 @@ def main(argv=None) -> int:
     s.add_argument("--trigger", default="3 minutes")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--archive", default=None)
+    s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.set_defaults(fn=cmd_stream)
 
     c = sub.add_parser("catalogue", help="upload events to the current-file catalogue")

@@ -76,16 +76,19 @@ def start_detect_stream(spark: SparkSession, source: DataFrame | str, model: Mod
                         trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
                         archive_dir: str | None = None, fmt: str = "csv",
                         round_digits: int | None = None, query_name: str | None = None,
-                        dedupe_within: str | None = None) -> StreamingQuery:
+                        dedupe_within: str | None = None,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the detection stream.
 
     ``source`` is a folder of log CSVs (S3) or any streaming DataFrame of
     log lines.  Repeated lines are scored again, as in the reference (T6);
     ``dedupe_within`` (e.g. ``'1 hour'``) drops a line seen again within that
-    event-time delay instead (watermark on ``Timestamp``, bounded state).  ``available_now`` processes what is there and stops (for an
+    event-time delay instead (watermark on ``Timestamp``, bounded state).
+    ``max_files_per_trigger`` bounds a micro-batch when a backlog has built up.  ``available_now`` processes what is there and stops (for an
     external scheduler, T1); otherwise it polls every ``trigger``.
     """
-    logs = stream_logs(spark, source, archive_dir=archive_dir) if isinstance(source, str) else source
+    logs = (stream_logs(spark, source, archive_dir=archive_dir, max_files_per_trigger=max_files_per_trigger)
+            if isinstance(source, str) else source)
     if dedupe_within:
         logs = (logs.withWatermark("Timestamp", dedupe_within)
                 .dropDuplicatesWithinWatermark([c for c in logs.columns if c != "_c0"]))

@@ -85,3 +85,15 @@ def test_archive_inside_source_is_refused(spark, tmp):
 
     with pytest.raises(ValueError):
         stream_logs(spark, os.path.join(tmp, "in"), archive_dir=os.path.join(tmp, "in", "done"))
+
+
+def test_max_files_per_trigger(spark, tmp):
+    folder = os.path.join(tmp, "uploads")
+    for i in range(3):
+        write_logs(folder, f"{i}.csv", LINES)
+    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ckpt")
+    q = start_detect_stream(spark, folder, MODEL, 0.0, out + "/res", ckpt, available_now=True, fmt="parquet",
+                            max_files_per_trigger=1)
+    q.awaitTermination()
+    res = spark.read.parquet(out + "/res")
+    assert res.select("batch_id").distinct().count() == 3 and res.count() == 12
