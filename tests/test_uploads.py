@@ -72,3 +72,19 @@ def test_upload_events_for_paths(spark):
     assert all(before - 1000 <= r.uploadTime <= int(time.time() * 1000) + 1000 for r in ev)
     back = decode_event(encode_event(upload_events_for(paths))).collect()
     assert all(r.is_valid for r in back)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a.csv", "b.csv", "c.csv"]), st.integers(0, 3),
+                          st.sampled_from(["/x/1", "/x/2", "C:\\y\\3"])), min_size=1, max_size=60))
+def test_property_latest_upload(spark, events):
+    df = spark.createDataFrame(events, "fileName string, uploadTime long, filePath string").repartition(3)
+    got = {r.fileName: (r.uploadTime, r.filePath) for r in latest_uploads(df).collect()}
+    want = {}
+    for name, t, path in events:
+        want[name] = max(want.get(name, (t, path)), (t, path))
+    assert got == want
