@@ -89,3 +89,21 @@ print(sorted(r.e for r in df.select(recon_error(spark, rank_one_model(2, lambda
     assert out.returncode == 0, out.stderr[-2000:]
     import os
     assert any(f.endswith(".zip") for _, _, fs in os.walk(os.path.join(tmp, "pyfiles")) for f in fs)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="abcXYZéÜß019 .,-\t\n\r", max_size=60), min_size=1, max_size=20))
+def test_property_token_slots_against_hashlib(spark, texts):
+    import hashlib
+    import re
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: list(r.s) for r in df.select("i", token_indices("t").alias("s")).collect()}
+    for i, t in enumerate(texts):
+        toks = [w for w in re.split(r"[ \t\r\n]+", t.lower()) if w]
+        want = [int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % 768 for w in toks]
+        assert got[i] == want, (t, got[i], want)
