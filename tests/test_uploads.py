@@ -88,3 +88,13 @@ def test_property_latest_upload(spark, events):
     for name, t, path in events:
         want[name] = max(want.get(name, (t, path)), (t, path))
     assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="ab/\\.c:1 ", max_size=20), min_size=1, max_size=30))
+def test_property_object_key(spark, paths):
+    import re
+
+    df = spark.createDataFrame([(p,) for p in paths], "filePath string")
+    got = [r.k for r in df.select(object_key("filePath").alias("k")).collect()]
+    assert got == ["uploads/" + re.split(r"[/\\]", p)[-1] for p in paths]
