@@ -19,12 +19,12 @@ from pyspark.sql import SparkSession
 
 
 def _session(args) -> SparkSession:
-    from logscan.session import BASE_CONF, work_dir
+    from logscan.session import BASE_CONF, SQL_TUNING, work_dir
 
     builder = SparkSession.builder.appName(f"logscan-{args.command}")
     if args.master:
         builder = builder.master(args.master)
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **SQL_TUNING}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     work_dir(spark)
