@@ -55,8 +55,10 @@ def mask_message(message) -> Column:
     later as missing.
     """
     text = F.coalesce(_col(message).cast("string"), F.lit(NULL_MESSAGE))
-    text = F.regexp_replace(text, _UNICODE + IP_PATTERN, IP_TOKEN)
-    return F.regexp_replace(text, _UNICODE + USER_PATTERN, USER_TOKEN)
+    masked = F.regexp_replace(F.regexp_replace(text, _UNICODE + IP_PATTERN, IP_TOKEN),
+                              _UNICODE + USER_PATTERN, USER_TOKEN)
+    # Both patterns need a digit; most messages have none and skip both passes.
+    return F.when(text.rlike(_UNICODE + r"\d"), masked).otherwise(text)
 
 
 def parse_time_double(time_taken) -> Column:
