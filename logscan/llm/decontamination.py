@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logscan.llm.common import hashed_words, read_table, text_slices, without, word_class, windows
 from logscan.session import ship_package
@@ -180,7 +181,7 @@ def scan_documents(docs: DataFrame, bench: DataFrame, text_col: str = "text", it
         (F.col("n_hit") > 0).alias("contaminated"), "hit_bytes")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _without_bytes(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for text, cuts in zip(texts.to_pylist(), spans.to_pylist()):
