@@ -190,7 +190,8 @@ class Mix:
         lo = F.greatest(F.col("_start"), F.col("_block") * b)
         hi = F.least(F.col("_start") + F.col("size"), F.col("_block") * b + F.col("_take"))
         return (both.withColumn("_from", lo - F.col("_start"))
-                .withColumn("_to", F.greatest(hi - F.col("_start"), F.col("_from"))))
+                .withColumn("_to", F.when(F.col("_use").isNull(), F.col("_from"))
+                            .otherwise(F.greatest(hi - F.col("_start"), F.col("_from")))))
 
 
 def mix_counts(docs: DataFrame, keep=("doc_id",), **options) -> DataFrame:
