@@ -5,11 +5,13 @@ from __future__ import annotations
 from logscan.llm.decontamination import OP3_SQL, op3_decontamination
 from logscan.llm.mixing import op2_mixing
 from logscan.llm.sharding import op1_sharding
+from logscan.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
