@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from logscan.llm.decontamination import OP3_SQL, op3_decontamination
 from logscan.llm.mixing import op2_mixing
+from logscan.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
 from logscan.llm.sharding import op1_sharding
 from logscan.llm.toxicity import op9_toxicity
 
@@ -11,9 +12,11 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": OP3_SQL,
+    "op8_ngram_jaccard": OP8_SQL,
 }
