@@ -13,7 +13,8 @@ their overlap is at least 4 (a + b) / 9, that is a Jaccard similarity of 0.8.
   The overlap of two sets is at most the sum of the smaller counts, group by
   group; over two boxes, of the smaller box maxima.  The tree is joined with
   itself, descending only where that bound allows a link.
-* Verification: surviving pairs are checked on their whole shingle sets.
+* Verification: surviving pairs are checked by the same bound over finer
+  counts (about as many groups as shingles), then on their whole shingle sets.
 
 Within large groups (thousands of near copies) the first pass keeps each
 point's best partner only; once those links have joined most of the group
@@ -44,6 +45,7 @@ CHUNK_ROWS = 50_000
 HOT_SAMPLE = 64      # 1 in so many classes is looked at to find hot keys (load balance only)
 HOT_KEYS = 1024      # at most so many keys are split: bounds the broadcast
 BLOCK_ROWS = 4096    # rows per block of a hot key
+FINE_MAX = 1 << 14   # groups of the finer counts at most
 _SATURATED = 65535
 
 
@@ -70,10 +72,25 @@ def count_vector(s: np.ndarray) -> bytes:
     return c.astype(np.uint8).tobytes() if c.max(initial=0) < 256 else np.minimum(c, _SATURATED).astype(np.uint16).tobytes()
 
 
+def fine_counts(s: np.ndarray) -> bytes:
+    """Counts over about as many groups as shingles, one byte each (255: or more)."""
+    groups = min(FINE_MAX, max(GROUPS, 1 << (len(s) - 1).bit_length())) if len(s) else GROUPS
+    c = np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(c, 255).astype(np.uint8).tobytes()
+
+
+def fine_bound(a: bytes, b: bytes) -> int:
+    """Upper bound of the overlap of two sets from their finer counts."""
+    x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (a, b))
+    x[x == 255] = y[y == 255] = 1 << 40
+    size = min(len(x), len(y))
+    return int(_bound(x.reshape(-1, size).sum(axis=0), y.reshape(-1, size).sum(axis=0)))
+
+
 def _describe(batches):
-    """_id, doc_id, text -> _id, doc_id, set size, fingerprint, prefix keys, count vector."""
+    """_id, doc_id, text -> _id, doc_id, set size, fingerprint, prefix keys, count vectors."""
     for batch in batches:
-        n, h1, h2, keys, vecs = [], [], [], [], []
+        n, h1, h2, keys, vecs, fine = [], [], [], [], [], []
         for s in shingle_sets(batch.column("text")):
             digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), dtype=np.int64)
             n.append(len(s))
@@ -81,10 +98,11 @@ def _describe(batches):
             h2.append(int(digest[1]))
             keys.append(s[:prefix_length(len(s))].view(np.int64))
             vecs.append(count_vector(s))
+            fine.append(fine_counts(s))
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), batch.column("doc_id"), pa.array(n, type=pa.int32()), pa.array(h1, type=pa.int64()),
-             pa.array(h2, type=pa.int64()), pa.array(keys, type=pa.list_(pa.int64())), pa.array(vecs, type=pa.binary())],
-            ["_id", "doc_id", "n", "h1", "h2", "keys", "vec"])
+             pa.array(h2, type=pa.int64()), pa.array(keys, type=pa.list_(pa.int64())), pa.array(vecs, type=pa.binary()),
+             pa.array(fine, type=pa.binary())], ["_id", "doc_id", "n", "h1", "h2", "keys", "vec", "fine"])
 
 
 def _sets_of(batches):
@@ -288,6 +306,15 @@ def _candidates(second: bool):
     return run
 
 
+def _possible(batches):
+    """(a, b) of the pairs that the finer counts let pass."""
+    for batch in batches:
+        sizes = zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist())
+        fine = zip(batch.column("fine_a").to_pylist(), batch.column("fine_b").to_pylist())
+        keep = pa.array([9 * fine_bound(x, y) >= 4 * (m + n) for (m, n), (x, y) in zip(sizes, fine)], type=pa.bool_())
+        yield batch.select(["a", "b"]).filter(keep)
+
+
 def _linked(batches):
     """(a, b) of the pairs whose sets link: 100 * overlap >= 80 * union."""
     for batch in batches:
@@ -320,17 +347,19 @@ class JaccardJoin:
         self.texts = docs.select(private_id("doc_id", "text").alias("_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
                                  "text")
         described = scratch.save(self.texts.mapInArrow(
-            _describe, "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary"), "described")
-        self.rows = described.select("_id", "doc_id", "n", "h1", "h2")
+            _describe, "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, fine binary"),
+            "described")
+        self.rows = scratch.save(described.select("_id", "doc_id", "n", "h1", "h2"), "rows")
         reps = scratch.save(described.where("n > 0").groupBy("h1", "h2", "n").agg(
             F.min("_id").alias("rep"), F.min("doc_id").alias("low"), F.first("keys").alias("keys"),
-            F.first("vec").alias("vec")), "reps")
+            F.first("vec").alias("vec"), F.first("fine").alias("fine")), "reps")
+        scratch.drop("described")
         self.classes = reps.select("h1", "h2", "n", "rep", "low")
         shared = scratch.save(self._shared(reps), "shared")
-        found = self._verify(self._pairs(shared, reps, None), "first")
+        found = self._verify(self._pairs(shared, reps, None), reps, "first")
         links = found.unionByName(self._one_document())
         stars = components(links, scratch, "stars")
-        again = self._verify(self._pairs(shared.where(F.col("k") > LEAF), reps, stars), "second")
+        again = self._verify(self._pairs(shared.where(F.col("k") > LEAF), reps, stars), reps, "second")
         if again.limit(1).count():
             joined = again.unionByName(stars.select(F.col("comp").alias("a"), F.col("id").alias("b")))
             stars = components(joined, scratch, "joined")
@@ -370,9 +399,12 @@ class JaccardJoin:
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
         return rows.mapInArrow(_candidates(stars is not None), "a long, b long").distinct()
 
-    def _verify(self, pairs: DataFrame, name: str) -> DataFrame:
+    def _verify(self, pairs: DataFrame, reps: DataFrame, name: str) -> DataFrame:
         scratch = self.scratch
-        pairs = scratch.save(pairs, f"pairs-{name}")
+        fine = [reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
+                for x in ("a", "b")]
+        pairs = scratch.save(pairs.join(fine[1], "b").join(fine[0], "a")
+                             .mapInArrow(_possible, "a long, b long").distinct(), f"pairs-{name}")
         needed = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
         sets = scratch.save(self.texts.select("_id", "text").join(needed, "_id", "left_semi")
                             .mapInArrow(_sets_of, "id long, set binary"), f"sets-{name}")
