@@ -6,13 +6,15 @@ their overlap is at least 4 (a + b) / 9, that is a Jaccard similarity of 0.8.
 
 * Co-location: linked sets share one of their first n - ceil(0.8 n) + 1
   shingles in hash order, so classes meet under those keys; keys of one
-  class, and classes without a partner of similar size, drop out.  A hot key
-  is split into pairs of blocks, so no task holds it whole.
+  class, and classes without a partner of similar size, drop out.  Two
+  classes that met under the key before need not meet again, so a key all of
+  whose classes share the key before drops out too.  A hot key is split into
+  pairs of blocks, so no task holds it whole.
 * Index: under a key, every class is a point: its shingles hashed into 64
-  groups, counted.  Points are packed by size into the leaves of an R-tree.
-  The overlap of two sets is at most the sum of the smaller counts, group by
-  group; over two boxes, of the smaller box maxima.  The tree is joined with
-  itself, descending only where that bound allows a link.
+  groups (more for long texts), counted.  Points are packed by size into the
+  leaves of an R-tree.  The overlap of two sets is at most the sum of the
+  smaller counts, group by group; over two boxes, of the smaller box maxima.
+  The tree is joined with itself, descending only where that bound allows a link.
 * Verification: surviving pairs are checked by the same bound over finer
   counts (about as many groups as shingles), then on their whole shingle sets.
 
@@ -29,7 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logscan.llm.common import (POSITIVE, SPACE_WORDS, Scratch, hashed_words, read_table, row_hash, text_slices,
@@ -38,7 +40,8 @@ from logscan.llm.components import components
 from logscan.session import ship_package
 
 SHINGLE = 5
-GROUPS = 64
+GROUPS = 64          # groups of a point; long texts have up to MAX_GROUPS, folded to 64 in the tree
+MAX_GROUPS = 1024
 LEAF = 32            # points per leaf; groups up to this size are one leaf
 FANOUT = 16
 CHUNK_ROWS = 50_000
@@ -46,7 +49,7 @@ HOT_SAMPLE = 64      # 1 in so many classes is looked at to find hot keys (load
 HOT_KEYS = 1024      # at most so many keys are split: bounds the broadcast
 BLOCK_ROWS = 4096    # rows per block of a hot key
 FINE_MAX = 1 << 14   # groups of the finer counts at most
-_SATURATED = 65535
+_MANY = 1 << 24      # stands for a count that did not fit its byte
 
 
 def shingle_sets(texts: pa.Array):
@@ -66,25 +69,41 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
+def _counts(s: np.ndarray, groups: int) -> bytes:
+    """Shingles per group, one byte each (255: or more)."""
+    c = np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(c, 255).astype(np.uint8).tobytes()
+
+
+def _power(n: float, low: int, high: int) -> int:
+    return min(high, max(low, 1 << max(0, int(np.ceil(np.log2(max(n, 1)))))))
+
+
 def count_vector(s: np.ndarray) -> bytes:
-    """Counts per group, one byte each where they fit, else two (65535: or more)."""
-    c = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-    return c.astype(np.uint8).tobytes() if c.max(initial=0) < 256 else np.minimum(c, _SATURATED).astype(np.uint16).tobytes()
+    return _counts(s, _power(len(s) / 4, GROUPS, MAX_GROUPS))
 
 
 def fine_counts(s: np.ndarray) -> bytes:
-    """Counts over about as many groups as shingles, one byte each (255: or more)."""
-    groups = min(FINE_MAX, max(GROUPS, 1 << (len(s) - 1).bit_length())) if len(s) else GROUPS
-    c = np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-    return np.minimum(c, 255).astype(np.uint8).tobytes()
+    """Counts over about as many groups as shingles."""
+    return _counts(s, _power(len(s), GROUPS, FINE_MAX))
+
+
+def _folded(rows: list[bytes], groups: int) -> np.ndarray:
+    """Count vectors of one or more widths, summed down to ``groups`` columns."""
+    out = np.empty((len(rows), groups), dtype=np.int32)
+    lengths = np.array([len(r) for r in rows])
+    for width in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == width)
+        c = np.frombuffer(b"".join([rows[i] for i in at]), dtype=np.uint8).reshape(len(at), -1, groups).astype(np.int32)
+        c[c == 255] = _MANY
+        out[at] = np.minimum(c.sum(axis=1), _MANY)
+    return out
 
 
 def fine_bound(a: bytes, b: bytes) -> int:
     """Upper bound of the overlap of two sets from their finer counts."""
-    x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (a, b))
-    x[x == 255] = y[y == 255] = 1 << 40
-    size = min(len(x), len(y))
-    return int(_bound(x.reshape(-1, size).sum(axis=0), y.reshape(-1, size).sum(axis=0)))
+    x, y = _folded([a, b], min(len(a), len(b)))
+    return int(_bound(x, y))
 
 
 def _describe(batches):
@@ -143,8 +162,8 @@ def _group_starts(table: pa.Table, keys) -> np.ndarray:
 
 
 def _shared_rows(batches):
-    """Rows whose key some class of similar size shares, with the number of
-    such rows in the group.  Sorted by key, block pair and size."""
+    """Rows whose key some class of similar size shares.  Sorted by key,
+    block pair and size."""
     keys = ("key", "s", "t")
     for table in _grouped(batches, keys):
         starts = _group_starts(table, keys)
@@ -156,20 +175,23 @@ def _shared_rows(batches):
         keep[:-1] |= near
         at = np.flatnonzero(keep)
         if len(at):
-            size = np.bincount(group[at], minlength=len(starts))[group[at]]
-            yield from table.take(pa.array(at)).append_column("k", pa.array(size.astype(np.int32))).to_batches()
+            yield from table.take(pa.array(at)).to_batches()
 
 
-def _vectors(col: pa.ChunkedArray) -> np.ndarray:
-    arr = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    rows = arr.to_pylist()
-    if all(len(r) == GROUPS for r in rows):
-        return np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(-1, GROUPS)
-    wide = np.empty((len(rows), GROUPS), dtype=np.int64)
-    for i, r in enumerate(rows):
-        wide[i] = np.frombuffer(r, dtype=np.uint8 if len(r) == GROUPS else np.uint16)
-    wide[wide == _SATURATED] = 1 << 40  # unknown above: never rules a pair out
-    return wide
+def _new_groups(batches):
+    """Drops groups all of whose rows share the key before: each of their
+    pairs meets there.  Adds the number of rows of the group."""
+    keys = ("key", "s", "t")
+    for table in _grouped(batches, keys):
+        starts = _group_starts(table, keys)
+        sizes = np.diff(np.append(starts, table.num_rows))
+        prev, key = table.column("prev").to_numpy(), table.column("key").to_numpy()
+        head = np.repeat(prev[starts], sizes)
+        mixed = np.maximum.reduceat((prev != head) | (prev == key), starts)
+        at = np.flatnonzero(np.repeat(mixed, sizes))
+        if len(at):
+            k = np.repeat(sizes, sizes)[at].astype(np.int32)
+            yield from table.take(pa.array(at)).append_column("k", pa.array(k)).to_batches()
 
 
 def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -251,6 +273,32 @@ def _small_pairs(group, n, vec):
     return out
 
 
+class _Wide:
+    """The points of one group at their full widths: a pair is bounded again
+    over as many groups as its narrower point has."""
+
+    def __init__(self, raw: list[bytes], n: np.ndarray):
+        self.n = n
+        self.width = np.array([len(r) for r in raw])
+        self.at, self.points = {}, {}
+        for w in np.unique(self.width).tolist():
+            if w > GROUPS:
+                rows = np.flatnonzero(self.width >= w)
+                self.at[w] = np.full(len(raw), -1)
+                self.at[w][rows] = np.arange(len(rows))
+                self.points[w] = _folded([raw[r] for r in rows], w)
+
+    def passing(self, i, j, total):
+        if not self.points or not len(i):
+            return i, j, total
+        total, narrow = total.copy(), np.minimum(self.width[i], self.width[j])
+        for w, points in self.points.items():
+            at = np.flatnonzero(narrow == w)
+            total[at] = _bound(points[self.at[w][i[at]]], points[self.at[w][j[at]]])
+        ok = 9 * total >= 4 * (self.n[i] + self.n[j])
+        return i[ok], j[ok], total[ok]
+
+
 def _candidates(second: bool):
     """Candidate pairs (a < b) of a partition sorted by key, block pair, size."""
     keys = ("key", "s", "t")
@@ -261,35 +309,43 @@ def _candidates(second: bool):
             sizes = np.diff(np.append(starts, table.num_rows))
             group = np.repeat(np.arange(len(starts)), sizes)
             rep, n = table.column("rep").to_numpy(), table.column("n").to_numpy().astype(np.int64)
-            side, vec = table.column("side").to_numpy(), _vectors(table.column("vec"))
+            raw = table.column("vec").to_pylist()
+            side, vec = table.column("side").to_numpy(), _folded(raw, GROUPS)
             blocks = (table.column("s").to_numpy() != table.column("t").to_numpy())
+            prev, key = table.column("prev").to_numpy(), table.column("key").to_numpy()
             comp = table.column("comp").to_numpy() if second else None
             left, right = [], []
 
+            def wanted(i, j):
+                """Pairs to look at: two classes, on two sides of a block pair,
+                not met under the key before, not yet in one component."""
+                ok = (rep[i] != rep[j]) & (~blocks[i] | (side[i] != side[j])) & ((prev[i] != prev[j]) | (prev[i] == key[i]))
+                return ok & (comp[i] != comp[j]) if second else ok
+
             def add(i, j):
-                ok = (rep[i] != rep[j]) & (~blocks[i] | (side[i] != side[j]))
-                if second:
-                    ok &= comp[i] != comp[j]
-                left.append(rep[i[ok]])
-                right.append(rep[j[ok]])
+                left.append(rep[i])
+                right.append(rep[j])
 
             small = np.flatnonzero((sizes <= LEAF)[group])
             if not second and len(small):
                 for i, j in _small_pairs(group[small], n[small], vec[small]):
-                    add(small[i], small[j])
+                    i, j = small[i], small[j]
+                    ok = wanted(i, j)
+                    add(i[ok], j[ok])
             for g in np.flatnonzero(sizes > LEAF).tolist():
                 at = np.arange(starts[g], starts[g] + sizes[g])
                 if second and (comp[at] == comp[at[0]]).all():
                     continue
                 best = np.full(len(at), -1.0)
                 mate = np.zeros(len(at), dtype=np.int64)
+                wide = _Wide([raw[x] for x in at], n[at])
                 for i, j, total in RTree(n[at], vec[at]).pairs():
+                    ok = wanted(at[i], at[j])
+                    i, j, total = wide.passing(i[ok], j[ok], total[ok])
                     if second:
                         add(at[i], at[j])
                         continue
-                    ok = (rep[at[i]] != rep[at[j]]) & (~blocks[at[i]] | (side[at[i]] != side[at[j]]))
-                    i, j = i[ok], j[ok]
-                    score = total[ok] / (n[at[i]] + n[at[j]])
+                    score = total / (n[at[i]] + n[at[j]])
                     for x, y in ((i, j), (j, i)):
                         order = np.argsort(score, kind="stable")
                         x, y, sc = x[order], y[order], score[order]
@@ -374,7 +430,8 @@ class JaccardJoin:
                 .select(F.col("rep").alias("a"), F.col("_id").alias("b")))
 
     def _shared(self, reps: DataFrame) -> DataFrame:
-        """(key, s, t, side, rep, n, k): classes under keys that others share.
+        """(key, s, t, side, rep, n, prev, k): classes under keys that others share.
+        prev is the class's shared key before this one (the key itself: none).
         A hot key's rows are dealt to blocks, and a row goes to every pair
         (s, t) of blocks that holds its own."""
         rows = reps.select(F.explode("keys").alias("key"), "rep", "n")
@@ -388,8 +445,13 @@ class JaccardJoin:
                 .withColumn("_other", F.explode(F.expr("sequence(0, blocks - 1)")))
                 .select("key", F.least("_own", "_other").alias("s"), F.greatest("_own", "_other").alias("t"),
                         (F.col("_own") > F.col("_other")).cast("int").alias("side"), "rep", "n"))
+        kind = "key long, s int, t int, side int, rep long, n int"
+        rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
+        rows = rows.mapInArrow(_shared_rows, kind)
+        before = Window.partitionBy("rep", "n").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("prev", F.coalesce(F.max("key").over(before), "key"))
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
-        return rows.mapInArrow(_shared_rows, "key long, s int, t int, side int, rep long, n int, k int")
+        return rows.mapInArrow(_new_groups, kind + ", prev long, k int")
 
     def _pairs(self, shared: DataFrame, reps: DataFrame, stars: DataFrame | None) -> DataFrame:
         rows = shared.drop("k").join(reps.select("rep", "n", "vec"), ["rep", "n"])
