@@ -80,7 +80,7 @@ def _power(n: float, low: int, high: int) -> int:
 
 
 def count_vector(s: np.ndarray) -> bytes:
-    return _counts(s, _power(len(s) / 4, GROUPS, MAX_GROUPS))
+    return _counts(s, _power(len(s), GROUPS, MAX_GROUPS))
 
 
 def fine_counts(s: np.ndarray) -> bytes:
@@ -288,13 +288,16 @@ class _Wide:
                 self.at[w][rows] = np.arange(len(rows))
                 self.points[w] = _folded([raw[r] for r in rows], w)
 
-    def passing(self, i, j, total):
-        if not self.points or not len(i):
-            return i, j, total
-        total, narrow = total.copy(), np.minimum(self.width[i], self.width[j])
+    def passing(self, i, j, total=None):
+        """The pairs that still may link, with their bounds; ``total`` holds
+        the bounds over 64 groups of pairs known to pass there."""
+        total = self.n[i] + self.n[j] if total is None else total.copy()
+        narrow = np.minimum(self.width[i], self.width[j])
         for w, points in self.points.items():
             at = np.flatnonzero(narrow == w)
-            total[at] = _bound(points[self.at[w][i[at]]], points[self.at[w][j[at]]])
+            for k in range(0, len(at), 1 << 14):
+                part = at[k:k + (1 << 14)]
+                total[part] = _bound(points[self.at[w][i[part]]], points[self.at[w][j[part]]])
         ok = 9 * total >= 4 * (self.n[i] + self.n[j])
         return i[ok], j[ok], total[ok]
 
@@ -331,7 +334,11 @@ def _candidates(second: bool):
                 for i, j in _small_pairs(group[small], n[small], vec[small]):
                     i, j = small[i], small[j]
                     ok = wanted(i, j)
-                    add(i[ok], j[ok])
+                    i, j = i[ok], j[ok]
+                    if len(i):
+                        rows, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+                        x, y, _ = _Wide([raw[r] for r in rows], n[rows]).passing(place[:len(i)], place[len(i):])
+                        add(rows[x], rows[y])
             for g in np.flatnonzero(sizes > LEAF).tolist():
                 at = np.arange(starts[g], starts[g] + sizes[g])
                 if second and (comp[at] == comp[at[0]]).all():
