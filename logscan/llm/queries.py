@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 from logscan.llm.decontamination import OP3_SQL, op3_decontamination
+from logscan.llm.language_model import op4_lm_scoring
+from logscan.llm.line_dedup import op7_line_dedup
 from logscan.llm.mixing import op2_mixing
 from logscan.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
+from logscan.llm.preferences import OP5_SQL, op5_preferences
 from logscan.llm.sharding import op1_sharding
+from logscan.llm.topk import OP6_SQL, op6_topk
 from logscan.llm.toxicity import op9_toxicity
+from logscan.llm.warc import OP10_SQL, op10_merkle_audit
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_preferences": op5_preferences,
+    "op6_topk": op6_topk,
+    "op7_line_dedup": op7_line_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_toxicity": op9_toxicity,
+    "op10_merkle_audit": op10_merkle_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": OP3_SQL,
+    "op5_preferences": OP5_SQL,
+    "op6_topk": OP6_SQL,
     "op8_ngram_jaccard": OP8_SQL,
+    "op10_merkle_audit": OP10_SQL,
 }
