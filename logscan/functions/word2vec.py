@@ -14,17 +14,20 @@ from pyspark.sql import DataFrame
 from logscan.functions.hashing import tokens
 
 
-def fit_word2vec(lines: DataFrame, text: str = "text", size: int = 64, min_count: int = 1, seed: int = 42,
-                 partitions: int = 1, iterations: int = 1):
-    """MLlib Word2Vec over the whole-text tokens.  MLlib trains in one
-    partition by default; ``partitions`` > 1 spreads training (per-partition
-    updates, as MLlib documents) for large corpora."""
+def fit_word2vec(lines: DataFrame, min_count: int, partitions: int, text: str = "Message", size: int = 64,
+                 seed: int = 42, iterations: int = 1):
+    """MLlib Word2Vec over the tokens of the masked messages.
+
+    MLlib holds the vocabulary on the driver, so the caller states
+    ``min_count``, which bounds it, and the partitions that train
+    (per-partition updates, as MLlib documents).  Texts that carry durations
+    have a vocabulary that grows with the data; masked messages do not."""
     w2v = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, numPartitions=partitions,
                    maxIter=iterations, inputCol="_tokens", outputCol="_vec")
     return w2v.fit(lines.select(tokens(text).alias("_tokens")))
 
 
-def word2vec_features(model, lines: DataFrame, text: str = "text", name: str = "features") -> DataFrame:
+def word2vec_features(model, lines: DataFrame, text: str = "Message", name: str = "features") -> DataFrame:
     """Adds ``name`` as array<double>: the mean token vector of the text."""
     out = model.transform(lines.withColumn("_tokens", tokens(text)))
     return out.withColumn(name, vector_to_array("_vec")).drop("_tokens", "_vec")

@@ -38,7 +38,6 @@ LEARNING_RATE = 1e-4
 # Adam defaults.
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
 CHUNK = 1 << 13  # doubles per parameter chunk (64 KB)
-SINGLE_LEVEL_PARTS = 256  # up to this many partitions one summing level suffices
 
 _OUT_SCHEMA = "kind int, part int, chunk int, n long, err double, vals array<double>"
 
@@ -196,8 +195,6 @@ def mix(params: DataFrame, n_parts: int) -> DataFrame:
     the group sums, so no group holds more than ~sqrt(P) chunks of 64 KB
     whatever the partition count.
     """
-    if n_parts <= SINGLE_LEVEL_PARTS:
-        return params.groupBy("chunk").applyInPandas(_sum_chunks, _SUM_SCHEMA)
     fan = max(1, math.isqrt(max(n_parts - 1, 0)) + 1)
     level1 = (params.groupBy("chunk", (F.col("part") % F.lit(fan)).alias("_g"))
               .applyInPandas(_sum_chunks, _SUM_SCHEMA))
@@ -261,16 +258,19 @@ def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind:
                 out = (ordered.select("features")
                        .mapInArrow(_trainer(bc, acts, kind, dim, batch_size, lr), _OUT_SCHEMA)
                        .persist(StorageLevel.MEMORY_AND_DISK))
-                outs.append((out, bc))
                 parts = mix(out.where("kind = 1"), n_parts).orderBy("chunk").collect()
+                # only the 8-byte row errors are kept, not the parameter rows
+                errs = out.where("kind = 0").select(F.lit(epoch).alias("epoch"), F.col("err").alias("recon_error"))
+                errs = errs.persist(StorageLevel.MEMORY_AND_DISK)
+                errs.count()
+                out.unpersist()
+                outs.append((errs, bc))
                 if not parts:  # no rows in this round
                     continue
                 total_n = parts[0]["n"]
                 vals = np.concatenate([np.asarray(r["vals"]) for r in parts]) / total_n
                 t = t + float(vals[0])
                 flat = vals[1:]
-                errs = out.where("kind = 0").select(F.lit(epoch).alias("epoch"),
-                                                   F.col("err").alias("recon_error"))
                 errors = errs if errors is None else errors.unionByName(errs)
             if verbose:
                 print(f"epoch {epoch}/{epochs} ({time.perf_counter() - t_epoch:.2f}s)")
@@ -281,8 +281,8 @@ def fit_autoencoder(df: DataFrame, features: str, key: str | None = None, kind:
             for h in history:
                 print(f"epoch {h[0]} loss {h[2]:.6f} p90 {h[3]:.6f} p95 {h[4]:.6f}")
     finally:
-        for out, bc in outs:
-            out.unpersist()
+        for kept, bc in outs:
+            kept.unpersist()
             bc.unpersist()
     final = AdamState.from_flat(shapes, flat, t).model(acts)
     final.meta = {"kind": "autoencoder", "dim": dim, "features": kind}

@@ -5,7 +5,9 @@ Everything here is a narrow transformation (no shuffle) except ``dedupe``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscan.functions.text import compose_text, mask_message, parse_time, time_is_nan
@@ -63,6 +65,16 @@ def scorable_lines(df: DataFrame, with_time: bool = True) -> DataFrame:
     return with_text(prepare(drop_incomplete_raw(df)), with_time=with_time)
 
 
+def above(col: str, threshold) -> Column:
+    """Whether an error is strictly above the threshold; a NaN error is not
+    (Spark would order it above every number)."""
+    if not isinstance(threshold, Column):
+        if math.isnan(float(threshold)):
+            raise ValueError("the threshold is not a number")
+        threshold = F.lit(float(threshold))
+    return (F.col(col) > threshold) & ~F.isnan(col)
+
+
 def threshold_filter(df: DataFrame, threshold, col: str = "recon_error") -> DataFrame:
     """Lines whose error is strictly above the threshold.
 
@@ -71,8 +83,8 @@ def threshold_filter(df: DataFrame, threshold, col: str = "recon_error") -> Data
     value; more than one row is an error), so nothing is joined or collected.
     """
     if isinstance(threshold, DataFrame):
-        return df.filter(F.col(col) > threshold.select("threshold").scalar())
-    return df.filter(F.col(col) > F.lit(float(threshold)))
+        return df.filter(above(col, threshold.select("threshold").scalar()))
+    return df.filter(above(col, threshold))
 
 
 def dedupe(df: DataFrame, on=None) -> DataFrame:

@@ -23,15 +23,14 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logscan.session import ship_package
+from logscan.session import ship_package, work_dir
 
-# Bound on groups of one grouped call: each brings up to 65,536 histogram
-# rows per pass to the driver, and its open prefixes are broadcast.
-MAX_GROUPS = 1024
+# Open prefixes of a grouped pass that are broadcast (16 bytes each); more are joined.
+MAX_BROADCAST_PREFIXES = 100_000
 
 _SIGN = np.int64(-0x8000000000000000)
 _BITS = 16
@@ -94,16 +93,21 @@ def _settle(targets, hist, pass_no):
 
 
 def exact_quantiles(df: DataFrame, col: str, probs, by=(), stats: bool = False) -> list:
-    """Exact quantiles of ``col`` for each group of ``by``.
-
-    Returns ``[(group_tuple, n, {p: value})]``; nulls are ignored and NaN
-    sorts above every number, as in Spark.  Each group with no rows is
-    absent.  The number of groups should be modest (their counts come to
-    the driver); a global quantile has one group.  With ``stats=True`` each
-    entry carries a fourth element ``{"min", "max", "sum"}`` gathered in the
-    first pass, so a summary needs no separate scan.
+    """Exact quantiles of ``col``: ``[((), n, {p: value})]``, empty without rows.
+
+    Nulls are ignored and NaN sorts above every number, as in Spark.  With
+    ``stats=True`` each entry carries a fourth element ``{"min", "max",
+    "sum"}`` gathered in the first pass, so a summary needs no separate scan.
+    With ``by`` the entries of ``grouped_quantiles`` are collected, one per
+    group; use that function itself where groups are many.
     """
-    by = list(by)
+    if by:
+        names = list(by)
+        rows = grouped_quantiles(df, col, probs, names).collect()
+        out = [(tuple(r[c] for c in names), r["n"], {float(p): r[f"q{i}"] for i, p in enumerate(probs)},
+                {"min": r["_min"], "max": r["_max"], "sum": r["_sum"]}) for r in rows]
+        return sorted([e if stats else e[:3] for e in out], key=lambda e: tuple(str(x) for x in e[0]))
+    by = []
     probs = [float(p) for p in probs]
     ship_package(df.sparkSession)
     value = F.col(col).cast("double")
@@ -128,11 +132,6 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=(), stats: bool = False)
                 v.sort()
             return out, more
 
-        if by:
-            n_groups = base.select(*by).distinct().count()
-            if n_groups > MAX_GROUPS:
-                raise ValueError(f"{n_groups} groups: exact_quantiles is meant for at most "
-                                 f"{MAX_GROUPS} groups (e.g. epochs); use a global quantile per group")
         hist, more = histogram(base, 0, None, extra=stats)
         sizes = {}
         for (g, _), buckets in hist.items():
@@ -183,6 +182,77 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=(), stats: bool = False)
         base.unpersist()
 
 
+def grouped_quantiles(df: DataFrame, col: str, probs, by) -> DataFrame:
+    """Exact quantiles per group as a DataFrame: [by...], n, _min, _max, _sum
+    and q0, q1, ... in the order of ``probs``; any number of groups.
+
+    The same radix passes as a plan: every wanted rank walks the running
+    counts of its group's buckets by a join, and only the buckets that hold
+    an open rank are split in the next pass.  A null group is a group.
+    """
+    spark, by = df.sparkSession, list(by)
+    ship_package(spark)
+    work_dir(spark)
+    value = F.col(col).cast("double") + F.lit(0.0)
+    base = (df.where(F.col(col).isNotNull()).select(*by, sortable_key(value).alias("_k"), value.alias("_v"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def buckets(frame, pass_no):
+        return frame.groupBy(*by, "_pre", _digit(pass_no).alias("_d")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_v").alias("_s"))
+
+    def beside(left, right, *more):
+        named = right.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(by)],
+                             *[c for c in right.columns if c not in by])
+        cond = [F.col(c).eqNullSafe(F.col(f"_g{k}")) for k, c in enumerate(by)]
+        return named, cond + list(more)
+
+    try:
+        first = buckets(base.withColumn("_pre", F.lit(0).cast("bigint")), 0)
+        groups = first.groupBy(*by).agg(F.sum("_n").alias("n"), F.min("_lo").alias("_min"), F.max("_hi").alias("_max"),
+                                        F.sum("_s").alias("_sum")).checkpoint(eager=True)
+        place = [(F.lit(float(p)) * (F.col("n") - 1)) for p in probs]
+        ranks = [F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"),
+                          F.least(F.floor(h) + side, F.col("n") - 1).cast("bigint").alias("r"))
+                 for i, h in enumerate(place) for side in (0, 1)]
+        open_ = (groups.select(*by, F.explode(F.array(*ranks)).alias("t"))
+                 .select(*by, "t.*", F.lit(0).cast("bigint").alias("pre")))
+        settled = None
+        for pass_no in range(4):
+            if pass_no == 0:
+                counts = first
+            else:
+                framed = base.withColumn("_pre", F.shiftrightunsigned("_k", 64 - _BITS * pass_no))
+                wanted, cond = beside(framed, open_.select(*by, F.col("pre").alias("_p")).distinct())
+                wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_PREFIXES else wanted
+                counts = buckets(framed.join(wanted, [*cond, F.col("_pre") == F.col("_p")], "left_semi"), pass_no)
+            before = Window.partitionBy(*by, "_pre").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+            counts = counts.withColumn("_c", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+            right, cond = beside(open_, counts)
+            walked = open_.join(right, [*cond, F.col("pre") == F.col("_pre"), F.col("r") >= F.col("_c"),
+                                        F.col("r") < F.col("_c") + F.col("_n")])
+            done = F.lit(True) if pass_no == 3 else F.col("_lo").eqNullSafe(F.col("_hi"))
+            walked = walked.select(
+                *by, "i", "side", (F.col("r") - F.col("_c")).alias("r"),
+                F.shiftleft("pre", _BITS).bitwiseOR(F.col("_d")).alias("pre"), done.alias("done"),
+                F.col("_lo").alias("value")).checkpoint(eager=True)
+            found = walked.where("done").select(*by, "i", "side", "value")
+            settled = found if settled is None else settled.unionByName(found)
+            open_ = walked.where("not done").drop("done", "value")
+            if open_.isEmpty():
+                break
+        wide = settled.groupBy(*by).agg(*[F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("value")))
+                                          .alias(f"_{i}_{side}") for i in range(len(probs)) for side in (0, 1)])
+        right, cond = beside(groups, wide)
+        out = groups.join(right, cond)
+        for i, h in enumerate(place):
+            t, a, b = h - F.floor(h), F.col(f"_{i}_0"), F.col(f"_{i}_1")
+            out = out.withColumn(f"q{i}", F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t))
+        return out.select(*by, "n", "_min", "_max", "_sum", *[f"q{i}" for i in range(len(probs))])
+    finally:
+        base.unpersist()
+
+
 def _nan_last(x: float):
     """Order key putting NaN above every number (Spark's ordering)."""
     return (1, 0.0) if isinstance(x, float) and math.isnan(x) else (0, x)

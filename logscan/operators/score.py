@@ -26,6 +26,7 @@ from logscan.session import ship_package
 # Upper bound on parameters shipped by broadcast (8 bytes each: 256 MB).
 MAX_BROADCAST_PARAMS = 32_000_000
 ACTIVATIONS = ("linear", "relu")
+BLOCK_ROWS = 256  # rows per matrix product, whatever the batch size
 
 
 @dataclass
@@ -113,16 +114,12 @@ def dense_block(arr: pa.Array, dim: int) -> np.ndarray:
     n = len(arr)
     if n == 0:
         return np.zeros((0, dim))
-    lens = pc.list_value_length(arr).fill_null(0).to_numpy(zero_copy_only=False)
-    flat = _values(arr).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    if np.all(lens == dim):
-        return flat.reshape(n, dim)
-    out = np.full((n, dim), np.nan)  # null or ragged rows score as NaN
-    pos = 0
-    for i, ln in enumerate(lens):
-        if ln == dim:
-            out[i] = flat[pos:pos + ln]
-        pos += ln
+    there = arr.is_valid().to_numpy(zero_copy_only=False)
+    lens = pc.list_value_length(arr).fill_null(dim).to_numpy(zero_copy_only=False)
+    if not np.all(lens == dim):
+        raise ValueError(f"feature width differs from the model's {dim}")
+    out = np.zeros((n, dim))  # null rows: their score is null
+    out[there] = _values(arr).to_numpy(zero_copy_only=False).reshape(-1, dim)
     return out
 
 
@@ -152,8 +149,17 @@ def _forward_errors(params, x: np.ndarray, dtype=np.float64) -> np.ndarray:
     if dtype != np.float64:
         ws = [w.astype(dtype) for w in ws]
         bs = [b.astype(dtype) for b in bs]
-        x = x.astype(dtype)
-    return Model(ws, bs, acts).errors(x).astype(np.float64)
+    model, out = Model(ws, bs, acts), np.empty(len(x))
+    # Blocks of one height, the last one padded: matrix kernels choose their
+    # summation order by shape, so a row's score would else depend on how many
+    # rows share its Arrow batch.
+    block = np.zeros((BLOCK_ROWS, x.shape[1]), dtype=dtype)
+    for i in range(0, len(x), BLOCK_ROWS):
+        k = min(BLOCK_ROWS, len(x) - i)
+        block[:k] = x[i:i + k]
+        block[k:] = 0
+        out[i:i + k] = model.errors(block)[:k]
+    return out
 
 
 def make_scorer(spark: SparkSession, model: Model, kind: str = "dense", dim: int | None = None,

@@ -6,10 +6,13 @@ percentiles are exact and go through ``quantile.exact_quantiles``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logscan.operators.quantile import exact_quantiles
+from logscan.operators.prepare import above
+from logscan.operators.quantile import exact_quantiles, grouped_quantiles
 
 # Fixed values (as in the reference): the percentile that sets the anomaly
 # threshold, those of the summary, the run metric names and the stage label.
@@ -38,7 +41,10 @@ def threshold(df: DataFrame, col: str = "recon_error", p: float = THRESHOLD_PERC
     if approx_accuracy:
         return df.agg(F.percentile_approx(col, float(p), int(approx_accuracy)).alias("t")).first()["t"]
     res = exact_quantiles(df, col, [p])
-    return res[0][2][float(p)] if res else None
+    t = res[0][2][float(p)] if res else None
+    if t is not None and math.isnan(t):
+        raise ValueError("the percentile falls on scores that are not numbers")
+    return t
 
 
 def summarize(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENTILES, by=()) -> list:
@@ -76,15 +82,17 @@ def error_summary(df: DataFrame, col: str = "recon_error", probs=SUMMARY_PERCENT
     Columns: [by...], n, min_error, max_error, mean_error, p90, p95, p99.
     """
     by = list(by)
-    rows = summarize(df, col, probs, by)
-    return summary_frame(df.sparkSession, rows, probs, by,
-                         [df.schema[c].dataType.simpleString() for c in by])
+    if not by:
+        return summary_frame(df.sparkSession, summarize(df, col, probs), probs)
+    return grouped_quantiles(df, col, probs, by).select(
+        *by, "n", F.col("_min").alias("min_error"), F.col("_max").alias("max_error"),
+        (F.col("_sum") / F.col("n")).alias("mean_error"),
+        *[F.col(f"q{i}").alias(f"p{round(p * 100)}") for i, p in enumerate(probs)])
 
 
 def run_counts(scored: DataFrame, thr, col: str = "recon_error") -> DataFrame:
     """A1-A3 in one pass: total_logs, anomalies_count, anomalies_ratio."""
-    above = F.col(col) > (F.lit(float(thr)) if not isinstance(thr, Column) else thr)
-    c = scored.agg(F.count(F.lit(1)).alias("total_logs"), F.count_if(above).alias("anomalies_count"))
+    c = scored.agg(F.count(F.lit(1)).alias("total_logs"), F.count_if(above(col, thr)).alias("anomalies_count"))
     return c.withColumn(
         "anomalies_ratio",
         F.when(F.col("total_logs") > 0, F.col("anomalies_count") / F.col("total_logs"))

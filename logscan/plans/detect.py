@@ -29,7 +29,7 @@ def featurize(lines: DataFrame, dim: int = EMBED_DIM, name: str = "slots") -> Da
 
 
 def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=None,
-                precision: str = "float64") -> DataFrame:
+                precision: str = "float64", input_partitions: int | None = None) -> DataFrame:
     """Prepared, complete lines with ``TimeVal``, ``text`` and ``recon_error``.
 
     ``scorer`` (from ``make_scorer``) reuses one model broadcast across calls.
@@ -38,7 +38,7 @@ def score_lines(logs: DataFrame, model: Model, with_time: bool = True, scorer=No
         raise ValueError("log lines are scored on token slots; this model expects dense features")
     dim = model.input_dim
     scorer = scorer or make_scorer(logs.sparkSession, model, kind="tokens", dim=dim, precision=precision)
-    lines = featurize(P.scorable_lines(spread(logs), with_time=with_time), dim, "_slots")
+    lines = featurize(P.scorable_lines(spread(logs, input_partitions), with_time=with_time), dim, "_slots")
     return lines.withColumn("recon_error", scorer("_slots")).drop("_slots")
 
 
@@ -50,9 +50,11 @@ def detect(logs: DataFrame, model: Model, threshold, with_row_id: bool = False)
     return P.result_columns(P.threshold_filter(scored, threshold), with_row_id=with_row_id)
 
 
-def delete_inputs(spark: SparkSession, files, archive_dir: str | None = None) -> int:
+def delete_inputs(spark: SparkSession, files, archive_dir: str | None = None, root: str = "") -> int:
     """T2 for batch runs: remove (or move to ``archive_dir``) exactly the
     files this run read; files that arrived later stay for the next run.
+    Below the archive a file keeps its path relative to ``root``, so equal
+    names in different folders do not collide; a move that fails raises.
 
     One metadata call per file from the driver, in line: right for a folder
     of uploads; for folders with very many files use the stream, whose
@@ -61,16 +63,21 @@ def delete_inputs(spark: SparkSession, files, archive_dir: str | None = None) ->
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = 0
+    base = jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/" if root else None
     for f in files:
         path = jvm.org.apache.hadoop.fs.Path(f)
         fs = path.getFileSystem(conf)
         if archive_dir:
-            target = jvm.org.apache.hadoop.fs.Path(archive_dir)
-            fs.mkdirs(target)
-            ok = fs.rename(path, jvm.org.apache.hadoop.fs.Path(target, path.getName()))
+            full = path.toUri().getPath()
+            name = full[len(base):] if base and full.startswith(base) else full.lstrip("/")
+            target = jvm.org.apache.hadoop.fs.Path(f"{archive_dir.rstrip('/')}/{name}")
+            fs.mkdirs(target.getParent())
+            ok = not fs.exists(target) and fs.rename(path, target)
         else:
             ok = fs.delete(path, False)
-        done += int(bool(ok))
+        if not ok:
+            raise OSError(f"could not {'archive' if archive_dir else 'remove'} {f}; it would be read again")
+        done += 1
     return done
 
 
@@ -79,7 +86,7 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
               run_id: str | None = None, single_file: bool = False, dedupe: bool = False,
               consume: bool = False, archive_dir: str | None = None,
               round_digits: int | None = None, with_row_id: bool = False,
-              precision: str = "float64") -> dict:
+              precision: str = "float64", input_partitions: int | None = None) -> dict:
     """One detection run over every file now in ``input_path``.
 
     Appends anomalies to ``result_path`` (CSV with header) and the five run
@@ -95,13 +102,13 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
     files = logs.inputFiles()
     if not files:
         return {"run_id": run_id, "status": "no_input"}
-    scored = score_lines(logs, model, precision=precision)
+    scored = score_lines(logs, model, precision=precision, input_partitions=input_partitions)
     if round_digits is not None:
         scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
     obs = Observation(f"run_{run_id.replace('-', '_')}")
     scored = scored.observe(
         obs, F.count(F.lit(1)).alias("total_logs"),
-        F.count_if(F.col("recon_error") > F.lit(float(threshold))).alias("anomalies_count"))
+        F.count_if(P.above("recon_error", threshold)).alias("anomalies_count"))
     if with_row_id:
         scored = P.with_row_id(scored)
     anomalies = P.result_columns(P.threshold_filter(scored, threshold), with_row_id=with_row_id)
@@ -112,9 +119,12 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
     detect_sec = time.perf_counter() - t0
     counts = obs.get
     total, anom = int(counts.get("total_logs", 0)), int(counts.get("anomalies_count", 0))
-    if consume:
-        delete_inputs(spark, files, archive_dir)
+    # Inputs go last: a run that fails before leaves them for the next one.
+    root = input_path if isinstance(input_path, str) else ""
+    archive = f"{archive_dir.rstrip('/')}/{run_id}" if archive_dir else None
     if total == 0:
+        if consume:
+            delete_inputs(spark, files, archive, root)
         return {"run_id": run_id, "status": "no_rows"}
     ratio = anom / total if total else 0.0
     result = {"total_logs": float(total), "anomalies_count": float(anom), "anomalies_ratio": ratio,
@@ -128,4 +138,6 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
         append_metrics(mdf, metrics_table)
     if metrics_path:
         write_metrics(mdf, metrics_path)
+    if consume:
+        delete_inputs(spark, files, archive, root)
     return {"run_id": run_id, "status": "ok", **result}

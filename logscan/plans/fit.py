@@ -43,13 +43,14 @@ def line_key(df: DataFrame) -> F.Column:
 def fit(logs: DataFrame, method: str = "pca", k: int = 64, dim: int = EMBED_DIM,
         train_percent: int = 70, percentile: float = THRESHOLD_PERCENTILE, epochs: int = 3,
         dims=None, lr: float = 1e-4, batch_size: int = 32, seed: int = 42,
-        partitions: int | None = None, split: str = "hash", rounds: int = 1) -> FitResult:
+        partitions: int | None = None, split: str = "hash", rounds: int = 1,
+        input_partitions: int | None = None) -> FitResult:
     """``split='hash'`` (default) assigns lines by an md5 bucket of their
     content: repeatable across runs and layouts.  ``split='random'`` is
     ``randomSplit`` with ``seed``, as the reference does; it changes when
     the input is laid out differently."""
     spark = logs.sparkSession
-    logs = spread(logs)
+    logs = spread(logs, input_partitions)
     # P4 on raw columns first (pushed into the reader); the content-hash split
     # assigns each line the same way before or after it.
     prepared = P.prepare(P.drop_incomplete_raw(logs)).withColumn("_key", line_key(logs))

@@ -20,7 +20,7 @@ from logscan.operators.quantile import exact_quantiles
 from logscan.operators.score import rank_one_model, recon_error
 from logscan.operators.stats import error_summary, metrics_long, run_counts, threshold
 from logscan.operators.uploads import decode_event, latest_uploads, object_key
-from logscan.session import fresh_dir, spread, work_dir
+from logscan.session import fresh_dir, input_partitions, spread, work_dir
 from logscan.sources.events import events_as_dirty_logs, events_as_logs, read_table
 
 DIGITS = 9  # rounding of computed doubles in query outputs
@@ -38,7 +38,7 @@ def _r(c):
 
 # ------------------------------------------------------------ Spark helpers
 def logs_view(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    ev = spread(read_table(spark, sf_dir, "events"))
+    ev = spread(read_table(spark, sf_dir, "events"), input_partitions(spark))
     return events_as_dirty_logs(ev) if dirty else events_as_logs(ev)
 
 
@@ -93,7 +93,7 @@ def q_split_bucket(spark, sf_dir):
 
 
 def q_token_index(spark, sf_dir):
-    docs = spread(read_table(spark, sf_dir, "documents"))
+    docs = spread(read_table(spark, sf_dir, "documents"), input_partitions(spark))
     return (docs.select("doc_id", F.explode(token_indices("text")).alias("idx"))
             .groupBy("doc_id", "idx").agg(F.count(F.lit(1)).alias("n")))
 

@@ -70,7 +70,9 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        # Unset, which only happens in ad-hoc local sessions.
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # Unset, in an ad-hoc local session: driver and executors are one process.
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="logscan-ckpt-"))
         base = spark.sparkContext.getCheckpointDir()
     base = base.rstrip("/")
@@ -130,16 +132,18 @@ def ship_package(spark: SparkSession, shared: bool | None = None) -> None:
     sc._logscan_shipped = True
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition when a batch input has fewer partitions than
-    the cluster can run at once.
+def spread(df, partitions: int | None = None):
+    """The input dealt round-robin over ``partitions`` tasks when a number is
+    given, else as it is.
 
-    A small file with one row group scans as one task, which would run the
-    CPU-heavy steps (token hashing, model batches, training) on one core.
-    Large inputs already arrive in many splits; there this is a no-op and
-    adds no shuffle.  Streaming inputs are left as they are.
+    For a job whose input is one unsplittable file but whose work per row is
+    heavy (token hashing, model batches).  It is the caller's choice: layout,
+    row ids and random splits must not change with the size of the input.
     """
-    if df.isStreaming:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(int(partitions)) if partitions else df
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    """``spark.logscan.inputPartitions``, the session's choice for ``spread``."""
+    n = spark.conf.get("spark.logscan.inputPartitions", None)
+    return int(n) if n else None

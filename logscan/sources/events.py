@@ -1,7 +1,7 @@
 """The driver's ``events`` table viewed as log lines.
 
 The adapter is plain column arithmetic, so the same view is written in SQL
-for the oracle (``logscan.plans.queries.EVENTS_AS_LOGS_SQL``).
+for the oracle (``logscan.plans.oracles``).
 """
 
 from __future__ import annotations

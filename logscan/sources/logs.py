@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logscan.schema import LOG_SCHEMA
 
@@ -17,19 +21,49 @@ def _reader(reader, schema):
     return reader.schema(schema).option("header", True).option("mode", "PERMISSIVE")
 
 
+def _header(spark: SparkSession, file: str) -> tuple:
+    """Column names of one CSV file; Spark names a blank first cell _c0."""
+    return tuple(spark.read.option("header", True).csv(file).columns)
+
+
+def _bound(spark: SparkSession, files, header: tuple, schema) -> DataFrame:
+    """Files of one header, read by name with the declared types."""
+    missing = [c for c in schema.names if c != "_c0" and c not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are missing in {files[0]}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    own = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
+    df = _reader(spark.read, own).csv(list(files))
+    return df.select(*[F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
 def read_logs(spark: SparkSession, path, schema=LOG_SCHEMA) -> DataFrame:
-    """S1 + S2: one file, a folder or a list of them, with a declared schema.
+    """S1 + S2: one file, a folder or a list of them, with declared types.
 
-    A path that does not exist gives an empty DataFrame (the run ends
-    quietly); every other error is raised.
+    Columns are bound by the name in each file's header: files may lack the
+    index column or order their columns differently, also within one folder
+    (one scan per distinct header; headers are read one line per file).  A
+    missing log column raises.  A single path that does not exist gives an
+    empty DataFrame (the run ends quietly); a missing path in a list raises.
     """
     try:
-        return _reader(spark.read, schema).csv(path)
+        files = _reader(spark.read, schema).csv(path).inputFiles()
     except AnalysisException as e:
         cond = e.getCondition() if hasattr(e, "getCondition") else None
-        if cond == "PATH_NOT_FOUND" or "Path does not exist" in str(e):
+        absent = cond == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
+        if absent and (isinstance(path, str) or len(path) == 1):
             return spark.createDataFrame([], schema)
         raise
+    headers: dict[tuple, list] = {}
+    for f in files:
+        header = _header(spark, f)
+        if header:  # a file without a line has no columns and no rows
+            headers.setdefault(header, []).append(f)
+    if not headers:
+        return spark.createDataFrame([], schema)
+    parts = [_bound(spark, fs, h, schema) for h, fs in headers.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def stream_logs(spark: SparkSession, folder: str, schema=LOG_SCHEMA, archive_dir: str | None = None,
@@ -38,7 +72,9 @@ def stream_logs(spark: SparkSession, folder: str, schema=LOG_SCHEMA, archive_dir
 
     Progress lives in the query checkpoint; with ``archive_dir`` processed
     files are moved there (the reference deletes them), so the folder only
-    holds unread files.
+    holds unread files.  A stream binds columns by position: all landed files
+    must have the declared columns in the declared order (``read_logs`` binds
+    by name).
     """
     r = _reader(spark.readStream, schema)
     if archive_dir and archive_dir.rstrip("/").startswith(folder.rstrip("/") + "/"):

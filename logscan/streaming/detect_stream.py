@@ -36,9 +36,8 @@ def batch_writer(model: Model, threshold: float, result_path: str, metrics_path:
     """foreachBatch function: score one micro-batch of log lines and write
     its anomalies and metrics (T3).
 
-    Scoring happens here, on the micro-batch as a batch DataFrame, so a
-    batch that arrives as one file is still spread over the cluster; the
-    model is broadcast once for the whole query.
+    Scoring happens here, on the micro-batch as a batch DataFrame; the model
+    is broadcast once for the whole query.
     """
     thr = float(threshold)
     state = {}
@@ -54,7 +53,7 @@ def batch_writer(model: Model, threshold: float, result_path: str, metrics_path:
             scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
         obs = Observation(f"batch_{batch_id}")
         scored = scored.observe(obs, F.count(F.lit(1)).alias("total_logs"),
-                                F.count_if(F.col("recon_error") > F.lit(thr)).alias("anomalies_count"))
+                                F.count_if(P.above("recon_error", thr)).alias("anomalies_count"))
         anomalies = P.result_columns(P.threshold_filter(scored, thr)).withColumn(
             "batch_id", F.lit(batch_id))
         _write_partition(anomalies, result_path, fmt)

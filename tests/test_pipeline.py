@@ -29,7 +29,7 @@ def test_fit_random_split_and_pca(spark):
 
 def test_word2vec_variant(spark):
     lines = P.scorable_lines(logs_view(spark, SF_SMALL))
-    model = fit_word2vec(lines, size=16)
+    model = fit_word2vec(lines, min_count=1, partitions=2, size=16)
     feats = word2vec_features(model, lines)
     pca = fit_pca(feats, "features", k=4)
     scored = feats.select(recon_error(spark, pca, "features").alias("e"))

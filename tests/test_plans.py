@@ -34,7 +34,6 @@ def test_detect_has_no_shuffle_on_split_input(spark, tmp):
     try:
         logs = _many_files(spark, tmp)
         assert logs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-        assert spread(logs) is logs  # enough splits: no repartition added
         plan = _plan(detect(logs, MODEL, 0.001))
         assert "Exchange" not in plan
         assert plan.count("ArrowEvalPython") == 1  # every line scored once, not again for the filter
@@ -43,11 +42,10 @@ def test_detect_has_no_shuffle_on_split_input(spark, tmp):
             spark.conf.set(k, v)
 
 
-def test_spread_only_for_few_splits(spark):
+def test_spread_only_on_request(spark):
     one = spark.range(100).coalesce(1)
-    assert "RoundRobinPartitioning" in _plan(spread(one))
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism)
-    assert spread(many) is many
+    assert spread(one) is one
+    assert "RoundRobinPartitioning(5)" in _plan(spread(one, 5))
 
 
 def test_partial_aggregation_before_shuffle(spark):

@@ -89,3 +89,13 @@ def test_property_against_numpy(spark, vals, probs):
         want = float(np.percentile(arr, p * 100))
         assert got[float(p)] == pytest.approx(want, rel=1e-12, abs=1e-300) or (
             np.isinf(want) and got[float(p)] == want)
+
+
+def test_many_groups(spark):
+    df = spark.range(15_000).selectExpr("id % 3000 as g", "cast(id as double) as recon_error")
+    rows = {r.g: r for r in error_summary(df, by=["g"]).collect()}
+    assert len(rows) == 3000
+    for g in (0, 17, 2999):
+        vals = np.arange(g, 15_000, 3000, dtype=float)
+        assert (rows[g].n, rows[g].min_error, rows[g].max_error) == (5, vals[0], vals[-1])
+        assert rows[g].p90 == pytest.approx(np.percentile(vals, 90), rel=1e-15)

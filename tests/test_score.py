@@ -107,3 +107,32 @@ def test_property_token_slots_against_hashlib(spark, texts):
         toks = [w for w in re.split(r"[ \t\r\n]+", t.lower()) if w]
         want = [int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % 768 for w in toks]
         assert got[i] == want, (t, got[i], want)
+
+
+def test_scores_do_not_depend_on_the_arrow_batch(spark):
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    model = Model.init((64, 16, 4, 16, 64), seed=1)
+    old, got = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), []
+    try:
+        for n in ("1", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            rows = emb.select("vec_id", recon_error(spark, model, "embedding").alias("e")).collect()
+            got.append({r.vec_id: r.e for r in rows})
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got[0] == got[1] == got[2]
+
+
+def test_ragged_features_raise_and_nan_is_no_anomaly(spark):
+    from logscan.operators.prepare import threshold_filter
+
+    model = Model.init((3, 2, 3), seed=1)
+    ragged = spark.createDataFrame([([1.0, 2.0],)], "x array<double>")
+    with pytest.raises(Exception, match="feature width"):
+        ragged.select(recon_error(spark, model, "x")).collect()
+    none = spark.createDataFrame([(None,), ([1.0, 2.0, 3.0],)], "x array<double>")
+    assert sorted(r.e is None for r in none.select(recon_error(spark, model, "x").alias("e")).collect()) == [False, True]
+    errs = spark.createDataFrame([(float("nan"),), (2.0,), (None,)], "recon_error double")
+    assert [r[0] for r in threshold_filter(errs, 1.0).collect()] == [2.0]
+    with pytest.raises(ValueError):
+        threshold_filter(errs, float("nan"))
