@@ -90,6 +90,8 @@ def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
     v_rot, q_rot = vectors @ axes, queries @ axes
     v_rest = np.sqrt(np.square(v_rot[:, lead:]).sum(axis=1))
     q_rest = np.sqrt(np.square(q_rot[:, lead:]).sum(axis=1))
+    # whole numbers below 2^53: a float64 matrix product is exact
+    small = bool(len(ids) and len(queries) and np.abs(queries).max() * np.abs(vectors).max() * dim < 2.0**53)
     least = floor.astype(np.float64).copy()
     got = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
     for at in range(0, len(ids), BLOCK):
@@ -99,12 +101,18 @@ def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
         if not len(live):
             break
         bound = q_rot[live, :lead] @ v_rot[block, :lead].T + q_rest[live, None] * v_rest[None, block]
-        r, c = np.nonzero(bound + slack[live, None] >= least[live, None])
-        r = live[r]
-        other = query_ids[r] != ids[at + c]
-        r, c = r[other], at + c[other]
-        parts = [exact_products(queries[r[i:i + 65536]], vectors[c[i:i + 65536]]) for i in range(0, len(r), 65536)]
-        score = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        may = bound + slack[live, None] >= least[live, None]
+        may &= query_ids[live, None] != ids[None, block]
+        if small and np.count_nonzero(may) * 50 > may.size:  # most pairs are left: one matrix product is cheaper
+            exact = queries[live] @ vectors[block].T
+            r, c = np.nonzero(may & (exact >= least[live, None]))
+            score = exact[r, c].astype(np.int64)
+            r, c = live[r], at + c
+        else:
+            r, c = np.nonzero(may)
+            r, c = live[r], at + c
+            parts = [exact_products(queries[r[i:i + 65536]], vectors[c[i:i + 65536]]) for i in range(0, len(r), 65536)]
+            score = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
         keep = score >= least[r]
         got = _best(np.concatenate([got[0], r[keep]]), np.concatenate([got[1], score[keep]]),
                     np.concatenate([got[2], ids[c[keep]]]), k)
