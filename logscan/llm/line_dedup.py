@@ -177,7 +177,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
             .groupBy("id", "th").agg(F.flatten(F.collect_list("runs")).alias("runs")))
     kept = without(docs, OUTPUT)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col("text").alias("_text"), *key)
-    out = rows.join(scratch.save(runs, "runs"), ["id", "th"], "left").select(
+    # the same way at every size: texts are dealt by id, never a broadcast that stops fitting
+    out = rows.join(scratch.save(runs, "runs").hint("merge"), ["id", "th"], "left").select(
         "_row", _cut.asNondeterministic()("_text", "runs").alias("_cut"))
     return out.select("_row.*", *[F.col(f"_cut.{c}").alias(c) for c in OUTPUT])
 
