@@ -18,11 +18,13 @@ their overlap is at least 4 (a + b) / 9, that is a Jaccard similarity of 0.8.
 * Verification: surviving pairs are checked by the same bound over finer
   counts (about as many groups as shingles), then on their whole shingle sets.
 
-Within large groups (thousands of near copies) the first pass keeps each
-point's best partner only; once those links have joined most of the group
-into components, a second pass checks every remaining pair of points in
-different components that the bound allows.  So no link between different
-components is lost, and pairs inside a component are never enumerated.
+The first pass verifies few pairs: of small groups a spanning forest of the
+best bounds, of large ones (thousands of near copies) each point's best
+partner.  Once those links have made components, a second pass drops the
+groups that lie in one component and checks, on wider points, every remaining
+pair of points in different components that the bound allows.  So no link
+between different components is lost, and pairs inside a component are never
+enumerated.
 """
 
 from __future__ import annotations
@@ -80,12 +82,18 @@ def _power(n: float, low: int, high: int) -> int:
 
 
 def count_vector(s: np.ndarray) -> bytes:
+    """The point that travels with every key of the first pass."""
+    return _counts(s, _power(len(s) / 4, GROUPS, MAX_GROUPS))
+
+
+def wide_vector(s: np.ndarray) -> bytes:
+    """The point of the second pass."""
     return _counts(s, _power(len(s), GROUPS, MAX_GROUPS))
 
 
-def fine_counts(s: np.ndarray) -> bytes:
-    """Counts over about as many groups as shingles."""
-    return _counts(s, _power(len(s), GROUPS, FINE_MAX))
+def fine_counts(s: np.ndarray) -> bytes | None:
+    """Counts over about as many groups as shingles; None: the wide vector has them."""
+    return _counts(s, _power(len(s), GROUPS, FINE_MAX)) if len(s) > MAX_GROUPS else None
 
 
 def _folded(rows: list[bytes], groups: int) -> np.ndarray:
@@ -109,7 +117,7 @@ def fine_bound(a: bytes, b: bytes) -> int:
 def _describe(batches):
     """_id, doc_id, text -> _id, doc_id, set size, fingerprint, prefix keys, count vectors."""
     for batch in batches:
-        n, h1, h2, keys, vecs, fine = [], [], [], [], [], []
+        n, h1, h2, keys, vecs, wide, fine = [], [], [], [], [], [], []
         for s in shingle_sets(batch.column("text")):
             digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), dtype=np.int64)
             n.append(len(s))
@@ -117,11 +125,13 @@ def _describe(batches):
             h2.append(int(digest[1]))
             keys.append(s[:prefix_length(len(s))].view(np.int64))
             vecs.append(count_vector(s))
+            wide.append(wide_vector(s))
             fine.append(fine_counts(s))
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), batch.column("doc_id"), pa.array(n, type=pa.int32()), pa.array(h1, type=pa.int64()),
              pa.array(h2, type=pa.int64()), pa.array(keys, type=pa.list_(pa.int64())), pa.array(vecs, type=pa.binary()),
-             pa.array(fine, type=pa.binary())], ["_id", "doc_id", "n", "h1", "h2", "keys", "vec", "fine"])
+             pa.array(wide, type=pa.binary()), pa.array(fine, type=pa.binary())],
+            ["_id", "doc_id", "n", "h1", "h2", "keys", "vec", "wide", "fine"])
 
 
 def _sets_of(batches):
@@ -180,7 +190,7 @@ def _shared_rows(batches):
 
 def _new_groups(batches):
     """Drops groups all of whose rows share the key before: each of their
-    pairs meets there.  Adds the number of rows of the group."""
+    pairs meets there."""
     keys = ("key", "s", "t")
     for table in _grouped(batches, keys):
         starts = _group_starts(table, keys)
@@ -190,8 +200,49 @@ def _new_groups(batches):
         mixed = np.maximum.reduceat((prev != head) | (prev == key), starts)
         at = np.flatnonzero(np.repeat(mixed, sizes))
         if len(at):
-            k = np.repeat(sizes, sizes)[at].astype(np.int32)
-            yield from table.take(pa.array(at)).append_column("k", pa.array(k)).to_batches()
+            yield from table.take(pa.array(at)).to_batches()
+
+
+def _mixed_groups(batches):
+    """Drops groups that lie in one component."""
+    keys = ("key", "s", "t")
+    for table in _grouped(batches, keys):
+        starts = _group_starts(table, keys)
+        sizes = np.diff(np.append(starts, table.num_rows))
+        comp = table.column("comp").to_numpy()
+        mixed = np.logical_or.reduceat(comp != np.repeat(comp[starts], sizes), starts)
+        at = np.flatnonzero(np.repeat(mixed, sizes))
+        if len(at):
+            yield from table.take(pa.array(at)).to_batches()
+
+
+def spanning_forest(a: np.ndarray, b: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs (a, b) of a forest that joins what all pairs
+    join, by highest scores: in each round every tree takes its best pair to
+    another one."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = ends[:len(a)], ends[len(a):]
+    order = np.lexsort((b, a, -score))
+    rank = np.empty(len(a), dtype=np.int64)
+    rank[order] = np.arange(len(a))
+    tree, kept, live = np.arange(len(nodes)), np.zeros(len(a), dtype=bool), np.arange(len(a))
+    while True:
+        live = live[tree[u[live]] != tree[v[live]]]
+        if not len(live):
+            return np.flatnonzero(kept)
+        best = np.full(len(nodes), len(a))
+        np.minimum.at(best, tree[u[live]], rank[live])
+        np.minimum.at(best, tree[v[live]], rank[live])
+        own = np.flatnonzero(best < len(a))
+        edge = order[best[own]]
+        kept[edge] = True
+        to = np.arange(len(nodes))
+        to[own] = tree[u[edge]] + tree[v[edge]] - own
+        mutual = own[(to[to[own]] == own) & (own < to[own])]
+        to[mutual] = mutual
+        while (to[to] != to).any():
+            to = to[to]
+        tree = to[tree]
 
 
 def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -330,15 +381,21 @@ def _candidates(second: bool):
                 right.append(rep[j])
 
             small = np.flatnonzero((sizes <= LEAF)[group])
-            if not second and len(small):
+            edges = []
+            if len(small):
                 for i, j in _small_pairs(group[small], n[small], vec[small]):
                     i, j = small[i], small[j]
                     ok = wanted(i, j)
                     i, j = i[ok], j[ok]
                     if len(i):
                         rows, place = np.unique(np.concatenate([i, j]), return_inverse=True)
-                        x, y, _ = _Wide([raw[r] for r in rows], n[rows]).passing(place[:len(i)], place[len(i):])
-                        add(rows[x], rows[y])
+                        x, y, total = _Wide([raw[r] for r in rows], n[rows]).passing(place[:len(i)], place[len(i):])
+                        x, y = rows[x], rows[y]
+                        edges.append((x, y, total / (n[x] + n[y])))
+            if edges:
+                x, y, score = (np.concatenate(e) for e in zip(*edges))
+                pick = slice(None) if second else spanning_forest(rep[x], rep[y], score)
+                add(x[pick], y[pick])
             for g in np.flatnonzero(sizes > LEAF).tolist():
                 at = np.arange(starts[g], starts[g] + sizes[g])
                 if second and (comp[at] == comp[at[0]]).all():
@@ -410,19 +467,20 @@ class JaccardJoin:
         self.texts = docs.select(private_id("doc_id", "text").alias("_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
                                  "text")
         described = scratch.save(self.texts.mapInArrow(
-            _describe, "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, fine binary"),
+            _describe, "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, "
+            "wide binary, fine binary"),
             "described")
         self.rows = scratch.save(described.select("_id", "doc_id", "n", "h1", "h2"), "rows")
         reps = scratch.save(described.where("n > 0").groupBy("h1", "h2", "n").agg(
             F.min("_id").alias("rep"), F.min("doc_id").alias("low"), F.first("keys").alias("keys"),
-            F.first("vec").alias("vec"), F.first("fine").alias("fine")), "reps")
+            F.first("vec").alias("vec"), F.first("wide").alias("wide"), F.first("fine").alias("fine")), "reps")
         scratch.drop("described")
         self.classes = reps.select("h1", "h2", "n", "rep", "low")
         shared = scratch.save(self._shared(reps), "shared")
         found = self._verify(self._pairs(shared, reps, None), reps, "first")
         links = found.unionByName(self._one_document())
         stars = components(links, scratch, "stars")
-        again = self._verify(self._pairs(shared.where(F.col("k") > LEAF), reps, stars), reps, "second")
+        again = self._verify(self._pairs(shared, reps, stars), reps, "second")
         if again.limit(1).count():
             joined = again.unionByName(stars.select(F.col("comp").alias("a"), F.col("id").alias("b")))
             stars = components(joined, scratch, "joined")
@@ -437,7 +495,7 @@ class JaccardJoin:
                 .select(F.col("rep").alias("a"), F.col("_id").alias("b")))
 
     def _shared(self, reps: DataFrame) -> DataFrame:
-        """(key, s, t, side, rep, n, prev, k): classes under keys that others share.
+        """(key, s, t, side, rep, n, prev): classes under keys that others share.
         prev is the class's shared key before this one (the key itself: none).
         A hot key's rows are dealt to blocks, and a row goes to every pair
         (s, t) of blocks that holds its own."""
@@ -458,19 +516,23 @@ class JaccardJoin:
         before = Window.partitionBy("rep", "n").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
         rows = rows.withColumn("prev", F.coalesce(F.max("key").over(before), "key"))
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
-        return rows.mapInArrow(_new_groups, kind + ", prev long, k int")
+        return rows.mapInArrow(_new_groups, kind + ", prev long")
 
     def _pairs(self, shared: DataFrame, reps: DataFrame, stars: DataFrame | None) -> DataFrame:
-        rows = shared.drop("k").join(reps.select("rep", "n", "vec"), ["rep", "n"])
+        point = "vec"
         if stars is not None:
-            rows = (rows.join(stars, rows["rep"] == stars["id"], "left")
-                    .withColumn("comp", F.coalesce("comp", "rep")).drop("id"))
+            point = "wide"
+            shared = (shared.join(stars, shared["rep"] == stars["id"], "left")
+                      .withColumn("comp", F.coalesce("comp", "rep")).drop("id")
+                      .repartition("key", "s", "t").sortWithinPartitions("key", "s", "t"))
+            shared = shared.mapInArrow(_mixed_groups, shared.schema)
+        rows = shared.join(reps.select("rep", "n", F.col(point).alias("vec")), ["rep", "n"])
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
         return rows.mapInArrow(_candidates(stars is not None), "a long, b long").distinct()
 
     def _verify(self, pairs: DataFrame, reps: DataFrame, name: str) -> DataFrame:
         scratch = self.scratch
-        fine = [reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
+        fine = [reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.coalesce("fine", "wide").alias(f"fine_{x}"))
                 for x in ("a", "b")]
         pairs = scratch.save(pairs.join(fine[1], "b").join(fine[0], "a")
                              .mapInArrow(_possible, "a long, b long").distinct(), f"pairs-{name}")
