@@ -473,19 +473,28 @@ class JaccardJoin:
         self.rows = scratch.save(described.select("_id", "doc_id", "n", "h1", "h2"), "rows")
         reps = scratch.save(described.where("n > 0").groupBy("h1", "h2", "n").agg(
             F.min("_id").alias("rep"), F.min("doc_id").alias("low"), F.first("keys").alias("keys"),
-            F.first("vec").alias("vec"), F.first("wide").alias("wide"), F.first("fine").alias("fine")), "reps")
-        scratch.drop("described")
+            F.first("vec").alias("vec")), "reps")
         self.classes = reps.select("h1", "h2", "n", "rep", "low")
         shared = scratch.save(self._shared(reps), "shared")
-        found = self._verify(self._pairs(shared, reps, None), reps, "first")
+        near = scratch.save(self._pairs(shared, reps.select("rep", "n", "vec")), "near")
+        # a class that links with another is in a pair of the first pass: the
+        # rest of the work is on these classes only
+        met = near.select(F.col("a").alias("_id")).unionByName(near.select(F.col("b").alias("_id"))).distinct()
+        points = scratch.save(described.join(met, "_id", "left_semi").dropDuplicates(["_id", "h1", "h2"])
+                              .select(F.col("_id").alias("rep"), "n", "wide", F.coalesce("fine", "wide").alias("fine")),
+                              "points")
+        scratch.drop("described")
+        found = self._verify(near, points, "first")
         links = found.unionByName(self._one_document())
         stars = components(links, scratch, "stars")
-        again = self._verify(self._pairs(shared, reps, stars), reps, "second")
+        again = self._verify(self._pairs(
+            self._mixed(shared, points, stars), points.select("rep", "n", F.col("wide").alias("vec")), second=True),
+            points, "second")
         if again.limit(1).count():
             joined = again.unionByName(stars.select(F.col("comp").alias("a"), F.col("id").alias("b")))
             stars = components(joined, scratch, "joined")
         self.links = stars
-        scratch.drop("shared")
+        scratch.drop("shared", "near", "points")
 
     def _one_document(self) -> DataFrame:
         """Rows of one id are one document: links between its classes."""
@@ -518,21 +527,23 @@ class JaccardJoin:
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
         return rows.mapInArrow(_new_groups, kind + ", prev long")
 
-    def _pairs(self, shared: DataFrame, reps: DataFrame, stars: DataFrame | None) -> DataFrame:
-        point = "vec"
-        if stars is not None:
-            point = "wide"
-            shared = (shared.join(stars, shared["rep"] == stars["id"], "left")
-                      .withColumn("comp", F.coalesce("comp", "rep")).drop("id")
-                      .repartition("key", "s", "t").sortWithinPartitions("key", "s", "t"))
-            shared = shared.mapInArrow(_mixed_groups, shared.schema)
-        rows = shared.join(reps.select("rep", "n", F.col(point).alias("vec")), ["rep", "n"])
+    def _mixed(self, shared: DataFrame, points: DataFrame, stars: DataFrame) -> DataFrame:
+        """Rows of the classes that have points, with their components, in
+        groups of several components."""
+        rows = (shared.join(points.select("rep").distinct(), "rep", "left_semi")
+                .join(stars.select(F.col("id").alias("rep"), "comp"), "rep", "left")
+                .withColumn("comp", F.coalesce("comp", "rep")))
+        rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t")
+        return rows.mapInArrow(_mixed_groups, rows.schema)
+
+    def _pairs(self, shared: DataFrame, vectors: DataFrame, second: bool = False) -> DataFrame:
+        rows = shared.join(vectors, ["rep", "n"])
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
-        return rows.mapInArrow(_candidates(stars is not None), "a long, b long").distinct()
+        return rows.mapInArrow(_candidates(second), "a long, b long").distinct()
 
-    def _verify(self, pairs: DataFrame, reps: DataFrame, name: str) -> DataFrame:
+    def _verify(self, pairs: DataFrame, points: DataFrame, name: str) -> DataFrame:
         scratch = self.scratch
-        fine = [reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.coalesce("fine", "wide").alias(f"fine_{x}"))
+        fine = [points.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
                 for x in ("a", "b")]
         pairs = scratch.save(pairs.join(fine[1], "b").join(fine[0], "a")
                              .mapInArrow(_possible, "a long, b long").distinct(), f"pairs-{name}")
