@@ -320,6 +320,26 @@ def test_jaccard_against_brute_force(spark, monkeypatch):
     assert got == {i: (n[i], comp[i]) for i in range(len(texts))}
 
 
+def test_spanning_forest_joins_what_all_pairs_join():
+    rng = np.random.default_rng(4)
+    for nodes, edges in ((2, 1), (30, 20), (30, 400), (200, 300)):
+        a = rng.integers(0, nodes - 1, edges)
+        b = a + rng.integers(1, nodes - a)
+        score = rng.integers(0, 5, edges) / 5.0  # many ties
+        pick = ngram_join.spanning_forest(a, b, score)
+
+        def trees(at):
+            comp = list(range(nodes))
+            find = lambda i: i if comp[i] == i else find(comp[i])
+            for i in at:
+                x, y = find(a[i]), find(b[i])
+                comp[max(x, y)] = min(x, y)
+            return [find(i) for i in range(nodes)]
+
+        assert trees(pick) == trees(range(edges))
+        assert len(pick) == nodes - len(set(trees(pick)))  # no pair too many
+
+
 def test_jaccard_of_odd_rows(spark):
     rows = ngram_join.jaccard_components(odd_docs(spark)).collect()
     got = collections.Counter((r.doc_id, r.component_id) for r in rows)
