@@ -9,7 +9,7 @@ spans that a loss applies to (the assistant's words and end marks).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logscan.llm.common import read_table
@@ -98,18 +98,67 @@ def neighbour_pairs(turns: DataFrame) -> DataFrame:
         F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array("_reply")).alias("rejected"))
 
 
+RING_SIZE = 512  # conversations that pass replies around among themselves
+
+
+def branch_pairs(turns: DataFrame) -> DataFrame:
+    """One pair for every conversation, with all its turns: chosen is the whole
+    conversation; rejected leaves it at one of its assistant turns (picked by a
+    hash of the id) and goes on with another conversation's turns from one of
+    that one's assistant turns on.
+
+    Conversations with an assistant turn are dealt by hash into rings of about
+    ``RING_SIZE`` and each gives its turns to the next one of its ring; one
+    that is alone in its ring takes them from the smallest (or, if it is that,
+    the largest) id that has some.  A conversation without an assistant turn,
+    or with no other to take from, has an empty rejected side.
+    """
+    lists = turn_lists(turns)
+    at = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)), lambda i: i.isNotNull())
+    lists = lists.withColumn("_at", at).withColumn(
+        "_branch", F.when(F.size("_at") > 0, F.get("_at", F.pmod(F.xxhash64("conv_id"), F.size("_at")).cast("int"))))
+    ids = turns.where(F.col("conv_id").isNotNull() & (F.col("role") == "assistant")).select("conv_id").distinct()
+    ends = ids.agg(F.count(F.lit(1)).alias("_n"), F.min("conv_id").alias("_min"), F.max("conv_id").alias("_max"))
+    dealt = ids.crossJoin(F.broadcast(ends)).withColumn("_h", F.xxhash64("conv_id", F.lit(1)))
+    dealt = dealt.withColumn("_ring", F.pmod("_h", F.greatest(F.lit(1), F.ceil(F.col("_n") / RING_SIZE))))
+    ring = Window.partitionBy("_ring").orderBy("_h", "conv_id")
+    giver = F.coalesce(F.lag("conv_id").over(ring), F.last("conv_id").over(ring.rowsBetween(0, Window.unboundedFollowing)))
+    taken = dealt.select("conv_id", giver.alias("_from"), "_min", "_max").withColumn(
+        "_from", F.when(F.col("_from") != F.col("conv_id"), F.col("_from"))
+        .when(F.col("_min") != F.col("conv_id"), F.col("_min"))
+        .when(F.col("_max") != F.col("conv_id"), F.col("_max")))
+    tails = lists.where(F.col("_branch").isNotNull()).select(
+        F.col("conv_id").alias("_from"), F.slice("turns", F.col("_branch"), F.size("turns")).alias("_tail"))
+    tails = taken.select("conv_id", "_from").join(tails, "_from").select("conv_id", "_tail")
+    return lists.join(tails, "conv_id", "left").select(
+        "conv_id", F.col("turns").alias("chosen"),
+        F.when(F.col("_tail").isNull(), F.slice("turns", F.lit(1), F.lit(0)))
+        .otherwise(F.concat(F.slice("turns", F.lit(1), F.col("_branch") - 1), "_tail")).alias("rejected"))
+
+
 def _mask(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
 
 
-def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formatted preference pairs of all conversations; loss spans as text."""
-    out = format_pairs(neighbour_pairs(read_table(spark, sf_dir, "conversations")))
+def _rows(out: DataFrame) -> DataFrame:
+    """The columns of the queries; loss spans as text."""
     return out.select("conv_id", "prompt_turns", "prompt", "chosen_completion", "rejected_completion",
                       _mask("chosen_spans").alias("chosen_mask"), _mask("rejected_spans").alias("rejected_mask"),
                       "identical")
 
 
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted pairs as OP5_SQL states them: conversations of which, or of
+    whose neighbour, no assistant turn exists give none, and turns after the
+    last assistant turn are left out.  ``op5_preferences_whole`` keeps all."""
+    return _rows(format_pairs(neighbour_pairs(read_table(spark, sf_dir, "conversations"))))
+
+
+def op5_preferences_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A formatted pair of every conversation with all its turns."""
+    return _rows(format_pairs(branch_pairs(read_table(spark, sf_dir, "conversations"))))
+
+
 OP5_SQL = """
 WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
                                               text NULLS FIRST) AS p,

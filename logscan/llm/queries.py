@@ -7,7 +7,7 @@ from logscan.llm.language_model import op4_lm_scoring
 from logscan.llm.line_dedup import op7_line_dedup
 from logscan.llm.mixing import op2_mixing
 from logscan.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
-from logscan.llm.preferences import OP5_SQL, op5_preferences
+from logscan.llm.preferences import OP5_SQL, op5_preferences, op5_preferences_whole
 from logscan.llm.sharding import op1_sharding
 from logscan.llm.topk import OP6_SQL, op6_topk
 from logscan.llm.toxicity import op9_toxicity
@@ -19,6 +19,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_preferences": op5_preferences,
+    "op5_preferences_whole": op5_preferences_whole,
     "op6_topk": op6_topk,
     "op7_line_dedup": op7_line_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
