@@ -8,14 +8,21 @@ copies select the same line there, and the shortest window of that many words
 forward or backward from the selected line lies inside the run.  These two
 windows are the fingerprint's keys: equal keys are equal text.
 
-Fingerprints join the first occurrence of their key (the smallest id, then
-line).  From there a match is extended both ways, line by line, and the later
-copy of the run is deleted.  Every deleted line has an equal line at an
+Fingerprints join the first document that has their key (the smallest id).  From
+all its places a match is extended both ways, line by line, and the later copy of
+the run is deleted.  An earlier place elsewhere that agrees for longer agrees with
+the first document just as far, so it belongs to a later row of the same key that
+stopped at the same line: in the next round these rows are keyed by their run and
+the line it stopped before (one key each way), join the first document of that key,
+and so on until no key repeats.  Every earlier place of a fingerprint is thereby
+compared, without making pairs of them.  Every deleted line has an equal line at an
 earlier place, so the first copy of a text stays.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -72,17 +79,28 @@ def _arrays(col) -> list[np.ndarray]:
     return [v.values.to_numpy(zero_copy_only=False) for v in col]
 
 
+BOTH, BACK, ON = 0, -1, 1  # ways in which a window's match is extended
+_MARK = "key long, id long, th long, lines array<int>, n int, way int"
+_FOUND = ("id long, th long, runs array<struct<b:int,e:int>>, "
+          "next array<struct<key:bigint,lines:array<int>,n:int,way:int>>")
+
+
 def _fingerprint_rows(window: int):
+    """One row per key of a document: the places of its windows."""
     def run(batches):
         for batch in batches:
-            ids, ths = batch.column("id").to_pylist(), batch.column("th").to_pylist()
-            rows = [(key, i, th, a, n) for i, th, h, w in zip(ids, ths, _arrays(batch.column("lines")),
-                                                              _arrays(batch.column("words")))
-                    for key, a, n in fingerprints(h.view(np.uint64), w, window)]
-            cols = list(zip(*rows)) if rows else [()] * 5
+            rows = []
+            for i, th, h, w in zip(batch.column("id").to_pylist(), batch.column("th").to_pylist(),
+                                   _arrays(batch.column("lines")), _arrays(batch.column("words"))):
+                places: dict[tuple, list] = {}
+                for key, a, n in fingerprints(h.view(np.uint64), w, window):
+                    places.setdefault((key, n), []).append(a)
+                rows += [(key, i, th, at, n, BOTH) for (key, n), at in places.items()]
+            cols = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-                ["key", "id", "th", "line", "n"])
+                [pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()),
+                                                            pa.int32(), pa.int32()))],
+                ["key", "id", "th", "lines", "n", "way"])
 
     return run
 
@@ -98,24 +116,77 @@ def extend(a: np.ndarray, b: np.ndarray, at: int, other: int, n: int) -> tuple[i
     return lo, hi
 
 
+def _longest(a: np.ndarray, b: np.ndarray, asked: list) -> list[int]:
+    """For each (line of ``a``, lines of ``b``): how many lines from there on
+    agree at most."""
+    at, out = {}, [0] * len(asked)
+    for k, (i, places) in enumerate(asked):
+        at.setdefault(i, []).append((k, places))
+    agree = np.zeros(len(b) + 1, dtype=np.int32)  # of the lines from i on with those from each line of b on
+    for i in range(len(a) - 1, min(at) - 1, -1):
+        agree[:-1] = np.where(b == a[i], agree[1:] + 1, 0)
+        for k, places in at.get(i, ()):
+            out[k] = int(agree[places].max())
+    return out
+
+
+def _matches(a: np.ndarray, b: np.ndarray, hits: list, same: bool):
+    """(hit, line, from, to): the longest run around each window of ``a`` that
+    agrees with any of its places in ``b`` (above it, in the same text)."""
+    spans, many = set(), []
+    for h in hits:
+        n, places = h["n"], np.array(h["first"])
+        for at in h["lines"]:
+            before = places[:np.searchsorted(places, at)] if same else places
+            if len(before) > 1:
+                many.append((h, at, before))
+            elif len(before):
+                other = int(before[0])
+                run = next(((lo, hi) for lo, hi, d in spans if lo <= at and at + n <= hi and d == other - at), None)
+                # a hash clash of keys would show here: the lines themselves must agree
+                if not run and np.array_equal(a[at:at + n], b[other:other + n]):
+                    run = extend(a, b, at, other, n)
+                    spans.add((*run, other - at))
+                if run:
+                    yield h, at, *run
+    if many:
+        on = _longest(a, b, [(at, places) for _, at, places in many])
+        back = _longest(a[::-1], b[::-1], [(len(a) - at - h["n"], len(b) - places - h["n"]) for h, at, places in many])
+        for (h, at, _), x, y in zip(many, on, back):
+            if min(x, y) >= h["n"]:
+                yield h, at, at + h["n"] - y, at + x
+
+
+def _longer_key(key: int, way: int, lines: np.ndarray) -> int:
+    """Key of a window of ``key`` grown one way to ``lines``."""
+    h = xxhash.xxh3_64_intdigest(lines.tobytes() + bytes([way + 1]), seed=key & int(_LAST))
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _runs(batches):
-    """Matches of one document with one earlier document -> runs to delete."""
+    """Matches of one document with the first one of their keys (an earlier one
+    or itself) -> runs to delete, and the windows grown by the line at which
+    a match stopped."""
     for batch in batches:
-        out = []
-        for r, (a, b, hits) in enumerate(zip(_arrays(batch.column("lines")), _arrays(batch.column("first_lines")),
-                                             batch.column("hits").to_pylist())):
-            spans = set()
-            for h in hits:
-                inside = any(lo <= h["line"] and h["line"] + h["n"] <= hi and d == h["first"] - h["line"]
-                             for lo, hi, d in spans)
-                # a hash clash of keys would show here: the lines themselves must agree
-                if not inside and np.array_equal(a[h["line"]:h["line"] + h["n"]], b[h["first"]:h["first"] + h["n"]]):
-                    lo, hi = extend(a, b, h["line"], h["first"], h["n"])
-                    spans.add((lo, hi, h["first"] - h["line"]))
-            out.append([{"b": lo, "e": hi} for lo, hi, _ in sorted(spans)])
+        out, grown = [], []
+        for a, b, same, hits in zip(_arrays(batch.column("lines")), _arrays(batch.column("first_lines")),
+                                    batch.column("same").to_pylist(), batch.column("hits").to_pylist()):
+            runs, longer = set(), {}
+            for h, at, lo, hi in _matches(a, b, hits, same):
+                runs.add((lo, hi))
+                if not same and h["way"] != BACK and hi < len(a):
+                    longer.setdefault((_longer_key(h["key"], ON, a[at:hi + 1]), hi + 1 - at, ON), []).append(at)
+                end = at + h["n"]
+                if not same and h["way"] != ON and lo > 0:
+                    longer.setdefault((_longer_key(h["key"], BACK, a[lo - 1:end]), end - lo + 1, BACK), []).append(lo - 1)
+            out.append([{"b": lo, "e": hi} for lo, hi in sorted(runs)])
+            grown.append([{"key": k, "lines": sorted(at), "n": n, "way": w} for (k, n, w), at in sorted(longer.items())])
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("th"),
-             pa.array(out, type=pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())])))], ["id", "th", "runs"])
+             pa.array(out, type=pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())]))),
+             pa.array(grown, type=pa.list_(pa.struct([("key", pa.int64()), ("lines", pa.list_(pa.int32())),
+                                                      ("n", pa.int32()), ("way", pa.int32())])))],
+            ["id", "th", "runs", "next"])
 
 
 @F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
@@ -142,8 +213,9 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     ``text``, and n_lines, removed_lines, removed_words.
 
     A run is deleted when it holds a fingerprint window (``window`` words or
-    more) that occurred earlier: at a smaller doc_id (rows with a null id come
-    last), or further up in the same text.  Null and empty texts have no lines
+    more) that occurred earlier, as far as it agrees with any of the earlier
+    places: at a smaller doc_id (rows with a null id come last), or further up in
+    the same text.  Null and empty texts have no lines
     and stay; rows equal in id and text count as one document and are cut
     alike; an empty table gives no rows.  Input columns named n_lines,
     removed_lines or removed_words are replaced.
@@ -156,25 +228,32 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     key = (own.alias("id"), F.xxhash64("text").alias("th"))
     lines = scratch.save(docs.select(*key, "text").mapInArrow(
         _lines, "id long, th long, lines array<long>, words array<long>"), "lines")
-    marks = scratch.save(lines.mapInArrow(_fingerprint_rows(window), "key long, id long, th long, line int, n int"),
-                         "marks")
-    # one row per repeated key: its first place (minima are taken before the shuffle)
-    firsts = scratch.save(
-        marks.groupBy("key").agg(F.min(F.struct("id", "th", "line")).alias("f"), F.count(F.lit(1)).alias("c"))
-        .where("c > 1").select("key", F.col("f.id").alias("f_id"), F.col("f.th").alias("f_th"),
-                               F.col("f.line").alias("f_line")), "firsts")
-    later = (marks.join(firsts, "key")
-             .where(F.struct("id", "th", "line") > F.struct(F.col("f_id").alias("id"), F.col("f_th").alias("th"),
-                                                            F.col("f_line").alias("line"))))
-    hits = scratch.save(later.groupBy("id", "th", "f_id", "f_th").agg(F.array_sort(F.collect_list(F.struct(
-        "line", F.col("f_line").alias("first"), "n"))).alias("hits")), "hits")
-    once = lines.dropDuplicates(["id", "th"]).drop("words")
-    both = (hits.join(once, ["id", "th"])
-            .join(once.select(F.col("id").alias("f_id"), F.col("th").alias("f_th"),
-                              F.col("lines").alias("first_lines")), ["f_id", "f_th"]))
-    runs = (both.select("id", "th", "lines", "first_lines", "hits")
-            .mapInArrow(_runs, "id long, th long, runs array<struct<b:int,e:int>>")
-            .groupBy("id", "th").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+    once = lines.dropDuplicates(["id", "th"])
+    level = scratch.save(once.mapInArrow(_fingerprint_rows(window), _MARK), "marks")
+    once, found, doc = once.drop("words"), [], F.struct("id", "th")
+    while True:
+        step = len(found)
+        # one row per repeated key: its first document (minima are taken before the shuffle)
+        firsts = scratch.save(
+            level.groupBy("key").agg(F.min(F.struct("id", "th", "lines")).alias("f"), F.count(F.lit(1)).alias("c"))
+            .where((F.col("c") > 1) | (F.size("f.lines") > 1))
+            .select("key", F.col("f.id").alias("f_id"), F.col("f.th").alias("f_th"), F.col("f.lines").alias("first")),
+            f"firsts{step}")
+        if firsts.isEmpty():
+            break
+        first = F.struct(F.col("f_id").alias("id"), F.col("f_th").alias("th"))
+        later = level.join(firsts, "key").where((doc > first) | (F.size("lines") > 1))
+        hits = scratch.save(later.groupBy("id", "th", "f_id", "f_th").agg(F.array_sort(F.collect_list(F.struct(
+            "lines", "first", "n", "key", "way"))).alias("hits")), f"hits{step}")
+        both = (hits.join(once, ["id", "th"])
+                .join(once.select(F.col("id").alias("f_id"), F.col("th").alias("f_th"),
+                                  F.col("lines").alias("first_lines")), ["f_id", "f_th"]))
+        found.append(scratch.save(
+            both.select("id", "th", "lines", "first_lines", (doc == first).alias("same"), "hits")
+            .mapInArrow(_runs, _FOUND), f"found{step}"))
+        level = found[-1].select("id", "th", F.explode("next").alias("m")).select("m.key", "id", "th", "m.lines", "m.n", "m.way")
+    runs = reduce(DataFrame.unionAll, found, spark.createDataFrame([], _FOUND)).select("id", "th", "runs") \
+        .groupBy("id", "th").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     kept = without(docs, OUTPUT)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col("text").alias("_text"), *key)
     # the same way at every size: texts are dealt by id, never a broadcast that stops fitting

@@ -4,10 +4,12 @@ import collections
 import os
 import sys
 
+import numpy as np
+
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", ".."))
 
 import __spark_entry__ as E  # noqa: E402
-from logscan.llm import preferences  # noqa: E402
+from logscan.llm import line_dedup, preferences  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -63,3 +65,47 @@ def test_pairs_of_odd_conversations(spark, monkeypatch):
         check_pairs(pairs(t).collect(), conversations(t))
     check_pairs(pairs(t.where("conv_id = 2")).collect(), conversations(t.where("conv_id = 2")))
     assert pairs(t.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------- line dedup
+def all_places(texts):
+    """Lines of each text deleted by comparing with every earlier place of a window."""
+    data = [line_dedup.line_hashes(t) for t in texts]
+    marks, gone = collections.defaultdict(list), [set() for _ in texts]
+    for d, (h, w) in enumerate(data):
+        for key, a, n in line_dedup.fingerprints(h, w):
+            marks[key].append((d, a, n))
+    for places in marks.values():
+        places.sort()
+        for k, (d, a, n) in enumerate(places):
+            for e, b, _ in places[:k]:
+                gone[d].update(range(*line_dedup.extend(data[d][0], data[e][0], a, b, n)))
+    return gone
+
+
+def removed(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+
+
+def test_a_run_whose_window_occurred_earlier_elsewhere(spark):
+    line = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    value = lambda x: int(line_dedup.line_hashes(x)[0][0])
+    a, c = line("a", 24), line("c", 24)
+    b = next(x for x in (line(f"b{k}_", 26) for k in range(1000)) if value(x) < min(value(a), value(c)))
+    texts = ["\n".join(["one", b, "two"])] + ["\n".join([a, b, c])] * 4
+    got = removed(spark, texts)
+    assert [got[i].removed_words for i in range(5)] == [0, 26, 74, 74, 74]
+    assert [len(x) for x in all_places(texts)] == [got[i].removed_lines for i in range(5)]
+
+
+def test_every_earlier_place_is_compared(spark):
+    rng = np.random.default_rng(7)
+    pool = [" ".join(f"p{k}_{i}" for i in range(rng.integers(0, 30))) for k in range(14)]
+    texts = ["\n".join(pool[k] for k in rng.integers(0, 14, rng.integers(1, 25))) for _ in range(150)]
+    texts += ["\n".join([pool[1] + " the same line of a text" * 5] * n) for n in (40, 60, 50)]  # many places in a text
+    texts += texts[:20]
+    got, gone = removed(spark, texts), all_places(texts)
+    assert [got[i].removed_lines for i in range(len(texts))] == [len(x) for x in gone]
+    for i, t in enumerate(texts):
+        assert got[i].text == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i])
