@@ -5,11 +5,13 @@ import os
 import sys
 
 import numpy as np
+import pyarrow as pa
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", ".."))
 
 import __spark_entry__ as E  # noqa: E402
-from logscan.llm import line_dedup, preferences  # noqa: E402
+from logscan.llm import language_model as lm, line_dedup, preferences  # noqa: E402
+from logscan.llm.common import SPACE_WORDS, hashed_words, text_slices  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -109,3 +111,32 @@ def test_every_earlier_place_is_compared(spark):
     assert [got[i].removed_lines for i in range(len(texts))] == [len(x) for x in gone]
     for i, t in enumerate(texts):
         assert got[i].text == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i])
+
+
+# --------------------------------------------------------------- language model
+def test_all_training_documents_are_trained_on(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} and some more words of document {i} " * (1 + i % 5)) for i in range(80)]
+                                 + [(None, None)] * 30, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(lm, "SAMPLE_WORDS", 50, raising=False)  # a corpus far above a sample's size
+    monkeypatch.setattr(lm, "_averaged", lambda windows, trainers, params: seen.append(windows.select("w").collect()) or params)
+    lm.score_documents(docs)
+    texts = [r.text for r in docs.where(~lm.held_out()).collect()]
+    want = 0
+    for _, data, offsets in text_slices(pa.array(texts, type=pa.string())):
+        words = hashed_words(data, offsets, SPACE_WORDS)
+        ids, doc = lm.encode(words, lm.TOKENIZER)
+        want += len(lm._cover(ids, doc, words.n_docs, lm.CONTEXT, 0)[0])
+    assert sum(map(len, seen)) == want and all(seen)
+
+
+def test_models_are_summed_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN_IN", 2)
+    rng = np.random.default_rng(3)
+    params = lm.Attention.start(np.full(lm.SLOTS, -np.log(lm.SLOTS)))
+    w = rng.integers(0, lm.SLOTS, (50, lm.CONTEXT + 1)).astype(np.int16)
+    rows = [(x.tobytes(), i, i % 5) for i, x in enumerate(w)]
+    got = lm._averaged(spark.createDataFrame(rows, "w binary, deal long, trainer long"), 5, params)
+    done = [lm.train(params, w[k::5].astype(np.int64)) for k in range(5)]
+    for name in params:
+        assert np.allclose(got[name], np.mean([d[name] for d in done], axis=0), atol=1e-3)
