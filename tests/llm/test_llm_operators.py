@@ -49,7 +49,7 @@ def words(text, pattern=r"[^\x20\x09-\x0D]+"):
 # ------------------------------------------------------------------- registered
 def test_registered():
     names = E.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert "pipeline" in names and [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
 
 
