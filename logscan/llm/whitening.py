@@ -67,28 +67,57 @@ def quantized(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def packed(x: np.ndarray) -> bytes:
-    """The vector in its narrowest width: one form per vector."""
+def usable_vectors(lists: pa.Array):
+    """(row numbers, whole vectors as a matrix) of the usable lists, by length."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    lens = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    first = np.cumsum(np.maximum(lens, 0)) - np.maximum(lens, 0)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)  # null entries become NaN
+    for d in np.unique(lens[lens >= 0]).tolist():
+        rows = np.flatnonzero(lens == d)
+        m = flat[first[rows][:, None] + np.arange(d)]
+        fine = np.isfinite(m).all(axis=1)
+        yield rows[fine], quantized(m[fine])
+
+
+def packed(x: np.ndarray) -> list[bytes]:
+    """Each row in its narrowest width, after a byte that names it: one form
+    per vector."""
+    out = np.empty(len(x), dtype=object)
+    low, high = x.min(axis=1, initial=0), x.max(axis=1, initial=0)
+    left = np.ones(len(x), dtype=bool)
     for kind in WIDTHS:
-        if not len(x) or (x.min() >= np.iinfo(kind).min and x.max() <= np.iinfo(kind).max):
-            return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
+        rows = np.flatnonzero(left & (low >= np.iinfo(kind).min) & (high <= np.iinfo(kind).max))
+        left[rows] = False
+        data, width = x[rows].astype(kind).tobytes(), np.dtype(kind).itemsize
+        step = width * x.shape[1]
+        out[rows] = [bytes([width]) + data[i * step:(i + 1) * step] for i in range(len(rows))]
+    return out.tolist()
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"<i{data[0]}", offset=1).astype(np.int64)
+def unpacked(data: list[bytes]) -> np.ndarray:
+    """The matrix of packed vectors of one length and width."""
+    raw = np.frombuffer(b"".join(data), dtype=np.uint8).reshape(len(data), -1)
+    return np.ascontiguousarray(raw[:, 1:]).view(f"<i{data[0][0]}").astype(np.int64)
+
+
+def packed_groups(column: pa.Array):
+    """(row numbers, matrix) of a column of packed vectors."""
+    data = column.to_pylist()
+    groups = {}
+    for i, v in enumerate(data):
+        groups.setdefault((len(v), v[0]), []).append(i)
+    for rows in groups.values():
+        yield np.array(rows), unpacked([data[i] for i in rows])
 
 
 def _pack_rows(column: str):
     def pack(batches):
         for batch in batches:
-            out = []
-            for v in batch.column(column):
-                if v.is_valid and not v.values.null_count:
-                    c = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                    if np.isfinite(c).all():
-                        out.append((len(c), packed(quantized(c))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()),
-                                              pa.array([r[1] for r in out], pa.binary())], ["dim", "x"])
+            for _, x in usable_vectors(batch.column(column)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), x.shape[1], dtype=np.int32)),
+                                                  pa.array(packed(x), pa.binary())], ["dim", "x"])
     return pack
 
 
@@ -119,11 +148,8 @@ def _partial_sums(batches):
     j = -1 and the row count under i = -1."""
     state = {}
     for batch in batches:
-        groups = {}
-        for d, x in zip(batch.column("dim").to_pylist(), batch.column("x").to_pylist()):
-            groups.setdefault(d, []).append(unpacked(x))
-        for d, rows in groups.items():
-            x = np.stack(rows)
+        for _, x in packed_groups(batch.column("x")):
+            d = x.shape[1]
             if d not in state:
                 state[d] = [0, np.zeros(d, dtype=object), np.zeros((d, d), dtype=object)]
             state[d][0] += len(x)
@@ -428,18 +454,31 @@ _RESULT = pa.struct([("n", pa.int64()), ("deviation", pa.int64()), ("whitened",
                      ("explained", pa.list_(pa.float64())), ("identity_error", pa.float64())])
 
 
-def _applied(models: dict, vectors: list) -> pa.StructArray:
-    """Result rows of whole vectors; None for a vector that takes no part."""
-    out = [None] * len(vectors)
-    for d in {len(v) for v in vectors if v is not None}:
-        at = [i for i, v in enumerate(vectors) if v is not None and len(v) == d]
-        model = models[d]
-        deviation, whitened = model.project(np.stack([vectors[i] for i in at]))
-        for i, dev, row in zip(at, deviation, whitened.tolist()):
-            out[i] = {"n": model.n, "deviation": int(dev), "explained": model.explained,
-                      "whitened": [w if e > 0 else None for w, e in zip(row, model.eigenvalues)],
-                      "identity_error": model.identity_error}
-    return pa.array(out, _RESULT)
+def _applied(models: dict, n_rows: int, groups) -> pa.StructArray:
+    """Result rows of the vectors in ``groups``; null for other rows."""
+    size = np.zeros(n_rows, dtype=np.int64)
+    parts = [(models[x.shape[1]], rows, x) for rows, x in groups if len(rows)]
+    for model, rows, _ in parts:
+        size[rows] = len(model.eigenvalues)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    n, deviation = np.zeros(n_rows, dtype=np.int64), np.zeros(n_rows, dtype=np.int64)
+    whitened, explained = np.full(offsets[-1], np.nan), np.full(offsets[-1], np.nan)
+    error, missing = np.full(n_rows, np.nan), np.ones(n_rows, dtype=bool)
+    for model, rows, x in parts:
+        missing[rows] = False
+        n[rows] = model.n
+        deviation[rows], w = model.project(x)
+        at = offsets[rows][:, None] + np.arange(len(model.eigenvalues))
+        whitened[at] = np.where(np.array(model.eigenvalues) > 0, w, np.nan)
+        explained[at] = np.array(model.explained, dtype=np.float64)  # None becomes NaN, as null below
+        error[rows] = np.nan if model.identity_error is None else model.identity_error
+
+    def lists(values):
+        return pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(values, mask=np.isnan(values)))
+
+    return pa.StructArray.from_arrays([pa.array(n), pa.array(deviation), lists(whitened), lists(explained),
+                                       pa.array(error, mask=np.isnan(error))], fields=list(_RESULT),
+                                      mask=pa.array(missing))
 
 
 def fit_whitening(vectors: DataFrame, column: str = "embedding", components: int = TOP) -> dict:
@@ -454,7 +493,7 @@ def fit_whitening(vectors: DataFrame, column: str = "embedding", components: int
 
     @F.arrow_udf("array<double>")
     def coordinates(x: pa.Array) -> pa.Array:
-        return _applied(shared.value, [unpacked(v) for v in x.to_pylist()]).field("whitened")
+        return _applied(shared.value, len(x), packed_groups(x)).field("whitened")
 
     white = distinct.select("dim", coordinates("x").alias("whitened"))
     pairs = [(i, j) for i in range(components) for j in range(i, components)]
@@ -479,8 +518,7 @@ def whiten(vectors: DataFrame, models: dict, column: str = "embedding") -> DataF
 
     @F.arrow_udf("n long, deviation long, whitened array<double>, explained array<double>, identity_error double")
     def applied(lists: pa.Array) -> pa.Array:
-        return _applied(shared.value, [quantized(v.values.to_numpy(zero_copy_only=False)) if v.is_valid else None
-                                       for v in lists])
+        return _applied(shared.value, len(lists), usable_vectors(lists))
 
     usable = (f"`{column}` IS NOT NULL AND forall(`{column}`, c -> c IS NOT NULL AND NOT isnan(c) "
               "AND abs(double(c)) < double('Infinity'))")

@@ -88,9 +88,9 @@ def test_whole_vectors_and_exact_sums(spark):
     x = white.quantized(big)
     assert x.tolist() == [white.LONG_MAX, white.LONG_MIN, 256 * 10**17 if 256 * 10**17 < 2**63 else white.LONG_MAX, 2**62, 0, 25]
     for v in (x, np.zeros(0, dtype=np.int64), np.array([127, -128]), np.array([200]), np.array([1 << 40])):
-        assert white.unpacked(white.packed(v)).tolist() == v.tolist()
+        assert white.unpacked(white.packed(v[None, :])).tolist() == [v.tolist()]
     rows = [[white.LONG_MAX, -5], [white.LONG_MIN, 7], [3, 4]]
-    table = spark.createDataFrame([(2, white.packed(np.array(r))) for r in rows], "dim int, x binary").repartition(3)
+    table = spark.createDataFrame([(2, v) for v in white.packed(np.array(rows))], "dim int, x binary").repartition(3)
     n, s, g = white.exact_sums(table)[2]
     o = np.array(rows, dtype=object)
     assert n == 3 and (s == o.sum(axis=0)).all() and (g == o.T @ o).all()
