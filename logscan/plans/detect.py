@@ -19,7 +19,7 @@ from logscan.operators import prepare as P
 from logscan.operators.score import Model, make_scorer
 from logscan.operators.stats import DETECT_STAGE, metrics_long
 from logscan.session import spread
-from logscan.sources.logs import read_logs
+from logscan.sources.logs import is_header_mismatch, read_logs
 from logscan.sources.sinks import append_metrics, write_csv, write_metrics
 
 
@@ -98,26 +98,35 @@ def run_batch(spark: SparkSession, input_path, model: Model, threshold: float, r
     """
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
-    logs = read_logs(spark, input_path)
+    logs = read_logs(spark, input_path, headers="scan")
     files = logs.inputFiles()
     if not files:
         return {"run_id": run_id, "status": "no_input"}
-    scored = score_lines(logs, model, precision=precision, input_partitions=input_partitions)
-    if round_digits is not None:
-        scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
-    obs = Observation(f"run_{run_id.replace('-', '_')}")
-    scored = scored.observe(
-        obs, F.count(F.lit(1)).alias("total_logs"),
-        F.count_if(P.above("recon_error", threshold)).alias("anomalies_count"))
-    if with_row_id:
-        scored = P.with_row_id(scored)
-    anomalies = P.result_columns(P.threshold_filter(scored, threshold), with_row_id=with_row_id)
-    if dedupe:
-        anomalies = P.dedupe(anomalies)
     t0 = time.perf_counter()
-    write_csv(anomalies, result_path, mode="append", single_file=single_file)
+
+    def score_and_write(logs: DataFrame) -> dict:
+        scored = score_lines(logs, model, precision=precision, input_partitions=input_partitions)
+        if round_digits is not None:
+            scored = scored.withColumn("recon_error", F.round("recon_error", round_digits))
+        obs = Observation(f"run_{uuid.uuid4().hex}")
+        scored = scored.observe(
+            obs, F.count(F.lit(1)).alias("total_logs"),
+            F.count_if(P.above("recon_error", threshold)).alias("anomalies_count"))
+        if with_row_id:
+            scored = P.with_row_id(scored)
+        anomalies = P.result_columns(P.threshold_filter(scored, threshold), with_row_id=with_row_id)
+        if dedupe:
+            anomalies = P.dedupe(anomalies)
+        write_csv(anomalies, result_path, mode="append", single_file=single_file)
+        return obs.get
+
+    try:
+        counts = score_and_write(logs)
+    except Exception as e:  # noqa: BLE001 - a failed write commits no file
+        if not is_header_mismatch(e):
+            raise
+        counts = score_and_write(read_logs(spark, files, headers="bind"))
     detect_sec = time.perf_counter() - t0
-    counts = obs.get
     total, anom = int(counts.get("total_logs", 0)), int(counts.get("anomalies_count", 0))
     # Inputs go last: a run that fails before leaves them for the next one.
     root = input_path if isinstance(input_path, str) else ""

@@ -290,13 +290,13 @@ def q_ae_history(spark, sf_dir):
 def q_csv_roundtrip(spark, sf_dir):
     """S7 + S1 + P1: events written as a log CSV folder (header, blank first
     header cell, microsecond timestamps), read back with the declared
-    schema, then prepared."""
+    schema (headers compared by the scan itself), then prepared."""
     from logscan.sources.logs import read_logs
     from logscan.sources.sinks import write_csv
 
     folder = fresh_dir(spark, "csv_roundtrip")
     write_csv(logs_view(spark, sf_dir), folder, mode="overwrite")
-    back = P.prepare(read_logs(spark, folder))
+    back = P.prepare(read_logs(spark, folder, headers="scan"))
     return back.select(F.col("RequestID").alias("event_id"),
                        F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
                        "LogLevel", "Service", "Message", "TimeVal")

@@ -138,6 +138,66 @@ def test_columns_bound_by_header(spark, tmp):
         read_logs(spark, folder)
 
 
+def jobs_of(spark, group, run):
+    """Number of Spark jobs that ``run`` starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        run()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_files_start_few_jobs(spark, tmp):
+    folder = os.path.join(tmp, "many")
+    for i in range(500):
+        write_logs(folder, f"{i}.csv", [f"{i}" + LINES[0][1:]])
+    df = {}
+    assert jobs_of(spark, "many", lambda: df.update(n=read_logs(spark, folder).count())) <= 3
+    assert df["n"] == 500
+    with open(os.path.join(folder, "plain.csv"), "w") as f:
+        f.write("\n" + HEADER.lstrip(",") + LINES[1].split(",", 1)[1] + "\n")
+    open(os.path.join(folder, "empty.csv"), "w").close()
+    assert jobs_of(spark, "mixed", lambda: df.update(rows=read_logs(spark, folder).collect())) <= 4  # one lists the files
+    assert len(df["rows"]) == 501
+    assert [r.LogLevel for r in df["rows"] if r["_c0"] is None] == ["DEBUG"]
+
+
+def test_scan_checks_headers_and_run_binds_them(spark, tmp):
+    from logscan.sources.logs import is_header_mismatch
+
+    folder = os.path.join(tmp, "uploads")
+    write_logs(folder, "a.csv", LINES)
+    names = HEADER.strip().split(",")
+    with open(os.path.join(folder, "turned.csv"), "w") as f:
+        f.write(",".join(reversed(names[1:])) + "\n" + ",".join(reversed(LINES[5].split(",")[1:])) + "\n")
+    with pytest.raises(Exception) as e:
+        read_logs(spark, folder, headers="scan").collect()
+    assert is_header_mismatch(e.value)
+    with pytest.raises(ValueError):
+        read_logs(spark, folder, headers="maybe")
+    model = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
+    res = run_batch(spark, folder, model, -1.0, os.path.join(tmp, "res"), consume=True)
+    assert res["status"] == "ok" and res["total_logs"] == 5.0  # four lines of a.csv, one of turned.csv
+    out = spark.read.option("header", True).csv(os.path.join(tmp, "res"))
+    assert out.count() == 5 and out.where("LogLevel = 'FATAL'").count() == 2
+    assert os.listdir(folder) == []
+
+
+def test_headers_with_other_case_quotes_and_repeats(spark, tmp):
+    folder = os.path.join(tmp, "in")
+    os.makedirs(folder)
+    names = HEADER.strip().split(",")[1:]
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("extra," + ",".join(f'"{n.upper()}"' for n in names) + ",Extra,message\n"
+                "x," + LINES[0].split(",", 1)[1] + ",y,other\n")
+    row, = read_logs(spark, folder).collect()
+    assert (row["_c0"], row.LogLevel, row.Message, row.TimeTaken) == (None, "WARNING", "queue is long", "31ms")
+    open(os.path.join(folder, "a.csv"), "w").close()
+    assert read_logs(spark, folder).collect() == []
+
+
 def test_missing_path_in_a_list_raises(spark, tmp):
     from pyspark.errors import AnalysisException
 
