@@ -65,16 +65,17 @@ def cmd_detect(args) -> dict:
 
 
 def cmd_stream(args) -> dict:
-    from logscan.sources.model_store import load_model
-    from logscan.streaming.detect_stream import start_detect_stream
+    from logscan.streaming.detect_stream import finish_metrics, start_detect_stream
 
     spark = _session(args)
-    model, thr = load_model(spark, args.model)
-    q = start_detect_stream(spark, args.input, model, thr if args.threshold is None else args.threshold,
+    # the store's path, not a model: versions saved later are used from the next batch on
+    q = start_detect_stream(spark, args.input, args.model, args.threshold,
                             args.result, args.checkpoint, metrics_path=args.metrics_path,
                             trigger=args.trigger, available_now=args.available_now,
-                            archive_dir=args.archive, max_files_per_trigger=args.max_files_per_trigger)
+                            archive_dir=args.archive, max_files_per_trigger=args.max_files_per_trigger,
+                            input_partitions=args.input_partitions)
     q.awaitTermination()
+    finish_metrics(q)
     return {"query_id": str(q.id), "last_progress": q.lastProgress}
 
 
@@ -134,6 +135,7 @@ def main(argv=None) -> int:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--archive", default=None)
     s.add_argument("--max-files-per-trigger", type=int, default=None)
+    s.add_argument("--input-partitions", type=int, default=None, help="tasks per micro-batch")
     s.set_defaults(fn=cmd_stream)
 
     c = sub.add_parser("catalogue", help="upload events to the current-file catalogue")

@@ -145,10 +145,17 @@ ORACLE_SQL = {
                      "from s) select event_id, LogLevel, Service, Message, TimeVal, round(e" + _R
                      + " as recon_error from s where e > (select thr from t)",
     "stream_metrics": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "
-                      "t as (select quantile_cont(e, 0.95) as thr from s) "
-                      "select 'total_logs' as metric_name, round(count(*)::double" + _R + " as metric_value from s "
-                      "union all select 'anomalies_count', round((count(*) filter (where e > (select thr from t)))::double" + _R
-                      + " from s",
+                      "t as (select quantile_cont(e, 0.95) as thr from s), "
+                      "c as (select count(*)::double as n, (count(*) filter (where e > (select thr from t)))::double as a from s) "
+                      "select 0::bigint as batch_id, unnest(['total_logs', 'anomalies_count', 'anomalies_ratio', "
+                      "'duration_sec', 'detect_sec']) as metric_name, unnest([n, a, round(a / n" + _R + ", 1.0, 1.0]) "
+                      "as metric_value from c",
+    "stream_reload": "with s as (" + " union all ".join(
+        f"select event_id, {part}::bigint as batch_id, round(e, {TIE_DIGITS}) as e from ("
+        + LOG_ERRORS_SQL.replace("((d * 7) % 11 - 5) / 40.0", w) + f") where event_id % 2 = {part}"
+        for part, w in enumerate(("((d * 7) % 11 - 5) / 40.0", "((d * 5) % 13 - 6) / 50.0"))) + "), "
+        "t as (select batch_id, quantile_cont(e, 0.95) as thr from s group by batch_id) "
+        "select event_id, batch_id, round(e" + _R + " as recon_error from s join t using (batch_id) where e > thr",
     "csv_roundtrip": "select event_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, LogLevel, Service,"
                      " Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "batch_run": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "

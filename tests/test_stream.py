@@ -3,18 +3,28 @@ import os
 from pyspark.sql import functions as F
 
 from logscan.operators.score import rank_one_model
+from logscan.operators.stats import METRIC_NAMES
 from logscan.plans.detect import detect
 from logscan.sources.logs import read_logs
-from logscan.streaming.detect_stream import batch_writer, start_detect_stream
+from logscan.streaming.detect_stream import batch_writer, finish_metrics, start_detect_stream
 from test_sources import LINES, write_logs
 
-MODEL = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
+
+
+def token_model(weight):
+    model = rank_one_model(768, weight)
+    model.meta = {"features": "tokens", "dim": 768}
+    return model
+
+
+MODEL = token_model(lambda d: ((d * 7) % 11 - 5) / 40.0)
 
 
 def _run(spark, folder, out, ckpt, thr, archive=None):
     q = start_detect_stream(spark, folder, MODEL, thr, out + "/res", ckpt, metrics_path=out + "/met",
                             available_now=True, fmt="parquet", archive_dir=archive)
     q.awaitTermination()
+    finish_metrics(q)
     return q
 
 
@@ -38,7 +48,11 @@ def test_stream_equals_batch_and_restart(spark, tmp):
     res2 = spark.read.parquet(out + "/res")
     assert res2.select("batch_id").distinct().count() == 2
     met = spark.read.parquet(out + "/met")
-    assert met.count() == 6 and met.select("run_id").distinct().count() == 2
+    assert met.count() == 10 and met.select("run_id").distinct().count() == 2
+    for batch in (0, 1):
+        got = {r.metric_name: r.metric_value for r in met.where(F.col("batch_id") == batch).collect()}
+        assert sorted(got) == sorted(METRIC_NAMES)
+        assert 0 < got["detect_sec"] <= got["duration_sec"]
 
 
 def test_replayed_batch_is_idempotent(spark, tmp):
@@ -97,3 +111,52 @@ def test_max_files_per_trigger(spark, tmp):
     q.awaitTermination()
     res = spark.read.parquet(out + "/res")
     assert res.select("batch_id").distinct().count() == 3 and res.count() == 12
+
+
+def test_running_stream_uses_new_model_versions(spark, tmp):
+    import pytest
+    from logscan.sources.model_store import current_version, load_model, make_current, save_model
+
+    store, folder = os.path.join(tmp, "model"), os.path.join(tmp, "uploads")
+    assert current_version(spark, store) is None
+    first = save_model(spark, MODEL, 1e9, store)  # nothing is above
+    write_logs(folder, "0.csv", LINES)
+    out = os.path.join(tmp, "out")
+    q = start_detect_stream(spark, folder, store, None, out + "/res", os.path.join(tmp, "ckpt"), fmt="parquet",
+                            trigger="0 seconds", metrics_path=out + "/met")
+    q.processAllAvailable()
+    second = save_model(spark, token_model(lambda d: 0.01), 0.0, store)
+    write_logs(folder, "1.csv", LINES)
+    q.processAllAvailable()
+    make_current(spark, store, first)
+    write_logs(folder, "2.csv", LINES)
+    q.processAllAvailable()
+    q.stop()
+    finish_metrics(q)
+    assert current_version(spark, store) == first
+    res = spark.read.parquet(out + "/res")
+    assert {r.batch_id for r in res.collect()} == {1} and res.count() == 4
+    want = detect(read_logs(spark, folder), load_model(spark, store, second)[0], 0.0).select("recon_error").distinct()
+    assert {round(r.recon_error, 12) for r in res.collect()} == {round(r.recon_error, 12) for r in want.collect()}
+    met = spark.read.parquet(out + "/met")
+    assert met.count() == 15 and met.where("metric_name LIKE '%_sec'").count() == 6
+    with pytest.raises(Exception):  # only versions that exist become current
+        make_current(spark, store, "no-such-version")
+
+
+def test_save_that_dies_leaves_the_old_version(spark, tmp, monkeypatch):
+    import pytest
+    from logscan.sources import model_store as store
+
+    path = os.path.join(tmp, "model")
+    store.save_model(spark, token_model(lambda d: 0.25), 0.5, path)
+    with monkeypatch.context() as m:  # dies between layers and manifest
+        m.setattr(store, "make_current", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            store.save_model(spark, MODEL, 0.75, path)
+    assert len(os.listdir(os.path.join(path, "versions"))) == 2
+    model, thr = store.load_model(spark, path)
+    assert thr == 0.5 and model.ws[0][0][0] == 0.25
+    # a plain folder (layers and threshold, no manifest) is read as before
+    old = os.path.join(path, "versions", store.current_version(spark, path))
+    assert store.load_model(spark, old)[1] == 0.5
