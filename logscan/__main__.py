@@ -73,7 +73,7 @@ def cmd_stream(args) -> dict:
                             args.result, args.checkpoint, metrics_path=args.metrics_path,
                             trigger=args.trigger, available_now=args.available_now,
                             archive_dir=args.archive, max_files_per_trigger=args.max_files_per_trigger,
-                            input_partitions=args.input_partitions)
+                            input_partitions=args.input_partitions, file_events=args.file_events)
     q.awaitTermination()
     finish_metrics(q)
     return {"query_id": str(q.id), "last_progress": q.lastProgress}
@@ -136,6 +136,7 @@ def main(argv=None) -> int:
     s.add_argument("--archive", default=None)
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--input-partitions", type=int, default=None, help="tasks per micro-batch")
+    s.add_argument("--file-events", action="store_true", help="read replaced files again, bind columns by header")
     s.set_defaults(fn=cmd_stream)
 
     c = sub.add_parser("catalogue", help="upload events to the current-file catalogue")

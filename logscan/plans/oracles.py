@@ -156,6 +156,8 @@ ORACLE_SQL = {
         for part, w in enumerate(("((d * 7) % 11 - 5) / 40.0", "((d * 5) % 13 - 6) / 50.0"))) + "), "
         "t as (select batch_id, quantile_cont(e, 0.95) as thr from s group by batch_id) "
         "select event_id, batch_id, round(e" + _R + " as recon_error from s join t using (batch_id) where e > thr",
+    "stream_logs": "select event_id, cast(event_id % 2 as bigint) as batch_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, "
+                   "LogLevel, Service, Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "csv_roundtrip": "select event_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, LogLevel, Service,"
                      " Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "batch_run": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "

@@ -310,6 +310,48 @@ def q_stream_reload(spark, sf_dir):
                       _r("recon_error").alias("recon_error"))
 
 
+def land_csv(spark, df, folder: str, name: str) -> None:
+    """Write ``df`` as one CSV file ``folder/name``, replacing such a file."""
+    part = fresh_dir(spark, "landing")
+    df.coalesce(1).write.option("header", True).csv(part)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    fs = target.getFileSystem(conf)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    file, = [s.getPath() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(part + "/part-*"))]
+    fs.rename(file, target)
+
+
+def q_stream_logs(spark, sf_dir):
+    """S3 + T2: a folder whose file ``a.csv`` is uploaded twice, with other
+    lines and another column order the second time; the stream reads both
+    uploads, each in a batch of its own, bound by header."""
+    from logscan.sources.file_events import stream_file_events, with_log_lines
+
+    base = fresh_dir(spark, "stream_logs")
+    lines = logs_view(spark, sf_dir).withColumn("Timestamp", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{base}/lines/batch_id={batch_id}")
+
+    q = None
+    for part in (0, 1):
+        own = lines.where(F.col("RequestID") % 2 == part)
+        land_csv(spark, own.withColumnRenamed("_c0", "") if part == 0 else own.select(*reversed(own.columns[1:])),
+                 base + "/uploads", "a.csv")
+        if q is None:
+            q = (stream_file_events(spark, base + "/uploads").writeStream.foreachBatch(with_log_lines(write))
+                 .option("checkpointLocation", base + "/checkpoint").trigger(processingTime="0 seconds").start())
+        q.processAllAvailable()
+    q.stop()
+    back = P.prepare(spark.read.parquet(base + "/lines"))
+    return back.select(F.col("RequestID").alias("event_id"), F.col("batch_id").cast("bigint").alias("batch_id"),
+                       F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                       "LogLevel", "Service", "Message", "TimeVal")
+
+
 def q_pca_detect(spark, sf_dir):
     """M5 with PCA (k=64) on events-as-logs: md5 70/30 split, p95 threshold
     on train errors, anomalies of the test part."""
@@ -447,6 +489,7 @@ QUERIES = {
     "stream_detect": q_stream_detect,
     "stream_metrics": q_stream_metrics,
     "stream_reload": q_stream_reload,
+    "stream_logs": q_stream_logs,
     "pca_detect": q_pca_detect,
     "ae_history": q_ae_history,
     "row_ids": q_row_ids,

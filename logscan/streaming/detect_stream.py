@@ -27,6 +27,7 @@ from logscan.operators import prepare as P
 from logscan.operators.score import Model, make_scorer
 from logscan.operators.stats import DETECT_STAGE
 from logscan.plans.detect import score_lines
+from logscan.sources.file_events import stream_file_events, with_log_lines
 from logscan.sources.logs import TIMESTAMP_FORMAT, stream_logs
 from logscan.sources.model_store import current_version, load_model
 
@@ -186,7 +187,7 @@ def start_detect_stream(spark: SparkSession, source: DataFrame | str, model: Mod
                         round_digits: int | None = None, query_name: str | None = None,
                         dedupe_within: str | None = None,
                         max_files_per_trigger: int | None = None,
-                        input_partitions: int | None = None) -> StreamingQuery:
+                        input_partitions: int | None = None, file_events: bool = False) -> StreamingQuery:
     """Start the detection stream.
 
     ``source`` is a folder of log CSVs (S3) or any streaming DataFrame of
@@ -194,7 +195,10 @@ def start_detect_stream(spark: SparkSession, source: DataFrame | str, model: Mod
     ``dedupe_within`` (e.g. ``'1 hour'``) drops a line seen again within that
     event-time delay instead (watermark on ``Timestamp``, bounded state).
     ``max_files_per_trigger`` bounds a micro-batch when a backlog has built up;
-    ``input_partitions`` deals each one over that many tasks.
+    ``input_partitions`` deals each one over that many tasks.  With
+    ``file_events`` the folder is watched by path, modification time and length
+    (a replaced file is read again) and its files are bound by header; each
+    batch then takes all files that have landed.
     ``available_now`` processes what is there and stops (for an external
     scheduler, T1); otherwise it polls every ``trigger``.
 
@@ -204,17 +208,23 @@ def start_detect_stream(spark: SparkSession, source: DataFrame | str, model: Mod
     leaves five metrics; call ``finish_metrics`` after the query has stopped,
     so that the last durations are stored too.
     """
-    logs = (stream_logs(spark, source, archive_dir=archive_dir, max_files_per_trigger=max_files_per_trigger)
-            if isinstance(source, str) else source)
+    if file_events:
+        if dedupe_within or max_files_per_trigger or not isinstance(source, str):
+            raise ValueError("file_events watches a folder, without dedupe_within or max_files_per_trigger")
+        logs = stream_file_events(spark, source, archive_dir)
+    elif isinstance(source, str):
+        logs = stream_logs(spark, source, archive_dir=archive_dir, max_files_per_trigger=max_files_per_trigger)
+    else:
+        logs = source
     if dedupe_within:
         logs = (logs.withWatermark("Timestamp", dedupe_within)
                 .dropDuplicatesWithinWatermark([c for c in logs.columns if c != "_c0"]))
     listener = DurationListener(spark, metrics_path) if metrics_path else None
     if listener:
         spark.streams.addListener(listener)
-    w = (logs.writeStream.foreachBatch(batch_writer(
-            model, threshold, result_path, metrics_path, fmt, round_digits, input_partitions,
-            listener.counted if listener else None))
+    write = batch_writer(model, threshold, result_path, metrics_path, fmt, round_digits, input_partitions,
+                         listener.counted if listener else None)
+    w = (logs.writeStream.foreachBatch(with_log_lines(write) if file_events else write)
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)

@@ -7,7 +7,7 @@ from logscan.operators.stats import METRIC_NAMES
 from logscan.plans.detect import detect
 from logscan.sources.logs import read_logs
 from logscan.streaming.detect_stream import batch_writer, finish_metrics, start_detect_stream
-from test_sources import LINES, write_logs
+from test_sources import HEADER, LINES, write_logs
 
 
 
@@ -160,3 +160,46 @@ def test_save_that_dies_leaves_the_old_version(spark, tmp, monkeypatch):
     # a plain folder (layers and threshold, no manifest) is read as before
     old = os.path.join(path, "versions", store.current_version(spark, path))
     assert store.load_model(spark, old)[1] == 0.5
+
+
+def _turned(folder, name, line):
+    names = HEADER.strip().split(",")[1:]
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(",".join(reversed(names)) + "\n" + ",".join(reversed(line.split(",")[1:])) + "\n")
+
+
+def test_replaced_file_is_read_again_by_header(spark, tmp):
+    folder, archive, out = (os.path.join(tmp, d) for d in ("uploads", "archive", "out"))
+    ckpt = os.path.join(tmp, "ckpt")
+
+    def run(archive_dir=None):
+        q = start_detect_stream(spark, folder, MODEL, -1.0, out + "/res", ckpt, metrics_path=out + "/met", fmt="parquet",
+                                available_now=True, file_events=True, archive_dir=archive_dir)
+        q.awaitTermination()
+        finish_metrics(q)
+        return spark.read.parquet(out + "/res") if os.path.isdir(out + "/res") else None
+
+    assert run() is None  # a folder that is not there yet
+    write_logs(folder, "a.csv", LINES)
+    write_logs(os.path.join(folder, "_tmp"), "b.csv", LINES)
+    assert run().count() == 4
+    assert run().count() == 4  # nothing new
+    _turned(folder, "a.csv", LINES[5])
+    res = run()
+    assert res.count() == 5 and res.where("LogLevel = 'FATAL'").select("batch_id").distinct().count() == 2
+    write_logs(os.path.join(folder, "day"), "a.csv", LINES[:1])
+    assert run(archive).count() == 6
+    write_logs(folder, "c.csv", LINES[:1])
+    assert run(archive).count() == 7  # the batch before is archived when this one is planned
+    kept = sorted(f for _, _, fs in os.walk(archive) for f in fs)
+    assert "a.csv" in kept and spark.read.parquet(out + "/met").select("batch_id").distinct().count() == 4
+
+
+def test_file_events_of_listings():
+    from logscan.sources.file_events import new_entries
+
+    a = {"x": [1, 5], "y": [2, 5]}
+    assert new_entries({}, a) == [("x", 1, 5), ("y", 2, 5)]
+    assert new_entries(a, a) == []
+    assert new_entries(a, {"x": (1, 5), "y": (2, 6), "z": (3, 1)}) == [("y", 2, 6), ("z", 3, 1)]
+    assert new_entries(a, {}) == []
