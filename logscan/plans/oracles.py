@@ -203,3 +203,6 @@ ORACLE_SQL = {
                     "case when event_type in ('error', 'signup') then null else uploadTime end as uploadTime, "
                     "event_type not in ('error', 'signup') as is_valid from (" + _UPLOAD_SQL + ")",
 }
+
+for _name in ("catalogue_state", "catalogue_batches"):  # the same catalogue, however it was kept
+    ORACLE_SQL[_name] = ORACLE_SQL["catalogue_stream"]

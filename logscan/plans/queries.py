@@ -448,6 +448,40 @@ def q_catalogue_stream(spark, sf_dir):
                                                           "landing_key")
 
 
+def q_catalogue_state(spark, sf_dir):
+    """U3 as streaming state: the events in three files, one micro-batch each,
+    every file with uploads older than those before it; the query stops after
+    two and starts again from its checkpoint for the third."""
+    from logscan.operators.uploads import encode_event
+    from logscan.streaming.uploads_stream import json_line_events, read_catalogue, start_catalogue_state
+
+    base = fresh_dir(spark, "catalogue_state")
+    events = upload_events(spark, sf_dir)
+    for parts in ((0, 1), (2,)):
+        for part in parts:
+            (encode_event(events.where(F.col("event_id") % 3 == part)).coalesce(1)
+             .write.mode("append").text(base + "/topic"))
+        q = start_catalogue_state(spark, json_line_events(spark, base + "/topic", 1), base + "/catalogue",
+                                  base + "/checkpoint")
+        q.awaitTermination()
+    return read_catalogue(spark, base + "/catalogue").select("fileName", "uploadTime", "filePath", "object_key",
+                                                            "landing_key")
+
+
+def q_catalogue_batches(spark, sf_dir):
+    """U3 after 20 micro-batches: runs merged in levels, read from the live ones."""
+    from logscan.operators.uploads import encode_event
+    from logscan.streaming.uploads_stream import json_line_events, read_catalogue, start_catalogue
+
+    base = fresh_dir(spark, "catalogue_batches")
+    encode_event(upload_events(spark, sf_dir)).repartition(20).write.text(base + "/topic")
+    q = start_catalogue(spark, json_line_events(spark, base + "/topic", 1), base + "/catalogue", base + "/rejects",
+                        base + "/checkpoint")
+    q.awaitTermination()
+    return read_catalogue(spark, base + "/catalogue").select("fileName", "uploadTime", "filePath", "object_key",
+                                                            "landing_key")
+
+
 def q_consume_once(spark, sf_dir):
     """T2 + S2: a batch run over the events written as an upload folder
     archives exactly the files it read; the next run finds nothing and ends
@@ -499,6 +533,8 @@ QUERIES = {
     "model_roundtrip": q_model_roundtrip,
     "latest_upload": q_latest_upload,
     "catalogue_stream": q_catalogue_stream,
+    "catalogue_state": q_catalogue_state,
+    "catalogue_batches": q_catalogue_batches,
     "object_key": q_object_key,
     "decode_event": q_decode_event,
 }

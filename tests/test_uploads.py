@@ -60,6 +60,71 @@ def test_catalogue_stream(spark, tmp):
     assert spark.read.parquet(base + "/rejects").count() == 1
 
 
+def _topic(folder, part, events):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"p{part:02d}.json")
+    with open(path, "w") as f:
+        f.write("\n".join(e if isinstance(e, str) else json.dumps(e) for e in events) + "\n")
+    os.utime(path, (1_700_000_000 + part, 1_700_000_000 + part))
+
+
+def _plain_latest(events):
+    want = {}
+    for e in events:
+        got = (e["uploadTime"], e["filePath"])
+        want[e["fileName"]] = max(want.get(e["fileName"], got), got)
+    return want
+
+
+def test_catalogue_state_with_late_events_and_restart(spark, tmp):
+    from logscan.streaming.uploads_stream import start_catalogue_state, start_rejects
+
+    base, folder = os.path.join(tmp, "cat"), os.path.join(tmp, "topic")
+    made = [[{"fileName": f"{n}.csv", "filePath": f"/{b}/{n}", "uploadTime": 100 * ((b * 7) % 4) + n} for n in range(b, b + 6)]
+            for b in range(4)]  # batch 2 is older than batch 1 and batch 3 than batch 2 of some names
+    for parts in ((0, 1, 2), (3,)):
+        for b in parts:
+            _topic(folder, b, made[b] + BAD[:1])
+        q = start_catalogue_state(spark, json_line_events(spark, folder, 1), base, os.path.join(tmp, "ckpt"))
+        q.awaitTermination()
+        got = {r.fileName: (r.uploadTime, r.filePath) for r in read_catalogue(spark, base).collect()}
+        assert got == _plain_latest([e for b in made[:parts[-1] + 1] for e in b])
+    q = start_rejects(json_line_events(spark, folder), os.path.join(tmp, "rej"), os.path.join(tmp, "ckpt2"))
+    q.awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp, "rej")).count() == 4
+
+
+def test_runs_stay_few_and_replays_replace(spark, tmp):
+    from logscan.sources.run_store import KEEP
+    from logscan.streaming.uploads_stream import catalogue_store
+
+    path = os.path.join(tmp, "cat")
+    store = catalogue_store(spark, path, fanout=3, buckets=2)
+    assert store.read() is None and store.lookup(["a"]) is None
+    all_events = []
+
+    def batch(b):
+        rows = [{"fileName": f"f{(b * k) % 11}", "uploadTime": (b * 13 + k) % 17, "filePath": f"/{b}"} for k in range(5)]
+        return list({r["fileName"]: r for r in rows}.values())
+
+    for b in range(12):
+        all_events += batch(b)
+        for _ in range(2 if b % 4 == 3 else 1):  # every fourth batch is replayed
+            m = store.commit(b, spark.createDataFrame(batch(b), "fileName string, uploadTime long, filePath string"))
+        levels = [r["level"] for r in m["runs"]]
+        assert all(levels.count(k) < 3 for k in levels) and max(levels) <= 2
+        got = {r.fileName: (r.uploadTime, r.filePath) for r in store.read().collect()}
+        assert got == _plain_latest(all_events)
+    assert len(os.listdir(os.path.join(path, "manifest"))) <= 2 * KEEP  # and their checksums
+    named = {r["name"] for k in store._manifests() for r in store.manifest(k)["runs"]}
+    assert set(os.listdir(os.path.join(path, "runs"))) == named
+    assert {r.fileName for r in store.lookup(["f3", "f4", "absent"]).collect()} == {"f3", "f4"} & set(got)
+    # a batch that dies before its manifest leaves the state before it
+    before = store.manifest()
+    store._write_run(spark.createDataFrame([("zz", 99, "/z")], "fileName string, uploadTime long, filePath string"), "12-0")
+    assert store.manifest() == before and store.read().where("fileName = 'zz'").count() == 0
+
+
 def test_upload_events_for_paths(spark):
     import time
 
