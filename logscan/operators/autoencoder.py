@@ -78,9 +78,9 @@ class AdamState:
                      [np.asarray(b, dtype=np.float64) for b in self.params[1::2]], list(acts))
 
 
-def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
-    """One Adam step on a minibatch; returns per-row errors before the step."""
-    ws, bs = state.params[0::2], state.params[1::2]
+def gradients(params: list, acts, x: np.ndarray, elements: int) -> tuple[np.ndarray, list]:
+    """(per-row errors, gradients of the squared error over ``elements``)."""
+    ws, bs = params[0::2], params[1::2]
     hs, pre = [x], []
     h = x
     for w, b, act in zip(ws, bs, acts):
@@ -90,8 +90,8 @@ def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
         hs.append(h)
     diff = h - x
     errs = np.einsum("ij,ij->i", diff, diff) / x.shape[1]
-    delta = 2.0 * diff / diff.size  # gradient of the mean over all elements
-    grads = [None] * len(state.params)
+    delta = 2.0 * diff / elements
+    grads = [None] * len(params)
     for i in range(len(ws) - 1, -1, -1):
         if acts[i] == "relu":
             delta = delta * (pre[i] > 0)
@@ -99,10 +99,15 @@ def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
         grads[2 * i + 1] = delta.sum(axis=0)
         if i:
             delta = delta @ ws[i].T
+    return errs.astype(np.float64), grads
+
+
+def apply_gradients(state: AdamState, grads: list, lr: float) -> None:
+    """One Adam step, in place: p -= lr/c1 * m / (sqrt(v)/sqrt(c2) + eps)."""
     state.t += 1
     c1, c2 = 1 - BETA1 ** state.t, 1 - BETA2 ** state.t
     step, root_c2 = lr / c1, np.sqrt(c2)
-    for j, g in enumerate(grads):  # in place: p -= lr/c1 * m / (sqrt(v)/sqrt(c2) + eps)
+    for j, g in enumerate(grads):
         m, v, p = state.m[j], state.v[j], state.params[j]
         g = g.astype(p.dtype, copy=False)
         m *= BETA1
@@ -117,7 +122,14 @@ def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
         np.divide(m, denom, out=denom)
         denom *= step
         p -= denom
-    return errs.astype(np.float64)
+
+
+def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
+    """One Adam step on a minibatch (the mean over all its elements); returns
+    per-row errors before the step."""
+    errs, grads = gradients(state.params, acts, x, x.size)
+    apply_gradients(state, grads, lr)
+    return errs
 
 
 def local_epoch(state: AdamState, acts, blocks, batch_size: int, lr: float, dtype=np.float32):

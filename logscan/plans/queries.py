@@ -310,6 +310,18 @@ def q_stream_reload(spark, sf_dir):
                       _r("recon_error").alias("recon_error"))
 
 
+def q_ae_sync(spark, sf_dir):
+    """M2 + A6 by synchronous training: every step's gradient summed over all
+    tasks, so the history does not depend on their number."""
+    from logscan.operators.sync_training import fit_synchronous
+
+    emb = read_table(spark, sf_dir, "embeddings")
+    _, history = fit_synchronous(emb, "embedding", dims=(64, 16, 64), epochs=2, batch_size=512, lr=1e-3,
+                                 partitions=input_partitions(spark) or 2)
+    rows = [(e, n, *[round(v, DIGITS) for v in rest]) for e, n, *rest in history]
+    return spark.createDataFrame(rows, "epoch int, n bigint, mean_loss double, p90 double, p95 double")
+
+
 def land_csv(spark, df, folder: str, name: str) -> None:
     """Write ``df`` as one CSV file ``folder/name``, replacing such a file."""
     part = fresh_dir(spark, "landing")
@@ -526,6 +538,7 @@ QUERIES = {
     "stream_logs": q_stream_logs,
     "pca_detect": q_pca_detect,
     "ae_history": q_ae_history,
+    "ae_sync": q_ae_sync,
     "row_ids": q_row_ids,
     "consume_once": q_consume_once,
     "csv_roundtrip": q_csv_roundtrip,

@@ -21,3 +21,4 @@ def test_results_survive_task_failures():
     assert faulty["q"] == clean["q"] and faulty["ids"] == clean["ids"]
     assert faulty["loss"] == pytest.approx(clean["loss"], rel=1e-6)
     assert faulty["w0"] == pytest.approx(clean["w0"], rel=1e-6)
+    assert faulty["sync_loss"] == clean["sync_loss"] and faulty["sync_w0"] == clean["sync_w0"]

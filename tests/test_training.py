@@ -110,3 +110,39 @@ def test_pca_equals_numpy_brute_force(spark):
     c = x - mu
     want = ((c - c @ p @ p.T) ** 2).mean(axis=1)
     assert np.allclose([r.e for r in got], want, rtol=1e-6, atol=1e-12)
+
+
+def _sequential(rows, dims, epochs, lr, batch_size, seed):
+    """Adam over the same minibatches in plain numpy; rows: (features, step per epoch)."""
+    from logscan.operators.autoencoder import adam_step
+
+    model = Model.init(dims, seed=seed)
+    state = AdamState.fresh(model)
+    means = []
+    for e in range(epochs):
+        errs = []
+        for step in range(-(-len(rows) // batch_size)):
+            x = np.array([r[0] for r in rows if r[1][e] == step])
+            if len(x):
+                errs.append(adam_step(state, model.acts, x, lr))
+        means.append(np.concatenate(errs).mean())
+    return state.model(model.acts), means
+
+
+def test_synchronous_training_for_any_partitions(spark):
+    from logscan.operators.sync_training import fit_synchronous, step_of
+
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    dims, n_steps = (64, 16, 4, 16, 64), -(-500 // 128)
+    uid = F.monotonically_increasing_id()
+    steps = emb.select("embedding", *[step_of(uid, 42, e, n_steps).alias(f"s{e}") for e in (1, 2)]).collect()
+    hand, means = _sequential([(np.asarray(r.embedding, dtype=np.float64), (r.s1, r.s2)) for r in steps],
+                              dims, 2, 1e-3, 128, 42)
+    for parts in (1, 4, 7):
+        model, hist = fit_synchronous(emb, "embedding", dims=dims, epochs=2, lr=1e-3, batch_size=128, partitions=parts)
+        for a, b in zip([*hand.ws, *hand.bs], [*model.ws, *model.bs]):
+            assert np.allclose(a, b, rtol=0, atol=1e-6)
+        assert [h[2] for h in hist] == pytest.approx(means, rel=1e-9) and [h[1] for h in hist] == [500, 500]
+    with pytest.raises(ValueError):
+        fit_synchronous(emb, "embedding", dims=(64, 1 << 17, 64), partitions=4)
+    assert fit_synchronous(emb.limit(0), "embedding", dims=(64, 8, 64), partitions=2)[1] == []
