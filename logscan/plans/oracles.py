@@ -158,6 +158,9 @@ ORACLE_SQL = {
         "select event_id, batch_id, round(e" + _R + " as recon_error from s join t using (batch_id) where e > thr",
     "stream_logs": "select event_id, cast(event_id % 2 as bigint) as batch_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, "
                    "LogLevel, Service, Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
+    "pca_gram": "select i::integer as i, j::integer as j, count(*) as n, round(sum(embedding[i]::double), 6) as sum_i, "
+                "round(sum(embedding[i]::double * embedding[j]::double), 6) as product "
+                "from embeddings, range(1, 65) a(i), range(1, 65) b(j) where i <= j group by all",
     "csv_roundtrip": "select event_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, LogLevel, Service,"
                      " Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "batch_run": "with s as (select round(e, " + str(TIE_DIGITS) + ") as e from (" + LOG_ERRORS_SQL + ")), "

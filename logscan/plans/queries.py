@@ -322,6 +322,21 @@ def q_ae_sync(spark, sf_dir):
     return spark.createDataFrame(rows, "epoch int, n bigint, mean_loss double, p90 double, p95 double")
 
 
+def q_pca_gram(spark, sf_dir):
+    """The sums a PCA fit needs, added batch by batch (a third of the
+    embeddings each, the second batch twice as after a failure) and read back
+    from the store; one row per pair of dimensions."""
+    from logscan.operators.gram import add_rows, read_sums
+
+    path = fresh_dir(spark, "pca_gram")
+    emb = read_table(spark, sf_dir, "embeddings")
+    for batch in (0, 1, 1, 2):
+        add_rows(emb.where(F.col("vec_id") % 3 == batch), "embedding", 64, path, batch)
+    n, sums, gram = read_sums(spark, path, 64)
+    rows = [(i + 1, j + 1, n, round(float(sums[i]), 6), round(float(gram[i, j]), 6)) for i in range(64) for j in range(i, 64)]
+    return spark.createDataFrame(rows, "i int, j int, n bigint, sum_i double, product double")
+
+
 def land_csv(spark, df, folder: str, name: str) -> None:
     """Write ``df`` as one CSV file ``folder/name``, replacing such a file."""
     part = fresh_dir(spark, "landing")
@@ -537,6 +552,7 @@ QUERIES = {
     "stream_reload": q_stream_reload,
     "stream_logs": q_stream_logs,
     "pca_detect": q_pca_detect,
+    "pca_gram": q_pca_gram,
     "ae_history": q_ae_history,
     "ae_sync": q_ae_sync,
     "row_ids": q_row_ids,

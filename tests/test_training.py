@@ -146,3 +146,33 @@ def test_synchronous_training_for_any_partitions(spark):
     with pytest.raises(ValueError):
         fit_synchronous(emb, "embedding", dims=(64, 1 << 17, 64), partitions=4)
     assert fit_synchronous(emb.limit(0), "embedding", dims=(64, 8, 64), partitions=2)[1] == []
+
+
+def test_sums_that_grow_equal_a_full_fit(spark, tmp):
+    from logscan.operators.gram import add_rows, fit_pca_sums, read_sums
+
+    emb = spark.read.parquet(f"{SF_MID}/embeddings.parquet").withColumn(
+        "embedding", F.when(F.col("vec_id") != 7, F.col("embedding")))  # one row without features
+    x = np.array([r.embedding for r in emb.collect() if r.embedding is not None], dtype=np.float64)
+    with pytest.raises(ValueError):
+        fit_pca_sums(spark, tmp, 64)
+    for batch in range(6):
+        add_rows(emb.where(F.col("vec_id") % 6 == batch).repartition(3), "embedding", 64, tmp, batch)
+        if batch % 2:
+            add_rows(emb.where(F.col("vec_id") % 6 == batch), "embedding", 64, tmp, batch)  # again
+    n, sums, gram = read_sums(spark, tmp, 64)
+    assert n == len(x) == 499 and np.allclose(sums, x.sum(axis=0)) and np.allclose(gram, x.T @ x)
+    model, full = fit_pca_sums(spark, tmp, 64, k=5), fit_pca(emb.where("embedding IS NOT NULL"), "embedding", k=5)
+    assert np.allclose(model.errors(x), full.errors(x), rtol=1e-9, atol=1e-12)
+    add_rows(emb.limit(0), "embedding", 64, tmp, 6)  # an empty batch adds nothing
+    assert read_sums(spark, tmp, 64)[0] == 499
+
+
+def test_token_sums(spark, tmp):
+    from logscan.operators.gram import add_rows, read_sums
+
+    df = spark.createDataFrame([([0, 0, 2],), ([1],), ([],)], "slots array<int>")
+    add_rows(df, "slots", 3, tmp, 0, kind="tokens")
+    n, sums, gram = read_sums(spark, tmp, 3)
+    x = np.array([[2, 0, 1], [0, 1, 0], [0, 0, 0]]) / np.array([[5**0.5], [1], [1]])
+    assert n == 3 and np.allclose(sums, x.sum(axis=0)) and np.allclose(gram, x.T @ x)
