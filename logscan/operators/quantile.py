@@ -14,6 +14,8 @@ Here the order statistics are found by radix selection instead:
 * a bucket whose min key equals its max key settles the rank early.
 
 At most four passes give the exact value; most data settles after two.
+
+Quantiles of many groups take another way, see ``grouped_quantiles``.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import types as T
 
 from logscan.session import ship_package, work_dir
 
-# Open prefixes of a grouped pass that are broadcast (16 bytes each); more are joined.
-MAX_BROADCAST_PREFIXES = 100_000
+# Wanted rows of a grouped summary that are broadcast (about 60 bytes each); more are joined.
+MAX_BROADCAST_PICKS = 500_000
 
 _SIGN = np.int64(-0x8000000000000000)
 _BITS = 16
@@ -186,71 +188,52 @@ def grouped_quantiles(df: DataFrame, col: str, probs, by) -> DataFrame:
     """Exact quantiles per group as a DataFrame: [by...], n, _min, _max, _sum
     and q0, q1, ... in the order of ``probs``; any number of groups.
 
-    The same radix passes as a plan: every wanted rank walks the running
-    counts of its group's buckets by a join, and only the buckets that hold
-    an open rank are split in the next pass.  A null group is a group.
+    One shuffle of the values: they are range-partitioned and sorted by group,
+    value and a row hash (so a group or value that holds a third of all rows is
+    cut into many partitions) and written once with their position.  A group's
+    rows are neighbours in each partition, so its row counts per partition say
+    at which positions the wanted ranks lie; only those rows are picked.  A
+    null group is a group.
     """
     spark, by = df.sparkSession, list(by)
-    ship_package(spark)
     work_dir(spark)
-    value = F.col(col).cast("double") + F.lit(0.0)
-    base = (df.where(F.col(col).isNotNull()).select(*by, sortable_key(value).alias("_k"), value.alias("_v"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-
-    def buckets(frame, pass_no):
-        return frame.groupBy(*by, "_pre", _digit(pass_no).alias("_d")).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_v").alias("_s"))
-
-    def beside(left, right, *more):
-        named = right.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(by)],
-                             *[c for c in right.columns if c not in by])
-        cond = [F.col(c).eqNullSafe(F.col(f"_g{k}")) for k, c in enumerate(by)]
-        return named, cond + list(more)
-
+    keys = [F.col(c).alias(f"_g{k}") for k, c in enumerate(by)]
+    groups = [f"_g{k}" for k in range(len(by))]
+    base = (df.where(F.col(col).isNotNull()).select(*keys, (F.col(col).cast("double") + F.lit(0.0)).alias("_v"))
+            .withColumn("_h", F.xxhash64(F.monotonically_increasing_id())).persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        first = buckets(base.withColumn("_pre", F.lit(0).cast("bigint")), 0)
-        groups = first.groupBy(*by).agg(F.sum("_n").alias("n"), F.min("_lo").alias("_min"), F.max("_hi").alias("_max"),
-                                        F.sum("_s").alias("_sum")).checkpoint(eager=True)
-        place = [(F.lit(float(p)) * (F.col("n") - 1)) for p in probs]
-        ranks = [F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"),
-                          F.least(F.floor(h) + side, F.col("n") - 1).cast("bigint").alias("r"))
-                 for i, h in enumerate(place) for side in (0, 1)]
-        open_ = (groups.select(*by, F.explode(F.array(*ranks)).alias("t"))
-                 .select(*by, "t.*", F.lit(0).cast("bigint").alias("pre")))
-        settled = None
-        for pass_no in range(4):
-            if pass_no == 0:
-                counts = first
-            else:
-                framed = base.withColumn("_pre", F.shiftrightunsigned("_k", 64 - _BITS * pass_no))
-                wanted, cond = beside(framed, open_.select(*by, F.col("pre").alias("_p")).distinct())
-                wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_PREFIXES else wanted
-                counts = buckets(framed.join(wanted, [*cond, F.col("_pre") == F.col("_p")], "left_semi"), pass_no)
-            before = Window.partitionBy(*by, "_pre").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-            counts = counts.withColumn("_c", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-            right, cond = beside(open_, counts)
-            walked = open_.join(right, [*cond, F.col("pre") == F.col("_pre"), F.col("r") >= F.col("_c"),
-                                        F.col("r") < F.col("_c") + F.col("_n")])
-            done = F.lit(True) if pass_no == 3 else F.col("_lo").eqNullSafe(F.col("_hi"))
-            walked = walked.select(
-                *by, "i", "side", (F.col("r") - F.col("_c")).alias("r"),
-                F.shiftleft("pre", _BITS).bitwiseOR(F.col("_d")).alias("pre"), done.alias("done"),
-                F.col("_lo").alias("value")).checkpoint(eager=True)
-            found = walked.where("done").select(*by, "i", "side", "value")
-            settled = found if settled is None else settled.unionByName(found)
-            open_ = walked.where("not done").drop("done", "value")
-            if open_.isEmpty():
-                break
-        wide = settled.groupBy(*by).agg(*[F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("value")))
-                                          .alias(f"_{i}_{side}") for i in range(len(probs)) for side in (0, 1)])
-        right, cond = beside(groups, wide)
-        out = groups.join(right, cond)
-        for i, h in enumerate(place):
-            t, a, b = h - F.floor(h), F.col(f"_{i}_0"), F.col(f"_{i}_1")
-            out = out.withColumn(f"q{i}", F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t))
-        return out.select(*by, "n", "_min", "_max", "_sum", *[f"q{i}" for i in range(len(probs))])
+        n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranked = (base.repartitionByRange(n_parts, *groups, "_v", "_h").sortWithinPartitions(*groups, "_v")
+                  .select(*groups, "_v", F.monotonically_increasing_id().alias("_at")).checkpoint(eager=True))
     finally:
         base.unpersist()
+    # the upper bits of the position are the partition, the lower ones the row in it
+    runs = ranked.groupBy(*groups, F.shiftrightunsigned("_at", 33).alias("_part")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_c"),
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_v").alias("_s"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("*", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"), F.sum("_c").over(whole).alias("n"),
+                       F.min("_lo").over(whole).alias("_min"), F.max("_hi").over(whole).alias("_max"),
+                       F.sum("_s").over(whole).alias("_sum"))
+    place = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    ranks = [F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"),
+                      F.least(F.floor(h) + side, F.col("n") - 1).cast("bigint").alias("r"))
+             for i, h in enumerate(place) for side in (0, 1)]
+    own = F.filter(F.array(*ranks), lambda t: (t["r"] >= F.col("_off")) & (t["r"] < F.col("_off") + F.col("_c")))
+    picks = (runs.select("*", F.explode(own).alias("t"))
+             .select(*groups, "n", "_min", "_max", "_sum", "t.i", "t.side",
+                     (F.col("_first") + F.col("t.r") - F.col("_off")).alias("_at")).checkpoint(eager=True))
+    few = picks.count() <= MAX_BROADCAST_PICKS
+    values = ranked.select("_at", "_v").join(F.broadcast(picks) if few else picks, "_at")
+    out = values.groupBy(*groups, "n", "_min", "_max", "_sum").agg(
+        *[F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("_v"))).alias(f"_{i}_{side}")
+          for i in range(len(probs)) for side in (0, 1)])
+    for i, h in enumerate(place):
+        t, a, b = h - F.floor(h), F.col(f"_{i}_0"), F.col(f"_{i}_1")
+        out = out.withColumn(f"q{i}", F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t))
+    return out.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], "n", "_min", "_max", "_sum",
+                      *[f"q{i}" for i in range(len(probs))])
 
 
 def _nan_last(x: float):

@@ -99,3 +99,38 @@ def test_many_groups(spark):
         vals = np.arange(g, 15_000, 3000, dtype=float)
         assert (rows[g].n, rows[g].min_error, rows[g].max_error) == (5, vals[0], vals[-1])
         assert rows[g].p90 == pytest.approx(np.percentile(vals, 90), rel=1e-15)
+
+
+def test_hundred_thousand_groups_and_a_hot_one(spark, monkeypatch):
+    import pandas as pd
+    from logscan.operators import quantile
+
+    # a third of all rows in group 0, half of them one value; nulls and NaN beside
+    df = spark.range(450_000).selectExpr(
+        "if(id % 3 = 0, 0, if(id = 1, null, id % 100003)) as g",
+        "if(id % 6 = 0, 1.5, if(id = 100004, double('NaN'), if(id = 7, null, cast((id * 7919) % 10007 as double)))) as e")
+    pdf = df.toPandas().dropna(subset=["e"])  # drops NaN too: that group is checked apart
+    want = pdf.groupby("g", dropna=False).e
+    n, top, q = want.size(), want.max(), want.quantile([0.0, 0.5, 0.95])
+    for bound in (quantile.MAX_BROADCAST_PICKS, 10):
+        monkeypatch.setattr(quantile, "MAX_BROADCAST_PICKS", bound)
+        got = quantile.grouped_quantiles(df, "e", [0.0, 0.5, 0.95], ["g"]).toPandas().set_index("g")
+        nan = df.where("isnan(e)").first().g
+        assert len(got) == len(n) + (nan not in n.index) and len(got) > 100_000
+        same = got.drop(index=nan)
+        for i, p in enumerate((0.0, 0.5, 0.95)):
+            ref = q.xs(p, level=1) if p in q.index.levels[1] else None
+            both = pd.concat([same[f"q{i}"].sort_index(), ref.drop(index=nan, errors="ignore").sort_index()], axis=1).dropna()
+            assert len(both) >= len(same) - 1 and np.allclose(both.iloc[:, 0], both.iloc[:, 1], rtol=1e-12)
+        assert (same.n.loc[0.0], same._max.loc[0.0]) == (n.loc[0.0], top.loc[0.0])
+        assert np.isnan(got._max.loc[nan])
+
+
+def test_grouped_values_shuffle_once(spark):
+    import re
+    from logscan.operators.quantile import grouped_quantiles
+
+    df = spark.range(1000).selectExpr("id % 7 as g", "cast(id as double) as e")
+    plan = grouped_quantiles(df, "e", [0.5], ["g"])._jdf.queryExecution().executedPlan().toString()
+    # behind the one range exchange (already checkpointed) only group-sized rows move
+    assert not re.search(r"Exchange \S+partitioning\([^)]*_v", plan) and "rangepartitioning" not in plan
