@@ -207,5 +207,7 @@ ORACLE_SQL = {
                     "event_type not in ('error', 'signup') as is_valid from (" + _UPLOAD_SQL + ")",
 }
 
+ORACLE_SQL["staged_run"] = ORACLE_SQL["detect_logs"]
+ORACLE_SQL["attach_scores_bucketed"] = ORACLE_SQL["attach_scores"]
 for _name in ("catalogue_state", "catalogue_batches"):  # the same catalogue, however it was kept
     ORACLE_SQL[_name] = ORACLE_SQL["catalogue_stream"]

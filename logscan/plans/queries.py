@@ -173,6 +173,23 @@ def q_attach_scores(spark, sf_dir):
                          _r("recon_error").alias("recon_error"))
 
 
+def q_attach_scores_bucketed(spark, sf_dir):
+    """J1 over two tables bucketed by the row key: lines and scores join
+    bucket by bucket, without an exchange."""
+    from logscan.operators.join import write_bucketed
+
+    base = fresh_dir(spark, "bucketed")
+    name = base.rsplit("/", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS logscan_runs LOCATION '{work_dir(spark, 'warehouse', 'logscan_runs.db')}'")
+    dirty = logs_view(spark, sf_dir, dirty=True).withColumn("row_id", F.col("_c0"))
+    scores = P.prepare(P.drop_incomplete_raw(dirty)).select(
+        "row_id", (F.col("TimeVal").cast("double") / 1000.0).alias("recon_error"))
+    joined = attach_scores(write_bucketed(P.prepare(dirty), f"logscan_runs.lines_{name}", buckets=8, location=base + "/lines"),
+                           write_bucketed(scores, f"logscan_runs.scores_{name}", buckets=8, location=base + "/scores"))
+    return joined.select("row_id", "LogLevel", "Service", "Message", "TimeVal",
+                         _r("recon_error").alias("recon_error"))
+
+
 def q_dedupe(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return P.dedupe(docs.select("lang", "text"))
@@ -437,6 +454,37 @@ def q_batch_run(spark, sf_dir):
             .select("metric_name", _r("metric_value").alias("metric_value")))
 
 
+def q_staged_run(spark, sf_dir):
+    """S6 + T2, staged: a run over half of the events is killed once its rows
+    are committed; the other half arrives and the run starts again, then once
+    more.  Every anomaly is in the CSV results once."""
+    from logscan.plans.detect import run_batch
+    from logscan.sources.sinks import write_csv
+    from logscan.sources.staged import RESULT_SCHEMA, StagedResults
+
+    class Killed(Exception):
+        pass
+
+    def kill():
+        raise Killed
+
+    base = fresh_dir(spark, "staged_run")
+    model = rank_one_model(EMBED_DIM, fixed_weight)
+    thr = threshold(log_errors(spark, sf_dir).withColumn("recon_error", F.round("recon_error", TIE_DIGITS)))
+    lines = logs_view(spark, sf_dir)
+    for part, after in ((0, kill), (1, None), (None, None)):
+        if part is not None:
+            write_csv(lines.where(F.col("RequestID") % 2 == part), base + "/uploads", mode="append")
+        try:
+            run_batch(spark, base + "/uploads", model, thr, base + "/results", round_digits=TIE_DIGITS, staged=True,
+                      consume=True, metrics_path=base + "/metrics", after_commit=after)
+        except Killed:
+            continue
+    res = StagedResults(spark, base + "/results").read(RESULT_SCHEMA)
+    return res.select(F.col("RequestID").alias("event_id"), "LogLevel", "Service", "Message", "TimeVal",
+                      _r("recon_error").alias("recon_error"))
+
+
 def q_model_roundtrip(spark, sf_dir):
     """The test model saved as a layer table with its threshold, loaded
     back (size-checked) and used to score the embeddings."""
@@ -544,6 +592,7 @@ QUERIES = {
     "detect_logs": q_detect_logs,
     "run_metrics": q_run_metrics,
     "attach_scores": q_attach_scores,
+    "attach_scores_bucketed": q_attach_scores_bucketed,
     "dedupe": q_dedupe,
     "dedupe_by_text": q_dedupe_by_text,
     "topk": q_topk,
@@ -559,6 +608,7 @@ QUERIES = {
     "consume_once": q_consume_once,
     "csv_roundtrip": q_csv_roundtrip,
     "batch_run": q_batch_run,
+    "staged_run": q_staged_run,
     "model_roundtrip": q_model_roundtrip,
     "latest_upload": q_latest_upload,
     "catalogue_stream": q_catalogue_stream,

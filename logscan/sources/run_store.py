@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logscan.sources.folder import Folder
+
 KEEP = 3
 BUCKET = "_bucket"
 
@@ -33,37 +35,18 @@ class RunStore:
             raise ValueError("fanout must be 2 or more")
         self.spark, self.path, self.key, self.merge = spark, path.rstrip("/"), key, merge
         self.fanout, self.buckets = int(fanout), int(buckets)
-        self._fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._fs_path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.folder = Folder(spark, self.path)
 
     # ------------------------------------------------------------ manifests
-    def _names(self, folder: str) -> list[str]:
-        where = self._fs_path(f"{self.path}/{folder}")
-        return [s.getPath().getName() for s in self._fs.listStatus(where)] if self._fs.exists(where) else []
-
     def _manifests(self) -> list[int]:
-        return sorted(int(n[:-5]) for n in self._names("manifest") if n.endswith(".json") and n[0] not in "._")
+        return sorted(int(n[:-5]) for n in self.folder.names("manifest") if n.endswith(".json") and n[0] not in "._")
 
     def manifest(self, batch: int | None = None) -> dict | None:
         """The newest manifest (or that of ``batch``): batch, runs, schema."""
         all_ = self._manifests()
         if not all_ or (batch is not None and batch not in all_):
             return None
-        file = f"{self.path}/manifest/{all_[-1] if batch is None else batch}.json"
-        return json.loads(self.spark.read.text(file, wholetext=True).first()["value"])
-
-    def _write_manifest(self, m: dict) -> None:
-        """Written beside and renamed: a manifest is there whole or not at all."""
-        draft = self._fs_path(f"{self.path}/manifest/_{m['batch']}.json")
-        out = self._fs.create(draft, True)
-        try:
-            out.write(bytearray(json.dumps(m).encode()))
-        finally:
-            out.close()
-        final = self._fs_path(f"{self.path}/manifest/{m['batch']}.json")
-        self._fs.delete(final, False)
-        if not self._fs.rename(draft, final):
-            raise OSError(f"could not write {final}")
+        return self.folder.read_json(f"manifest/{all_[-1] if batch is None else batch}.json")
 
     # ----------------------------------------------------------------- runs
     def _write_run(self, rows: DataFrame, name: str) -> None:
@@ -93,7 +76,7 @@ class RunStore:
             runs = [r for r in runs if r["level"] != level] + [{"name": name, "level": level + 1}]
             level += 1
         m = {"batch": batch, "runs": runs, "schema": schema}
-        self._write_manifest(m)
+        self.folder.write_json(f"manifest/{batch}.json", m)
         self._sweep()
         return m
 
@@ -102,10 +85,10 @@ class RunStore:
         live = {r["name"] for b in kept for r in self.manifest(b)["runs"]}
         for b in self._manifests():
             if b not in kept:
-                self._fs.delete(self._fs_path(f"{self.path}/manifest/{b}.json"), False)
-        for name in self._names("runs"):
+                self.folder.delete(f"manifest/{b}.json")
+        for name in self.folder.names("runs"):
             if name not in live:
-                self._fs.delete(self._fs_path(f"{self.path}/runs/{name}"), True)
+                self.folder.delete(f"runs/{name}")
 
     # -------------------------------------------------------------- reading
     def read(self) -> DataFrame | None:

@@ -226,3 +226,79 @@ def test_archive_keeps_equal_names_apart(spark, tmp):
     write_logs(os.path.join(root, "x"), "same.csv", LINES)
     with pytest.raises(OSError):  # an archived file is never overwritten
         delete_inputs(spark, files[:1], os.path.join(tmp, "archive"), root)
+
+
+class Killed(Exception):
+    pass
+
+
+def _kill(*args, **kwargs):
+    raise Killed
+
+
+@pytest.mark.parametrize("point", ["write", "commit", "after", "metrics", "inputs", "done"])
+def test_staged_run_killed_anywhere_leaves_each_row_once(spark, tmp, monkeypatch, point):
+    from logscan.plans import detect as plan
+    from logscan.sources.staged import RESULT_SCHEMA, StagedResults
+
+    folder, out = os.path.join(tmp, "uploads"), os.path.join(tmp, "res")
+    write_logs(folder, "a.csv", LINES)
+    model = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
+
+    def run(**more):
+        return run_batch(spark, folder, model, -1.0, out, metrics_path=os.path.join(tmp, "met"), staged=True, consume=True,
+                         archive_dir=os.path.join(tmp, "archive"), **more)
+
+    with monkeypatch.context() as m:
+        if point in ("commit", "done"):
+            m.setattr(StagedResults, {"commit": "commit", "done": "finish"}[point], _kill)
+        elif point == "write":  # rows half written: a folder without a manifest
+            real = StagedResults.write
+            m.setattr(StagedResults, "write", lambda self, *a: (real(self, *a), _kill()))
+        elif point in ("metrics", "inputs"):
+            m.setattr(plan, {"metrics": "_store_metrics", "inputs": "delete_inputs"}[point], _kill)
+        with pytest.raises(Killed):
+            run(after_commit=_kill if point == "after" else None)
+    write_logs(folder, "b.csv", LINES[:2])  # arrives before the run starts again
+    assert run()["status"] == "ok"
+    assert run()["status"] == "no_input"
+    res = StagedResults(spark, out).read(RESULT_SCHEMA)
+    assert sorted(r.RequestID for r in res.collect()) == [5101, 5101, 5102, 5102, 5103, 5106]
+    assert res.where("Timestamp IS NULL OR recon_error IS NULL").count() == 0
+    assert os.listdir(folder) == []
+    met = spark.read.parquet(os.path.join(tmp, "met"))
+    assert met.groupBy("run_id", "metric_name").count().where("count > 1").count() == 0
+    assert met.where("metric_name = 'total_logs'").groupBy().sum("metric_value").first()[0] == 6.0
+    assert len(os.listdir(os.path.join(out, "runs"))) == len(StagedResults(spark, out).committed())
+
+
+def test_staged_run_without_consuming_reads_a_file_once(spark, tmp):
+    folder, out = os.path.join(tmp, "uploads"), os.path.join(tmp, "res")
+    write_logs(folder, "a.csv", LINES)
+    model = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
+
+    def run():
+        return run_batch(spark, folder, model, -1.0, out, staged=True)
+
+    assert (run()["total_logs"], run()["status"]) == (4.0, "no_input")
+    write_logs(folder, "a.csv", LINES[:1] * 2)  # replaced: other length
+    assert run()["total_logs"] == 2.0
+
+
+def test_bucketed_tables_join_in_place(spark, tmp):
+    from logscan.operators.join import attach_scores, write_bucketed
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS join_t LOCATION '{tmp}/db'")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.range(1000).selectExpr("id % 900 as row_id", "cast(id as string) as Message", "1.5 as TimeVal")
+        scores = spark.range(0, 2000, 3).selectExpr("id as row_id", "id / 7.0 as recon_error")
+        got = attach_scores(write_bucketed(lines, "join_t.lines", buckets=4), write_bucketed(scores, "join_t.scores", buckets=4))
+        want = attach_scores(lines, scores)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert "Exchange" in want._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE join_t CASCADE")
