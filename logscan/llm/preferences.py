@@ -81,24 +81,13 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
     return out.withColumn("identical", (F.size(a) == F.col("prompt_turns")) & (F.size(b) == F.col("prompt_turns")))
 
 
-def neighbour_pairs(turns: DataFrame) -> DataFrame:
-    """Pairs from a plain conversation table: chosen is a conversation up to
-    its last assistant turn; rejected ends with the last assistant turn of
-    its neighbour (ids 2k and 2k + 1) instead.  Conversations that, or whose
-    neighbour, have no assistant turn form no pair."""
-    lists = turn_lists(turns)
-    is_reply = F.transform("turns", lambda t: t["role"] == "assistant")
-    last = F.size("turns") - F.array_position(F.reverse(is_reply), F.lit(True)).cast("int") + 1
-    ended = (lists.where(F.exists("turns", lambda t: t["role"] == "assistant"))
-             .select("conv_id", F.slice("turns", F.lit(1), last).alias("chosen")))
-    replies = ended.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),
-                           F.element_at("chosen", -1).alias("_reply"))
-    return ended.join(replies, "conv_id").select(
-        "conv_id", "chosen",
-        F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array("_reply")).alias("rejected"))
+RING_SIZE = 512  # conversations that pass replies around among themselves
 
 
-RING_SIZE = 512  # conversations that pass replies around among themselves
+def _hash(salt: int) -> Column:
+    """60 bits of the MD5 of salt and conversation id: the same in any engine."""
+    digest = F.md5(F.concat(F.lit(f"{salt}:"), F.col("conv_id").cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def branch_pairs(turns: DataFrame) -> DataFrame:
@@ -116,11 +105,11 @@ def branch_pairs(turns: DataFrame) -> DataFrame:
     lists = turn_lists(turns)
     at = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)), lambda i: i.isNotNull())
     lists = lists.withColumn("_at", at).withColumn(
-        "_branch", F.when(F.size("_at") > 0, F.get("_at", F.pmod(F.xxhash64("conv_id"), F.size("_at")).cast("int"))))
+        "_branch", F.when(F.size("_at") > 0, F.get("_at", (_hash(0) % F.size("_at")).cast("int"))))
     ids = turns.where(F.col("conv_id").isNotNull() & (F.col("role") == "assistant")).select("conv_id").distinct()
     ends = ids.agg(F.count(F.lit(1)).alias("_n"), F.min("conv_id").alias("_min"), F.max("conv_id").alias("_max"))
-    dealt = ids.crossJoin(F.broadcast(ends)).withColumn("_h", F.xxhash64("conv_id", F.lit(1)))
-    dealt = dealt.withColumn("_ring", F.pmod("_h", F.greatest(F.lit(1), F.ceil(F.col("_n") / RING_SIZE))))
+    dealt = ids.crossJoin(F.broadcast(ends)).withColumn("_h", _hash(1))
+    dealt = dealt.withColumn("_ring", F.col("_h") % F.greatest(F.lit(1), F.ceil(F.col("_n") / RING_SIZE)))
     ring = Window.partitionBy("_ring").orderBy("_h", "conv_id")
     giver = F.coalesce(F.lag("conv_id").over(ring), F.last("conv_id").over(ring.rowsBetween(0, Window.unboundedFollowing)))
     taken = dealt.select("conv_id", giver.alias("_from"), "_min", "_max").withColumn(
@@ -148,13 +137,6 @@ def _rows(out: DataFrame) -> DataFrame:
 
 
 def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formatted pairs as OP5_SQL states them: conversations of which, or of
-    whose neighbour, no assistant turn exists give none, and turns after the
-    last assistant turn are left out.  ``op5_preferences_whole`` keeps all."""
-    return _rows(format_pairs(neighbour_pairs(read_table(spark, sf_dir, "conversations"))))
-
-
-def op5_preferences_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A formatted pair of every conversation with all its turns."""
     return _rows(format_pairs(branch_pairs(read_table(spark, sf_dir, "conversations"))))
 
@@ -164,15 +146,25 @@ WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn
                                               text NULLS FIRST) AS p,
                   coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
            FROM conversations WHERE conv_id IS NOT NULL),
-e AS (SELECT conv_id, max(p) AS last FROM t WHERE role = 'assistant' GROUP BY conv_id),
-ok AS (SELECT e.conv_id, e.last, n.conv_id AS other, n.last AS other_last FROM e JOIN e n ON n.conv_id = xor(e.conv_id, 1)),
-side AS (SELECT 'c' AS side, t.conv_id, p, role, text FROM t JOIN ok USING (conv_id) WHERE p <= last
-         UNION ALL SELECT 'r', t.conv_id, p, role, text FROM t JOIN ok USING (conv_id) WHERE p < last
-         UNION ALL SELECT 'r', ok.conv_id, ok.last, role, text FROM ok JOIN t ON t.conv_id = other AND t.p = other_last),
-l AS (SELECT ok.conv_id, ok.last,
-             coalesce((SELECT min(c.p) FROM side c JOIN side r ON r.side = 'r' AND r.conv_id = c.conv_id AND r.p = c.p
-                       WHERE c.side = 'c' AND c.conv_id = ok.conv_id AND (c.role <> r.role OR c.text <> r.text)) - 1,
-                      ok.last) AS k FROM ok),
+h AS (SELECT conv_id, max(p) AS last, list(p ORDER BY p) FILTER (WHERE role = 'assistant') AS spots,
+             CAST('0x' || substr(md5('0:' || conv_id), 1, 15) AS BIGINT) AS h0,
+             CAST('0x' || substr(md5('1:' || conv_id), 1, 15) AS BIGINT) AS h1 FROM t GROUP BY conv_id),
+b AS (SELECT conv_id, spots[h0 % len(spots) + 1] AS branch, h1, min(conv_id) OVER () AS low, max(conv_id) OVER () AS high,
+             h1 % greatest(1, CAST(ceil(count(*) OVER () / 512.0) AS BIGINT)) AS ring FROM h WHERE len(spots) > 0),
+g AS (SELECT *, coalesce(lag(conv_id) OVER (PARTITION BY ring ORDER BY h1, conv_id),
+                         last_value(conv_id) OVER (PARTITION BY ring ORDER BY h1, conv_id
+                                                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS f FROM b),
+q AS (SELECT conv_id, branch, CASE WHEN f <> conv_id THEN f WHEN low <> conv_id THEN low
+                                   WHEN high <> conv_id THEN high END AS giver FROM g),
+side AS (SELECT 'c' AS side, conv_id, p, role, text FROM t
+         UNION ALL SELECT 'r', t.conv_id, p, role, text FROM t JOIN q USING (conv_id) WHERE giver IS NOT NULL AND p < branch
+         UNION ALL SELECT 'r', q.conv_id, q.branch + p - o.branch, role, text
+                   FROM q JOIN q o ON o.conv_id = q.giver JOIN t ON t.conv_id = o.conv_id AND p >= o.branch),
+d AS (SELECT coalesce(c.conv_id, j.conv_id) AS conv_id, min(coalesce(c.p, j.p)) AS p
+      FROM (SELECT * FROM side WHERE side = 'c') c FULL JOIN (SELECT * FROM side WHERE side = 'r') j
+        ON j.conv_id = c.conv_id AND j.p = c.p
+      WHERE c.p IS NULL OR j.p IS NULL OR c.role <> j.role OR c.text <> j.text GROUP BY 1),
+l AS (SELECT h.conv_id, h.last, coalesce(d.p - 1, h.last) AS k, d.p IS NULL AS same FROM h LEFT JOIN d USING (conv_id)),
 r AS (SELECT side, s.conv_id, p, k, role, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS x,
              length(role) + 13 AS head, length(text) + 10 AS body FROM side s JOIN l USING (conv_id)),
 o AS (SELECT *, coalesce(sum(length(x)) OVER (PARTITION BY side, conv_id ORDER BY p
@@ -183,6 +175,6 @@ f AS (SELECT side, conv_id, string_agg(x, '' ORDER BY p) AS x,
 SELECT l.conv_id, CAST(l.k AS INTEGER) AS prompt_turns,
        coalesce((SELECT string_agg(x, '' ORDER BY p) FROM r WHERE side = 'c' AND r.conv_id = l.conv_id AND p <= r.k), '') AS prompt,
        coalesce(c.x, '') AS chosen_completion, coalesce(j.x, '') AS rejected_completion,
-       coalesce(c.m, '') AS chosen_mask, coalesce(j.m, '') AS rejected_mask, l.k = l.last AS identical
+       coalesce(c.m, '') AS chosen_mask, coalesce(j.m, '') AS rejected_mask, l.same AS identical
 FROM l LEFT JOIN f c ON c.side = 'c' AND c.conv_id = l.conv_id LEFT JOIN f j ON j.side = 'r' AND j.conv_id = l.conv_id
 """

@@ -20,7 +20,7 @@ from logscan.llm import language_model as lm  # noqa: E402
 from logscan.llm import line_dedup, mixing, ngram_join, queries, topk, toxicity  # noqa: E402
 from logscan.llm.common import SPACE_WORDS, hashed_words, text_slices  # noqa: E402
 from logscan.llm.decontamination import decontaminate, scan_documents  # noqa: E402
-from logscan.llm.preferences import format_pairs, neighbour_pairs, turn_lists  # noqa: E402
+from logscan.llm.preferences import format_pairs, turn_lists  # noqa: E402
 from logscan.llm.sharding import shard_by_bytes  # noqa: E402
 from logscan.llm.warc import compare_replicas, record_hashes, warc_records  # noqa: E402
 
@@ -210,12 +210,15 @@ def test_base_scores_against_brute_force(spark, monkeypatch):
 
 # ------------------------------------------------------------------ preferences
 def test_common_prefix_and_masks(spark):
-    turns = [(2, 0, "system", "S"), (2, 1, "user", "u"), (2, 2, "assistant", "good <|im_end|>"), (2, 3, "user", "later"),
-             (3, 0, "user", None), (3, 1, "assistant", "bad"), (8, 0, "user", "alone"), (None, 0, "assistant", "x"),
-             (4, 0, None, "q"), (4, 1, "assistant", "same"), (5, 0, "assistant", "same")]
-    t = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    rows = {r.conv_id: r for r in format_pairs(neighbour_pairs(t)).collect()}
-    assert sorted(rows) == [2, 3, 4, 5]
+    schema = "conv_id long, turn long, role string, text string"
+    t = spark.createDataFrame([(2, 0, "system", "S"), (2, 1, "user", "u"), (2, 2, "assistant", "good <|im_end|>"),
+                               (None, 0, "assistant", "x"), (4, 0, None, "q"), (4, 1, "assistant", "same")], schema)
+    other = spark.createDataFrame([(2, 0, "system", "S"), (2, 1, "user", "u"), (2, 2, "assistant", "bad"),
+                                   (4, 0, "unknown", "q"), (4, 1, "assistant", "same")], schema)
+    pairs = (turn_lists(t).withColumnRenamed("turns", "chosen")
+             .join(turn_lists(other).withColumnRenamed("turns", "rejected"), "conv_id"))
+    rows = {r.conv_id: r for r in format_pairs(pairs).collect()}
+    assert sorted(rows) == [2, 4]
     r = rows[2]
     assert r.prompt == "<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nu<|im_end|>\n" and r.prompt_turns == 2
     assert r.chosen_completion == "<|im_start|>assistant\ngood < |im_end|><|im_end|>\n"
@@ -224,8 +227,8 @@ def test_common_prefix_and_masks(spark):
     s, = r.rejected_spans
     assert r.rejected_completion[s.start:s.end] == "bad<|im_end|>"
     assert rows[4].identical and rows[4].chosen_completion == "" and rows[4].chosen_spans == []
-    assert format_pairs(neighbour_pairs(t.limit(0))).count() == 0
-    assert turn_lists(t).count() == 5
+    assert format_pairs(pairs.limit(0)).count() == 0
+    assert turn_lists(t).count() == 2
 
 
 # ------------------------------------------------------------------------ top-k

@@ -48,7 +48,7 @@ def check_pairs(rows, convs):
 
 def test_every_conversation_and_turn_is_paired(spark):
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
-    rows = E.queries()["op5_preferences_whole"](spark, SF).collect()
+    rows = E.queries()["op5_preferences"](spark, SF).collect()
     convs = conversations(turns)
     check_pairs(rows, convs)
     size = lambda x: x.count("<|im_start|>")
