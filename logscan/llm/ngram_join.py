@@ -4,9 +4,13 @@ A document is its set of distinct 5-word shingles.  Documents with equal sets
 form one class, which takes part once.  Two sets of sizes a and b link when
 their overlap is at least 4 (a + b) / 9, that is a Jaccard similarity of 0.8.
 
-* Co-location: linked sets share one of their first n - ceil(0.8 n) + 1
-  shingles in hash order, so classes meet under those keys; keys of one
-  class, and classes without a partner of similar size, drop out.  Two
+* Co-location: in any one order of all shingles, linked sets share one of
+  their first n - ceil(0.8 n) + 1, so classes meet under those keys.  The
+  order is by hash, but shingles found to be common (``heavy_shingles``: those
+  repeated within parts of the corpus, a table of bounded size) come last and
+  the commonest of them at the very end: passages that many documents share
+  then key few of them.  The table only shapes the groups, never the links.
+  Keys of one class, and classes without a partner of similar size, drop out.  Two
   classes that met under the key before need not meet again, so a key all of
   whose classes share the key before drops out too.  A hot key is split into
   pairs of blocks, so no task holds it whole.
@@ -50,6 +54,9 @@ CHUNK_ROWS = 50_000
 HOT_SAMPLE = 64      # 1 in so many classes is looked at to find hot keys (load balance only)
 HOT_KEYS = 1024      # at most so many keys are split: bounds the broadcast
 BLOCK_ROWS = 4096    # rows per block of a hot key
+HEAVY_MAX = 1 << 18  # common shingles that go last (16 bytes each, broadcast)
+HEAVY_PART = 1 << 22  # shingles looked at together when common ones are counted
+HEAVY_MIN = 4        # texts of such a part that must hold a shingle
 FINE_MAX = 1 << 14   # groups of the finer counts at most
 _MANY = 1 << 24      # stands for a count that did not fit its byte
 
@@ -71,6 +78,56 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
+def prefix_keys(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a set: light ones by hash, then heavy ones by
+    falling rarity.  ``heavy`` is sorted; ``rank`` orders it, rarest first."""
+    k = prefix_length(len(s))
+    if not len(heavy) or not k:
+        return s[:k]
+    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
+    common = heavy[at] == s
+    light = s[~common]
+    if len(light) >= k:
+        return light[:k]
+    late = s[common][np.argsort(rank[at[common]])]
+    return np.concatenate([light, late[:k - len(light)]])
+
+
+def _repeated(batches):
+    """(shingle, texts) of shingles that several texts of a part of the
+    partition hold; equal texts of a part count once."""
+    held, size, seen = [], 0, set()
+
+    def counted():
+        values, n = np.unique(np.concatenate(held), return_counts=True)
+        many = n >= HEAVY_MIN
+        yield pa.RecordBatch.from_arrays([pa.array(values[many].view(np.int64)), pa.array(n[many].astype(np.int64))],
+                                         ["shingle", "texts"])
+
+    for batch in batches:
+        for s in shingle_sets(batch.column("text")):
+            mark = hash(s.tobytes())
+            if len(s) and mark not in seen:
+                seen.add(mark)
+                held.append(s)
+                size += len(s)
+            if size >= HEAVY_PART:
+                yield from counted()
+                held, size, seen = [], 0, set()
+    if held:
+        yield from counted()
+
+
+def heavy_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles, rank) of the commonest repeated shingles, at most
+    ``HEAVY_MAX`` (a bounded transfer to the driver)."""
+    rows = (texts.select("text").mapInArrow(_repeated, "shingle long, texts long").groupBy("shingle")
+            .agg(F.sum("texts").alias("texts")).orderBy(F.desc("texts"), "shingle").limit(HEAVY_MAX).toArrow())
+    shingles = rows.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], np.arange(len(shingles), 0, -1)[order]
+
+
 def _counts(s: np.ndarray, groups: int) -> bytes:
     """Shingles per group, one byte each (255: or more)."""
     c = np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
@@ -114,8 +171,12 @@ def fine_bound(a: bytes, b: bytes) -> int:
     return int(_bound(x, y))
 
 
-def _describe(batches):
+def _describe(heavy):
     """_id, doc_id, text -> _id, doc_id, set size, fingerprint, prefix keys, count vectors."""
+    return lambda batches: _described(batches, *heavy.value)
+
+
+def _described(batches, heavy: np.ndarray, rank: np.ndarray):
     for batch in batches:
         n, h1, h2, keys, vecs, wide, fine = [], [], [], [], [], [], []
         for s in shingle_sets(batch.column("text")):
@@ -123,7 +184,7 @@ def _describe(batches):
             n.append(len(s))
             h1.append(int(digest[0]))
             h2.append(int(digest[1]))
-            keys.append(s[:prefix_length(len(s))].view(np.int64))
+            keys.append(prefix_keys(s, heavy, rank).view(np.int64))
             vecs.append(count_vector(s))
             wide.append(wide_vector(s))
             fine.append(fine_counts(s))
@@ -466,8 +527,9 @@ class JaccardJoin:
         self.scratch = scratch = Scratch(spark, "jaccard")
         self.texts = docs.select(private_id("doc_id", "text").alias("_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
                                  "text")
+        heavy = spark.sparkContext.broadcast(heavy_shingles(self.texts))
         described = scratch.save(self.texts.mapInArrow(
-            _describe, "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, "
+            _describe(heavy), "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, "
             "wide binary, fine binary"),
             "described")
         self.rows = scratch.save(described.select("_id", "doc_id", "n", "h1", "h2"), "rows")

@@ -343,6 +343,31 @@ def test_spanning_forest_joins_what_all_pairs_join():
         assert len(pick) == nodes - len(set(trees(pick)))  # no pair too many
 
 
+def test_any_heavy_table_keeps_the_prefix_rule():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        whole = np.unique(rng.integers(0, 2**63, 60).astype(np.uint64))
+        a = np.sort(rng.choice(whole, int(rng.integers(1, len(whole))), replace=False))
+        gone = rng.random(len(a)) < 0.08
+        b = np.unique(np.concatenate([a[~gone], rng.choice(whole, 2)]))
+        heavy = np.sort(rng.choice(whole, int(rng.integers(0, len(whole))), replace=False))
+        rank = rng.permutation(len(heavy))
+        keys = [ngram_join.prefix_keys(x, heavy, rank) for x in (a, b)]
+        assert [len(k) for k in keys] == [ngram_join.prefix_length(len(x)) for x in (a, b)]
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(*keys))
+
+
+def test_heavy_shingles_are_the_shared_ones(spark):
+    shared = " ".join(f"s{i}" for i in range(30))
+    texts = [f"{shared} " + " ".join(f"u{d}x{i}" for i in range(40)) for d in range(50)] + ["copied text of five words"] * 9
+    heavy, rank = ngram_join.heavy_shingles(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2))
+    assert len(heavy) == 26 and sorted(rank) == list(range(1, 27)) and (np.diff(heavy.astype(np.float64)) > 0).all()
+    none = ngram_join.heavy_shingles(spark.createDataFrame([(None,), ("",)], "text string"))
+    assert len(none[0]) == len(none[1]) == 0
+
+
 def test_jaccard_of_odd_rows(spark):
     rows = ngram_join.jaccard_components(odd_docs(spark)).collect()
     got = collections.Counter((r.doc_id, r.component_id) for r in rows)
