@@ -21,7 +21,8 @@ def test_fit_then_detect(tmp):
         write_logs(train, f"{i}.csv", LINES)
     model = os.path.join(tmp, "model")
     res = _run("fit", "--input", train, "--model", model, "--k", "4")
-    assert res["threshold"] is not None and os.path.isdir(os.path.join(model, "layers"))
+    version, = os.listdir(os.path.join(model, "versions"))  # layers and threshold of the one version
+    assert res["threshold"] is not None and os.path.isdir(os.path.join(model, "versions", version, "layers"))
     uploads = os.path.join(tmp, "uploads")
     write_logs(uploads, "a.csv", LINES)
     out = _run("detect", "--input", uploads, "--model", model, "--result", os.path.join(tmp, "res"),
