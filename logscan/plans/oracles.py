@@ -156,7 +156,7 @@ ORACLE_SQL = {
         for part, w in enumerate(("((d * 7) % 11 - 5) / 40.0", "((d * 5) % 13 - 6) / 50.0"))) + "), "
         "t as (select batch_id, quantile_cont(e, 0.95) as thr from s group by batch_id) "
         "select event_id, batch_id, round(e" + _R + " as recon_error from s join t using (batch_id) where e > thr",
-    "stream_logs": "select event_id, cast(event_id % 2 as bigint) as batch_id, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, "
+    "stream_logs": "select event_id, cast(event_id % 2 as bigint) as upload, strftime(\"Timestamp\", '%Y-%m-%d %H:%M:%S.%f') as ts, "
                    "LogLevel, Service, Message, TimeVal from (" + prepared_sql(EVENTS_AS_LOGS_SQL) + ")",
     "ae_sync": "select e::integer as epoch, count(*) as n, true as same from embeddings, range(1, 3) t(e) group by e",
     "pca_gram": "select i::integer as i, j::integer as j, count(*) as n, round(sum(embedding[i]::double), 6) as sum_i, "

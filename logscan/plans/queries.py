@@ -377,8 +377,12 @@ def q_stream_logs(spark, sf_dir):
     base = fresh_dir(spark, "stream_logs")
     lines = logs_view(spark, sf_dir).withColumn("Timestamp", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
+    batches = []  # those with lines: the moment without the file may make an empty one
+
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{base}/lines/batch_id={batch_id}")
+        if batch_id not in batches:
+            batches.append(batch_id)
+        batch.write.mode("overwrite").parquet(f"{base}/lines/upload={batches.index(batch_id)}")
 
     q = None
     for part in (0, 1):
@@ -391,7 +395,7 @@ def q_stream_logs(spark, sf_dir):
         q.processAllAvailable()
     q.stop()
     back = P.prepare(spark.read.parquet(base + "/lines"))
-    return back.select(F.col("RequestID").alias("event_id"), F.col("batch_id").cast("bigint").alias("batch_id"),
+    return back.select(F.col("RequestID").alias("event_id"), F.col("upload").cast("bigint").alias("upload"),
                        F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
                        "LogLevel", "Service", "Message", "TimeVal")
 
