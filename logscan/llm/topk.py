@@ -1,15 +1,16 @@
 """Operator 6: exact top-k inner products, norm-sorted and bounded.
 
-Vectors are dealt by id hash to stripes, queries to blocks; every (stripe,
-block) pair is one bounded search.  Inside a stripe, vectors come in blocks of
-descending length, rotated by the right singular vectors of the stripe, so
-that the first coordinates carry most of every product.  A query meets a
-block only while its length times the block's largest length reaches the
-query's k-th best score; a vector of the block only while its partial product
-plus the product of the residual lengths (Cauchy-Schwarz) does.  What is
-left is scored exactly on the integer components.  Each query starts with the
-k-th score it reaches on the longest vectors of the table, which every task
-gets (a fixed number of them).
+Vectors are range-partitioned by descending length into stripes and met in
+rounds, the longest stripe first and then each time three times as many as
+before.  A query takes part in a round only while its length times the round's
+largest length reaches its k-th best score so far.  Queries come in blocks;
+every (stripe, block) pair is one bounded search.  Inside a stripe, vectors
+come in blocks of descending length, rotated by the right singular vectors of
+the stripe, so that the first coordinates carry most of every product.
+Products are summed a few rotated columns at a time; after each step a pair
+stays only while its partial sum plus the product of the two residual lengths
+(Cauchy-Schwarz) reaches the query's k-th best score.  Pairs that outlive all
+columns are scored exactly on the integer components.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from logscan.session import ship_package
 
 TOP = 20
 QUERY_EVERY = 20
-HEAD_ROWS = 2048       # longest vectors sent to every task (of 8 bytes a component)
 MIN_STRIPES = 32
+GROWTH = 4             # a round brings the rows met so far to this many times as many
 STRIPE_ROWS = 16_384
 QUERY_ROWS = 4096
-BLOCK = 512            # vectors per step
+BLOCK = 512            # vectors per tile
+COLUMNS = 8            # rotated columns added between two bounds
 SCALE = 64.0
 LONG = (1 << 63) - 1
 
@@ -75,44 +77,68 @@ def _best(q, score, ids, k: int):
     return q[top], score[order][top], ids[order][top]
 
 
-def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray,
-           k: int = TOP):
+def _survivors(q_rot, v_rot, q_rest, v_rest, least, slack, stats=None):
+    """Pairs (query, vector) of a tile whose product may reach ``least``: the
+    rotated columns are added step by step, every step bounded anew.  While
+    most pairs live, their sums grow as one matrix, then pair by pair."""
+    dim, cut = q_rot.shape[1], least - slack
+    sums = np.zeros((len(q_rot), len(v_rot)))
+    r = c = part = None
+    for at in range(0, dim, COLUMNS):
+        to = min(dim, at + COLUMNS)
+        if stats is not None:
+            stats[at] = stats.get(at, 0) + (sums.size if r is None else len(r))
+        if r is None:
+            sums += q_rot[:, at:to] @ v_rot[:, at:to].T
+            may = sums + q_rest[:, to, None] * v_rest[None, :, to] >= cut[:, None]
+            if np.count_nonzero(may) * 2 <= may.size:
+                r, c = np.nonzero(may)
+                part = sums[r, c]
+        else:
+            part += np.einsum("ij,ij->i", q_rot[r, at:to], v_rot[c, at:to])
+            may = part + q_rest[r, to] * v_rest[c, to] >= cut[r]
+            r, c, part = r[may], c[may], part[may]
+    return np.nonzero(may) if r is None else (r, c)
+
+
+def _residuals(rot: np.ndarray) -> np.ndarray:
+    """Lengths of the rows from each column on; 0 after the last one."""
+    left = np.cumsum(np.square(rot[:, ::-1]), axis=1)[:, ::-1]
+    return np.sqrt(np.concatenate([left, np.zeros((len(rot), 1))], axis=1))
+
+
+def search(vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray,
+           floor: np.ndarray, k: int = TOP, stats: dict | None = None):
     """(query number, score, id): every vector that may be among a query's k
-    best, given that ``floor`` (its k-th score elsewhere) must be reached."""
-    norms = np.sqrt(np.square(vectors).sum(axis=1))
-    order = np.argsort(-norms, kind="stable")
-    vectors, ids, norms = vectors[order], ids[order], norms[order]
-    q_norms = np.sqrt(np.square(queries).sum(axis=1))
-    dim = vectors.shape[1]
-    lead = max(1, dim // 4)
-    _, axes = np.linalg.eigh(vectors.T @ vectors)  # right singular vectors, smallest first
+    best, given that ``floor`` (its k-th score elsewhere) must be reached; a
+    row never meets itself.  ``stats`` counts the pairs that enter each step."""
+    got = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    if not vectors.size or not queries.size:
+        return got
+    # in units of the largest components: no sum of squares overflows
+    v_unit, q_unit = max(1.0, np.abs(vectors).max()), max(1.0, np.abs(queries).max())
+    scaled = vectors / v_unit
+    order = np.argsort(-np.square(scaled).sum(axis=1), kind="stable")
+    vectors, scaled, ids, rows = vectors[order], scaled[order], ids[order], rows[order]
+    _, axes = np.linalg.eigh(scaled.T @ scaled)  # right singular vectors, smallest first
     axes = axes[:, ::-1]
-    v_rot, q_rot = vectors @ axes, queries @ axes
-    v_rest = np.sqrt(np.square(v_rot[:, lead:]).sum(axis=1))
-    q_rest = np.sqrt(np.square(q_rot[:, lead:]).sum(axis=1))
-    # whole numbers below 2^53: a float64 matrix product is exact
-    small = bool(len(ids) and len(queries) and np.abs(queries).max() * np.abs(vectors).max() * dim < 2.0**53)
+    v_rot, q_rot = scaled @ axes, (queries / q_unit) @ axes
+    v_rest, q_rest = _residuals(v_rot), _residuals(q_rot)
+    norms, q_norms = v_rest[:, 0], q_rest[:, 0]
     least = floor.astype(np.float64).copy()
-    got = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
     for at in range(0, len(ids), BLOCK):
         block = slice(at, at + BLOCK)
-        slack = 1e-6 + 1e-9 * q_norms * norms[at]  # covers rounding of the rotated sums
-        live = np.flatnonzero(q_norms * norms[at] + slack >= least)
+        slack = 1e-6 / (v_unit * q_unit) + 1e-9 * q_norms * norms[at]  # covers rounding of the rotated sums
+        reach = least / v_unit / q_unit
+        live = np.flatnonzero(q_norms * norms[at] + slack >= reach)
         if not len(live):
             break
-        bound = q_rot[live, :lead] @ v_rot[block, :lead].T + q_rest[live, None] * v_rest[None, block]
-        may = bound + slack[live, None] >= least[live, None]
-        may &= query_ids[live, None] != ids[None, block]
-        if small and np.count_nonzero(may) * 50 > may.size:  # most pairs are left: one matrix product is cheaper
-            exact = queries[live] @ vectors[block].T
-            r, c = np.nonzero(may & (exact >= least[live, None]))
-            score = exact[r, c].astype(np.int64)
-            r, c = live[r], at + c
-        else:
-            r, c = np.nonzero(may)
-            r, c = live[r], at + c
-            parts = [exact_products(queries[r[i:i + 65536]], vectors[c[i:i + 65536]]) for i in range(0, len(r), 65536)]
-            score = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        r, c = _survivors(q_rot[live], v_rot[block], q_rest[live], v_rest[block], reach[live], slack[live], stats)
+        r, c = live[r], at + c
+        own = query_rows[r] == rows[c]
+        r, c = r[~own], c[~own]
+        parts = [exact_products(queries[r[i:i + 65536]], vectors[c[i:i + 65536]]) for i in range(0, len(r), 65536)]
+        score = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
         keep = score >= least[r]
         got = _best(np.concatenate([got[0], r[keep]]), np.concatenate([got[1], score[keep]]),
                     np.concatenate([got[2], ids[c[keep]]]), k)
@@ -128,64 +154,63 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = QUERY_EVERY) ->
     each row whose vec_id is divisible by ``every``, ties to smaller ids.
 
     Rows with a null id, or a vector that is null or holds null or non-finite
-    components, take no part; rows equal in id and vector count once; rows of
-    the query's own id are no candidates.  Only vectors of one length meet.
-    A score beyond the range of a long is held at its end.  Fewer than k
-    candidates give shorter lists, an empty table none.
+    components, take no part.  Every row is a candidate of every query row but
+    itself: repeated rows are candidates of their own, and query rows that
+    share an id have a list each.  Only vectors of one length meet, empty ones
+    never.  A score beyond the range of a long is held at its end.  Fewer than
+    k candidates give shorter lists, an empty table none.  Other columns of
+    the input, whatever their names, are not read.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     scratch = Scratch(spark, "topk")
-    rows = scratch.save(vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-                        .mapInArrow(_integers, "vec_id long, dim int, v binary, norm double").distinct(), "vectors")
-    n = rows.count()
-    # at most HEAD_ROWS vectors: a proven bound
-    longest = rows.orderBy(F.desc("norm"), "vec_id").limit(HEAD_ROWS).collect()
-    head = {}
-    for d in {r["dim"] for r in longest}:
-        own = [r for r in longest if r["dim"] == d]
-        head[d] = (_matrix([r["v"] for r in own], d), np.array([r["vec_id"] for r in own]))
-    bc = spark.sparkContext.broadcast(head)
-
-    def floors(batches):
-        for batch in batches:
-            dims, low = batch.column("dim").to_numpy(), np.full(batch.num_rows, float("-inf"))
-            ids, vs = batch.column("vec_id").to_numpy(), batch.column("v").to_pylist()
-            for d in np.unique(dims).tolist():
-                if d and d in bc.value:
-                    at = np.flatnonzero(dims == d)
-                    v, vid = bc.value[d]
-                    q, score, _ = search(v, vid, _matrix([vs[i] for i in at], d), ids[at], np.full(len(at), -np.inf), k)
-                    full = np.flatnonzero(np.bincount(q, minlength=len(at)) >= k)
-                    low[at[full]] = score[np.searchsorted(q, full, side="right") - 1]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("vec_id", "dim", "v")], pa.array(low)],
-                                             ["query_id", "dim", "q", "floor"])
-
+    taken = scratch.save(vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
+                         .mapInArrow(_integers, "vec_id long, dim int, v binary, norm double").where("dim > 0"),
+                         "taken")
+    n = taken.count()
     stripes = max(MIN_STRIPES, -(-n // STRIPE_ROWS))
     blocks = max(1, -(-n // (every * QUERY_ROWS)))
-    queries = (rows.where(F.col("vec_id") % every == 0).select("vec_id", "dim", "v")
-               .mapInArrow(floors, "query_id long, dim int, q binary, floor double"))
-    left = (rows.select("vec_id", "dim", "v", F.pmod(F.xxhash64("vec_id"), F.lit(stripes)).cast("int").alias("stripe"))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    right = (queries.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(6)), F.lit(blocks)).cast("int"))
-             .withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1)))))
+    # ids and stripes are fixed by the write: a partition is a stripe
+    rows = scratch.save(
+        taken.repartitionByRange(stripes, F.desc("norm"), F.xxhash64("vec_id", "v"))
+        .select("*", F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("stripe")), "rows")
+    queries = scratch.save(
+        rows.where(F.col("vec_id") % every == 0)
+        .select(F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), "dim", F.col("v").alias("q"),
+                F.col("norm").alias("q_norm"), F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block")),
+        "queries")
 
     def meet(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if not len(v) or not len(q) or not v["dim"].iloc[0]:
-            return pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
+        if not len(v) or not len(q):
+            return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
         dim = int(v["dim"].iloc[0])
-        number, score, vid = search(_matrix(list(v["v"]), dim), v["vec_id"].to_numpy(), _matrix(list(q["q"]), dim),
-                                    q["query_id"].to_numpy(), q["floor"].to_numpy(), k)
-        mark = pd.util.hash_array(np.array(list(q["q"]), dtype=object)).view(np.int64)
-        return pd.DataFrame({"query_id": q["query_id"].to_numpy()[number], "q": mark[number], "vec_id": vid,
-                             "score": score})
-
-    key = ("stripe", "block", "dim")
-    found = (left.groupBy(*key).cogroup(right.groupBy(*key))
-             .applyInPandas(meet, "query_id long, q long, vec_id long, score long"))
-    best = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+        number, score, vid = search(_matrix(list(v["v"]), dim), v["vec_id"].to_numpy(), v["row"].to_numpy(),
+                                    _matrix(list(q["q"]), dim), q["query_row"].to_numpy(), q["floor"].to_numpy(), k)
+        return pd.DataFrame({"query_row": q["query_row"].to_numpy()[number],
+                             "query_id": q["query_id"].to_numpy()[number], "vec_id": vid, "score": score})
+
+    key, schema = ("stripe", "block", "dim"), "query_row long, query_id long, vec_id long, score long"
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    best = spark.createDataFrame([], schema + ", rank int")
+    lo, step = 0, 0
+    while lo < stripes:
+        hi = min(stripes, max(1, GROWTH * lo))
+        longest = rows.where(F.col("stripe") >= lo).agg(F.max("norm")).first()[0]
+        if longest is None:  # the remaining stripes are empty
+            break
+        # the k-th best score so far, of queries that have as many
+        floors = best.where(F.col("rank") == k).select("query_row", F.col("score").cast("double").alias("floor"))
+        low = F.coalesce("floor", F.lit(float("-inf")))
+        right = (queries.join(floors, "query_row", "left").withColumn("floor", low)
+                 .where(F.col("q_norm") * longest * (1 + 1e-9) + 1e-6 >= F.col("floor"))
+                 .withColumn("stripe", F.explode(F.sequence(F.lit(lo), F.lit(hi - 1)))).drop("q_norm"))
+        left = (rows.where(F.col("stripe").between(lo, hi - 1)).drop("norm")
+                .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+        found = (left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, schema))
+        best = scratch.save(best.drop("rank").unionAll(found).withColumn("rank", F.row_number().over(order))
+                            .where(F.col("rank") <= k), f"best{step}")
+        lo, step = hi, step + 1
+    return best.select("query_id", "rank", "vec_id", "score")
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,11 +219,11 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+s AS (SELECT q.n, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.n <> q.n WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20
 """

@@ -232,6 +232,20 @@ def test_common_prefix_and_masks(spark):
 
 
 # ------------------------------------------------------------------------ top-k
+def test_topk_bound_prunes_by_columns():
+    rng = np.random.default_rng(3)
+    v = np.floor(64 * rng.normal(0, 1, (3000, 32)) * 0.8 ** np.arange(32))  # a falling spectrum
+    ids, q, stats = np.arange(3000), np.arange(0, 3000, 20), {}
+    number, score, vid = topk.search(v, ids, ids, v[q], q, np.full(len(q), -np.inf), stats=stats)
+    full = v[q] @ v.T
+    full[np.arange(len(q)), q] = -np.inf
+    for k in range(len(q)):
+        best = np.lexsort((ids, -full[k]))[:20]
+        assert sorted(zip(-score[number == k], vid[number == k])) == [(-full[k][i], i) for i in best]
+    steps = [stats[c] for c in sorted(stats)]
+    assert len(steps) == 4 and steps == sorted(steps, reverse=True) and steps[-1] < steps[0] / 2
+
+
 def test_topk_against_brute_force(spark):
     rng = np.random.default_rng(5)
     v = rng.normal(0, 1, (900, 8)).round(2)
@@ -239,14 +253,16 @@ def test_topk_against_brute_force(spark):
     rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
     rows += [(2000, None), (2001, [None] * 8), (2002, [float("nan")] * 8), (None, rows[0][1]), (2020, [1e15] * 8),
              (2040, [1.0, 2.0]), rows[20]]
-    got = collections.defaultdict(list)
-    for r in topk.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
-        got[r.query_id].append((r["rank"], r.vec_id, r.score))
-    ok = {i: [math.floor(64 * x) for x in r] for i, r in rows if i is not None and i not in (2000, 2001, 2002)}
-    for q in [i for i in ok if i % 20 == 0]:
-        s = sorted((-max(-2**63, min(2**63 - 1, sum(x * y for x, y in zip(ok[q], c)))), i) for i, c in ok.items()
-                   if i != q and len(c) == len(ok[q]))[:20]
-        assert sorted(got.get(q, [])) == [(k + 1, i, -x) for k, (x, i) in enumerate(s)], q
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], "vec_id long, embedding array<double>, `row` int, Rank string")
+    got = collections.Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_products(df).collect())
+    ok = [(i, [math.floor(64 * x) for x in r]) for i, r in rows if i is not None and i not in (2000, 2001, 2002)]
+    want = collections.Counter()
+    for at, (q, x) in enumerate(ok):  # every row but the query's own is a candidate: row 20 is there twice
+        if q % 20 == 0:
+            s = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(x, c)))), i)
+                       for n, (i, c) in enumerate(ok) if n != at and len(c) == len(x))[:20]
+            want.update((q, k + 1, i, -y) for k, (y, i) in enumerate(s))
+    assert got == want
     assert topk.top_products(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
