@@ -21,6 +21,7 @@ earlier place, so the first copy of a text stays.
 
 from __future__ import annotations
 
+import bisect
 from functools import reduce
 
 import numpy as np
@@ -51,13 +52,15 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, window: int = WINDOW_WOR
         return []
     ends = np.searchsorted(cum, cum[:-1] + window, side="left")   # line after the window from line i
     starts = np.searchsorted(cum, cum[1:] - window, side="right") - 1  # first line of the window up to line i
-    value = np.where(words > 0, hashes, _LAST)  # lines without words are never selected
+    # lines without words are never selected: a window is looked at as its lines
+    # with words, at most ``window`` of them, however many blank ones lie between
+    full = np.flatnonzero(words > 0)
+    value, stops = hashes[full], np.searchsorted(full, ends[full], side="left")
     chosen = set()
-    for i, e in enumerate(ends.tolist()):
+    for i, (e, stop) in enumerate(zip(ends[full].tolist(), stops.tolist())):
         if e > len(words):
             break
-        part = value[i:e]
-        chosen.add(e - 1 - int(np.argmin(part[::-1])))
+        chosen.add(int(full[stop - 1 - int(np.argmin(value[i:stop][::-1]))]))
     out = set()
     for p in chosen:
         for a, e in ((p, int(ends[p])), (int(starts[p]), p + 1)):
@@ -116,45 +119,105 @@ def extend(a: np.ndarray, b: np.ndarray, at: int, other: int, n: int) -> tuple[i
     return lo, hi
 
 
-def _longest(a: np.ndarray, b: np.ndarray, asked: list) -> list[int]:
-    """For each (line of ``a``, lines of ``b``): how many lines from there on
-    agree at most."""
-    at, out = {}, [0] * len(asked)
-    for k, (i, places) in enumerate(asked):
-        at.setdefault(i, []).append((k, places))
-    agree = np.zeros(len(b) + 1, dtype=np.int32)  # of the lines from i on with those from each line of b on
-    for i in range(len(a) - 1, min(at) - 1, -1):
-        agree[:-1] = np.where(b == a[i], agree[1:] + 1, 0)
-        for k, places in at.get(i, ()):
-            out[k] = int(agree[places].max())
-    return out
+class _Suffixes:
+    """How many lines agree from a line of ``a`` and a line of ``b`` on: ranks
+    of the runs of 1, 2, 4, ... lines that start at every line of both."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        self.shift = len(a) + 1
+        n = self.shift + len(b) + 1
+        rank = np.zeros(n, dtype=np.int64)  # 0, 1: the ends of the texts, equal to nothing
+        rank[len(a)] = 1
+        at = np.r_[0:len(a), self.shift:n - 1]
+        rank[at] = np.unique(np.concatenate([a, b]), return_inverse=True)[1] + 2
+        self.levels, size = [], 1
+        while True:
+            self.levels.append(rank.astype(np.int32))
+            if size >= n or rank.max() + 1 == n:
+                break
+            follow = np.zeros(n, dtype=np.int64)
+            follow[:n - size] = rank[size:]
+            rank = np.unique(rank * (n + 1) + follow, return_inverse=True)[1]
+            size *= 2
+        self.order = self.levels[-1]
+
+    def agree(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Lines that agree from the joint positions x and y on, pair by pair."""
+        x, y, out = x.copy(), y.copy(), np.zeros(len(x), dtype=np.int64)
+        last = len(self.order) - 1
+        for k in range(len(self.levels) - 1, -1, -1):
+            # the ends of the texts are unlike anything, so equal runs lie inside both
+            step = (self.levels[k][x] == self.levels[k][y]).astype(np.int64) << k
+            out += step
+            x, y = np.minimum(x + step, last), np.minimum(y + step, last)
+        return out
+
+    def longest(self, at: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """For each line of ``a``: the most lines that agree with any of the
+        ``places`` of ``b``, which are its neighbours in the order of suffixes."""
+        joint = places + self.shift
+        joint = joint[np.argsort(self.order[joint], kind="stable")]
+        i = np.searchsorted(self.order[joint], self.order[at])
+        return np.maximum(self.agree(at, joint[np.maximum(i - 1, 0)]),
+                          self.agree(at, joint[np.minimum(i, len(joint) - 1)]))
+
+    def longest_before(self, at: np.ndarray) -> np.ndarray:
+        """For each line of ``a``, where ``b`` is the same text: the most lines
+        that agree with any line before it in the list ``at`` (0 for the first).
+        Lines are taken out of the order of suffixes from the last one on, so the
+        neighbours that a line has left come before it."""
+        by = np.argsort(self.order[at], kind="stable")
+        left, right = np.full(len(at), -1), np.full(len(at), -1)
+        left[by[1:]], right[by[:-1]] = by[:-1], by[1:]
+        left, right = left.tolist(), right.tolist()
+        for k in range(len(at) - 1, -1, -1):
+            u, v = left[k], right[k]
+            if u >= 0:
+                right[u] = v
+            if v >= 0:
+                left[v] = u
+        out = np.zeros(len(at), dtype=np.int64)
+        for side in (np.array(left), np.array(right)):
+            k = np.flatnonzero(side >= 0)
+            out[k] = np.maximum(out[k], self.agree(at[k], at[side[k]] + self.shift))
+        return out
 
 
 def _matches(a: np.ndarray, b: np.ndarray, hits: list, same: bool):
     """(hit, line, from, to): the longest run around each window of ``a`` that
     agrees with any of its places in ``b`` (above it, in the same text)."""
-    spans, many = set(), []
+    runs: dict[int, list] = {}  # by how far ``b`` lies ahead: disjoint runs, rising
+    many = []
     for h in hits:
-        n, places = h["n"], np.array(h["first"])
-        for at in h["lines"]:
-            before = places[:np.searchsorted(places, at)] if same else places
-            if len(before) > 1:
-                many.append((h, at, before))
-            elif len(before):
-                other = int(before[0])
-                run = next(((lo, hi) for lo, hi, d in spans if lo <= at and at + n <= hi and d == other - at), None)
-                # a hash clash of keys would show here: the lines themselves must agree
-                if not run and np.array_equal(a[at:at + n], b[other:other + n]):
-                    run = extend(a, b, at, other, n)
-                    spans.add((*run, other - at))
-                if run:
-                    yield h, at, *run
+        n, lines, places = h["n"], np.array(h["lines"], dtype=np.int64), np.array(h["first"], dtype=np.int64)
+        if len(places) > (2 if same else 1):
+            many.append((h, lines, places))
+            continue
+        for at in lines.tolist():
+            other = int(places[0])
+            if same and other >= at:
+                continue
+            own = runs.setdefault(other - at, [])
+            k = bisect.bisect_right(own, (at, len(a) + 1)) - 1
+            run = own[k] if k >= 0 and at + n <= own[k][1] else None
+            # a hash clash of keys would show here: the lines themselves must agree
+            if not run and np.array_equal(a[at:at + n], b[other:other + n]):
+                run = extend(a, b, at, other, n)
+                bisect.insort(own, run)
+            if run:
+                yield h, at, *run
     if many:
-        on = _longest(a, b, [(at, places) for _, at, places in many])
-        back = _longest(a[::-1], b[::-1], [(len(a) - at - h["n"], len(b) - places - h["n"]) for h, at, places in many])
-        for (h, at, _), x, y in zip(many, on, back):
-            if min(x, y) >= h["n"]:
-                yield h, at, at + h["n"] - y, at + x
+        on, back = _Suffixes(a, b), _Suffixes(a[::-1], b[::-1])
+        for h, lines, places in many:
+            n = h["n"]
+            if same:  # the windows of a key in its first document are its places
+                lines = np.union1d(lines, places)
+                x, y = on.longest_before(lines), back.longest_before(len(a) - lines - n)
+            else:
+                x, y = on.longest(lines, places), back.longest(len(a) - lines - n, len(b) - places - n)
+            for at, u, v in zip(lines.tolist(), x.tolist(), y.tolist()):
+                if min(u, v) >= n:
+                    yield h, at, at + n - v, at + u
 
 
 def _longer_key(key: int, way: int, lines: np.ndarray) -> int:
