@@ -6,19 +6,23 @@ window of n words is looked up by its hash, each hit is verified against the
 words themselves, and the words under verified windows are marked.
 
 The broadcast is bounded: benchmarks above ``SLICE_BYTES`` of text are split
-by item into slices of at most that size, each scanned with its own
-broadcast, and the marks of all slices are united per document.
+by row into slices of about that size.  Each slice is a pass of its own over the
+texts, with a broadcast that is given up before the next one; it writes the marks
+of the texts it hits to the shared folder, once per text however many copies
+there are, and the marks of all passes are united per text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logscan.llm.common import hashed_words, read_table, text_slices, without, word_class, windows
+from logscan.llm.common import Scratch, hashed_words, read_table, text_slices, without, word_class, windows
 from logscan.session import ship_package
 
 N_WORDS = 10
@@ -113,10 +117,7 @@ def scan_slice(data, offsets, ids, index):
                "bytes": [{"b": x[2], "e": x[3]} for x in s]}
 
 
-def _scanner(spark: SparkSession, items):
-    ship_package(spark)
-    bc = spark.sparkContext.broadcast(build_index(items))
-
+def _scanner(bc):
     @F.arrow_udf(RESULT)
     def scan(texts: pa.Array) -> pa.Array:
         ids, index = bc.value
@@ -129,13 +130,41 @@ def _scanner(spark: SparkSession, items):
 
 
 def benchmark_slices(bench: DataFrame, item_col: str, text_col: str, slice_bytes: int = SLICE_BYTES):
-    """Lists of (item id, text), each of at most about ``slice_bytes`` of text."""
+    """Tables of (i: item id, t: text), each of about ``slice_bytes`` of text."""
     rows = bench.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t is not null")
+    rows = rows.dropDuplicates(["i", "t"])  # a repeated row adds nothing, and copies would share a slice
     size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, -(-int(size) * 5 // (4 * slice_bytes)))
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else rows
-        yield [(r["i"], r["t"]) for r in part.toLocalIterator()]
+    return [rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) for k in range(n)] if n > 1 else [rows]
+
+
+def _index(part: DataFrame):
+    """Broadcast of one slice's index; only this slice's text is on the driver."""
+    ship_package(part.sparkSession)
+    return part.sparkSession.sparkContext.broadcast(build_index([(r["i"], r["t"]) for r in part.toLocalIterator()]))
+
+
+TEXT_KEY = ("h1", "h2")
+
+
+def _text_key(text: str) -> list[Column]:
+    """128 bits that name a text: its marks depend on nothing else."""
+    return [F.xxhash64(F.lit(k), F.col(text)).alias(h) for k, h in enumerate(TEXT_KEY)]
+
+
+def _marks_of_slices(texts: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """(h1, h2, spans, items, bytes) of the texts (column ``_text``) that any
+    slice hits, united over one pass per slice."""
+    scratch, found = Scratch(texts.sparkSession, "leaks"), []
+    for part in parts:
+        bc = _index(part)
+        hit = (texts.select(*_text_key("_text"), _scanner(bc)("_text").alias("s")).where(F.size("s.spans") > 0)
+               .groupBy(*TEXT_KEY).agg(F.first("s").alias("s")))
+        found.append(scratch.save(hit, f"slice{len(found)}"))
+        bc.destroy()
+    # at most one row per text and slice
+    return (reduce(DataFrame.unionAll, found).groupBy(*TEXT_KEY)
+            .agg(*[F.flatten(F.collect_list(f"s.{c}")).alias(c) for c in ("spans", "items", "bytes")]))
 
 
 def _covered(spans: Column) -> Column:
@@ -163,18 +192,20 @@ def scan_documents(docs: DataFrame, bench: DataFrame, text_col: str = "text", it
     """
     kept = without(docs, OUTPUT)
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
-    slices = 0
-    for items in benchmark_slices(bench, item_col, item_text, slice_bytes):
-        out = out.withColumn(f"_s{slices}", _scanner(docs.sparkSession, items)("_text"))
-        slices += 1
-
-    def united(field):
-        return F.concat(*[F.col(f"_s{k}.{field}") for k in range(slices)])
-
-    found = out.select(
-        "_row", F.col("_s0.n_words").alias("n_words"), _covered(united("spans")).alias("n_hit"),
-        F.array_sort(F.array_distinct(united("items"))).alias("_items"),
-        F.array_sort(united("bytes")).alias("hit_bytes"))
+    parts = benchmark_slices(bench, item_col, item_text, slice_bytes)
+    if len(parts) == 1:
+        marked = out.withColumn("_s", _scanner(_index(parts[0]))("_text"))
+    else:
+        marks = _marks_of_slices(out, parts)
+        empty = docs.sparkSession.sparkContext.broadcast(build_index([]))
+        marked = (out.select("_row", *_text_key("_text"), _scanner(empty)("_text")["n_words"].alias("n_words"))
+                  .join(marks, list(TEXT_KEY), "left")
+                  .select("_row", F.struct("n_words", *[F.coalesce(c, F.array()).alias(c)
+                                                        for c in ("spans", "items", "bytes")]).alias("_s")))
+    found = marked.select(
+        "_row", F.col("_s.n_words").alias("n_words"), _covered(F.col("_s.spans")).alias("n_hit"),
+        F.array_sort(F.array_distinct("_s.items")).alias("_items"),
+        F.array_sort("_s.bytes").alias("hit_bytes"))
     return found.select(
         "_row.*", "n_words", "n_hit", F.size("_items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
