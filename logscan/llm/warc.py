@@ -16,35 +16,75 @@ from pyspark.sql import functions as F
 from logscan.llm.common import Scratch, read_table
 
 FILE_IDS = 1000        # consecutive page ids per archive file
-NULL_FILES = 4096      # files for pages without an id (numbers below zero)
+ID_CELL, NO_ID_CELL = 3, 6  # hex digits of the hash that cut a file into cells: pages with an id, without
+COPIES = 4096          # equal records numbered by one row
 RANGE_BITS = 16        # a leaf range: 64 KiB of offsets
 NODE_BITS = 4          # 16 children per node
 
 
 def warc_records(pages: DataFrame) -> DataFrame:
-    """One response record per page: file, offset, length, page_id, url, record.
+    """One response record per page: page_id, url, record.
 
-    Files hold the pages of consecutive ids, ordered by id, url and content;
-    offsets are bytes.  A null url or html is rendered as the empty text;
-    pages without an id go to files of their own; equal rows are records of
-    their own.
+    A null url or html is rendered as the empty text, a missing id as "none".
+    Other columns of ``pages``, whatever their names, play no part.
     """
     url, html = (F.coalesce(F.col(c), F.lit("")) for c in ("url", "html"))
-    name = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
-    record = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:"), name,
-                      F.lit(">\r\nWARC-Target-URI: "), url, F.lit("\r\nContent-Length: "),
-                      F.octet_length(html).cast("string"), F.lit("\r\n\r\n"), html, F.lit("\r\n\r\n"))
-    file = F.coalesce(F.floor(F.col("page_id") / FILE_IDS), -F.pmod(F.xxhash64("url", "html"), F.lit(NULL_FILES)) - 1)
-    rows = pages.select(file.cast("bigint").alias("file"), F.col("page_id").cast("bigint").alias("page_id"), "url",
-                        record.alias("record"), F.octet_length(record).cast("bigint").alias("length"))
-    before = (Window.partitionBy("file").orderBy("page_id", "url", "record")
+    page_id = F.col("page_id").cast("bigint")
+    record = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:"),
+                      F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">\r\nWARC-Target-URI: "), url,
+                      F.lit("\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit("\r\n\r\n"), html,
+                      F.lit("\r\n\r\n"))
+    return pages.select(page_id.alias("page_id"), "url", record.alias("record"))
+
+
+def _sha(record: Column) -> Column:
+    return F.sha2(record.cast("binary"), 256)
+
+
+def record_index(records: DataFrame, replica: Column | None = None) -> DataFrame:
+    """file, offset, length, page_id, url and hash of every record, and
+    replica_hash: that of the record ``replica`` names in its place (null: none).
+
+    A file holds the pages of ``FILE_IDS`` consecutive ids in the order of id
+    and hash; a page without an id goes to one of 4096 files numbered below
+    zero by its hash.  Equal records are records of their own.  Texts are
+    hashed in the scan; only the narrow rows are shuffled.  Equal ones are
+    counted before that, and offsets are running sums inside hash cells of a
+    file plus the bytes of the cells before, so that neither copies nor an id
+    with many records put a file into one task.
+    """
+    no_id = F.col("page_id").isNull()
+    measured = records.select("page_id", "url", F.octet_length("record").cast("bigint").alias("length"),
+                              _sha(F.col("record")).alias("hash"),
+                              _sha(F.lit(None).cast("string") if replica is None else replica).alias("replica_hash"))
+    file = F.when(no_id, -F.conv(F.substring("hash", 1, 3), 16, 10).cast("bigint") - 1).otherwise(
+        F.floor(F.col("page_id") / FILE_IDS).cast("bigint"))
+    cell = F.when(no_id, F.substring("hash", 1, NO_ID_CELL)).otherwise(F.substring("hash", 1, ID_CELL))
+    key = ["file", "page_id", "_cell", "hash"]
+    kinds = (measured.select(file.alias("file"), cell.alias("_cell"), "*")
+             .groupBy(*key, "url", "length", "replica_hash").agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_bytes", F.col("_n") * F.col("length")))
+    before = Window.partitionBy("file").orderBy("page_id", "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (kinds.groupBy("file", "page_id", "_cell").agg(F.sum("_bytes").alias("_bytes"))
+             .select(F.col("file").alias("_file"), F.col("page_id").alias("_page"), F.col("_cell").alias("_in"),
+                     F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_first")))
+    inside = (Window.partitionBy("file", "page_id", "_cell").orderBy("hash", "url", "replica_hash")
               .rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    placed = (kinds.withColumn("_start", F.coalesce(F.sum("_bytes").over(inside), F.lit(0)))
+              .join(cells, (F.col("file") == F.col("_file")) & F.col("page_id").eqNullSafe(F.col("_page"))
+                    & (F.col("_cell") == F.col("_in")))
+              .withColumn("_start", F.col("_start") + F.col("_first")))
+    runs = (placed.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES).cast("bigint"))))
+            .repartition("hash", "_from"))
+    each = F.explode(F.sequence("_from", F.least(F.col("_from") + COPIES, F.col("_n")) - 1))
+    return runs.withColumn("_i", each).select(
+        "file", (F.col("_start") + F.col("_i") * F.col("length")).alias("offset"), "length", "page_id", "url", "hash",
+        "replica_hash")
 
 
 def record_hashes(records: DataFrame) -> DataFrame:
     """Leaves of the tree: file, offset and the record's hash."""
-    return records.select("file", "offset", F.sha2(F.col("record").cast("binary"), 256).alias("hash"))
+    return record_index(records).select("file", "offset", "hash")
 
 
 def _combined(child: str) -> Column:
@@ -126,36 +166,39 @@ def compare_replicas(a: DataFrame, b: DataFrame) -> DataFrame:
     return found.select("file", F.col("node").alias("offset"), status.alias("status"), "hash_a", "hash_b")
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with damage by rule, for the registered query: records whose
-    md5 of the id starts with 00 have their first content byte overwritten,
-    those with 01 are lost.  Offsets stay those of the index."""
+def damaged() -> Column:
+    """A replica's record with damage by rule, for the registered query: where
+    the md5 of the id starts with 00 its first byte is overwritten, with 01 it
+    is lost.  Offsets stay those of the index."""
     mark = F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("none")).cast("binary")), 1, 2)
-    return (records.where(mark != "01")
-            .withColumn("record", F.when(mark == "00", F.concat(F.lit("#"), F.substring("record", 2, 1 << 30)))
-                        .otherwise(F.col("record"))))
+    return (F.when(mark == "00", F.concat(F.lit("#"), F.substring("record", 2, 1 << 30)))
+            .when(mark != "01", F.col("record")))
 
 
 def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged records of the replica of all pages."""
-    records = warc_records(read_table(spark, sf_dir, "pages"))
-    bad = compare_replicas(record_hashes(records), record_hashes(damaged(records)))
-    index = records.select("file", "offset", "length", "page_id", "url")
-    return bad.join(index, ["file", "offset"]).select(
+    scratch = Scratch(spark, "archive")
+    index = scratch.save(record_index(warc_records(read_table(spark, sf_dir, "pages")), damaged()), "index")
+    bad = compare_replicas(index.select("file", "offset", "hash"),
+                           index.where("replica_hash is not null").select("file", "offset", F.col("replica_hash").alias("hash")))
+    return bad.join(index.drop("hash", "replica_hash"), ["file", "offset"]).select(
         "file", "offset", "length", "page_id", "url", "status", "hash_a", "hash_b")
 
 
 OP10_SQL = """
-WITH r AS (SELECT CAST(floor(page_id / 1000) AS BIGINT) AS file, page_id, url,
+WITH p AS (SELECT page_id, url,
                   'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
-                  || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                  || coalesce(CAST(page_id AS VARCHAR), 'none') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: '
+                  || coalesce(url, '') || chr(13) || chr(10)
                   || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
-                  || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record,
-                  left(md5(CAST(page_id AS VARCHAR)), 2) AS mark FROM pages WHERE page_id IS NOT NULL),
+                  || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages),
+r AS (SELECT *, sha256(record) AS hash, left(md5(coalesce(CAST(page_id AS VARCHAR), 'none')), 2) AS mark,
+             CASE WHEN page_id IS NULL THEN -CAST('0x' || left(sha256(record), 3) AS BIGINT) - 1
+                  ELSE CAST(floor(page_id / 1000) AS BIGINT) END AS file FROM p),
 o AS (SELECT *, CAST(strlen(record) AS BIGINT) AS length,
-             CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, url, record
+             CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, hash, url
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM r)
 SELECT file, "offset", length, page_id, url, CASE WHEN mark = '01' THEN 'missing' ELSE 'changed' END AS status,
-       sha256(record) AS hash_a, CASE WHEN mark = '00' THEN sha256('#' || substr(record, 2)) END AS hash_b
+       hash AS hash_a, CASE WHEN mark = '00' THEN sha256('#' || substr(record, 2)) END AS hash_b
 FROM o WHERE mark IN ('00', '01')
 """
