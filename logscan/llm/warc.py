@@ -48,7 +48,7 @@ def record_index(records: DataFrame, replica: Column | None = None) -> DataFrame
     A file holds the pages of ``FILE_IDS`` consecutive ids in the order of id
     and hash; a page without an id goes to one of 4096 files numbered below
     zero by its hash.  Equal records are records of their own.  Texts are
-    hashed in the scan; only the narrow rows are shuffled.  Equal ones are
+    read and hashed once; only the narrow rows are shuffled.  Equal ones are
     counted before that, and offsets are running sums inside hash cells of a
     file plus the bytes of the cells before, so that neither copies nor an id
     with many records put a file into one task.
@@ -64,6 +64,7 @@ def record_index(records: DataFrame, replica: Column | None = None) -> DataFrame
     kinds = (measured.select(file.alias("file"), cell.alias("_cell"), "*")
              .groupBy(*key, "url", "length", "replica_hash").agg(F.count(F.lit(1)).alias("_n"))
              .withColumn("_bytes", F.col("_n") * F.col("length")))
+    kinds = Scratch(records.sparkSession, "records").save(kinds, "kinds")
     before = Window.partitionBy("file").orderBy("page_id", "_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (kinds.groupBy("file", "page_id", "_cell").agg(F.sum("_bytes").alias("_bytes"))
              .select(F.col("file").alias("_file"), F.col("page_id").alias("_page"), F.col("_cell").alias("_in"),
