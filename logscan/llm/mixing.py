@@ -234,9 +234,10 @@ def _merged(pieces) -> dict[int, list[tuple[int, int]]]:
     return out
 
 
-def _cut_rows(text_col: str):
+def _cut_rows(place: int):
     """Merge of a partition sorted by (_h, _kind): a document's piece lists
-    (kind 0) precede its rows (kind 1), each of which takes one list."""
+    (kind 0) precede its rows (kind 1), each of which takes one list.  A row's
+    columns are in one struct; its field ``place`` is the text."""
     def run(batches):
         h_now, waiting = None, []
         for batch in batches:
@@ -245,7 +246,8 @@ def _cut_rows(text_col: str):
             kinds = batch.column(names.index("_kind")).to_numpy(zero_copy_only=False)
             lists = batch.column(names.index("_pieces"))
             sizes = batch.column(names.index("_size"))
-            texts = batch.column(names.index(text_col))
+            rows = batch.column(names.index("_row"))
+            texts = rows.field(place)
             take, cut = [], []
             for r in range(len(hs)):
                 if hs[r] != h_now:
@@ -259,9 +261,9 @@ def _cut_rows(text_col: str):
                         take.append(r)
                         cut.append(cut_words(texts[r].as_py(), ranges, n))
             if take:
-                kept = batch.take(pa.array(take)).drop_columns(["_h", "_kind", "_pieces", "_size"])
-                i = kept.schema.names.index(text_col)
-                yield kept.set_column(i, kept.schema.field(i), pa.array(cut, type=kept.schema.field(i).type))
+                kept = rows.take(pa.array(take)).flatten()
+                kept[place] = pa.array(cut, type=kept[place].type)
+                yield pa.RecordBatch.from_arrays(kept, [rows.type.field(i).name for i in range(len(kept))])
 
     return run
 
@@ -272,20 +274,20 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     taken; separate ranges are joined by a line feed).
 
     Documents without taken words (also null and wordless texts) have no row.
-    Columns named _h, _kind, _pieces or _size are not allowed.
+    Columns keep their names, whatever they are.
     """
     plan = Mix(docs, text=text, **options)
     wanted = (plan.pieces().where("_to > _from").groupBy("_s", "_start")
               .agg(F.first("_h").alias("_h"), F.first("size").alias("_size"),
                    F.collect_list(F.struct("_use", "_from", "_to")).alias("_pieces")))
-    fields = docs.schema.fields
-    kind = wanted.schema["_pieces"].dataType.simpleString()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_hash(docs).alias("_h"))
     lists = wanted.select("_h", F.lit(0).alias("_kind"), "_pieces", "_size",
-                          *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    rows = docs.select(row_hash(docs).alias("_h"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_pieces"),
-                       F.lit(None).cast("long").alias("_size"), *[F.col(f"`{f.name}`") for f in fields])
+                          F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    rows = rows.select("_h", F.lit(1).alias("_kind"),
+                       F.lit(None).cast(wanted.schema["_pieces"].dataType).alias("_pieces"),
+                       F.lit(None).cast("long").alias("_size"), "_row")
     both = lists.unionByName(rows).repartition(F.col("_h")).sortWithinPartitions("_h", "_kind")
-    return both.mapInArrow(_cut_rows(text), docs.schema)
+    return both.mapInArrow(_cut_rows(docs.columns.index(text)), docs.schema)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
