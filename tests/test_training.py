@@ -148,6 +148,18 @@ def test_synchronous_training_for_any_partitions(spark):
     assert fit_synchronous(emb.limit(0), "embedding", dims=(64, 8, 64), partitions=2)[1] == []
 
 
+def test_synchronous_steps_take_no_second_each(spark):
+    import time
+
+    from logscan.operators.sync_training import fit_synchronous
+
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(rng.normal(size=4).tolist(),) for _ in range(600)], "v array<double>")
+    start = time.time()
+    _, hist = fit_synchronous(df, "v", dims=(4, 2, 4), epochs=1, batch_size=4, partitions=2)  # 150 steps, 3 windows
+    assert time.time() - start < 100 and hist[0][:2] == (1, 600)
+
+
 def test_sums_that_grow_equal_a_full_fit(spark, tmp):
     from logscan.operators.gram import add_rows, fit_pca_sums, read_sums
 
