@@ -144,22 +144,30 @@ def token_block(arr: pa.Array, dim: int) -> np.ndarray:
     return m / norm[:, None]
 
 
-def _forward_errors(params, x: np.ndarray, dtype=np.float64) -> np.ndarray:
+def row_blocks(arr: pa.Array, to_block, dim: int):
+    """The dense blocks of ``BLOCK_ROWS`` rows each of a list column (the last
+    one shorter): an Arrow batch is never dense as a whole."""
+    for i in range(0, len(arr), BLOCK_ROWS):
+        yield to_block(arr.slice(i, BLOCK_ROWS), dim)
+
+
+def _forward_errors(params, blocks, dim: int, dtype=np.float64) -> np.ndarray:
+    """Errors of the rows of ``blocks`` (see ``row_blocks``), in order."""
     ws, bs, acts = params
     if dtype != np.float64:
         ws = [w.astype(dtype) for w in ws]
         bs = [b.astype(dtype) for b in bs]
-    model, out = Model(ws, bs, acts), np.empty(len(x))
+    model, out = Model(ws, bs, acts), [np.zeros(0)]
     # Blocks of one height, the last one padded: matrix kernels choose their
     # summation order by shape, so a row's score would else depend on how many
     # rows share its Arrow batch.
-    block = np.zeros((BLOCK_ROWS, x.shape[1]), dtype=dtype)
-    for i in range(0, len(x), BLOCK_ROWS):
-        k = min(BLOCK_ROWS, len(x) - i)
-        block[:k] = x[i:i + k]
+    block = np.zeros((BLOCK_ROWS, dim), dtype=dtype)
+    for x in blocks:
+        k = len(x)
+        block[:k] = x
         block[k:] = 0
-        out[i:i + k] = model.errors(block)[:k]
-    return out
+        out.append(model.errors(block)[:k].astype(np.float64))
+    return np.concatenate(out)
 
 
 def make_scorer(spark: SparkSession, model: Model, kind: str = "dense", dim: int | None = None,
@@ -185,10 +193,7 @@ def make_scorer(spark: SparkSession, model: Model, kind: str = "dense", dim: int
 
     @F.arrow_udf(T.DoubleType())
     def _score(arr: pa.Array) -> pa.Array:
-        x = to_block(arr, width)
-        if x.shape[0] == 0:
-            return pa.array([], type=pa.float64())
-        e = _forward_errors(bc.value, x, dtype)
+        e = _forward_errors(bc.value, row_blocks(arr, to_block, width), width, dtype)
         mask = pc.is_null(arr).to_numpy(zero_copy_only=False) if arr.null_count else None
         return pa.array(e, type=pa.float64(), mask=mask)
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +137,22 @@ def test_ragged_features_raise_and_nan_is_no_anomaly(spark):
     assert [r[0] for r in threshold_filter(errs, 1.0).collect()] == [2.0]
     with pytest.raises(ValueError):
         threshold_filter(errs, float("nan"))
+
+
+def test_scoring_holds_few_dense_rows():
+    """An Arrow batch of 10,000 lines would be 61 MB as one dense block."""
+    import tracemalloc
+
+    from logscan.operators.score import _forward_errors, row_blocks, token_block
+
+    rng = np.random.default_rng(3)
+    arr = pa.array([None if i % 97 == 0 else rng.integers(0, 768, i % 20).tolist() for i in range(10_010)],
+                   pa.list_(pa.int32())).slice(10)
+    model = rank_one_model(768, lambda d: ((d * 7) % 11 - 5) / 40.0)
+    tracemalloc.start()
+    got = _forward_errors((model.ws, model.bs, model.acts), row_blocks(arr, token_block, 768), 768)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    assert np.allclose(got, model.errors(token_block(arr, 768)), rtol=1e-12, atol=0)
+    assert len(_forward_errors((model.ws, model.bs, model.acts), row_blocks(arr[:0], token_block, 768), 768)) == 0
