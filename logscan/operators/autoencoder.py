@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logscan.operators.score import MAX_BROADCAST_PARAMS, Model, dense_block, token_block
+from logscan.operators.score import MAX_BROADCAST_PARAMS, Model, dense_block, row_blocks, token_block
 from logscan.operators.stats import epoch_history
 
 # Fixed values (as in the reference): layer widths, epochs, batch size, rate.
@@ -38,6 +38,8 @@ LEARNING_RATE = 1e-4
 # Adam defaults.
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
 CHUNK = 1 << 13  # doubles per parameter chunk (64 KB)
+ADAM_RUN = 1 << 14  # numbers updated at a time (64 KB in float32)
+FLUSH_STEPS = 16  # steps between two flushes of vanishing moments
 
 _OUT_SCHEMA = "kind int, part int, chunk int, n long, err double, vals array<double>"
 
@@ -48,6 +50,7 @@ class AdamState:
     m: list
     v: list
     t: float = 0.0
+    grads: list | None = None  # written anew by every step
 
     @classmethod
     def fresh(cls, model: Model) -> "AdamState":
@@ -78,8 +81,9 @@ class AdamState:
                      [np.asarray(b, dtype=np.float64) for b in self.params[1::2]], list(acts))
 
 
-def gradients(params: list, acts, x: np.ndarray, elements: int) -> tuple[np.ndarray, list]:
-    """(per-row errors, gradients of the squared error over ``elements``)."""
+def gradients(params: list, acts, x: np.ndarray, elements: int, out: list | None = None) -> tuple[np.ndarray, list]:
+    """(per-row errors, gradients of the squared error over ``elements``);
+    ``out`` are arrays to write the gradients to."""
     ws, bs = params[0::2], params[1::2]
     hs, pre = [x], []
     h = x
@@ -91,43 +95,57 @@ def gradients(params: list, acts, x: np.ndarray, elements: int) -> tuple[np.ndar
     diff = h - x
     errs = np.einsum("ij,ij->i", diff, diff) / x.shape[1]
     delta = 2.0 * diff / elements
-    grads = [None] * len(params)
+    grads = [np.empty_like(p) for p in params] if out is None else out
     for i in range(len(ws) - 1, -1, -1):
         if acts[i] == "relu":
             delta = delta * (pre[i] > 0)
-        grads[2 * i] = hs[i].T @ delta
-        grads[2 * i + 1] = delta.sum(axis=0)
+        np.matmul(hs[i].T, delta, out=grads[2 * i])
+        delta.sum(axis=0, out=grads[2 * i + 1])
         if i:
             delta = delta @ ws[i].T
     return errs.astype(np.float64), grads
 
 
 def apply_gradients(state: AdamState, grads: list, lr: float) -> None:
-    """One Adam step, in place: p -= lr/c1 * m / (sqrt(v)/sqrt(c2) + eps)."""
+    """One Adam step, in place: p -= lr/c1 * m / (sqrt(v)/sqrt(c2) + eps), in
+    runs of ``ADAM_RUN`` numbers: no parameter-sized array is allocated."""
     state.t += 1
     c1, c2 = 1 - BETA1 ** state.t, 1 - BETA2 ** state.t
     step, root_c2 = lr / c1, np.sqrt(c2)
-    for j, g in enumerate(grads):
-        m, v, p = state.m[j], state.v[j], state.params[j]
-        g = g.astype(p.dtype, copy=False)
-        m *= BETA1
-        m += (1 - BETA1) * g
-        v *= BETA2
-        g *= g
-        g *= 1 - BETA2
-        v += g
-        denom = np.sqrt(v)
-        denom /= root_c2
-        denom += EPS
-        np.divide(m, denom, out=denom)
-        denom *= step
-        p -= denom
+    flush = int(state.t) % FLUSH_STEPS == 0
+    for all_g, all_m, all_v, all_p in zip(grads, state.m, state.v, state.params):
+        flat = [a.reshape(-1) for a in (all_g.astype(all_p.dtype, copy=False), all_m, all_v, all_p)]
+        scratch = np.empty(min(ADAM_RUN, all_p.size), dtype=all_p.dtype)
+        for i in range(0, all_p.size, ADAM_RUN):
+            g, m, v, p = (a[i:i + ADAM_RUN] for a in flat)
+            denom = scratch[:len(p)]
+            m *= BETA1
+            m += np.multiply(g, 1 - BETA1, out=denom)
+            v *= BETA2
+            g *= g
+            g *= 1 - BETA2
+            v += g
+            np.sqrt(v, out=denom)
+            if root_c2 != 1:  # after some 37,000 steps it is exactly 1
+                denom /= root_c2
+            denom += EPS
+            np.divide(m, denom, out=denom)
+            denom *= step
+            p -= denom
+            if flush:
+                # The moments of weights without a gradient would end as
+                # subnormal numbers (rounding keeps them from zero), which cost
+                # many times a normal operation; a weight never feels them.
+                for a in (m, v):
+                    a[np.abs(a, out=denom) < np.finfo(a.dtype).tiny * 128] = 0
 
 
 def adam_step(state: AdamState, acts, x: np.ndarray, lr: float) -> np.ndarray:
     """One Adam step on a minibatch (the mean over all its elements); returns
     per-row errors before the step."""
-    errs, grads = gradients(state.params, acts, x, x.size)
+    if state.grads is None:
+        state.grads = [np.empty_like(p) for p in state.params]
+    errs, grads = gradients(state.params, acts, x, x.size, state.grads)
     apply_gradients(state, grads, lr)
     return errs
 
@@ -176,7 +194,7 @@ def _trainer(bc, acts, kind: str, dim: int, batch_size: int, lr: float):
         shapes, flat0, t0 = bc.value
         state = AdamState.from_flat(shapes, flat0, t0, dtype=np.float32)
         n = 0
-        blocks = (to_block(b.column("features"), dim) for b in batches)
+        blocks = (x for b in batches for x in row_blocks(b.column("features"), to_block, dim))
         for errs in local_epoch(state, acts, blocks, batch_size, lr):
             n += len(errs)
             yield _batch(0, part, np.full(len(errs), -1), np.ones(len(errs)), errs, None)

@@ -148,6 +148,27 @@ def test_synchronous_training_for_any_partitions(spark):
     assert fit_synchronous(emb.limit(0), "embedding", dims=(64, 8, 64), partitions=2)[1] == []
 
 
+def test_moments_without_gradients_vanish():
+    """Subnormal moments make every later step slower; weights are as by the plain formula."""
+    from logscan.operators.autoencoder import ADAM_RUN, BETA1, BETA2, EPS, apply_gradients
+
+    rng = np.random.default_rng(1)
+    p = rng.normal(size=(ADAM_RUN // 100, 130)).astype(np.float32)  # more than one run
+    state = AdamState([p.copy()], [np.zeros_like(p)], [np.zeros_like(p)])
+    m, v = np.zeros_like(p), np.zeros_like(p)
+    for t in range(1, 1201):
+        g = (rng.normal(size=p.shape) * 1e-6 * (t < 3)).astype(np.float32)
+        m = m * BETA1 + (1 - BETA1) * g
+        v = v * BETA2 + g * g * (1 - BETA2)
+        p -= m / (np.sqrt(v) / np.sqrt(1 - BETA2 ** t) + EPS).astype(np.float32) * (1e-3 / (1 - BETA1 ** t))
+        apply_gradients(state, [g], 1e-3)
+    tiny = np.finfo(np.float32).tiny
+    assert ((m != 0) & (np.abs(m) < tiny)).any()
+    for a in (*state.m, *state.v):
+        assert not ((a != 0) & (np.abs(a) < tiny)).any()
+    assert np.allclose(state.params[0], p, rtol=0, atol=1e-6)
+
+
 def test_synchronous_steps_take_no_second_each(spark):
     import time
 
