@@ -27,6 +27,7 @@ from logscan.session import ship_package
 SIZES = (3, 4, 5)
 BUCKETS_LOG2 = 22
 MAX_FIT_ROWS = 20_000
+SLICE_BYTES = 1 << 17  # of text whose n-grams a worker holds at a time: some 130 bytes of arrays each
 MAX_FEATURES = 4096
 MIN_TEXTS = 3        # labelled texts that must hold a feature
 SMOOTHING = 1.0
@@ -87,16 +88,16 @@ def _count_partition(batches):
     counts = None
     for batch in batches:
         y = batch.column("y").to_numpy(zero_copy_only=False)
-        for first, data, offsets in text_slices(batch.column("text")):
+        for first, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
             if counts is None:
                 counts = np.zeros((2, 1 << BUCKETS_LOG2), dtype=np.int32)
             keys = distinct_features(data, offsets)
             toxic = y[first + (keys >> BUCKETS_LOG2)] == 1
             for c, side in ((1, keys[toxic]), (0, keys[~toxic])):
-                counts[c] += np.bincount(side & _MASK, minlength=1 << BUCKETS_LOG2).astype(np.int32)
+                np.add.at(counts[c], side & _MASK, 1)  # in place: a slice makes no array of all buckets
     if counts is None:
         return
-    at = np.flatnonzero(counts.sum(axis=0))
+    at = np.flatnonzero(counts[0] | counts[1])
     for i in range(0, len(at), 1 << 16):
         b = at[i:i + (1 << 16)]
         yield pa.RecordBatch.from_arrays(
@@ -179,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_fe
     def features(batches):
         for batch in batches:
             ys = batch.column("y").to_numpy(zero_copy_only=False)
-            for first, data, offsets in text_slices(batch.column("text")):
+            for first, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
                 keys = distinct_features(data, offsets, bc.value)
                 doc, number = keys >> BUCKETS_LOG2, (keys & _MASK).astype(np.uint16)
                 cuts = np.searchsorted(doc, np.arange(len(offsets)))
@@ -208,7 +209,7 @@ def scorer(spark: SparkSession, model: Model):
     def score(texts: pa.Array) -> pa.Array:
         table, effect, bias = bc.value
         z = np.full(len(texts), bias)
-        for first, data, offsets in text_slices(texts):
+        for first, data, offsets in text_slices(texts, SLICE_BYTES):
             keys = distinct_features(data, offsets, table)
             if len(keys):
                 z[first:first + len(offsets) - 1] += np.bincount(

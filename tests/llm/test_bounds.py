@@ -1,13 +1,17 @@
 """What reaches the driver, a worker's memory and a shuffle stays small."""
 
+import collections
 import os
 import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", ".."))
 
-from logscan.llm import language_model as lm  # noqa: E402
+from logscan.llm import language_model as lm, toxicity  # noqa: E402
+from logscan.llm.common import text_slices  # noqa: E402
 
 
 def words(rng, n, kinds=400):
@@ -36,3 +40,22 @@ def test_a_round_without_windows_keeps_the_model(spark):
     params = lm.Attention.start(np.full(lm.SLOTS, -np.log(lm.SLOTS)))
     none = spark.createDataFrame([], "w binary, deal long, trainer long")
     assert lm._averaged(none, 3, params) is params
+
+
+# --------------------------------------------------------------------- toxicity
+def test_a_counting_worker_is_small():
+    rng = np.random.default_rng(6)
+    texts = [words(rng, 1500) for _ in range(250)] + ["", None, "a"]  # some 1.7 MB
+    y = [i % 2 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(y, type=pa.int32())], ["text", "y"])
+    tracemalloc.start()
+    rows = list(toxicity._count_partition([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6, peak
+    got = {r["b"]: (r["toxic"], r["other"]) for b in rows for r in b.to_pylist()}
+    want = collections.defaultdict(lambda: [0, 0])
+    for first, data, offsets in text_slices(batch.column("text"), 1):  # one text at a time
+        for key in toxicity.distinct_features(data, offsets).tolist():
+            want[key & toxicity._MASK][1 - y[first + (key >> toxicity.BUCKETS_LOG2)]] += 1
+    assert got == {b: tuple(n) for b, n in want.items()}
