@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logscan.llm.common import (POSITIVE, SPACE_WORDS, Scratch, hashed_words, read_table, row_hash, text_slices,
                                 windows)
@@ -58,12 +59,15 @@ HEAVY_MAX = 1 << 18  # common shingles that go last (16 bytes each, broadcast)
 HEAVY_PART = 1 << 22  # shingles looked at together when common ones are counted
 HEAVY_MIN = 4        # texts of such a part that must hold a shingle
 FINE_MAX = 1 << 14   # groups of the finer counts at most
+SLICE_BYTES = 1 << 18  # of text whose words a worker holds at a time: some 50 bytes of arrays each
+POINT_CELLS = 1 << 20  # counts of points that are compared at once
+FILTER_BITS = 1 << 26  # of an id filter (8 MB, broadcast)
 _MANY = 1 << 24      # stands for a count that did not fit its byte
 
 
 def shingle_sets(texts: pa.Array):
     """Sorted distinct 64-bit shingle hashes of each text, in order."""
-    for _, data, offsets in text_slices(texts):
+    for _, data, offsets in text_slices(texts, SLICE_BYTES):
         words = hashed_words(data, offsets, SPACE_WORDS)
         bounds = words.bounds()
         grams = windows(words.hash, SHINGLE)
@@ -96,26 +100,30 @@ def prefix_keys(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarra
 def _repeated(batches):
     """(shingle, texts) of shingles that several texts of a part of the
     partition hold; equal texts of a part count once."""
-    held, size, seen = [], 0, set()
+    held, size, seen = np.empty(HEAVY_PART, dtype=np.uint64), 0, set()
 
-    def counted():
-        values, n = np.unique(np.concatenate(held), return_counts=True)
-        many = n >= HEAVY_MIN
-        yield pa.RecordBatch.from_arrays([pa.array(values[many].view(np.int64)), pa.array(n[many].astype(np.int64))],
-                                         ["shingle", "texts"])
+    def counted(part):
+        part.sort()  # in place: a part is the only large array here
+        k = max(0, len(part) - HEAVY_MIN + 1)
+        values = np.unique(part[:k][part[len(part) - k:] == part[:k]])
+        n = np.searchsorted(part, values, side="right") - np.searchsorted(part, values)
+        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["shingle", "texts"])
 
     for batch in batches:
         for s in shingle_sets(batch.column("text")):
             mark = hash(s.tobytes())
             if len(s) and mark not in seen:
                 seen.add(mark)
-                held.append(s)
+                if size + len(s) > len(held):  # the last text of a part
+                    held = np.concatenate([held[:size], s])
+                else:
+                    held[size:size + len(s)] = s
                 size += len(s)
             if size >= HEAVY_PART:
-                yield from counted()
-                held, size, seen = [], 0, set()
-    if held:
-        yield from counted()
+                yield counted(held[:size])
+                held, size, seen = held[:HEAVY_PART], 0, set()
+    if size:
+        yield counted(held[:size])
 
 
 def heavy_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -195,11 +203,48 @@ def _described(batches, heavy: np.ndarray, rank: np.ndarray):
             ["_id", "doc_id", "n", "h1", "h2", "keys", "vec", "wide", "fine"])
 
 
-def _sets_of(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], type=pa.binary())],
-            ["id", "set"])
+# ------------------------------------------------------------ filters of ids
+def _place(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(FILTER_BITS))
+
+
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A bit set for the place of every ``_id`` of ``ids``.  Rows that have
+    theirs unset are not among them; of a wide table only the others (and
+    those that share a place by chance) then go on."""
+    words = (ids.select(_place("_id").alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toArrow())
+    bits = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
+    bits[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return bits
+
+
+def _passes(bits: np.ndarray, place: pa.Array) -> pa.Array:
+    p = place.to_numpy()
+    return pa.array((bits[p >> 6] >> (p & 63)) & 1 == 1)
+
+
+def _filtered(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``_id`` is among ``ids``, and few others."""
+    bits = rows.sparkSession.sparkContext.broadcast(_bits(ids))
+
+    @F.arrow_udf(T.BooleanType())
+    def among(place: pa.Array) -> pa.Array:
+        return _passes(bits.value, place)
+
+    return rows.where(among(_place("_id")))
+
+
+def _sets_of(bits):
+    """Shingle sets of the rows that pass the filter; no text leaves its task."""
+    def run(batches):
+        for batch in batches:
+            batch = batch.filter(_passes(bits.value, batch.column("place")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], type=pa.binary())],
+                ["id", "set"])
+
+    return run
 
 
 # ------------------------------------------------------------ groups of rows
@@ -407,8 +452,8 @@ class _Wide:
         narrow = np.minimum(self.width[i], self.width[j])
         for w, points in self.points.items():
             at = np.flatnonzero(narrow == w)
-            for k in range(0, len(at), 1 << 14):
-                part = at[k:k + (1 << 14)]
+            for k in range(0, len(at), POINT_CELLS // w):
+                part = at[k:k + POINT_CELLS // w]
                 total[part] = _bound(points[self.at[w][i[part]]], points[self.at[w][j[part]]])
         ok = 9 * total >= 4 * (self.n[i] + self.n[j])
         return i[ok], j[ok], total[ok]
@@ -542,7 +587,7 @@ class JaccardJoin:
         # a class that links with another is in a pair of the first pass: the
         # rest of the work is on these classes only
         met = near.select(F.col("a").alias("_id")).unionByName(near.select(F.col("b").alias("_id"))).distinct()
-        points = scratch.save(described.join(met, "_id", "left_semi").dropDuplicates(["_id", "h1", "h2"])
+        points = scratch.save(_filtered(described, met).join(met, "_id", "left_semi").dropDuplicates(["_id", "h1", "h2"])
                               .select(F.col("_id").alias("rep"), "n", "wide", F.coalesce("fine", "wide").alias("fine")),
                               "points")
         scratch.drop("described")
@@ -610,8 +655,10 @@ class JaccardJoin:
         pairs = scratch.save(pairs.join(fine[1], "b").join(fine[0], "a")
                              .mapInArrow(_possible, "a long, b long").distinct(), f"pairs-{name}")
         needed = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-        sets = scratch.save(self.texts.select("_id", "text").join(needed, "_id", "left_semi")
-                            .mapInArrow(_sets_of, "id long, set binary"), f"sets-{name}")
+        bits = self.texts.sparkSession.sparkContext.broadcast(_bits(needed))
+        # sets that only share a place with a needed one find no pair below
+        sets = scratch.save(self.texts.select("_id", "text", _place("_id").alias("place"))
+                            .mapInArrow(_sets_of(bits), "id long, set binary"), f"sets-{name}")
         both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
                 .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a"))
         links = scratch.save(both.mapInArrow(_linked, "a long, b long").distinct(), f"links-{name}")

@@ -7,11 +7,12 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", ".."))
 
-from logscan.llm import language_model as lm, toxicity  # noqa: E402
-from logscan.llm.common import text_slices  # noqa: E402
+from logscan.llm import language_model as lm, ngram_join, toxicity  # noqa: E402
+from logscan.llm.common import Scratch, text_slices  # noqa: E402
 
 
 def words(rng, n, kinds=400):
@@ -59,3 +60,48 @@ def test_a_counting_worker_is_small():
         for key in toxicity.distinct_features(data, offsets).tolist():
             want[key & toxicity._MASK][1 - y[first + (key >> toxicity.BUCKETS_LOG2)]] += 1
     assert got == {b: tuple(n) for b, n in want.items()}
+
+
+# ------------------------------------------------------------------ n-gram join
+def test_common_shingles_are_counted_in_one_array(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [words(rng, 1200, kinds) for kinds in (6, 3000) for _ in range(400)]
+    texts += [texts[0], None, "", "a b", words(rng, 9000)]
+    monkeypatch.setattr(ngram_join, "HEAVY_PART", 1 << 19)
+    list(ngram_join.shingle_sets(pa.array(texts)))  # arrays that are kept for later calls
+    tracemalloc.start()
+    got = list(ngram_join._repeated([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sets = [s for k, s in enumerate(ngram_join.shingle_sets(pa.array(texts))) if k != 800]
+    want = collections.Counter(x for s in sets for x in s.tolist())
+    got = {int(np.uint64(r["shingle"] & (2**64 - 1))): r["texts"] for b in got for r in b.to_pylist()}
+    assert got == {x: n for x, n in want.items() if n >= ngram_join.HEAVY_MIN}
+    assert peak < 25e6, peak
+
+
+def test_texts_of_unlinked_documents_are_not_shuffled(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, words(rng, 60)) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " one more") for i in range(20)] + [(None, "alone"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, save = {}, Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: plans.__setitem__(
+        name, df._jdf.queryExecution().executedPlan().toString()) or save(self, df, name))
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large table
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs).where("doc_id <> 5").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert got == {i: (i - 1000 if i >= 1000 else i) for i, _ in rows if i is not None and i != 5}
+    assert "Exchange" not in plans["sets-first"]
+    assert "ArrowEvalPython" in plans["points"]
+
+
+def test_the_filter_passes_every_id_and_few_others(spark):
+    ids = [-(1 << 62), -1, 0, 63, 64, *range(1000, 3000, 2)]
+    rows = spark.createDataFrame([(i,) for i in [*ids, *range(10_000, 15_000)]], "_id long")
+    got = [r["_id"] for r in ngram_join._filtered(rows, spark.createDataFrame([(i,) for i in ids], "_id long")).collect()]
+    assert set(ids) <= set(got) and len(got) < len(ids) + 50
+    assert ngram_join._filtered(rows, rows.where(F.lit(False))).count() == 0
