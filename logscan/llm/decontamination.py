@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logscan.llm.common import Scratch, hashed_words, read_table, text_slices, without, word_class, windows
+from logscan.llm.common import Scratch, hashed_words, read_table, release_memory, text_slices, without, word_class, windows
 from logscan.session import ship_package
 
 N_WORDS = 10
@@ -122,6 +122,7 @@ def _scanner(bc):
     def scan(texts: pa.Array) -> pa.Array:
         ids, index = bc.value
         rows = [r for _, data, offsets in text_slices(texts) for r in scan_slice(data, offsets, ids, index)]
+        release_memory()
         pair = pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())]))
         return pa.array(rows, type=pa.struct([("n_words", pa.int64()), ("spans", pair),
                                               ("items", pa.list_(pa.string())), ("bytes", pair)]))

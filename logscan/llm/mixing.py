@@ -18,14 +18,13 @@ cut to the words still wanted: totals equal the rounded targets exactly.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logscan.llm.common import Scratch, mix, read_table, row_hash
+from logscan.llm.common import Scratch, mix, read_table, released, row_hash
 from logscan.session import ship_package
 
 WEIGHTS = (3, 1, 2)
@@ -81,9 +80,9 @@ def permute(i: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
-@F.pandas_udf(T.LongType())
-def _permuted(i: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-    return pd.Series(permute(i.to_numpy(), n.to_numpy(), key.to_numpy().astype(np.uint64)))
+@F.arrow_udf(T.LongType())
+def _permuted(i: pa.Array, n: pa.Array, key: pa.Array) -> pa.Array:
+    return pa.array(permute(*(x.to_numpy(zero_copy_only=False) for x in (i, n, key))))
 
 
 def draw_counts(slots: list[int], n_shards: int, seed: int = SEED) -> np.ndarray:
@@ -152,6 +151,8 @@ class Mix:
 
     def _slots(self, spark: SparkSession, n_slots: list[int], seed: int) -> DataFrame:
         """out_shard, slot, _s, _block, _use (pass), _take (words of the block)."""
+        import pandas as pd  # on the driver only: workers import this module
+
         total, b = sum(n_slots), self.block
         shards = max(MIN_OUT_SHARDS, -(-total // OUT_SHARD_BLOCKS))
         counts = draw_counts(n_slots, shards, seed) if total else np.zeros((0, len(n_slots)), dtype=np.int64)
@@ -287,7 +288,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
                        F.lit(None).cast(wanted.schema["_pieces"].dataType).alias("_pieces"),
                        F.lit(None).cast("long").alias("_size"), "_row")
     both = lists.unionByName(rows).repartition(F.col("_h")).sortWithinPartitions("_h", "_kind")
-    return both.mapInArrow(_cut_rows(docs.columns.index(text)), docs.schema)
+    return both.mapInArrow(released(_cut_rows(docs.columns.index(text))), docs.schema)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

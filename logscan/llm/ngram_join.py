@@ -41,8 +41,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logscan.llm.common import (POSITIVE, SPACE_WORDS, Scratch, hashed_words, read_table, row_hash, text_slices,
-                                windows)
+from logscan.llm.common import (POSITIVE, SPACE_WORDS, Scratch, hashed_words, read_table, released, row_hash,
+                                text_slices, windows)
 from logscan.llm.components import components
 from logscan.session import ship_package
 
@@ -59,7 +59,6 @@ HEAVY_MAX = 1 << 18  # common shingles that go last (16 bytes each, broadcast)
 HEAVY_PART = 1 << 22  # shingles looked at together when common ones are counted
 HEAVY_MIN = 4        # texts of such a part that must hold a shingle
 FINE_MAX = 1 << 14   # groups of the finer counts at most
-SLICE_BYTES = 1 << 18  # of text whose words a worker holds at a time: some 50 bytes of arrays each
 POINT_CELLS = 1 << 20  # counts of points that are compared at once
 FILTER_BITS = 1 << 26  # of an id filter (8 MB, broadcast)
 _MANY = 1 << 24      # stands for a count that did not fit its byte
@@ -67,7 +66,7 @@ _MANY = 1 << 24      # stands for a count that did not fit its byte
 
 def shingle_sets(texts: pa.Array):
     """Sorted distinct 64-bit shingle hashes of each text, in order."""
-    for _, data, offsets in text_slices(texts, SLICE_BYTES):
+    for _, data, offsets in text_slices(texts):
         words = hashed_words(data, offsets, SPACE_WORDS)
         bounds = words.bounds()
         grams = windows(words.hash, SHINGLE)
@@ -129,7 +128,7 @@ def _repeated(batches):
 def heavy_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(sorted shingles, rank) of the commonest repeated shingles, at most
     ``HEAVY_MAX`` (a bounded transfer to the driver)."""
-    rows = (texts.select("text").mapInArrow(_repeated, "shingle long, texts long").groupBy("shingle")
+    rows = (texts.select("text").mapInArrow(released(_repeated), "shingle long, texts long").groupBy("shingle")
             .agg(F.sum("texts").alias("texts")).orderBy(F.desc("texts"), "shingle").limit(HEAVY_MAX).toArrow())
     shingles = rows.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(shingles)
@@ -574,7 +573,7 @@ class JaccardJoin:
                                  "text")
         heavy = spark.sparkContext.broadcast(heavy_shingles(self.texts))
         described = scratch.save(self.texts.mapInArrow(
-            _describe(heavy), "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, "
+            released(_describe(heavy)), "_id long, doc_id long, n int, h1 long, h2 long, keys array<long>, vec binary, "
             "wide binary, fine binary"),
             "described")
         self.rows = scratch.save(described.select("_id", "doc_id", "n", "h1", "h2"), "rows")
@@ -628,11 +627,11 @@ class JaccardJoin:
                         (F.col("_own") > F.col("_other")).cast("int").alias("side"), "rep", "n"))
         kind = "key long, s int, t int, side int, rep long, n int"
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
-        rows = rows.mapInArrow(_shared_rows, kind)
+        rows = rows.mapInArrow(released(_shared_rows), kind)
         before = Window.partitionBy("rep", "n").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
         rows = rows.withColumn("prev", F.coalesce(F.max("key").over(before), "key"))
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
-        return rows.mapInArrow(_new_groups, kind + ", prev long")
+        return rows.mapInArrow(released(_new_groups), kind + ", prev long")
 
     def _mixed(self, shared: DataFrame, points: DataFrame, stars: DataFrame) -> DataFrame:
         """Rows of the classes that have points, with their components, in
@@ -641,27 +640,27 @@ class JaccardJoin:
                 .join(stars.select(F.col("id").alias("rep"), "comp"), "rep", "left")
                 .withColumn("comp", F.coalesce("comp", "rep")))
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t")
-        return rows.mapInArrow(_mixed_groups, rows.schema)
+        return rows.mapInArrow(released(_mixed_groups), rows.schema)
 
     def _pairs(self, shared: DataFrame, vectors: DataFrame, second: bool = False) -> DataFrame:
         rows = shared.join(vectors, ["rep", "n"])
         rows = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "n", "rep")
-        return rows.mapInArrow(_candidates(second), "a long, b long").distinct()
+        return rows.mapInArrow(released(_candidates(second)), "a long, b long").distinct()
 
     def _verify(self, pairs: DataFrame, points: DataFrame, name: str) -> DataFrame:
         scratch = self.scratch
         fine = [points.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
                 for x in ("a", "b")]
         pairs = scratch.save(pairs.join(fine[1], "b").join(fine[0], "a")
-                             .mapInArrow(_possible, "a long, b long").distinct(), f"pairs-{name}")
+                             .mapInArrow(released(_possible), "a long, b long").distinct(), f"pairs-{name}")
         needed = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
         bits = self.texts.sparkSession.sparkContext.broadcast(_bits(needed))
         # sets that only share a place with a needed one find no pair below
         sets = scratch.save(self.texts.select("_id", "text", _place("_id").alias("place"))
-                            .mapInArrow(_sets_of(bits), "id long, set binary"), f"sets-{name}")
+                            .mapInArrow(released(_sets_of(bits)), "id long, set binary"), f"sets-{name}")
         both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
                 .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a"))
-        links = scratch.save(both.mapInArrow(_linked, "a long, b long").distinct(), f"links-{name}")
+        links = scratch.save(both.mapInArrow(released(_linked), "a long, b long").distinct(), f"links-{name}")
         scratch.drop(f"pairs-{name}", f"sets-{name}")
         return links
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logscan.llm.common import read_table, text_slices
+from logscan.llm.common import read_table, release_memory, released, text_slices
 from logscan.session import ship_package
 
 SIZES = (3, 4, 5)
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_fe
     bias = np.log((pos + 1.0) / (neg + 1.0))
     if not pos or not neg:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0), bias)
-    counts = (sample.mapInArrow(_count_partition, "b int, toxic int, other int")
+    counts = (sample.mapInArrow(released(_count_partition), "b int, toxic int, other int")
               .groupBy("b").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
     # association of presence and label (chi-square of the 2 x 2 table)
     a, b = F.col("toxic").cast("double"), F.col("other").cast("double")
@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_fe
                     ["y", "f"])
 
     # at most max_rows rows of at most 2 * max_features bytes
-    rows = sample.mapInArrow(features, "y int, f binary").toArrow()
+    rows = sample.mapInArrow(released(features), "y int, f binary").toArrow()
     lists = [np.frombuffer(x, dtype=np.uint16) for x in rows.column("f").to_pylist()]
     y = (rows.column("y").to_numpy() == 1).astype(np.float64)
     order = sorted(range(len(y)), key=lambda i: (y[i], lists[i].tobytes()))  # fixed order of summation
@@ -214,6 +214,7 @@ def scorer(spark: SparkSession, model: Model):
             if len(keys):
                 z[first:first + len(offsets) - 1] += np.bincount(
                     keys >> BUCKETS_LOG2, weights=effect[keys & _MASK], minlength=len(offsets) - 1)
+        release_memory()
         return pa.array(1.0 / (1.0 + np.exp(-np.clip(z, -700, 700))))
 
     return score.asNondeterministic()  # keeps the scoring in one place of the plan

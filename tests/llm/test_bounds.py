@@ -2,6 +2,7 @@
 
 import collections
 import os
+import subprocess
 import sys
 import tracemalloc
 
@@ -12,13 +13,50 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", ".."))
 
 from logscan.llm import language_model as lm, ngram_join, toxicity  # noqa: E402
-from logscan.llm.common import Scratch, text_slices  # noqa: E402
+from logscan.llm.common import SPACE_WORDS, Scratch, hashed_words, released, text_slices  # noqa: E402
 
 
 def words(rng, n, kinds=400):
     return " ".join(f"w{k}" for k in rng.integers(0, kinds, n))
 
 
+# ------------------------------------------------------------------ any worker
+def resident():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+
+def test_a_worker_gives_back_what_a_partition_needed():
+    last = []
+
+    def run(batches):
+        held = [np.ones(8000) for _ in range(2000)]  # 128 MB in pieces of the heap
+        last.append(np.ones(8000))  # lies above them, so the heap can't shrink
+        yield len(held)
+
+    before = resident()
+    assert list(released(run)([])) == [2000]
+    assert resident() < before + 40, (before, resident())
+
+
+def test_words_are_cut_in_small_slices():
+    rng = np.random.default_rng(3)
+    texts = pa.array([words(rng, 1500) for _ in range(600)])  # some 4 MB
+    hashed_words(*next(text_slices(texts))[1:], SPACE_WORDS)  # arrays that are kept for later calls
+    tracemalloc.start()
+    n = sum(len(hashed_words(data, offsets, SPACE_WORDS).hash) for _, data, offsets in text_slices(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 600 * 1500
+    assert peak < 25e6, peak
+
+
+def test_workers_of_the_mix_import_no_pandas():
+    root = os.path.join(os.path.dirname(__file__), "..", "..")
+    code = "import sys, logscan.llm.mixing; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+
+
 # --------------------------------------------------------------- language model
 def test_one_model_reaches_the_driver(spark, monkeypatch):
     monkeypatch.setattr(lm, "FAN_IN", 2)
